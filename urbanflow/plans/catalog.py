@@ -51,6 +51,13 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             .option("maxFilesPerTrigger", 1000).parquet(sf_dir.rstrip("/")))
 
 
+def kafka_like(records: DataFrame) -> DataFrame:
+    """Spread stand-in records over tasks by (partition, offset) as the Kafka
+    source does for a multi-partition topic read with ``minPartitions``."""
+    n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return records.repartition(n, "partition", "offset")
+
+
 def _run_available_now(queries) -> None:
     for q in queries:
         q.awaitTermination()
@@ -64,7 +71,7 @@ def q_stream_ingest(spark, sf):
     """Kafka records -> from_json -> flatten -> event time parts -> Parquet
     partitioned year/month/day/hour via the exactly-once streaming file sink."""
     out, ckpt, bad = (scratch_path(spark, "stream_ingest", p) for p in ("landing", "checkpoint", "quarantine"))
-    parsed = parse_records(feeds.event_records(events_stream(spark, sf)), feeds.EVENT_MESSAGE,
+    parsed = parse_records(kafka_like(feeds.event_records(events_stream(spark, sf))), feeds.EVENT_MESSAGE,
                            required=("event_id", "event_ts"))
     _run_available_now(start_landing(parsed, out, ckpt, trigger={"availableNow": True},
                                      quarantine_path=bad))
@@ -200,7 +207,7 @@ def q_topic_routing(spark, sf):
     out, ckpt = scratch_path(spark, "routing", "out"), scratch_path(spark, "routing", "checkpoint")
     e = events_stream(spark, sf)
     static = {t: table(spark, sf, t) for t in ("customer", "nation", "region")}
-    recs = feeds.routed_records(e, static["customer"], static["nation"], static["region"])
+    recs = kafka_like(feeds.routed_records(e, static["customer"], static["nation"], static["region"]))
     _run_available_now([start_router(recs, out, ckpt, feeds.WEATHER_ROLE_TOPIC, {"availableNow": True})])
     return read_routed(spark, out).select("layout", "topic", "partition", "offset", "message_id",
                                           "zone", "dept", "date")

@@ -11,37 +11,52 @@ from ..functions.messages import drop_empty
 from ..operators.routing import GENERIC_LAYOUT, WEATHER_LAYOUT, route_messages
 from ..sinks.parquet import write_partitioned
 
-WEATHER_PARTS = ["zone", "dept", "date", "hour", "batch_id"]
-GENERIC_PARTS = ["topic", "date", "batch_id"]
+# Layout: <root>/<layout>/batch_id=<n>/<partition dirs>/part-*.json
+# ``hour`` is a sorted column inside the date directories rather than a
+# directory level: hour filters still prune via row-group statistics, and the
+# layout avoids 24x more (mostly tiny) directories.
+WEATHER_PARTS = ["zone", "dept", "date"]
+GENERIC_PARTS = ["topic", "date"]
 
 _BODY = [StructField("message_id", StringType()), StructField("partition", IntegerType()),
-         StructField("offset", LongType()), StructField("payload", StringType())]
+         StructField("offset", LongType()), StructField("object_path", StringType()),
+         StructField("payload", StringType())]
 WEATHER_LAYOUT_SCHEMA = StructType(
-    [StructField("topic", StringType())] + _BODY
-    + [StructField(c, StringType()) for c in WEATHER_PARTS[:-1]] + [StructField("batch_id", LongType())])
+    [StructField("topic", StringType()), StructField("hour", StringType())] + _BODY
+    + [StructField("batch_id", LongType())] + [StructField(c, StringType()) for c in WEATHER_PARTS])
 GENERIC_LAYOUT_SCHEMA = StructType(
-    _BODY + [StructField("topic", StringType()), StructField("date", StringType()),
-             StructField("batch_id", LongType())])
+    _BODY + [StructField("batch_id", LongType())] + [StructField(c, StringType()) for c in GENERIC_PARTS])
 
 
 def write_routed_batch(records: DataFrame, batch_id: int, out_root: str, weather_topic: str) -> None:
     """Write one micro-batch to both layouts as JSON Lines.
 
-    Re-running the same ``batch_id`` (after a failure) overwrites exactly the
-    partitions of that batch (dynamic partition overwrite), so the sink is
-    idempotent although ``foreachBatch`` is at-least-once.
+    Each batch owns the directory ``batch_id=<n>`` of each layout and writes
+    it with a static overwrite: re-running the same batch after a failure
+    replaces exactly that batch's files, so the sink is idempotent although
+    ``foreachBatch`` is at-least-once (and no per-partition rename pass is
+    needed at commit, unlike dynamic partition overwrite).
+
+    Writes are map-only: each source task writes its own rows, so a hot zone
+    or hour is spread over all tasks of the micro-batch (whose size
+    ``maxOffsetsPerTrigger`` bounds) and nothing is shuffled. The cost is at
+    most one file per task and directory per batch; a compaction pass merges
+    them once a date is closed.
     """
     routed = (route_messages(drop_empty(records), weather_topic)
               .withColumn("payload", F.col("value").cast("string"))
-              .withColumn("batch_id", F.lit(batch_id).cast("long"))
               .persist())
     try:
         weather = routed.filter(F.col("layout") == WEATHER_LAYOUT)
-        write_partitioned(weather.select("topic", "message_id", "partition", "offset", "payload", *WEATHER_PARTS),
-                          f"{out_root}/weather", WEATHER_PARTS, fmt="json")
+        write_partitioned(weather.select("topic", "hour", "message_id", "partition", "offset", "object_path",
+                                         "payload", *WEATHER_PARTS).sortWithinPartitions(*WEATHER_PARTS, "hour"),
+                          f"{out_root}/{WEATHER_LAYOUT}/batch_id={batch_id}", WEATHER_PARTS, fmt="json",
+                          overwrite="static", rebalance=False)
         generic = routed.filter(F.col("layout") == GENERIC_LAYOUT)
-        write_partitioned(generic.select("message_id", "partition", "offset", "payload", *GENERIC_PARTS),
-                          f"{out_root}/kafka", GENERIC_PARTS, fmt="json")
+        write_partitioned(generic.select("message_id", "partition", "offset", "object_path", "payload",
+                                         *GENERIC_PARTS),
+                          f"{out_root}/{GENERIC_LAYOUT}/batch_id={batch_id}", GENERIC_PARTS, fmt="json",
+                          overwrite="static", rebalance=False)
     finally:
         routed.unpersist()
 
