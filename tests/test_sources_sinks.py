@@ -1,0 +1,51 @@
+"""Kafka option dictionaries, Kafka encoding round trip, config from env, station dimension."""
+
+from pyspark.sql import functions as F
+
+from urbanflow.config import feed_config_from_env, lake_paths_from_env
+from urbanflow.sinks.kafka import encode_for_kafka, kafka_sink_options
+from urbanflow.sources.dims import stations
+from urbanflow.sources.kafka import kafka_source_options
+from urbanflow.sources.spine import gap_filled_hourly_counts, hourly_spine
+
+
+def test_source_options_from_env():
+    cfg = feed_config_from_env({"KAFKA_BOOTSTRAP_SERVERS": "b1:9092,b2:9092", "URBANFLOW_TOPICS": "weather, traffic",
+                                "URBANFLOW_MAX_OFFSETS_PER_TRIGGER": "50000", "URBANFLOW_MIN_PARTITIONS": "64"})
+    o = kafka_source_options(cfg)
+    assert o["kafka.bootstrap.servers"] == "b1:9092,b2:9092" and o["subscribe"] == "weather,traffic"
+    assert o["startingOffsets"] == "latest" and o["maxOffsetsPerTrigger"] == "50000" and o["minPartitions"] == "64"
+
+
+def test_sink_options_carry_delivery_settings():
+    o = kafka_sink_options(feed_config_from_env({}), "weather")
+    assert o["kafka.acks"] == "all" and o["kafka.max.in.flight.requests.per.connection"] == "1"
+    assert o["topic"] == "weather"
+
+
+def test_lake_paths():
+    p = lake_paths_from_env({"URBANFLOW_LAKE_ROOT": "s3a://lake/"})
+    assert (p.raw, p.curated, p.gold) == ("s3a://lake/raw", "s3a://lake/curated", "s3a://lake/gold")
+
+
+def test_kafka_encode_keeps_nulls_and_round_trips(spark):
+    df = spark.createDataFrame([("Paris-1er-Louvre", None, 3.5)], "name string, dept string, t double")
+    enc = encode_for_kafka(df, "name").collect()[0]
+    assert enc["key"] == "Paris-1er-Louvre" and '"dept":null' in enc["value"]
+    back = spark.createDataFrame([enc]).select(F.from_json("value", df.schema).alias("d")).select("d.*")
+    assert back.collect()[0].asDict() == {"name": "Paris-1er-Louvre", "dept": None, "t": 3.5}
+
+
+def test_station_dimension(spark):
+    s = stations(spark)
+    assert s.count() == 37 and s.select("name").distinct().count() == 37
+    assert s.filter(F.col("zone") == "Paris").count() == 20
+
+
+def test_hourly_spine_fills_gaps(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 5),), (dt.datetime(2024, 1, 1, 3, 59),),
+                                (dt.datetime(2024, 1, 1, 3, 1),)], "ts timestamp_ntz")
+    assert hourly_spine(df, "ts").count() == 4
+    got = [(r[0].hour, r[1]) for r in gap_filled_hourly_counts(df, "ts").orderBy("hour_start").collect()]
+    assert got == [(0, 1), (1, 0), (2, 0), (3, 2)]

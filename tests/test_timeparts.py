@@ -1,0 +1,70 @@
+"""Event-time parsing and partition parts are independent of the session zone."""
+
+import datetime as dt
+
+import pytest
+
+from urbanflow.functions.timeparts import (epoch_seconds, epoch_seconds_to_time, format_date, format_datetime,
+                                           format_hour, format_time, iso_z, ntz_to_instant, parse_event_time,
+                                           parse_process_date, time_parts, utc_wall_clock,
+                                           with_batch_partition_cols)
+from conftest import rows
+
+
+def test_iso_z_parse_with_fraction_and_junk(spark):
+    df = spark.createDataFrame([("2025-07-02T23:30:00.123456Z",), ("2025-07-02T23:30:00+02:00",), ("garbage",), (None,)], "s string")
+    got = [r[0] for r in df.select(parse_event_time("s")).collect()]
+    assert got == [dt.datetime(2025, 7, 2, 23, 30, 0, 123456), dt.datetime(2025, 7, 2, 21, 30), None, None]
+
+
+def test_partition_parts_do_not_depend_on_session_zone(spark):
+    df = spark.createDataFrame([("2025-07-02T23:30:00Z",)], "s string").select(parse_event_time("s").alias("ts"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+        paris = rows(df.select(*time_parts("ts").values()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    utc = rows(df.select(*time_parts("ts").values()))
+    assert paris == utc == [(2025, 7, 2, 23)]
+
+
+def test_ntz_instant_roundtrip_is_zone_free(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 7, 179575),)], "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = df.select(utc_wall_clock(ntz_to_instant("ts"))).collect()[0][0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
+
+
+def test_epoch_seconds_roundtrip_exact_microseconds(spark):
+    vals = [(dt.datetime(2024, 1, 1, 0, 0, 7, 179575),), (dt.datetime(2024, 1, 30, 23, 59, 59, 999999),),
+            (dt.datetime(1970, 1, 1),)]
+    df = spark.createDataFrame(vals, "ts timestamp_ntz")
+    got = [r[0] for r in df.select(epoch_seconds_to_time(epoch_seconds("ts"))).collect()]
+    assert got == [v[0] for v in vals]
+
+
+def test_formats(spark):
+    df = spark.createDataFrame([(dt.datetime(2025, 7, 2, 9, 5, 3),), (dt.datetime(2025, 7, 2, 9, 5, 3, 120),)], "ts timestamp_ntz")
+    got = rows(df.select(format_date("ts"), format_time("ts"), format_hour("ts"), format_datetime("ts"), iso_z("ts")))
+    assert got[0] == ("2025-07-02", "09-05-03", "09", "2025-07-02 09:05:03", "2025-07-02T09:05:03Z")
+    assert got[1][4] == "2025-07-02T09:05:03.000120Z"  # like isoformat(): 6 digits when non-zero
+
+
+@pytest.mark.parametrize("text", ["2025-07-02", "20250702", "20250702-1200"])
+def test_process_date_formats(text):
+    assert parse_process_date(text) == dt.date(2025, 7, 2)
+
+
+def test_process_date_rejects_junk():
+    with pytest.raises(ValueError):
+        parse_process_date("02/07/2025")
+
+
+def test_batch_partition_cols(spark):
+    df = with_batch_partition_cols(spark.range(2), "20250702-1200")
+    assert rows(df, "year", "month", "day") == [(2025, 7, 2), (2025, 7, 2)]
