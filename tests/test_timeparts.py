@@ -40,6 +40,22 @@ def test_ntz_instant_roundtrip_is_zone_free(spark):
     assert got == dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Europe/Paris", "Asia/Kolkata"])
+def test_ntz_helpers_ignore_session_zone_across_dst(spark, zone):
+    from urbanflow.functions.timeparts import truncate_hour
+    vals = [dt.datetime(2024, 7, 15, 12, 34, 56, 789012), dt.datetime(2024, 3, 31, 2, 30), dt.datetime(1969, 12, 31, 23, 59, 59, 1)]
+    df = spark.createDataFrame([(v,) for v in vals], "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got = rows(df.select(utc_wall_clock(ntz_to_instant("ts")), truncate_hour("ts"),
+                             epoch_seconds_to_time(epoch_seconds("ts"))))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [g[0] for g in got] == vals and [g[2] for g in got] == vals
+    assert [g[1] for g in got] == [v.replace(minute=0, second=0, microsecond=0) for v in vals]
+
+
 def test_epoch_seconds_roundtrip_exact_microseconds(spark):
     vals = [(dt.datetime(2024, 1, 1, 0, 0, 7, 179575),), (dt.datetime(2024, 1, 30, 23, 59, 59, 999999),),
             (dt.datetime(1970, 1, 1),)]

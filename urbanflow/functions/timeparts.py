@@ -43,6 +43,22 @@ def epoch_seconds_to_time(seconds: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", micros, _epoch_ntz())
 
 
+def truncate_hour(ts: Column | str) -> Column:
+    """Start of the hour of a UTC wall-clock TIMESTAMP_NTZ (zone-free)."""
+    t = _c(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
+
+
+def ntz_epoch_micros(ntz: Column | str) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ, computed from
+    its fields (timestamp_diff would route through the session zone)."""
+    t = _c(ntz)
+    days = F.unix_date(t.cast("date")).cast("long")
+    secs = (F.hour(t) * F.lit(3600) + F.minute(t) * F.lit(60)).cast("long")
+    frac = (F.extract(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("long")
+    return days * F.lit(86_400_000_000) + secs * F.lit(1_000_000) + frac
+
+
 def time_parts(ts: Column | str) -> dict[str, Column]:
     t = _c(ts)
     return {"year": F.year(t), "month": F.month(t), "day": F.dayofmonth(t), "hour": F.hour(t)}
@@ -116,9 +132,9 @@ def iso_z(ts: Column | str) -> Column:
 def ntz_to_instant(ntz: Column | str) -> Column:
     """TIMESTAMP_NTZ read as a UTC wall clock -> TIMESTAMP instant, without
     going through the session time zone."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(ntz)))
+    return F.timestamp_micros(ntz_epoch_micros(ntz))
 
 
 def epoch_seconds(ntz: Column | str) -> Column:
     """UTC TIMESTAMP_NTZ -> epoch seconds as a double."""
-    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(ntz)).cast("double") / F.lit(1_000_000.0)
+    return ntz_epoch_micros(ntz).cast("double") / F.lit(1_000_000.0)

@@ -33,7 +33,10 @@ def sequence_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
               .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_size")))
     before = Window.partitionBy(*partition_by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    return (ranged.join(slices.select(*partition_by, "_slice", "_first", "_offset"),
-                        [*partition_by, "_slice"])
-            .withColumn(name, F.col("_pos") - F.col("_first") + F.col("_offset"))
-            .drop("_slice", "_pos", "_first", "_offset"))
+    # null-safe on the group keys: a null key is a group like any other
+    r, s = ranged.alias("_r"), slices.alias("_s")
+    cond = [F.col(f"_r.{k}").eqNullSafe(F.col(f"_s.{k}")) for k in partition_by]
+    cond.append(F.col("_r._slice") == F.col("_s._slice"))
+    return (r.join(s, cond)
+            .select("_r.*", (F.col("_r._pos") - F.col("_s._first") + F.col("_s._offset")).alias(name))
+            .drop("_slice", "_pos"))

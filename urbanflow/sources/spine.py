@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timeparts import truncate_hour
+
 
 def hourly_spine(df: DataFrame, ts: str, name: str = "hour_start") -> DataFrame:
     """Every hour from the first to the last event's hour (inclusive).
@@ -13,14 +15,18 @@ def hourly_spine(df: DataFrame, ts: str, name: str = "hour_start") -> DataFrame:
     ``sequence`` expands the bounds: the spine's size is the time span in
     hours, independent of the number of events.
     """
-    bounds = df.agg(F.date_trunc("hour", F.min(ts)).alias("lo"), F.date_trunc("hour", F.max(ts)).alias("hi"))
+    bounds = df.agg(truncate_hour(F.min(ts)).alias("lo"), truncate_hour(F.max(ts)).alias("hi"))
     return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias(name))
 
 
 def gap_filled_hourly_counts(df: DataFrame, ts: str, name: str = "hour_start",
                              count_name: str = "n_events") -> DataFrame:
-    """Hourly event counts with explicit zero rows for silent hours."""
-    counts = (df.groupBy(F.date_trunc("hour", F.col(ts)).alias(name))
-              .agg(F.count(F.lit(1)).alias(count_name)))
-    return (hourly_spine(df, ts, name).join(counts, name, "left")
+    """Hourly event counts with explicit zero rows for silent hours.
+
+    The events are scanned once: hourly counts are aggregated (map-side
+    partial counts), and the spine's bounds come from those counts.
+    """
+    counts = df.groupBy(truncate_hour(ts).alias(name)).agg(F.count(F.lit(1)).alias(count_name))
+    spine = hourly_spine(counts, name, name)
+    return (spine.join(counts, name, "left")
             .select(name, F.coalesce(F.col(count_name), F.lit(0).cast("long")).alias(count_name)))
