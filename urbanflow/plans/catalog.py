@@ -30,12 +30,12 @@ from ..operators.sequence import sequence_number
 from ..schemas import PM
 from ..session import scratch_path
 from ..sinks.kafka import encode_for_kafka
-from ..sinks.parquet import read_partitioned, write_counted, write_partitioned
-from ..sources.files import discover_datasets, read_delimited, read_delimited_inferred
+from ..sinks.parquet import read_partitioned, write_partitioned
+from ..sources.files import read_delimited, read_delimited_inferred
 from ..sources.spine import gap_filled_hourly_counts
 from ..streaming.ingest import landing_frame, parse_records, start_landing
 from ..streaming.router import read_routed, start_router
-from . import feeds
+from . import feeds, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,18 +115,9 @@ def q_csv_folder_ingest(spark, sf):
     """Every ``*.csv`` dataset of a folder -> its own Parquet directory; the
     row count comes from the write itself (Observation), not a re-scan."""
     folder = scratch_path(spark, "csv_folder", "in")
-    out_root = scratch_path(spark, "csv_folder", "out")
     for name in CSV_FOLDER_TABLES:
         table(spark, sf, name).write.option("header", True).csv(f"{folder}/{name}.csv")
-    rows = []
-    for name, path in discover_datasets(spark, folder):
-        try:
-            df = read_delimited_inferred(spark, path).withColumn("processed_at", F.current_timestamp())
-            n = write_counted(df, f"{out_root}/{name}", name=f"ingest_{name}_{abs(hash(path))}")
-            rows.append((name, n, len(df.columns), "ok"))
-        except Exception as exc:  # one bad dataset must not stop the others
-            rows.append((name, 0, 0, f"error: {type(exc).__name__}"))
-    report = spark.createDataFrame(rows, "dataset string, n_rows long, n_columns int, status string")
+    report = jobs.folder_ingest(spark, folder, scratch_path(spark, "csv_folder", "out"))
     return report.select("dataset", "n_rows", "n_columns")
 
 
