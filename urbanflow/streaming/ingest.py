@@ -29,11 +29,12 @@ def parse_records(records: DataFrame, schema: StructType = WEATHER_CORE, ts_fiel
     flat = decoded.select(*[F.col(k).alias(v) for k, v in KAFKA_COLS.items()],
                           F.col("value").cast("string").alias("raw_value"), "data.*")
     if "station" in schema.fieldNames():
-        station = schema["station"].dataType
-        if {"altitude", "altitude_m"} <= set(station.fieldNames()):
-            flat = flat.withColumn("station", F.col("station").withField(
-                "altitude", F.coalesce(F.col("station.altitude"), F.col("station.altitude_m")))
-                .dropFields("altitude_m"))
+        names = set(schema["station"].dataType.fieldNames())
+        if "altitude_m" in names:  # the producer writes altitude_m; readers expect altitude
+            alt = F.col("station.altitude_m")
+            if "altitude" in names:
+                alt = F.coalesce(F.col("station.altitude"), alt)
+            flat = flat.withColumn("station", F.col("station").withField("altitude", alt).dropFields("altitude_m"))
     flat = flat.withColumn("event_ts", parse_event_time(ts_field)).withColumns(time_parts("event_ts"))
     return flat.withColumn(valid, required_present(required))
 
