@@ -46,6 +46,9 @@ def lake(spark, tmp_path_factory):
         rows.append((st[0].encode(), json.dumps(message(i, st, when)).encode(), "weather", 0, i,
                      dt.datetime(2025, 7, 2, 12, 0), 0))
     rows.append((b"x", b"not json", "weather", 0, 999, dt.datetime(2025, 7, 2, 12, 0), 0))
+    sparse = {"reading_id": "PAR-sparse", "timestamp": "2025-07-02T09:00:00Z", "station": {"name": "Versailles"},
+              "temperature": {"actual_c": 12.0}}
+    rows.append((b"Versailles", json.dumps(sparse).encode(), "weather", 0, 1000, dt.datetime(2025, 7, 2, 12, 0), 0))
     src = os.path.join(root, "_src")
     spark.createDataFrame(rows, KAFKA_RECORD).write.parquet(src)
     paths = LakePaths(root)
@@ -62,10 +65,13 @@ def lake(spark, tmp_path_factory):
 
 def test_ingest_lands_valid_and_quarantines_bad(spark, lake):
     landed = spark.read.parquet(f"{lake.raw}/streaming/weather")
-    assert landed.count() == 120
+    assert landed.count() == 121
     assert landed.filter(F.col("station.altitude").isNull()).count() == 0
+    sparse = landed.filter(F.col("reading_id") == "PAR-sparse").collect()[0]["station"]
+    assert (sparse["zone"], sparse["department"], sparse["altitude"]) == ("Yvelines", "78", 132)
+    assert sparse["coordinates"]["latitude"] == 48.8014
     report = {r["kafka_topic"]: r for r in jobs.weather_ingest_report(spark, lake).collect()}
-    assert report["weather"]["n_valid"] == 120 and report["weather"]["n_quarantined"] == 1
+    assert report["weather"]["n_valid"] == 121 and report["weather"]["n_quarantined"] == 1
 
 
 def test_batch_load_reports_missing_dataset(spark, lake, tmp_path):
@@ -78,7 +84,7 @@ def test_batch_load_reports_missing_dataset(spark, lake, tmp_path):
 
 def test_summary_gold_and_model(spark, lake):
     s = jobs.weather_summary(spark, lake)
-    assert s.agg(F.sum("n")).collect()[0][0] == 120
+    assert s.agg(F.sum("n")).collect()[0][0] == 121
     gold = jobs.gold_weather_traffic(spark, lake)
     g = {(r["arrondissement"]): r for r in gold.collect()}
     assert set(g) <= set(range(1, 21)) and g[1]["yearly_traffic"] == 900 and g[20]["yearly_traffic"] == 800
@@ -91,3 +97,51 @@ def test_compact_rewrites_partitions(spark, lake):
     out = f"{lake.curated}/weather"
     jobs.compact(spark, f"{lake.raw}/streaming/weather", out, where="hour < 12")
     assert spark.read.parquet(out).count() == spark.read.parquet(f"{lake.raw}/streaming/weather").filter("hour < 12").count()
+
+
+def test_pm_ingest_parses_epoch_seconds(spark, tmp_path):
+    root = str(tmp_path)
+    t0 = dt.datetime(2025, 7, 2, 10, 0, 0)
+    rows = []
+    for c in range(40):
+        when = t0 + dt.timedelta(seconds=30 * c, microseconds=123456)
+        epoch = (when - dt.datetime(1970, 1, 1)).total_seconds()
+        msg = {"station": "auber", "timestamp": epoch, "pm10": 50 + c % 20, "pm25": 25 + c % 15, "counter": c}
+        rows.append((None, json.dumps(msg).encode(), "pm10-data", 0, c, when, 0))
+    src = os.path.join(root, "_pm")
+    spark.createDataFrame(rows, KAFKA_RECORD).write.parquet(src)
+    paths = LakePaths(root)
+    for q in jobs.pm_ingest(spark, FeedConfig(), paths, trigger={"availableNow": True},
+                            source=spark.readStream.schema(KAFKA_RECORD).parquet(src)):
+        q.awaitTermination()
+    pm = spark.read.parquet(f"{paths.raw}/streaming/pm").orderBy("counter").collect()
+    assert len(pm) == 40 and pm[3]["pm10"] == 53 and pm[17]["pm25"] == 27
+    assert pm[1]["event_ts"] == dt.datetime(2025, 7, 2, 10, 0, 30, 123456)
+    assert (pm[0]["year"], pm[0]["month"], pm[0]["day"], pm[0]["hour"]) == (2025, 7, 2, 10)
+
+
+def test_router_job_multi_topic(spark, lake, tmp_path):
+    from urbanflow.streaming.router import read_routed
+    src = os.path.join(str(tmp_path), "_multi")
+    now = dt.datetime(2025, 7, 2, 12, 0)
+    rows = [(b"s", json.dumps(message(i, STATIONS[i], now)).encode(), "weather", 0, i, now, 0) for i in range(10)]
+    rows += [(None, b'{"line": "RER A", "delay_min": 3}', "traffic", 1, 100 + i, now, 0) for i in range(5)]
+    rows += [(None, b"{}", "air_quality", 2, 200, now, 0)]
+    spark.createDataFrame(rows, KAFKA_RECORD).write.parquet(src)
+    paths = LakePaths(str(tmp_path))
+    q = jobs.router(spark, FeedConfig(), paths, trigger={"availableNow": True},
+                    source=spark.readStream.schema(KAFKA_RECORD).parquet(src))
+    q.awaitTermination()
+    back = read_routed(spark, f"{paths.raw}/kafka")
+    counts = {r["layout"]: r["count"] for r in back.groupBy("layout").count().collect()}
+    assert counts == {"weather": 10, "kafka": 5}  # the empty air_quality message is dropped
+    assert {r["zone"] for r in back.filter("layout = 'weather'").collect()} == {"Paris"}
+
+
+def test_live_summary_runs_with_watermark(spark, lake):
+    q = jobs.live_summary(spark, lake, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    # all readings are within hours of each other: the 72 h watermark has not
+    # closed any window yet, so append mode has emitted nothing
+    assert spark.read.parquet(f"{lake.gold}/weather_summaries_live").count() == 0

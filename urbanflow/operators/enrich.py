@@ -36,3 +36,24 @@ def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
         name = name or src.split(".")[-1]
         cols[name] = F.coalesce(F.col(src), F.lit(default))
     return df.withColumns(cols)
+
+
+def fill_station_attributes(df: DataFrame, stations: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
+    """Fill missing station attributes (coordinates, department, zone,
+    altitude) from the station registry, looked up by ``station.name``.
+
+    A left join against the size-checked broadcast registry: works on a
+    stream (stream-static join) and never drops a reading, known or not.
+    """
+    dim = stations.select(F.col("name").alias("_st_name"), F.col("lat").alias("_st_lat"),
+                          F.col("lon").alias("_st_lon"), F.col("department").alias("_st_dept"),
+                          F.col("zone").alias("_st_zone"), F.col("altitude").alias("_st_alt"))
+    j = df.join(bounded_broadcast(dim, max_broadcast_rows), F.col("station.name") == F.col("_st_name"), "left")
+    st = F.col("station")
+    coords = F.struct(F.coalesce(st["coordinates"]["latitude"], F.col("_st_lat")).alias("latitude"),
+                      F.coalesce(st["coordinates"]["longitude"], F.col("_st_lon")).alias("longitude"))
+    filled = (st.withField("coordinates", coords)
+              .withField("department", F.coalesce(st["department"], F.col("_st_dept")))
+              .withField("zone", F.coalesce(st["zone"], F.col("_st_zone")))
+              .withField("altitude", F.coalesce(st["altitude"], F.col("_st_alt"))))
+    return j.withColumn("station", F.when(st.isNull(), st).otherwise(filled)).drop(*dim.columns)

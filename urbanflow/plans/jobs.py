@@ -25,6 +25,8 @@ from pyspark.sql.types import StructType
 from ..config import FeedConfig, LakePaths, feed_config_from_env, lake_paths_from_env
 from ..functions.timeparts import with_batch_partition_cols, truncate_hour
 from ..operators import model as M
+from ..operators.enrich import fill_station_attributes
+from ..sources.dims import stations
 from ..operators.reports import exact_mean, exact_sum, ingest_report, windowed_summary
 from ..schemas import PM, TRAFIC, WEATHER_CORE, WEATHER_FULL
 from ..session import build_session
@@ -43,11 +45,15 @@ def checkpoint(paths: LakePaths, job: str) -> str:
 # ---------------------------------------------------------------- streaming
 
 def weather_ingest(spark: SparkSession, cfg: FeedConfig, paths: LakePaths, *, full_schema: bool = False,
-                   trigger: dict | None = None, source: DataFrame | None = None) -> list[StreamingQuery]:
+                   trigger: dict | None = None, source: DataFrame | None = None,
+                   fill_stations: bool = True) -> list[StreamingQuery]:
     """The main streaming job: weather JSON -> Parquet partitioned by event
-    year/month/day/hour, malformed rows to quarantine. Map-only, stateless."""
+    year/month/day/hour, malformed rows to quarantine. Stateless; the only
+    join is against the broadcast 37-row station registry."""
     records = source if source is not None else read_kafka_stream(spark, cfg, [cfg.weather_topic])
     parsed = parse_records(records, WEATHER_FULL if full_schema else WEATHER_CORE)
+    if fill_stations:
+        parsed = fill_station_attributes(parsed, stations(spark))
     return start_landing(parsed, f"{paths.raw}/streaming/weather", checkpoint(paths, "weather"),
                          quarantine_path=f"{paths.quarantine}/weather",
                          trigger=trigger or {"processingTime": cfg.trigger_interval}, query_name="weather_ingest")

@@ -28,7 +28,7 @@ def parse_records(records: DataFrame, schema: StructType = WEATHER_CORE, ts_fiel
     decoded = decode_json(msgs, schema)
     flat = decoded.select(*[F.col(k).alias(v) for k, v in KAFKA_COLS.items()],
                           F.col("value").cast("string").alias("raw_value"), "data.*")
-    if "station" in schema.fieldNames():
+    if "station" in schema.fieldNames() and isinstance(schema["station"].dataType, StructType):
         names = set(schema["station"].dataType.fieldNames())
         if "altitude_m" in names:  # the producer writes altitude_m; readers expect altitude
             alt = F.col("station.altitude_m")
