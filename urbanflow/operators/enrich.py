@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A dimension is broadcast only below this many rows (checked, not assumed).
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def row_count_at_most(df: DataFrame, limit: int) -> bool:

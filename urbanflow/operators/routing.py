@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.ids import short_id
 from ..functions.paths import (department_or_default, generic_object_path, weather_object_path,
@@ -13,6 +14,9 @@ from ..functions.timeparts import format_date, format_hour, format_time, utc_wal
 WEATHER_LAYOUT = "weather"
 GENERIC_LAYOUT = "kafka"
 
+ROUTING_FIELDS = StructType([StructField("station", StructType([
+    StructField("zone", StringType()), StructField("department", StringType())]))])
+
 
 def route_messages(records: DataFrame, weather_topic: str = "weather", value: str = "value",
                    arrival: str = "timestamp") -> DataFrame:
@@ -23,11 +27,12 @@ def route_messages(records: DataFrame, weather_topic: str = "weather", value: st
     takes the generic per-topic layout. Paths are keyed by the record's
     arrival time (the Kafka timestamp), which is replay-stable.
     """
-    text = F.col(value).cast("string")
+    # one parse per record, of just the fields routing needs
+    head = F.from_json(F.col(value).cast("string"), ROUTING_FIELDS)
     arrived = utc_wall_clock(F.col(arrival))
-    is_weather = (F.col("topic") == F.lit(weather_topic)) & F.get_json_object(text, "$.station").isNotNull()
-    zone = zone_slug(F.get_json_object(text, "$.station.zone"))
-    dept = department_or_default(F.get_json_object(text, "$.station.department"))
+    is_weather = (F.col("topic") == F.lit(weather_topic)) & head["station"].isNotNull()
+    zone = zone_slug(head["station"]["zone"])
+    dept = department_or_default(head["station"]["department"])
     msg_id = short_id("topic", "partition", "offset")
     date, hour, time = format_date(arrived), format_hour(arrived), format_time(arrived)
     return (records

@@ -21,8 +21,11 @@ def sequence_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
 
     ``order_by`` should end with a unique column for a deterministic result.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession.conf
+    # An explicit count: AQE never coalesces a REPARTITION_BY_NUM exchange,
+    # so every reader of it sees the same slice ids.
+    n = num_partitions or int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+                              or conf.get("spark.sql.shuffle.partitions"))
     keys = [*partition_by, *order_by]
     # range exchange: sampled bounds split a hot group across partitions
     ranged = (df.repartitionByRange(n, *keys)
