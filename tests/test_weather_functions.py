@@ -106,3 +106,9 @@ def test_weather_indicators_single_projection(spark):
     assert r["season"] == "summer" and r["daylight"] is False and r["uv_possible"] is False
     assert r["air_quality_label"] == "Dégradé" and r["visibility_plausible"] is True
     assert r["condition_description"] == "Light Rain" and r["expected_pressure_hpa"] == 1008.2
+
+
+def test_gust_defaults_to_wind(spark):
+    got = rows(spark.createDataFrame([(None, 6.0), (16.8, 12.0), (None, None)], "g double, w double")
+               .select(W.gust_or_wind("g", "w")))
+    assert got == [(6.0,), (16.8,), (None,)]

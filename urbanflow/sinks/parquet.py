@@ -11,7 +11,8 @@ from pyspark.sql.types import StructType
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], *,
                       mode: str = "overwrite", overwrite: str = "dynamic", fmt: str = "parquet",
-                      rebalance: bool = True, max_records_per_file: int | None = None) -> None:
+                      rebalance: bool = True, max_records_per_file: int | None = None,
+                      observation: Observation | None = None) -> None:
     """Write ``df`` as Hive-partitioned files.
 
     ``overwrite="dynamic"`` replaces only the partitions present in ``df``
@@ -21,6 +22,10 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], *
     files and splits a hot partition over several tasks instead of one.
     """
     out = df.hint("rebalance", *partition_cols) if rebalance and partition_cols else df
+    if observation is not None:
+        # observed in the writing (result) stage, above any exchange: each
+        # partition's metrics count once even if map stages are re-run
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     writer = (out.write.mode(mode).format(fmt)
               .option("partitionOverwriteMode", overwrite))
     if max_records_per_file:
@@ -35,7 +40,7 @@ def write_counted(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
     """Write and return the row count measured by the write itself
     (an ``Observation``), instead of a second full scan."""
     obs = Observation(name)
-    write_partitioned(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_cols, **kwargs)
+    write_partitioned(df, path, partition_cols, observation=obs, **kwargs)
     return int(obs.get["rows"])
 
 
