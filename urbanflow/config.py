@@ -46,7 +46,7 @@ class FeedConfig:
     min_partitions: int | None = None
     trigger_interval: str = "1 minute"
     producer_options: dict[str, str] = field(default_factory=lambda: {
-        # delivery settings of the reference producer, as Kafka sink options
+        # delivery settings of the feed producer (acks, retries, ordering, timeout) as sink options
         "kafka.acks": "all",
         "kafka.retries": "3",
         "kafka.max.in.flight.requests.per.connection": "1",
