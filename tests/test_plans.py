@@ -55,3 +55,31 @@ def test_no_python_udf_in_plans(spark, name):
     txt = plan(QUERIES[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in txt, f"{name} uses {node}"
+
+
+def test_landing_and_routing_are_map_only(spark):
+    from urbanflow.operators.routing import route_messages
+    from urbanflow.plans import feeds
+    from urbanflow.streaming.ingest import landing_frame, parse_records
+    e = table(spark, SF_SMALL, "events")
+    landed = landing_frame(parse_records(feeds.event_records(e), feeds.EVENT_MESSAGE, required=("event_id", "event_ts")))
+    assert "Exchange" not in plan(landed)
+    assert "Exchange" not in plan(route_messages(feeds.event_records(e), "click"))
+
+
+def test_aggregations_are_partial_before_the_shuffle(spark):
+    for name in ("gold_fusion", "hourly_summary", "ingest_report", "column_stats"):
+        txt = plan(QUERIES[name](spark, SF_SMALL))
+        assert "partial_" in txt, name
+
+
+def test_sequence_number_uses_a_range_exchange(spark):
+    txt = plan(QUERIES["message_number"](spark, SF_SMALL))
+    assert "rangepartitioning(user_id" in txt and "windowspecdefinition(user_id#" in txt
+    # the only window runs over the small per-(group, slice) table, never over the rows
+    assert txt.count("Window [") == 1
+
+
+def test_indicators_are_one_codegen_stage(spark):
+    txt = plan(QUERIES["weather_indicators"](spark, SF_SMALL))
+    assert "Exchange" not in txt and "*(1) Project" in txt

@@ -294,6 +294,21 @@ def q_pollutant_unpivot(spark, sf):
     return W.pollutants_long(r.withColumn("pollutants", pm), "pollutants", ["l_orderkey", "l_linenumber"])
 
 
+INDICATOR_COLUMNS = ["dew_point_c", "feels_like_c", "condition_description", "precipitation_type",
+                     "precipitation_intensity", "season", "expected_temp_c", "daylight", "uv_possible",
+                     "expected_pressure_hpa", "air_quality_label", "visibility_plausible"]
+
+
+def q_weather_indicators(spark, sf):
+    """All indicators in one projection over the readings (one pass, one stage)."""
+    r = _readings(spark, sf)
+    out = W.weather_indicators(r, temp="temperature", humidity="humidity", wind="wind", condition="condition",
+                               precipitation="precipitation", month="month", hour="hour", zone="zone",
+                               altitude="altitude", aqi="aqi", visibility="visibility",
+                               core_zone=feeds.CORE_ZONE_FLAG)
+    return out.select("l_orderkey", "l_linenumber", *INDICATOR_COLUMNS)
+
+
 def q_short_id(spark, sf):
     e = table(spark, sf, "events")
     return e.select("event_id", short_id(F.col("event_type"), F.pmod("user_id", F.lit(feeds.KAFKA_PARTITIONS)),
@@ -401,6 +416,7 @@ QUERIES: dict[str, Query] = {
     "visibility_plausible": q_visibility_plausible,
     "condition_title": q_condition_title,
     "pollutant_unpivot": q_pollutant_unpivot,
+    "weather_indicators": q_weather_indicators,
     "short_id": q_short_id,
     "qc_flags": q_qc_flags,
     "qc_split": q_qc_split,

@@ -36,6 +36,7 @@ KAFKA_PARTITIONS = 4           # partition = user_id mod 4 (keyed by user)
 WEATHER_ROLE_TOPIC = "click"   # the topic playing the weather feed
 CORE_ZONE_TOPIC = "click"      # the zone playing the urban core
 CLEAR_SKY_TYPES = ("view", "click")
+CORE_ZONE_FLAG = "R"           # lineitem return flag playing the urban core
 
 
 def _event_json(e: DataFrame, value: Column | None = None, ts: Column | None = None) -> Column:
@@ -131,5 +132,9 @@ def lineitem_readings(lineitem: DataFrame) -> DataFrame:
         F.element_at(conditions, (F.pmod(F.col("l_partkey"), F.lit(len(WEATHER_CONDITIONS))) + F.lit(1)).cast("int")).alias("condition"),
         (F.col("l_tax") * F.lit(400.0)).alias("visibility"),
         (q * F.lit(2.0)).alias("humidity_raw"),
+        F.month("l_shipdate").alias("month"),
+        F.hour("l_shipdate").alias("hour"),
+        F.col("l_returnflag").alias("zone"),
+        (F.col("l_linenumber") * F.lit(20)).alias("altitude"),
         q.alias("l_quantity"), "l_extendedprice",
     )

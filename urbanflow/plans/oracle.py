@@ -31,6 +31,8 @@ WITH r AS (
     {_list(WEATHER_CONDITIONS)}[CAST(l_partkey % 13 AS INTEGER) + 1] AS condition,
     l_tax * 400.0::DOUBLE AS visibility,
     l_quantity * 2.0::DOUBLE AS humidity_raw,
+    CAST(month(l_shipdate) AS INTEGER) AS month, CAST(hour(l_shipdate) AS INTEGER) AS hour,
+    l_returnflag AS zone, l_linenumber * 20 AS altitude,
     l_quantity, l_extendedprice
   FROM lineitem)
 """
@@ -93,6 +95,36 @@ _expected = _r1(f"({_base} + {_diurnal}) + CASE WHEN event_type = 'click' THEN 2
 _empty_re = r"^\s*(null|false|\"\"|\{\s*\}|\[\s*\]|-?0+(\.0*)?([eE][+-]?[0-9]+)?)?\s*$"
 _frac = "epoch_us(ts) % 1000000"
 
+_season_r = SEASON.format(m="month")
+_base_r = f"""CASE {_season_r} WHEN 'winter' THEN 5.0::DOUBLE WHEN 'spring' THEN 12.0::DOUBLE
+  WHEN 'summer' THEN 22.0::DOUBLE ELSE 12.0::DOUBLE END"""
+_diurnal_r = "sin(((hour - 6) * pi()) / 12.0::DOUBLE) * 4.0::DOUBLE"
+_uhi_r = "CASE WHEN zone IS NULL THEN NULL WHEN zone = 'R' THEN 2 ELSE 0 END"
+_vis_lo = """CASE condition WHEN 'fog' THEN 0.1::DOUBLE WHEN 'mist' THEN 1.0::DOUBLE WHEN 'moderate_rain' THEN 3.0::DOUBLE
+    WHEN 'light_rain' THEN 8.0::DOUBLE ELSE 15.0::DOUBLE END"""
+_vis_hi = """CASE condition WHEN 'fog' THEN 1.0::DOUBLE WHEN 'mist' THEN 8.0::DOUBLE WHEN 'moderate_rain' THEN 8.0::DOUBLE
+    WHEN 'light_rain' THEN 15.0::DOUBLE ELSE 35.0::DOUBLE END"""
+_daylight_r = "hour BETWEEN 7 AND 17"
+
+INDICATORS = READINGS + f"""
+SELECT l_orderkey, l_linenumber,
+  {_r1('temperature - (100.0::DOUBLE - humidity) / 5.0::DOUBLE')} AS dew_point_c,
+  {_r1('CASE WHEN wind > 10.0::DOUBLE THEN temperature - wind * 0.15::DOUBLE ELSE temperature END')} AS feels_like_c,
+  array_to_string(list_transform(string_split(replace(condition, '_', ' '), ' '),
+                                 lambda w: upper(w[1]) || lower(w[2:])), ' ') AS condition_description,
+  CASE WHEN condition IS NULL THEN NULL WHEN contains(condition, 'rain') THEN 'rain'
+    WHEN contains(condition, 'snow') THEN 'snow' ELSE 'none' END AS precipitation_type,
+  CASE WHEN precipitation IS NULL THEN NULL WHEN precipitation < 2.5::DOUBLE THEN 'light'
+    WHEN precipitation < 7.5::DOUBLE THEN 'moderate' ELSE 'heavy' END AS precipitation_intensity,
+  {_season_r} AS season,
+  {_r1(f'({_base_r} + {_diurnal_r}) + {_uhi_r}')} AS expected_temp_c,
+  {_daylight_r} AS daylight,
+  ({_daylight_r}) AND condition IN ('clear', 'partly_cloudy') AS uv_possible,
+  {_r1('1013.25::DOUBLE - altitude * 0.12::DOUBLE')} AS expected_pressure_hpa,
+  CASE WHEN aqi BETWEEN 1 AND 5 THEN {_list(AIR_QUALITY_LABELS)}[aqi] END AS air_quality_label,
+  COALESCE(visibility BETWEEN {_vis_lo} AND {_vis_hi}, false) AS visibility_plausible
+FROM r"""
+
 ORACLE: dict[str, str] = {
     "stream_ingest": f"""
 SELECT event_id, user_id, event_type, value, props, ts AS event_ts, {PARTS.format(t='ts')},
@@ -197,6 +229,7 @@ UNION ALL SELECT l_orderkey, l_linenumber, 'NO2', CAST(floor(l_extendedprice / 1
 UNION ALL SELECT l_orderkey, l_linenumber, 'O3', CAST(floor(l_extendedprice / 600.0::DOUBLE) AS INTEGER) FROM lineitem
 UNION ALL SELECT l_orderkey, l_linenumber, 'SO2', l_linenumber * 3 FROM lineitem
 UNION ALL SELECT l_orderkey, l_linenumber, 'CO', CAST(floor(l_extendedprice / 50.0::DOUBLE) AS INTEGER) FROM lineitem""",
+    "weather_indicators": INDICATORS,
     "short_id": """
 SELECT event_id, 'PAR-' || substr(sha256(concat_ws('-', event_type, CAST(user_id % 4 AS VARCHAR),
   CAST(event_id AS VARCHAR))), 1, 8) AS reading_id FROM events""",
