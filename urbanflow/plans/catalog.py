@@ -35,6 +35,7 @@ from ..sources.files import read_delimited, read_delimited_inferred
 from ..sources.spine import gap_filled_hourly_counts
 from ..streaming.ingest import landing_frame, parse_records, start_landing
 from ..streaming.router import read_routed, start_router
+from ..streaming.summary import DEFAULT_WATERMARK, start_summary, streaming_summary
 from . import feeds, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -370,6 +371,15 @@ def q_hourly_summary(spark, sf):
     return windowed_summary(table(spark, sf, "events"), "ts", ["event_type"], "value", "1 hour")
 
 
+def q_hourly_summary_stream(spark, sf):
+    """The same summary as a stateful stream: 1 h windows, 72 h watermark,
+    append mode. Only windows the watermark has closed are emitted."""
+    out, ckpt = scratch_path(spark, "summary_stream", "out"), scratch_path(spark, "summary_stream", "checkpoint")
+    summary = streaming_summary(events_stream(spark, sf), "ts", ["event_type"], "value", "1 hour", DEFAULT_WATERMARK)
+    _run_available_now([start_summary(summary, out, ckpt, {"availableNow": True})])
+    return spark.read.parquet(out)
+
+
 def q_message_number(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts")
     return sequence_number(e, ["user_id"], ["ts", "event_id"], "message_number").select(
@@ -426,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "column_stats": q_column_stats,
     "ingest_report": q_ingest_report,
     "hourly_summary": q_hourly_summary,
+    "hourly_summary_stream": q_hourly_summary_stream,
     "message_number": q_message_number,
     "pm_regression": q_pm_regression,
 }

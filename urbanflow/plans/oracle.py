@@ -268,6 +268,13 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1
   event_type, count(*) AS n, min(value) AS min_value, max(value) AS max_value,
   {_mean('sum(CAST(value AS DECIMAL(38,6)))', 'count(*)')} AS mean_value
 FROM events GROUP BY 1, 2, event_type""",
+    "hourly_summary_stream": f"""
+WITH s AS (
+  SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+    event_type, count(*) AS n, min(value) AS min_value, max(value) AS max_value,
+    {_mean('sum(CAST(value AS DECIMAL(38,6)))', 'count(*)')} AS mean_value
+  FROM events GROUP BY 1, 2, event_type)
+SELECT * FROM s WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 72 HOUR""",
     "message_number": """
 SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS message_number
 FROM events""",
