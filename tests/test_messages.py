@@ -5,7 +5,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from urbanflow.functions.messages import decode_json, drop_empty, is_empty_payload, split_valid
-from urbanflow.schemas import WEATHER_CORE
 from urbanflow.sources.kafka import as_kafka_records
 from urbanflow.streaming.ingest import landing_frame, parse_records, quarantine_frame
 

@@ -5,7 +5,6 @@ import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from urbanflow.functions import weather as W
 from urbanflow.functions.messages import is_empty_payload

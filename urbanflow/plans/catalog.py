@@ -11,8 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
-                               StructType, TimestampNTZType)
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from ..functions import weather as W
 from ..functions.messages import decode_json, drop_empty, flatten
@@ -33,7 +32,7 @@ from ..sinks.kafka import encode_for_kafka
 from ..sinks.parquet import read_partitioned, write_partitioned
 from ..sources.files import read_delimited, read_delimited_inferred
 from ..sources.spine import gap_filled_hourly_counts
-from ..streaming.ingest import landing_frame, parse_records, start_landing
+from ..streaming.ingest import parse_records, start_landing
 from ..streaming.router import read_routed, start_router
 from ..streaming.summary import DEFAULT_WATERMARK, start_summary, streaming_summary
 from . import feeds, jobs
