@@ -21,12 +21,17 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> PipelineMo
 
 
 def coefficients(model: PipelineModel, features: Sequence[str], df: DataFrame, label: str) -> DataFrame:
-    """Coefficient table (term, estimate) plus fit metrics as extra terms."""
+    """Coefficient table (term, estimate) plus training-fit metrics as extra
+    terms (r2 and rmse come from one shared metrics pass of the summary)."""
     lr = model.stages[-1]
-    preds = model.transform(df.dropna(subset=[*features, label]))
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction")
     rows = [("intercept", float(lr.intercept))]
     rows += [(f, float(c)) for f, c in zip(features, lr.coefficients.toArray())]
-    rows += [("r2", float(ev.evaluate(preds, {ev.metricName: "r2"}))),
-             ("rmse", float(ev.evaluate(preds, {ev.metricName: "rmse"})))]
+    if lr.hasSummary:
+        summary = lr.summary
+        r2, rmse = summary.r2, summary.rootMeanSquaredError
+    else:  # a model loaded from storage has no training summary
+        preds = model.transform(df.dropna(subset=[*features, label]))
+        ev = RegressionEvaluator(labelCol=label, predictionCol="prediction")
+        r2, rmse = ev.evaluate(preds, {ev.metricName: "r2"}), ev.evaluate(preds, {ev.metricName: "rmse"})
+    rows += [("r2", float(r2)), ("rmse", float(rmse))]
     return df.sparkSession.createDataFrame(rows, "term string, estimate double")
