@@ -204,7 +204,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--where", default=None)
     ap.add_argument("--full-schema", action="store_true")
     ap.add_argument("datasets", nargs="*", help="name=path for batch-load")
-    a = ap.parse_args(argv)
+    a = ap.parse_intermixed_args(argv)
     spark = build_session(f"urbanflow-{a.job}")
     cfg, paths = feed_config_from_env(), lake_paths_from_env()
     if a.job in ("weather-ingest", "pm-ingest", "router", "live-summary"):
