@@ -145,3 +145,15 @@ def test_live_summary_runs_with_watermark(spark, lake):
     # all readings are within hours of each other: the 72 h watermark has not
     # closed any window yet, so append mode has emitted nothing
     assert spark.read.parquet(f"{lake.gold}/weather_summaries_live").count() == 0
+
+
+def test_report_with_empty_quarantine(spark, tmp_path):
+    good = json.dumps(message(1, STATIONS[0], dt.datetime(2025, 7, 2, 9, 0))).encode()
+    src = os.path.join(str(tmp_path), "_clean")
+    spark.createDataFrame([(b"k", good, "weather", 0, 1, dt.datetime(2025, 7, 2, 9, 1), 0)], KAFKA_RECORD).write.parquet(src)
+    paths = LakePaths(str(tmp_path))
+    for q in jobs.weather_ingest(spark, FeedConfig(), paths, trigger={"availableNow": True},
+                                 source=spark.readStream.schema(KAFKA_RECORD).parquet(src)):
+        q.awaitTermination()
+    r = jobs.weather_ingest_report(spark, paths).collect()[0]
+    assert (r["n_records"], r["n_valid"], r["n_quarantined"]) == (1, 1, 0)

@@ -33,7 +33,7 @@ from ..session import build_session
 from ..sinks.parquet import read_partitioned, write_counted, write_partitioned
 from ..sources.files import discover_datasets, read_delimited, read_delimited_inferred
 from ..sources.kafka import read_kafka_stream
-from ..streaming.ingest import PARTS, parse_records, start_landing
+from ..streaming.ingest import PARTS, QUARANTINE_SCHEMA, parse_records, start_landing
 from ..streaming.router import start_router
 from ..streaming.summary import start_summary, streaming_summary
 
@@ -143,7 +143,7 @@ def weather_ingest_report(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """Landed vs quarantined counts per topic and event-time range."""
     good = read_partitioned(spark, f"{paths.raw}/streaming/weather").select(
         "kafka_topic", "event_ts", F.lit(True).alias("_valid"), F.lit(None).cast("string").alias("_corrupt_record"))
-    bad = read_partitioned(spark, f"{paths.quarantine}/weather").select(
+    bad = read_partitioned(spark, f"{paths.quarantine}/weather", QUARANTINE_SCHEMA).select(
         "kafka_topic", F.lit(None).cast("timestamp_ntz").alias("event_ts"), F.lit(False).alias("_valid"),
         "_corrupt_record")
     return ingest_report(good.unionByName(bad), "kafka_topic", "event_ts", "_valid", "_corrupt_record")

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
+                               TimestampType)
 
 from ..functions.messages import CORRUPT, decode_json, drop_empty, required_present
 from ..functions.timeparts import format_date, parse_event_time, time_parts, utc_wall_clock
@@ -17,6 +18,14 @@ KAFKA_COLS = {"topic": "kafka_topic", "partition": "kafka_partition", "offset":
               "timestamp": "kafka_timestamp"}
 PARTS = ("year", "month", "day", "hour")
 
+# Quarantine rows keep the source coordinates and the raw text: replayable.
+QUARANTINE_SCHEMA = StructType([
+    StructField("kafka_topic", StringType()), StructField("kafka_partition", IntegerType()),
+    StructField("kafka_offset", LongType()), StructField("kafka_timestamp", TimestampType()),
+    StructField("raw_value", StringType()), StructField(CORRUPT, StringType()),
+    StructField("arrival_date", StringType()),
+])
+
 
 def parse_records(records: DataFrame, schema: StructType = WEATHER_CORE, ts_field: str = "timestamp",
                   required: Sequence[str] = ("reading_id", "event_ts"), valid: str = "_valid") -> DataFrame:
