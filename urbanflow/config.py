@@ -38,6 +38,7 @@ class FeedConfig:
     """One config key per feed (topic name, landing path, checkpoint)."""
 
     bootstrap_servers: str = "localhost:9092"
+    # Topic names of the feeds (weather, multi-topic set, PM sensor).
     weather_topic: str = "weather"
     topics: tuple[str, ...] = ("weather", "traffic", "air_quality")
     pm_topic: str = "pm10-data"

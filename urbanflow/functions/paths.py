@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Defaults used when the station object lacks a field.
 UNKNOWN_ZONE = "unknown_zone"
 UNKNOWN_DEPT = "unknown_dept"
+UNKNOWN_STATION = "Station inconnue"
 
 
 def zone_slug(zone: Column) -> Column:

@@ -19,6 +19,7 @@ from ..functions.timeparts import (epoch_seconds_to_time, format_date, format_da
                                    format_time, iso_z, parse_event_time, time_parts,
                                    with_batch_partition_cols)
 from ..functions.ids import short_id
+from ..functions.paths import UNKNOWN_STATION, UNKNOWN_ZONE
 from ..operators import model as M
 from ..operators.enrich import enrich, with_defaults
 from ..operators.gold import fuse
@@ -175,8 +176,8 @@ def q_nested_project(spark, sf):
 
 def q_nested_default(spark, sf):
     d = _customer_docs(spark, sf, sparse=True)
-    return with_defaults(d, {"station.name AS station_name": "Station inconnue",
-                             "station.zone AS zone": "unknown_zone"}).select(
+    return with_defaults(d, {"station.name AS station_name": UNKNOWN_STATION,
+                             "station.zone AS zone": UNKNOWN_ZONE}).select(
         "reading_id", "station_name", "zone", F.col("temperature.actual_c").alias("temp_c"))
 
 
