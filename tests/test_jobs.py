@@ -157,3 +157,12 @@ def test_report_with_empty_quarantine(spark, tmp_path):
         q.awaitTermination()
     r = jobs.weather_ingest_report(spark, paths).collect()[0]
     assert (r["n_records"], r["n_valid"], r["n_quarantined"]) == (1, 1, 0)
+
+
+def test_closed_hours_filter_prunes_partitions(spark, lake):
+    landed = spark.read.parquet(f"{lake.raw}/streaming/weather")
+    closed = landed.filter(jobs.closed_hours(72))
+    assert closed.count() == landed.count()  # 2025 data: every hour is long closed
+    txt = closed._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in txt and "make_timest" in txt.split("PartitionFilters: [")[1].split("]")[0]
+    assert landed.filter(jobs.closed_hours(24 * 365 * 100)).count() == 0

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..config import FeedConfig, LakePaths, feed_config_from_env, lake_paths_from_env
-from ..functions.timeparts import with_batch_partition_cols, truncate_hour
+from ..functions.timeparts import truncate_hour, utc_wall_clock, with_batch_partition_cols
 from ..operators import model as M
 from ..operators.enrich import fill_station_attributes
 from ..sources.dims import stations
@@ -182,12 +182,22 @@ def train_pm(spark: SparkSession, paths: LakePaths, features: Sequence[str] = (
     return M.coefficients(model, list(features), df, "pm10")
 
 
+def closed_hours(lateness_hours: int = 72):
+    """Partition filter selecting event hours that can no longer receive late
+    data: hour start + lateness < now (UTC). Only partition columns are
+    referenced, so the scan prunes every open hour."""
+    hour_start = F.make_timestamp_ntz("year", "month", "day", "hour", F.lit(0), F.lit(0))
+    now_utc = utc_wall_clock(F.current_timestamp())
+    return hour_start + F.make_dt_interval(F.lit(0), F.lit(lateness_hours)) < now_utc
+
+
 def compact(spark: SparkSession, table: str, out: str, partition_cols: Sequence[str] = PARTS,
-            where: str | None = None) -> None:
-    """Rewrite closed partitions of a landed table into few, evenly sized
-    files (AQE rebalance on the partition columns; dynamic overwrite)."""
+            where=None) -> None:
+    """Rewrite (closed) partitions of a landed table into few, evenly sized
+    files (AQE rebalance on the partition columns; dynamic overwrite, so a
+    re-run replaces the same partitions)."""
     df = read_partitioned(spark, table)
-    if where:
+    if where is not None:
         df = df.filter(where)
     write_partitioned(df, out, list(partition_cols))
 
@@ -203,6 +213,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--table", default=None)
     ap.add_argument("--where", default=None)
     ap.add_argument("--full-schema", action="store_true")
+    ap.add_argument("--closed", type=int, default=None, metavar="HOURS",
+                    help="compact only hours older than HOURS of lateness")
     ap.add_argument("datasets", nargs="*", help="name=path for batch-load")
     a = ap.parse_intermixed_args(argv)
     spark = build_session(f"urbanflow-{a.job}")
@@ -229,7 +241,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "train-pm":
         train_pm(spark, paths).show()
     elif a.job == "compact":
-        compact(spark, f"{paths.root}/{a.table}", f"{paths.curated}/{a.table.rsplit('/', 1)[-1]}", where=a.where)
+        where = closed_hours(a.closed) if a.closed is not None else a.where
+        compact(spark, f"{paths.root}/{a.table}", f"{paths.curated}/{a.table.rsplit('/', 1)[-1]}", where=where)
 
 
 if __name__ == "__main__":
