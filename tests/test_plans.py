@@ -83,3 +83,28 @@ def test_sequence_number_uses_a_range_exchange(spark):
 def test_indicators_are_one_codegen_stage(spark):
     txt = plan(QUERIES["weather_indicators"](spark, SF_SMALL))
     assert "Exchange" not in txt and "*(1) Project" in txt
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    """One user holds a third of all events: the sort-merge join's skewed
+    partition is split across tasks (thresholds lowered for local data)."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ev = spark.range(60_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("user_id"),
+            F.col("id").alias("event_id"))
+        users = spark.range(500).select(F.col("id").alias("user_id"), (F.col("id") * 2).alias("attr"))
+        joined = ev.join(users, "user_id", "left")
+        assert len(joined.collect()) == 60_000  # executes this plan (count() would plan anew)
+        final = joined._jdf.queryExecution().executedPlan().toString()
+        assert "isSkewJoin=true" in final or "skew=true" in final
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
