@@ -108,3 +108,23 @@ def test_hot_key_join_is_split_by_aqe(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_rebalanced_write_splits_a_hot_partition(spark, tmp_dir):
+    import os
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(90_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 28 + 2).alias("day"),
+            F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        write_partitioned(df, tmp_dir, ["day"])
+        hot = [f for f in os.listdir(os.path.join(tmp_dir, "day=1")) if f.endswith(".parquet")]
+        assert len(hot) > 1  # the hot day was written by several tasks
+        assert spark.read.parquet(tmp_dir).count() == 90_000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
