@@ -40,18 +40,24 @@ def build_session(app_name: str = "urbanflow", master: str | None = None,
     return spark
 
 
+def configured_root(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir`` of the session, or the context's checkpoint dir."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is the only place intermediate tables and streaming
     checkpoints go. Only when the session names none (tests, a laptop) is a
-    private temporary folder created and registered as the checkpoint dir.
+    private temporary folder created and registered as the context's
+    checkpoint dir (the ``spark.checkpoint.dir`` conf itself cannot change at
+    runtime), so later calls find it again.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = configured_root(spark)
     if not root:
         root = tempfile.mkdtemp(prefix="urbanflow-")
         spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
