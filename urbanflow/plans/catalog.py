@@ -46,10 +46,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table replayed as a file stream (stand-in for the broker)."""
-    schema = table(spark, sf_dir, "events").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", 1000).parquet(sf_dir.rstrip("/")))
+    """The events table replayed as a file stream (stand-in for the broker).
+
+    The table may be one Parquet file (stream its folder, filtered to that
+    file name) or a directory of part files (stream the directory).
+    """
+    static = table(spark, sf_dir, "events")
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    files = static.inputFiles()
+    reader = spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 100_000)
+    if len(files) == 1 and files[0].rstrip("/").endswith("/events.parquet"):
+        return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
+    return reader.parquet(path)
 
 
 def _run_available_now(queries) -> None:
