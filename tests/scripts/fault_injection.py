@@ -54,6 +54,13 @@ def main():
         q.awaitTermination()
     landed = spark.read.parquet(f"{out}/landing")
 
+    # multi-topic router (foreachBatch, persisted micro-batch, two layouts)
+    from urbanflow.streaming.router import read_routed, start_router
+    src2 = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(SF)
+    recs = feeds.event_records(src2.repartition(2, "event_id").mapInPandas(flaky, events.schema))
+    start_router(recs, f"{out}/routed", f"{out}/ckpt_router", "click", {"availableNow": True}).awaitTermination()
+    routed = read_routed(spark, f"{out}/routed")
+
     # batch landing with AQE rebalance
     batch = events.repartition(2, "event_id").mapInPandas(flaky, events.schema).withColumn("day", F.dayofmonth("ts"))
     write_partitioned(batch, f"{out}/batch", ["day"])
@@ -68,6 +75,7 @@ def main():
         "input": n,
         "landed": landed.count(), "landed_distinct": landed.select("event_id").distinct().count(),
         "batch": batched.count(), "batch_distinct": batched.select("event_id").distinct().count(),
+        "routed": routed.count(), "routed_distinct": routed.select("offset").distinct().count(),
         "seq_rows": seq_rows["n"], "seq_distinct": seq_rows["d"],
         "injected_failures": len(os.listdir(MARKERS)),
     }))
