@@ -42,7 +42,13 @@ def build_session(app_name: str = "urbanflow", master: str | None = None,
 
 def configured_root(spark: SparkSession) -> str | None:
     """``spark.checkpoint.dir`` of the session, or the context's checkpoint dir."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # a Spark Connect session has no SparkContext
+        return None
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -57,7 +63,10 @@ def shared_root(spark: SparkSession) -> str:
     root = configured_root(spark)
     if not root:
         root = tempfile.mkdtemp(prefix="urbanflow-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # Spark Connect: nothing to register
+            pass
     return root.rstrip("/")
 
 
