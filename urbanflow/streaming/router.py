@@ -37,11 +37,12 @@ def write_routed_batch(records: DataFrame, batch_id: int, out_root: str, weather
     ``foreachBatch`` is at-least-once (and no per-partition rename pass is
     needed at commit, unlike dynamic partition overwrite).
 
-    Writes are map-only: each source task writes its own rows, so a hot zone
-    or hour is spread over all tasks of the micro-batch (whose size
-    ``maxOffsetsPerTrigger`` bounds) and nothing is shuffled. The cost is at
-    most one file per task and directory per batch; a compaction pass merges
-    them once a date is closed.
+    Each layout is written through a REBALANCE on its directory columns.
+    AQE is active for these batch writes inside ``foreachBatch``: it sizes the
+    output to about one file per directory and batch, and splits a hot zone or
+    date over several writers. A map-only write would leave one small file per
+    source task and directory (thousands per batch on a large topic). The
+    shuffle is bounded by the micro-batch size (``maxOffsetsPerTrigger``).
     """
     routed = (route_messages(drop_empty(records), weather_topic)
               .withColumn("payload", F.col("value").cast("string"))
@@ -49,14 +50,14 @@ def write_routed_batch(records: DataFrame, batch_id: int, out_root: str, weather
     try:
         weather = routed.filter(F.col("layout") == WEATHER_LAYOUT)
         write_partitioned(weather.select("topic", "hour", "message_id", "partition", "offset", "object_path",
-                                         "payload", *WEATHER_PARTS).sortWithinPartitions(*WEATHER_PARTS, "hour"),
+                                         "payload", *WEATHER_PARTS),
                           f"{out_root}/{WEATHER_LAYOUT}/batch_id={batch_id}", WEATHER_PARTS, fmt="json",
-                          overwrite="static", rebalance=False)
+                          overwrite="static")
         generic = routed.filter(F.col("layout") == GENERIC_LAYOUT)
         write_partitioned(generic.select("message_id", "partition", "offset", "object_path", "payload",
                                          *GENERIC_PARTS),
                           f"{out_root}/{GENERIC_LAYOUT}/batch_id={batch_id}", GENERIC_PARTS, fmt="json",
-                          overwrite="static", rebalance=False)
+                          overwrite="static")
     finally:
         routed.unpersist()
 
