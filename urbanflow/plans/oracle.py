@@ -125,6 +125,30 @@ SELECT l_orderkey, l_linenumber,
   COALESCE(visibility BETWEEN {_vis_lo} AND {_vis_hi}, false) AS visibility_plausible
 FROM r"""
 
+# OLS with intercept in closed form: centred cross-products, Cramer's rule.
+REGRESSION = f"""
+WITH l AS (SELECT l_quantity AS q, l_discount AS d, l_tax AS t, l_extendedprice AS y FROM lineitem
+           WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL AND l_tax IS NOT NULL
+             AND l_extendedprice IS NOT NULL),
+m AS (SELECT avg(q) AS mq, avg(d) AS md, avg(t) AS mt, avg(y) AS my, count(*) AS n FROM l),
+c AS (SELECT sum((q-mq)*(q-mq)) AS a11, sum((q-mq)*(d-md)) AS a12, sum((q-mq)*(t-mt)) AS a13,
+             sum((d-md)*(d-md)) AS a22, sum((d-md)*(t-mt)) AS a23, sum((t-mt)*(t-mt)) AS a33,
+             sum((q-mq)*(y-my)) AS b1, sum((d-md)*(y-my)) AS b2, sum((t-mt)*(y-my)) AS b3,
+             sum((y-my)*(y-my)) AS syy, any_value(mq) AS mq, any_value(md) AS md, any_value(mt) AS mt,
+             any_value(my) AS my, any_value(n) AS n FROM l, m),
+s AS (SELECT *, a11*(a22*a33-a23*a23) - a12*(a12*a33-a23*a13) + a13*(a12*a23-a22*a13) AS det FROM c),
+x AS (SELECT *,
+  (b1*(a22*a33-a23*a23) - a12*(b2*a33-a23*b3) + a13*(b2*a23-a22*b3)) / det AS c1,
+  (a11*(b2*a33-a23*b3) - b1*(a12*a33-a23*a13) + a13*(a12*b3-b2*a13)) / det AS c2,
+  (a11*(a22*b3-b2*a23) - a12*(a12*b3-b2*a13) + b1*(a12*a23-a22*a13)) / det AS c3 FROM s),
+f AS (SELECT *, my - c1*mq - c2*md - c3*mt AS c0, syy - (c1*b1 + c2*b2 + c3*b3) AS sse FROM x)
+SELECT 'intercept' AS term, {_r1('c0', 3)} AS estimate FROM f
+UNION ALL SELECT 'l_quantity', {_r1('c1', 3)} FROM f
+UNION ALL SELECT 'l_discount', {_r1('c2', 3)} FROM f
+UNION ALL SELECT 'l_tax', {_r1('c3', 3)} FROM f
+UNION ALL SELECT 'r2', {_r1('1 - sse / syy', 9)} FROM f
+UNION ALL SELECT 'rmse', {_r1('sqrt(sse / n)', 3)} FROM f"""
+
 ORACLE: dict[str, str] = {
     "stream_ingest": f"""
 SELECT event_id, user_id, event_type, value, props, ts AS event_ts, {PARTS.format(t='ts')},
@@ -275,6 +299,7 @@ WITH s AS (
     {_mean('sum(CAST(value AS DECIMAL(38,6)))', 'count(*)')} AS mean_value
   FROM events GROUP BY 1, 2, event_type)
 SELECT * FROM s WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 72 HOUR""",
+    "pm_regression": REGRESSION,
     "message_number": """
 SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS message_number
 FROM events""",
