@@ -62,3 +62,15 @@ def test_folder_discovery_and_counted_landing(spark, tmp_dir):
         ["year", "month", "day"], name="csv_test")
     assert n == len(LINES)
     assert discover_datasets(spark, os.path.join(tmp_dir, "missing")) == []
+
+
+def test_uniform_folder_single_scan(spark, tmp_dir):
+    from urbanflow.plans.jobs import folder_ingest_uniform
+    src = os.path.join(tmp_dir, "drops")
+    write_fixture(src, "trafic_2021.csv")
+    write_fixture(src, "trafic_2022.csv")
+    report = {r["dataset"]: r["n_rows"] for r in
+              folder_ingest_uniform(spark, src, os.path.join(tmp_dir, "out"), TRAFIC, sep=";").collect()}
+    assert report == {"trafic_2021": len(LINES), "trafic_2022": len(LINES)}
+    landed = spark.read.parquet(os.path.join(tmp_dir, "out"))
+    assert landed.filter(F.col("dataset") == "trafic_2022").select("Station").distinct().count() == len(LINES)

@@ -123,6 +123,17 @@ def q_csv_folder_ingest(spark, sf):
     return report.select("dataset", "n_rows", "n_columns")
 
 
+def q_csv_folder_uniform(spark, sf):
+    """Same-schema datasets (lineitem split by return flag into three CSV
+    drops) ingested by one scan, named from the file path."""
+    folder = scratch_path(spark, "csv_uniform", "in")
+    li = table(spark, sf, "lineitem")
+    flags = [r[0] for r in li.select("l_returnflag").distinct().collect()]  # a handful of drop names
+    for flag in flags:
+        li.filter(F.col("l_returnflag") == flag).write.option("header", True).csv(f"{folder}/lineitem_{flag}.csv")
+    return jobs.folder_ingest_uniform(spark, folder, scratch_path(spark, "csv_uniform", "out"), li.schema)
+
+
 def q_pm_parse(spark, sf):
     recs = feeds.pm_records(table(spark, sf, "events"))
     parsed = flatten(decode_json(recs, PM), "data")
@@ -414,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "csv_scan": q_csv_scan,
     "csv_scan_inferred": q_csv_scan_inferred,
     "csv_folder_ingest": q_csv_folder_ingest,
+    "csv_folder_uniform": q_csv_folder_uniform,
     "pm_parse": q_pm_parse,
     "hourly_spine": q_hourly_spine,
     "kafka_encode": q_kafka_encode,

@@ -14,6 +14,7 @@ streaming job keeps its checkpoint under ``<lake>/_checkpoints/<job>``.
 from __future__ import annotations
 
 import argparse
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -131,6 +132,25 @@ def folder_ingest(spark: SparkSession, folder: str, out_root: str, sep: str = ",
     return spark.createDataFrame(rows, "dataset string, n_rows long, n_columns int, status string")
 
 
+def folder_ingest_uniform(spark: SparkSession, folder: str, out: str, schema: StructType,
+                          sep: str = ",", suffix: str = ".csv") -> DataFrame:
+    """Every ``*.csv`` dataset of ``folder`` sharing one schema, in ONE scan.
+
+    The dataset name comes from each row's ``_metadata.file_path``; the whole
+    folder lands as one Parquet table partitioned by ``dataset`` (AQE
+    rebalance: a dataset holding most rows is split over many writers). One
+    job instead of one per file; the per-dataset report is read back from the
+    landed table (only the partition column is needed).
+    """
+    base = re.escape(folder.rstrip("/").rsplit("/", 1)[-1])
+    name = F.regexp_extract(F.col("_metadata.file_path"), rf"/{base}/([^/]+?){re.escape(suffix)}(?:/|$)", 1)
+    df = (spark.read.schema(schema).option("header", True).option("sep", sep)
+          .csv(f"{folder.rstrip('/')}/*{suffix}")
+          .withColumn("dataset", name).withColumn("processed_at", F.current_timestamp()))
+    write_partitioned(df, out, ["dataset"])
+    return (read_partitioned(spark, out).groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def weather_summary(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """Hourly per-zone temperature summary (batch; complete, late data included)."""
     w = read_partitioned(spark, f"{paths.raw}/streaming/weather")

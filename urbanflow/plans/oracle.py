@@ -164,6 +164,8 @@ SELECT 'region' AS dataset, count(*) AS n_rows, 3 AS n_columns FROM region
 UNION ALL SELECT 'nation', count(*), 4 FROM nation
 UNION ALL SELECT 'supplier', count(*), 5 FROM supplier
 UNION ALL SELECT 'customer', count(*), 6 FROM customer""",
+    "csv_folder_uniform": """
+SELECT 'lineitem_' || l_returnflag AS dataset, count(*) AS n_rows FROM lineitem GROUP BY l_returnflag""",
     "pm_parse": """
 SELECT event_type AS station, ts AS event_ts, CAST(floor(value) AS INTEGER) AS pm10,
   CAST(floor(value / 2.0::DOUBLE) AS INTEGER) AS pm25, event_id AS counter FROM events""",
