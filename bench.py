@@ -19,6 +19,15 @@ from urbanflow.plans.catalog import QUERIES  # noqa: E402
 from urbanflow.session import build_session  # noqa: E402
 
 
+def _sf_value(sf_dir: str):
+    """Scale factor from a ``.../sf0.1`` directory name (number when it parses)."""
+    text = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        return float(text)
+    except ValueError:
+        return text
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -71,7 +80,7 @@ def main() -> None:
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
-        "sf": os.path.basename(sf_dir).replace("sf", ""),
+        "sf": _sf_value(sf_dir),
         "cpus": int(cpus),
         "reps": reps,
         "stream_ingest_rows_per_sec": stream_rate,
