@@ -33,3 +33,10 @@ def test_hot_group_is_split_across_tasks(spark):
     assert ranged.filter(F.col("g") == 0).select("p").distinct().count() > 1
     hot = got.filter(F.col("g") == 0).agg(F.min("seq"), F.max("seq"), F.countDistinct("seq")).collect()[0]
     assert tuple(hot) == (0, n // 3 - 1, n // 3)
+
+
+def test_plain_window_variant_agrees(spark):
+    e = table(spark, SF_SMALL, "events")
+    safe = sequence_number(e, ["user_id"], ["ts", "event_id"], "seq")
+    plain = sequence_number(e, ["user_id"], ["ts", "event_id"], "seq", skew_safe=False)
+    assert safe.select("event_id", "seq").exceptAll(plain.select("event_id", "seq")).count() == 0

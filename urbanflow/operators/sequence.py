@@ -16,11 +16,17 @@ from pyspark.sql import functions as F
 
 
 def sequence_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
-                    name: str = "seq", num_partitions: int | None = None) -> DataFrame:
+                    name: str = "seq", num_partitions: int | None = None,
+                    skew_safe: bool = True) -> DataFrame:
     """0-based position of each row within its ``partition_by`` group.
 
     ``order_by`` should end with a unique column for a deterministic result.
+    ``skew_safe=False`` is the plain window (one shuffle, but a whole group in
+    one task): only for groups known to be bounded.
     """
+    if not skew_safe:
+        w = Window.partitionBy(*partition_by).orderBy(*order_by)
+        return df.withColumn(name, F.row_number().over(w) - F.lit(1))
     conf = df.sparkSession.conf
     # An explicit count: AQE never coalesces a REPARTITION_BY_NUM exchange,
     # so every reader of it sees the same slice ids.
