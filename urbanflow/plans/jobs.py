@@ -30,7 +30,7 @@ from ..operators import model as M
 from ..operators.enrich import fill_station_attributes
 from ..sources.dims import stations
 from ..operators.reports import exact_mean, exact_sum, ingest_report, windowed_summary
-from ..schemas import PM, TRAFIC, WEATHER_CORE, WEATHER_FULL
+from ..schemas import KNOWN_DATASETS, PM, WEATHER_CORE, WEATHER_FULL
 from ..session import build_session
 from ..sinks.parquet import read_partitioned, write_counted, write_partitioned
 from ..sources.files import discover_datasets, read_delimited, read_delimited_inferred
@@ -262,7 +262,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         spark.streams.awaitAnyTermination()
         return
     if a.job == "batch-load":
-        ds = [BatchDataset(n, p, TRAFIC if n.startswith("trafic") else None)
+        ds = [BatchDataset(n, p, KNOWN_DATASETS.get(n))
               for n, p in (d.split("=", 1) for d in a.datasets)]
         batch_load(spark, ds, paths, a.date).show(truncate=False)
     elif a.job == "folder-ingest":

@@ -138,6 +138,10 @@ KAFKA_RECORD = _s(
 )
 
 
+# Datasets with a known schema for batch loads; any other dataset is inferred.
+KNOWN_DATASETS = {"trafic": TRAFIC}
+
+
 def with_corrupt_column(schema: StructType, name: str = "_corrupt_record") -> StructType:
     """Schema plus the PERMISSIVE-mode corrupt-record string column."""
     if name in schema.fieldNames():
