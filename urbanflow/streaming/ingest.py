@@ -13,6 +13,7 @@ from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, S
 from ..functions.messages import CORRUPT, decode_json, drop_empty, required_present
 from ..functions.timeparts import format_date, parse_event_time, time_parts, utc_wall_clock
 from ..schemas import WEATHER_CORE
+from ..sinks.parquet import write_partitioned
 
 KAFKA_COLS = {"topic": "kafka_topic", "partition": "kafka_partition", "offset": "kafka_offset",
               "timestamp": "kafka_timestamp"}
@@ -58,20 +59,43 @@ def quarantine_frame(parsed: DataFrame, valid: str = "_valid") -> DataFrame:
                     format_date(utc_wall_clock("kafka_timestamp")).alias("arrival_date")))
 
 
+def write_landing_batch(batch: DataFrame, batch_id: int, path: str, partition_cols: Sequence[str]) -> None:
+    """One micro-batch of the rebalanced landing: ``path/batch_id=<n>/<parts>``
+    written with a static overwrite of that batch's directory (a replayed
+    batch replaces its own files: idempotent), through an AQE REBALANCE on
+    the partition columns (about one file per partition and batch, hot
+    partitions split)."""
+    write_partitioned(batch, f"{path}/batch_id={batch_id}", list(partition_cols), overwrite="static")
+
+
 def start_landing(parsed: DataFrame, path: str, checkpoint: str, *,
                   partition_cols: Sequence[str] = PARTS, trigger: dict | None = None,
                   quarantine_path: str | None = None, query_name: str | None = None,
-                  valid: str = "_valid") -> list[StreamingQuery]:
+                  valid: str = "_valid", mode: str = "file_sink") -> list[StreamingQuery]:
     """Start the landing query (and a quarantine query on the same source).
 
-    The file sink commits through ``_spark_metadata`` + the checkpoint, so a
-    restarted or retried micro-batch never duplicates files. Each query has
-    its own checkpoint directory.
+    ``mode="file_sink"`` (default): map-only, exactly-once file sink that
+    commits through ``_spark_metadata`` + the checkpoint, so a restarted or
+    retried micro-batch never duplicates files; one file per task and
+    partition per batch.
+
+    ``mode="rebalanced"``: for high fan-out streams and backfills, each
+    micro-batch is written by ``write_landing_batch`` (one bounded shuffle,
+    far fewer files); exactly-once by idempotent per-batch overwrite.
+
+    Each query has its own checkpoint directory.
     """
     trig = trigger or {"processingTime": "1 minute"}
-    writer = (landing_frame(parsed, valid).writeStream.format("parquet")
-              .option("path", path).option("checkpointLocation", f"{checkpoint}/landing")
-              .partitionBy(*partition_cols).outputMode("append").trigger(**trig))
+    if mode == "rebalanced":
+        writer = (landing_frame(parsed, valid).writeStream
+                  .foreachBatch(lambda df, bid: write_landing_batch(df, bid, path, partition_cols))
+                  .option("checkpointLocation", f"{checkpoint}/landing").trigger(**trig))
+    elif mode == "file_sink":
+        writer = (landing_frame(parsed, valid).writeStream.format("parquet")
+                  .option("path", path).option("checkpointLocation", f"{checkpoint}/landing")
+                  .partitionBy(*partition_cols).outputMode("append").trigger(**trig))
+    else:
+        raise ValueError(f"unknown landing mode {mode!r}")
     if query_name:
         writer = writer.queryName(query_name)
     queries = [writer.start()]
