@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import linededup, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +17,39 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shuffle_into_shards(table(spark, sf_dir, "documents"), shards=8)
+    return placed.select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.drop_common_lines(table(spark, sf_dir, "documents"), min_documents=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op6_sharding": op6_sharding,
+    "op9_line_dedup": op9_line_dedup,
 }
 
-#: none of these is within reach of SQL alone, unless listed
-ORACLE: dict[str, str] = {}
+_SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+
+OP9_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line,
+                 generate_subscripts(string_split(text, chr(10)), 1) AS pos, text FROM docs),
+keyed AS (SELECT *, translate(trim(line, {_SPACES}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM lines),
+common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT row) >= 10)
+SELECT k.doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(CASE WHEN c.key IS NULL THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256
+FROM keyed k LEFT JOIN common c ON k.key = c.key
+GROUP BY k.row, k.doc_id
+"""
+
+#: the others are tested against brute force (tests/llm)
+ORACLE: dict[str, str] = {"op9_line_dedup": OP9_SQL}
