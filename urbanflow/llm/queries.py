@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, sharding, simhash
+from . import linededup, mixing, quality, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,15 +25,29 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.mix(table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), epochs=3, carry=["doc_id"])
+            .select("doc_id", "size", "source_size", "target", "taken"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linededup.drop_common_lines(table(spark, sf_dir, "documents"), min_documents=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+    return (quality.quality(table(spark, sf_dir, "documents"), labels, carry=["doc_id"])
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                    "kept", "score"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op6_sharding": op6_sharding,
+    "op7_mixing": op7_mixing,
     "op9_line_dedup": op9_line_dedup,
+    "op10_quality": op10_quality,
 }
 
 _SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
