@@ -2,21 +2,49 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, quality, sharding, simhash
+from . import linededup, mixing, packing, quality, secrets, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The packing tokenizer: $URBANFLOW_TOKENIZER, or the installed public vocabulary."""
+    import public_tokenizers
+
+    return os.environ.get("URBANFLOW_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4, carry=["doc_id"])
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secrets(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id", *[number(k) for k in secrets.KINDS],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shuffle_into_shards(table(spark, sf_dir, "documents"), shards=8)
     return placed.select(
@@ -44,6 +72,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_secrets": op2_secrets,
+    "op4_packing": op4_packing,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
     "op9_line_dedup": op9_line_dedup,
