@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, packing, quality, secrets, sharding, simhash
+from . import embeddings, langid, linededup, mixing, packing, quality, secrets, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +41,22 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93, carry=["vec_id"])
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = langid.held_out(F.col("doc_id"))
+    model = langid.train(docs.where(~out))
+    return langid.identify(docs, model, carry=["doc_id"]).withColumn(
+        "held_out", langid.held_out(F.col("doc_id"))).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shuffle_into_shards(table(spark, sf_dir, "documents"), shards=8)
     return placed.select(
@@ -73,7 +85,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_secrets": op2_secrets,
+    "op3_embeddings": op3_embeddings,
     "op4_packing": op4_packing,
+    "op5_language": op5_language,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
     "op9_line_dedup": op9_line_dedup,
