@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, langid, linededup, mixing, packing, quality, secrets, sharding, simhash
+from . import embeddings, langid, linededup, lmscore, mixing, packing, quality, secrets, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (lmscore.score(table(spark, sf_dir, "documents"), carry=["doc_id"])
+            .select("doc_id", "n_tokens", "log_prob", "mean_log_prob"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linededup.drop_common_lines(table(spark, sf_dir, "documents"), min_documents=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -90,6 +95,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
+    "op8_lm_score": op8_lm_score,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
 }
