@@ -121,7 +121,8 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     ship(docs.sparkSession)
     bitmaps = keep_bitmaps(docs, id_col, text_col, min_documents)
-    rows = docs.select(packed(docs), *_document(F.col(id_col), F.col(text_col)),
+    others = [c for c in docs.columns if c.lower() != text_col.lower()]
+    rows = docs.select(packed(docs, others), *_document(F.col(id_col), F.col(text_col)),
                        F.col(text_col).cast("binary").alias("raw"))
     done = rows.join(bitmaps, ["d1", "d2"], "left").select("__in", F.pandas_udf(_apply, "text string, n_lines long, n_dropped long")("raw", "bitmap")
                          .alias("done"))
