@@ -40,3 +40,20 @@ def test_plain_window_variant_agrees(spark):
     safe = sequence_number(e, ["user_id"], ["ts", "event_id"], "seq")
     plain = sequence_number(e, ["user_id"], ["ts", "event_id"], "seq", skew_safe=False)
     assert safe.select("event_id", "seq").exceptAll(plain.select("event_id", "seq")).count() == 0
+
+
+def test_wide_input_without_exchange_reuse(spark):
+    """Extra columns, more rows than the range bounds sample, a key with a third of them, no reuse."""
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        n = 200_000
+        df = spark.range(n, numPartitions=16).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 997).alias("g"),
+            F.xxhash64("id").alias("o"), F.col("id").cast("string").alias("payload"), F.col("id").alias("_pos"))
+        got = sequence_number(df, ["g"], ["o"], "seq", num_partitions=16)
+        assert got.columns == ["g", "o", "payload", "_pos", "seq"] and got.count() == n
+        want = _reference(df, ["g"], ["o"]).select("payload", "want")
+        assert got.join(want, "payload").where("seq = want").count() == n
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)

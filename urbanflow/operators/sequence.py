@@ -2,9 +2,11 @@
 
 ``row_number() OVER (PARTITION BY g ORDER BY o) - 1`` puts every row of a
 group into one task. Here the rows are range-partitioned on (g, o), so a hot
-group is spread over many tasks; each task numbers its slice locally and a
-small per-(group, task) table of slice sizes supplies the offset of every
-slice. Result equals the window function's.
+group is spread over many tasks. The bounds of a range exchange are sampled, so
+two evaluations of it may cut differently: the partitioned rows are written
+once, with their slice and position as columns, and both the slice sizes and
+the numbering read that table. Equals the window function, whatever other
+columns the input has.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def sequence_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                     name: str = "seq", num_partitions: int | None = None,
@@ -27,25 +31,29 @@ def sequence_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
     if not skew_safe:
         w = Window.partitionBy(*partition_by).orderBy(*order_by)
         return df.withColumn(name, F.row_number().over(w) - F.lit(1))
-    conf = df.sparkSession.conf
-    # An explicit count: AQE never coalesces a REPARTITION_BY_NUM exchange,
-    # so every reader of it sees the same slice ids.
-    n = num_partitions or int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-                              or conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*partition_by, *order_by]
+    slice_, pos, row = (_unused(df, c) for c in ("_slice", "_pos", "_row"))
     # range exchange: sampled bounds split a hot group across partitions
-    ranged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumns({"_slice": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()}))
+    path = scratch_path(spark, "sequence")
+    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+       .withColumns({slice_: F.spark_partition_id(), pos: F.monotonically_increasing_id()})
+       .select(F.struct("*").alias(row)).write.parquet(path))
+    ranged = spark.read.parquet(path).select(f"{row}.*")
     # one row per (group, slice): at most #groups + #partitions rows
-    slices = (ranged.groupBy(*partition_by, "_slice")
-              .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_size")))
-    before = Window.partitionBy(*partition_by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    slices = ranged.groupBy(*partition_by, slice_).agg(F.min(pos).alias("first"), F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy(*partition_by).orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("size").over(before), F.lit(0)) - F.col("first")
+    slices = slices.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(partition_by)],
+                           F.col(slice_).alias("_ks"), shift.alias("_shift"))
     # null-safe on the group keys: a null key is a group like any other
-    r, s = ranged.alias("_r"), slices.alias("_s")
-    cond = [F.col(f"_r.{k}").eqNullSafe(F.col(f"_s.{k}")) for k in partition_by]
-    cond.append(F.col("_r._slice") == F.col("_s._slice"))
-    return (r.join(s, cond)
-            .select("_r.*", (F.col("_r._pos") - F.col("_s._first") + F.col("_s._offset")).alias(name))
-            .drop("_slice", "_pos"))
+    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(partition_by)]
+    numbered = ranged.join(slices, [*cond, F.col(slice_) == F.col("_ks")], "left")
+    return numbered.select(*[F.col(c) for c in df.columns if c != name], (F.col(pos) + F.col("_shift")).alias(name))
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name = "_" + name
+    return name
