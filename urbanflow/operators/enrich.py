@@ -1,4 +1,4 @@
-"""Dimension enrichment with a size-checked broadcast."""
+"""Dimension enrichment; the planner picks the join strategy from the sizes it knows and AQE measures."""
 
 from __future__ import annotations
 
@@ -7,24 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only below this many rows (checked, not assumed).
-DEFAULT_BROADCAST_ROWS = 100_000
 
-
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows. Scans at most limit+1 rows."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged
-    (the planner then shuffles both sides; AQE can still switch strategy)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column, how: str = "left",
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return df.join(bounded_broadcast(dim, max_broadcast_rows), on, how)
+def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column, how: str = "left") -> DataFrame:
+    """Join a dimension. No hint and no counting job: ``autoBroadcastJoinThreshold`` decides by bytes, at plan
+    time and again at run time; a dimension beyond it is joined by shuffle, with skewed keys split."""
+    return df.join(dim, on, how)
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
@@ -38,17 +25,17 @@ def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     return df.withColumns(cols)
 
 
-def fill_station_attributes(df: DataFrame, stations: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
+def fill_station_attributes(df: DataFrame, stations: DataFrame) -> DataFrame:
     """Fill missing station attributes (coordinates, department, zone,
     altitude) from the station registry, looked up by ``station.name``.
 
-    A left join against the size-checked broadcast registry: works on a
+    A left join against the registry (37 fixed rows): works on a
     stream (stream-static join) and never drops a reading, known or not.
     """
     dim = stations.select(F.col("name").alias("_st_name"), F.col("lat").alias("_st_lat"),
                           F.col("lon").alias("_st_lon"), F.col("department").alias("_st_dept"),
                           F.col("zone").alias("_st_zone"), F.col("altitude").alias("_st_alt"))
-    j = df.join(bounded_broadcast(dim, max_broadcast_rows), F.col("station.name") == F.col("_st_name"), "left")
+    j = df.join(dim, F.col("station.name") == F.col("_st_name"), "left")
     st = F.col("station")
     coords = F.struct(F.coalesce(st["coordinates"]["latitude"], F.col("_st_lat")).alias("latitude"),
                       F.coalesce(st["coordinates"]["longitude"], F.col("_st_lon")).alias("longitude"))

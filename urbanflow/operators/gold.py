@@ -17,8 +17,8 @@ def fuse(base: DataFrame, facts: DataFrame, base_key: str, fact_key: str,
 
     Facts are reduced to one row per key before the join (partial
     aggregation happens map-side, so a hot key ships one partial row per
-    task), which removes the fan-out of joining raw facts. Dimensions go
-    through a size-checked broadcast.
+    task), which removes the fan-out of joining raw facts. Dimensions are
+    joined as the planner sees fit.
     """
     agg = facts.groupBy(F.col(fact_key).alias(base_key)).agg(*[c.alias(n) for n, c in measures.items()])
     out = base.join(agg, base_key, "left")
