@@ -56,9 +56,12 @@ def _c(col: Column | str) -> Column:
 
 
 def round_half_up(x: Column | str, digits: int = 1) -> Column:
-    """floor(x * 10^d + 0.5) / 10^d: one rounding rule on every engine."""
+    """floor(x * 10^d + 0.5) / 10^d: one rounding rule on every engine. NaN stays NaN, and a value whose
+    scaled form is beyond 2^53 (it has no such digit) stays as it is."""
     scale = float(10 ** digits)
-    return F.floor(_c(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    v = _c(x).cast("double")
+    whole = F.abs(v) * F.lit(scale) < F.lit(float(2 ** 53))  # false for NaN, which orders above all
+    return F.when(whole, F.floor(v * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(v)
 
 
 def season(month: Column | str) -> Column:
@@ -194,7 +197,8 @@ def weather_indicators(df: DataFrame, *, temp: str, humidity: str, wind: str, co
                        precipitation: str | None = None, month: str | None = None,
                        hour: str | None = None, zone: str | None = None,
                        altitude: str | None = None, aqi: str | None = None,
-                       visibility: str | None = None, core_zone: str = CORE_ZONE) -> DataFrame:
+                       visibility: str | None = None, gust: str | None = None,
+                       core_zone: str = CORE_ZONE) -> DataFrame:
     """All derived indicators in a single projection (one ``withColumns``)."""
     cols: dict[str, Column] = {
         "dew_point_c": dew_point(temp, humidity),
@@ -202,6 +206,8 @@ def weather_indicators(df: DataFrame, *, temp: str, humidity: str, wind: str, co
         "condition_description": condition_description(condition),
         "precipitation_type": precipitation_type(condition),
     }
+    if gust:
+        cols["gust_kmh"] = gust_or_wind(gust, wind)
     if precipitation:
         cols["precipitation_intensity"] = precipitation_intensity(precipitation)
     if month:

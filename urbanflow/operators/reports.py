@@ -7,21 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.weather import round_half_up
+# Sums of doubles depend on the order of addition. Values that a decimal of this type holds exactly (up to
+# 12 decimals) are summed as decimals, so the result is the same on every run; if a group has any other
+# value (NaN, infinite, finer or larger), that group's sum and mean are the plain double ones. NaN counts as
+# a value: its group's sum and mean are NaN. Nulls do not count.
+EXACT_TYPE = "decimal(38,12)"
 
-# Exact sums go through DECIMAL so results do not depend on addition order.
-EXACT_SUM_TYPE = "decimal(38,6)"
-MEAN_DIGITS = 6
+
+def _exact(col: Column | str) -> tuple[Column, Column, Column]:
+    """(value, exact decimal sum or null, whether the sum stands for all values)."""
+    v = (F.col(col) if isinstance(col, str) else col).cast("double")
+    d = v.try_cast(EXACT_TYPE)
+    fits = d.cast("double") == v
+    total = F.try_sum(F.when(fits, d)).cast("double")
+    return v, total, F.count(v) == F.count(F.when(fits, F.lit(1)))
 
 
 def exact_sum(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(EXACT_SUM_TYPE))
+    """Sum as double; null if there is no value."""
+    v, total, whole = _exact(col)
+    return F.coalesce(F.when(whole, total), F.sum(v))
 
 
-def exact_mean(sum_col: Column, count_col: Column) -> Column:
-    """sum/count from an exact sum, rounded half-up to MEAN_DIGITS."""
-    return round_half_up(sum_col.cast("double") / count_col.cast("double"), MEAN_DIGITS)
+def exact_mean(col: Column | str) -> Column:
+    """Mean of the non-null values; null if there is none."""
+    v, total, whole = _exact(col)
+    return F.coalesce(F.when(whole, total / F.count(v)), F.avg(v))
 
 
 def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
@@ -49,25 +60,23 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in columns:
         aggs += [F.count(c).alias(f"{c}__nn"), F.min(F.col(c).cast("double")).alias(f"{c}__min"),
-                 F.max(F.col(c).cast("double")).alias(f"{c}__max"), exact_sum(c).alias(f"{c}__sum")]
+                 F.max(F.col(c).cast("double")).alias(f"{c}__max"), exact_mean(c).alias(f"{c}__mean")]
     wide = df.agg(*aggs)
-    stack_args = ", ".join(f"'{c}', `{c}__nn`, `{c}__min`, `{c}__max`, `{c}__sum`" for c in columns)
-    long = wide.selectExpr("_n", f"stack({len(columns)}, {stack_args}) AS (column_name, nn, min_value, max_value, sum_value)")
+    stack_args = ", ".join(f"'{c}', `{c}__nn`, `{c}__min`, `{c}__max`, `{c}__mean`" for c in columns)
+    long = wide.selectExpr("_n", f"stack({len(columns)}, {stack_args}) AS (column_name, nn, min_value, max_value, mean_value)")
     return long.select(
         "column_name",
         F.col("_n").alias("n_rows"),
         (F.col("_n") - F.col("nn")).alias("n_null"),
-        "min_value", "max_value",
-        exact_mean(F.col("sum_value"), F.col("nn")).alias("mean_value"),
+        "min_value", "max_value", "mean_value",
     )
 
 
 def windowed_summary(df: DataFrame, ts: str, group_by: Sequence[str], value: str,
                      window: str = "1 hour") -> DataFrame:
-    """Tumbling event-time windows per group: count, sum, min, max, mean."""
+    """Tumbling event-time windows per group: count of rows, and min, max, mean of the non-null values."""
     return (df.groupBy(F.window(ts, window).alias("w"), *group_by)
-            .agg(F.count(F.lit(1)).alias("n"), exact_sum(value).alias("sum_value"),
+            .agg(F.count(F.lit(1)).alias("n"), exact_mean(value).alias("mean_value"),
                  F.min(value).alias("min_value"), F.max(value).alias("max_value"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *group_by,
-                    "n", "min_value", "max_value",
-                    exact_mean(F.col("sum_value"), F.col("n")).alias("mean_value")))
+                    "n", "min_value", "max_value", "mean_value"))

@@ -130,6 +130,7 @@ def lineitem_readings(lineitem: DataFrame) -> DataFrame:
         ((q - F.lit(25.0)) * F.lit(2.0)).alias("temperature"),
         F.round(F.col("l_discount") * F.lit(1100.0)).cast("int").alias("humidity"),
         ((q - F.lit(1.0)) * F.lit(5.0)).alias("wind"),
+        F.when(F.col("l_linenumber") % 2 == 0, (q - F.lit(1.0)) * F.lit(7.0)).alias("gust"),
         (F.lit(940.0) + F.col("l_extendedprice") / F.lit(1000.0)).alias("pressure"),
         (q * F.lit(2.5)).alias("precipitation"),
         (F.col("l_linenumber") - F.lit(1)).alias("aqi"),
