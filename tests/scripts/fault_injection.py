@@ -52,7 +52,7 @@ def main():
     parsed = parse_records(feeds.event_records(stream), feeds.EVENT_MESSAGE, required=("event_id", "event_ts"))
     for q in start_landing(parsed, f"{out}/landing", f"{out}/ckpt", trigger={"availableNow": True}):
         q.awaitTermination()
-    landed = spark.read.parquet(f"{out}/landing")
+    landed = spark.read.parquet(f"{out}/landing").where("valid = 'true'")
 
     # multi-topic router (foreachBatch, persisted micro-batch, two layouts)
     from urbanflow.streaming.router import read_routed, start_router

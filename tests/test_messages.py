@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from urbanflow.functions.messages import decode_json, drop_empty, is_empty_payload, split_valid
 from urbanflow.sources.kafka import as_kafka_records
-from urbanflow.streaming.ingest import landing_frame, parse_records, quarantine_frame
+from urbanflow.streaming.ingest import landing_frame, parse_records, quarantined_rows, sound_rows
 
 GOOD = ('{"reading_id":"PAR-0a1b2c3d","timestamp":"2025-07-02T23:30:00.123456Z",'
         '"station":{"name":"Paris-13e-Gobelins","coordinates":{"latitude":48.8322,"longitude":2.3561},'
@@ -38,7 +38,7 @@ def test_drop_empty_keeps_non_empty(spark):
 
 def test_parse_good_message_and_altitude_alias(spark):
     parsed = parse_records(kafka_df(spark, [GOOD]))
-    r = landing_frame(parsed).collect()[0]
+    r = sound_rows(landing_frame(parsed)).collect()[0]
     assert r["station"]["altitude"] == 42  # producer writes altitude_m
     assert r["event_ts"] == dt.datetime(2025, 7, 2, 23, 30, 0, 123456)
     assert (r["year"], r["month"], r["day"], r["hour"]) == (2025, 7, 2, 23)
@@ -50,8 +50,8 @@ def test_malformed_messages_are_quarantined(spark):
     drift = GOOD.replace('"humidity_percent":60', '"humidity_percent":65.5')
     payloads = [GOOD, "not json", '[{"a":1},{"b":2}]', bad_ts, drift, "{}", None]
     parsed = parse_records(kafka_df(spark, payloads)).cache()
-    good = {r["kafka_offset"]: r for r in landing_frame(parsed).collect()}
-    bad = {r["kafka_offset"]: r for r in quarantine_frame(parsed).collect()}
+    good = {r["kafka_offset"]: r for r in sound_rows(landing_frame(parsed)).collect()}
+    bad = {r["kafka_offset"]: r for r in quarantined_rows(landing_frame(parsed)).collect()}
     assert set(good) == {0, 4} and set(bad) == {1, 2, 3}
     assert good[4]["atmospheric"]["humidity_percent"] is None  # drifted field nulled, row kept
     assert bad[1]["_corrupt_record"] == "not json"

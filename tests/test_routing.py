@@ -44,10 +44,12 @@ def test_message_id_is_replay_stable(spark):
 
 def test_routed_batch_is_idempotent_and_keeps_string_partitions(spark, tmp_dir):
     r = recs(spark, ITEMS)
-    write_routed_batch(r, 0, tmp_dir, "weather")
-    write_routed_batch(r, 0, tmp_dir, "weather")  # replay of the same batch
+    write_routed_batch(r, 0, tmp_dir, "weather", "query_id=a")
+    write_routed_batch(r, 0, tmp_dir, "weather", "query_id=a")  # replay of the same batch
     back = read_routed(spark, tmp_dir)
     assert back.count() == len(ITEMS)
+    write_routed_batch(r, 0, tmp_dir, "weather", "query_id=b")  # batch 0 of a query with a new checkpoint
+    assert read_routed(spark, tmp_dir).count() == 2 * len(ITEMS)
     depts = {r["dept"] for r in back.filter("layout = 'weather'").collect()}
     assert "02" in depts  # not turned into the integer 2
     zones = {r["zone"] for r in back.filter("layout = 'weather'").collect()}

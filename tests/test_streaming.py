@@ -9,7 +9,7 @@ from urbanflow.plans import feeds
 from urbanflow.plans.catalog import events_stream, table
 from urbanflow.operators.reports import windowed_summary
 from urbanflow.sinks.parquet import read_partitioned
-from urbanflow.streaming.ingest import landing_frame, parse_records, start_landing
+from urbanflow.streaming.ingest import parse_records, quarantined_rows, sound_rows, start_landing
 from urbanflow.streaming.summary import start_summary, streaming_summary
 from conftest import SF_SMALL
 
@@ -19,7 +19,7 @@ COLS = ["event_id", "user_id", "event_type", "value", "props", "event_ts", "year
 def _land(spark, out, ckpt):
     parsed = parse_records(feeds.event_records(events_stream(spark, SF_SMALL)), feeds.EVENT_MESSAGE,
                            required=("event_id", "event_ts"))
-    for q in start_landing(parsed, out, ckpt, trigger={"availableNow": True}, quarantine_path=out + "_bad"):
+    for q in start_landing(parsed, out, ckpt, trigger={"availableNow": True}):
         q.awaitTermination()
         assert q.exception() is None
 
@@ -27,9 +27,9 @@ def _land(spark, out, ckpt):
 def test_stream_equals_batch_and_restart_is_exactly_once(spark, tmp_dir):
     out, ckpt = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "ckpt")
     _land(spark, out, ckpt)
-    streamed = read_partitioned(spark, out).select(*COLS)
-    batch = landing_frame(parse_records(feeds.event_records(table(spark, SF_SMALL, "events")), feeds.EVENT_MESSAGE,
-                                        required=("event_id", "event_ts"))).select(*COLS)
+    streamed = sound_rows(read_partitioned(spark, out)).select(*COLS)
+    batch = parse_records(feeds.event_records(table(spark, SF_SMALL, "events")), feeds.EVENT_MESSAGE,
+                          required=("event_id", "event_ts")).where("_valid").select(*COLS)
     assert streamed.count() == batch.count() == table(spark, SF_SMALL, "events").count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     n_files = sum(len(f) for _, _, f in os.walk(out))
@@ -41,9 +41,10 @@ def test_stream_equals_batch_and_restart_is_exactly_once(spark, tmp_dir):
 def test_landing_layout_is_hive_partitioned_by_event_hour(spark, tmp_dir):
     out, ckpt = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "ckpt")
     _land(spark, out, ckpt)
-    years = [d for d in os.listdir(out) if d.startswith("year=")]
+    assert [d for d in os.listdir(out) if not d.startswith(("_", "."))] == ["valid=true"]
+    years = [d for d in os.listdir(os.path.join(out, "valid=true")) if d.startswith("year=")]
     assert years == ["year=2024"]
-    day1 = os.path.join(out, "year=2024", "month=1", "day=1")
+    day1 = os.path.join(out, "valid=true", "year=2024", "month=1", "day=1")
     assert sorted(os.listdir(day1))[0] == "hour=0"
 
 
@@ -77,10 +78,37 @@ def test_rebalanced_landing_equals_file_sink(spark, tmp_dir):
                            mode="rebalanced"):
         q.awaitTermination()
         assert q.exception() is None
-    a = read_partitioned(spark, out_a).select(*COLS)
-    b = read_partitioned(spark, out_b).select(*COLS)
+    a = sound_rows(read_partitioned(spark, out_a)).select(*COLS)
+    b = sound_rows(read_partitioned(spark, out_b)).select(*COLS)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     # a replayed batch overwrites its own directory: still no duplicates
-    batch0 = read_partitioned(spark, os.path.join(out_b, "batch_id=0")).select(*[c for c in b.columns])
-    write_landing_batch(batch0, 0, out_b, ["year", "month", "day", "hour"])
-    assert read_partitioned(spark, out_b).count() == a.count()
+    query = [d for d in os.listdir(out_b) if d.startswith("query_id=")][0]
+    batch0 = read_partitioned(spark, os.path.join(out_b, query, "batch_id=0"))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    kept = batch0.persist()
+    n = kept.count()
+    write_landing_batch(kept, 0, out_b, ["valid", "year", "month", "day", "hour"], query)
+    assert n and read_partitioned(spark, out_b).count() == a.count()
+    # a second query on the same output, with a new checkpoint, adds to it and overwrites nothing
+    for q in start_landing(parsed, out_b, os.path.join(tmp_dir, "ck_c"), trigger={"availableNow": True},
+                           mode="rebalanced"):
+        q.awaitTermination()
+        assert q.exception() is None
+    assert read_partitioned(spark, out_b).count() == 2 * a.count()
+
+
+def test_bad_rows_land_with_the_good_ones(spark, tmp_dir):
+    """One query, one commit: every record that is not empty is in one side or the other."""
+    events = events_stream(spark, SF_SMALL)
+    out = os.path.join(tmp_dir, "messy")
+    parsed = parse_records(feeds.messy_records(events), feeds.EVENT_MESSAGE, required=("event_id", "event_ts"))
+    queries = start_landing(parsed, out, os.path.join(tmp_dir, "ck"), trigger={"availableNow": True})
+    assert len(queries) == 1
+    queries[0].awaitTermination()
+    landed = read_partitioned(spark, out)
+    batch = parse_records(feeds.messy_records(table(spark, SF_SMALL, "events")), feeds.EVENT_MESSAGE,
+                          required=("event_id", "event_ts"))
+    good, bad = batch.where("_valid").count(), batch.where("not _valid").count()
+    assert bad and (sound_rows(landed).count(), quarantined_rows(landed).count()) == (good, bad)
+    assert quarantined_rows(landed).where("raw_value is null").count() == 0
+    assert landed.where("valid = 'true' and raw_value is not null").count() == 0

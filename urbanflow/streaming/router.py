@@ -8,58 +8,48 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.messages import drop_empty
-from ..operators.routing import GENERIC_LAYOUT, WEATHER_LAYOUT, route_messages
+from ..operators.routing import WEATHER_LAYOUT, route_messages
 from ..sinks.parquet import write_partitioned
+from .ingest import query_directory
 
-# Layout: <root>/<layout>/batch_id=<n>/<partition dirs>/part-*.json
-# ``hour`` is a sorted column inside the date directories rather than a
-# directory level: hour filters still prune via row-group statistics, and the
-# layout avoids 24x more (mostly tiny) directories.
-WEATHER_PARTS = ["zone", "dept", "date"]
-GENERIC_PARTS = ["topic", "date"]
+# Layout: <root>/query_id=<id>/batch_id=<n>/layout=/place=/unit=/date=/part-*.json, where place and unit are
+# zone and department of the weather layout, and topic and "all" of the generic one. ``hour`` is a sorted
+# column inside the date directories rather than a directory level: it avoids 24x more (mostly tiny)
+# directories.
+PARTS = ["layout", "place", "unit", "date"]
+WHOLE = "all"
 
-_BODY = [StructField("message_id", StringType()), StructField("partition", IntegerType()),
-         StructField("offset", LongType()), StructField("object_path", StringType()),
-         StructField("payload", StringType())]
-WEATHER_LAYOUT_SCHEMA = StructType(
-    [StructField("topic", StringType()), StructField("hour", StringType())] + _BODY
-    + [StructField("batch_id", LongType())] + [StructField(c, StringType()) for c in WEATHER_PARTS])
-GENERIC_LAYOUT_SCHEMA = StructType(
-    _BODY + [StructField("batch_id", LongType())] + [StructField(c, StringType()) for c in GENERIC_PARTS])
+_ROUTED = StructType(
+    [StructField(c, StringType()) for c in ("topic", "hour", "message_id")]
+    + [StructField("partition", IntegerType()), StructField("offset", LongType()),
+       StructField("object_path", StringType()), StructField("payload", StringType()),
+       StructField("query_id", StringType()), StructField("batch_id", LongType())]
+    + [StructField(c, StringType()) for c in PARTS])
 
 
-def write_routed_batch(records: DataFrame, batch_id: int, out_root: str, weather_topic: str) -> None:
-    """Write one micro-batch to both layouts as JSON Lines.
+def write_routed_batch(records: DataFrame, batch_id: int, out_root: str, weather_topic: str,
+                       query_dir: str | None = None) -> None:
+    """Write one micro-batch, both layouts in one pass, as JSON Lines.
 
-    Each batch owns the directory ``batch_id=<n>`` of each layout and writes
-    it with a static overwrite: re-running the same batch after a failure
+    Each batch owns the directory ``query_id=<id>/batch_id=<n>`` and writes it
+    with a static overwrite: re-running the same batch after a failure
     replaces exactly that batch's files, so the sink is idempotent although
-    ``foreachBatch`` is at-least-once (and no per-partition rename pass is
-    needed at commit, unlike dynamic partition overwrite).
+    ``foreachBatch`` is at-least-once; a query with a new checkpoint, whose
+    batches count from 0 again, has an id and so a directory of its own.
 
-    Each layout is written through a REBALANCE on its directory columns.
-    AQE is active for these batch writes inside ``foreachBatch``: it sizes the
-    output to about one file per directory and batch, and splits a hot zone or
-    date over several writers. A map-only write would leave one small file per
-    source task and directory (thousands per batch on a large topic). The
-    shuffle is bounded by the micro-batch size (``maxOffsetsPerTrigger``).
+    The write goes through a REBALANCE on the directory columns: AQE sizes
+    the output to about one file per directory and batch, and splits a hot
+    zone or date over several writers. The shuffle is bounded by the
+    micro-batch size (``maxOffsetsPerTrigger``).
     """
     routed = (route_messages(drop_empty(records), weather_topic)
-              .withColumn("payload", F.col("value").cast("string"))
-              .persist())
-    try:
-        weather = routed.filter(F.col("layout") == WEATHER_LAYOUT)
-        write_partitioned(weather.select("topic", "hour", "message_id", "partition", "offset", "object_path",
-                                         "payload", *WEATHER_PARTS),
-                          f"{out_root}/{WEATHER_LAYOUT}/batch_id={batch_id}", WEATHER_PARTS, fmt="json",
-                          overwrite="static")
-        generic = routed.filter(F.col("layout") == GENERIC_LAYOUT)
-        write_partitioned(generic.select("message_id", "partition", "offset", "object_path", "payload",
-                                         *GENERIC_PARTS),
-                          f"{out_root}/{GENERIC_LAYOUT}/batch_id={batch_id}", GENERIC_PARTS, fmt="json",
-                          overwrite="static")
-    finally:
-        routed.unpersist()
+              .withColumn("payload", F.col("value").cast("string")))
+    weather = F.col("layout") == WEATHER_LAYOUT
+    routed = routed.select("topic", F.when(weather, F.col("hour")).alias("hour"), "message_id", "partition", "offset",
+                           "object_path", "payload", "layout", F.when(weather, F.col("zone")).otherwise(F.col("topic")).alias("place"),
+                           F.when(weather, F.col("dept")).otherwise(F.lit(WHOLE)).alias("unit"), "date")
+    where = query_dir or query_directory(records)
+    write_partitioned(routed, f"{out_root}/{where}/batch_id={batch_id}", PARTS, fmt="json", overwrite="static")
 
 
 def start_router(records: DataFrame, out_root: str, checkpoint: str, weather_topic: str = "weather",
@@ -71,15 +61,14 @@ def start_router(records: DataFrame, out_root: str, checkpoint: str, weather_top
 
 
 def read_routed(spark, out_root: str) -> DataFrame:
-    """Both layouts read back as one frame (missing layout -> no rows)."""
-    frames = []
-    for layout, schema in ((WEATHER_LAYOUT, WEATHER_LAYOUT_SCHEMA), (GENERIC_LAYOUT, GENERIC_LAYOUT_SCHEMA)):
-        path = f"{out_root}/{layout}"
-        try:
-            df = spark.read.schema(schema).option("basePath", path).json(path)
-        except Exception as exc:
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
-            df = spark.createDataFrame([], schema)
-        frames.append(df.withColumn("layout", F.lit(layout)))
-    return frames[0].unionByName(frames[1], allowMissingColumns=True)
+    """Both layouts read back as one frame (nothing written yet: no rows)."""
+    try:
+        df = spark.read.schema(_ROUTED).option("basePath", out_root).json(out_root)
+    except Exception as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        df = spark.createDataFrame([], _ROUTED)
+    weather = F.col("layout") == WEATHER_LAYOUT
+    return df.select("layout", "topic", "hour", "message_id", "partition", "offset", "object_path", "payload",
+                     F.when(weather, F.col("place")).alias("zone"), F.when(weather, F.col("unit")).alias("dept"), "date",
+                     "query_id", "batch_id")
