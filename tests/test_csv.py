@@ -74,3 +74,27 @@ def test_uniform_folder_single_scan(spark, tmp_dir):
     assert report == {"trafic_2021": len(LINES), "trafic_2022": len(LINES)}
     landed = spark.read.parquet(os.path.join(tmp_dir, "out"))
     assert landed.filter(F.col("dataset") == "trafic_2022").select("Station").distinct().count() == len(LINES)
+
+
+def test_rows_that_do_not_fit_are_quarantined(spark, tmp_path):
+    from urbanflow.config import LakePaths
+    from urbanflow.plans.jobs import BatchDataset, batch_load
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    src = tmp_path / "two.csv"
+    src.write_text("a;b\n1;2\n4;5;6\n3\nx;7\n")
+    schema = StructType([StructField("a", IntegerType()), StructField("b", IntegerType())])
+    paths = LakePaths(str(tmp_path / "lake"))
+    got = batch_load(spark, [BatchDataset("two", str(src), schema)], paths, "2025-07-02").collect()[0]
+    assert (got["n_rows"], got["n_rejected"], got["status"]) == (1, 3, "ok")
+    bad = spark.read.parquet(f"{paths.quarantine}/batch/two")
+    assert {r["_corrupt_row"] for r in bad.collect()} == {"4;5;6", "3", "x;7"}
+
+
+def test_empty_file_and_missing_flag_are_not_lost(spark, tmp_path):
+    from urbanflow.plans.jobs import folder_ingest
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,y\n1,2\n")
+    (folder / "c.csv").write_text("")
+    got = {r["dataset"]: (r["n_rows"], r["status"]) for r in folder_ingest(spark, str(folder), str(tmp_path / "out")).collect()}
+    assert got["a"] == (1, "ok") and got["c"][0] == 0 and got["c"][1].startswith("error")

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from urbanflow import session
 
 
@@ -16,5 +18,9 @@ def test_fallback_when_no_checkpoint_dir(spark, monkeypatch):
     monkeypatch.setattr(spark.sparkContext, "setCheckpointDir", lambda d: calls.append(d))
     root = session.shared_root(spark)
     assert os.path.isdir(root) and calls == [root]
+    monkeypatch.setattr(spark, "conf", type("C", (), {"get": staticmethod(lambda k, d=None: "spark://host:7077")})())
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_root(spark)  # on a cluster a folder of one machine is no shared folder
+    monkeypatch.undo()
     p1, p2 = session.scratch_path(spark, "q"), session.scratch_path(spark, "q")
     assert p1 != p2  # a fresh folder per call

@@ -54,19 +54,18 @@ def configured_root(spark: SparkSession) -> str | None:
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is the only place intermediate tables and streaming
-    checkpoints go. Only when the session names none (tests, a laptop) is a
-    private temporary folder created and registered as the context's
-    checkpoint dir (the ``spark.checkpoint.dir`` conf itself cannot change at
-    runtime), so later calls find it again.
+    The only place intermediate tables and streaming checkpoints go. A session
+    in one JVM (``local[...]``: tests, a laptop) that names none gets a private
+    temporary folder, registered as the context's checkpoint dir so that later
+    calls find it again; on a cluster a missing setting is an error, since a
+    folder of one machine would not be seen by the others.
     """
     root = configured_root(spark)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="urbanflow-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # Spark Connect: nothing to register
-            pass
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+
+CORRUPT_ROW = "_corrupt_row"
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = ";",
-                   header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
+                   header: bool = True, mode: str = "PERMISSIVE", corrupt: str | None = None) -> DataFrame:
     """Explicit-schema CSV read (no inference pass). A UTF-8 BOM and CRLF
-    line ends are handled by the reader."""
-    return (spark.read.schema(schema)
-            .option("header", header).option("sep", sep).option("mode", mode)
-            .option("encoding", "UTF-8").csv(path))
+    line ends are handled by the reader. ``corrupt`` names a further column
+    that holds the raw line of a row with too few, too many or unreadable
+    fields (null for sound rows)."""
+    reader = spark.read.option("header", header).option("sep", sep).option("mode", mode).option("encoding", "UTF-8")
+    if corrupt:
+        schema = StructType([*schema.fields, StructField(corrupt, StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt).option("enforceSchema", True)
+    return reader.schema(schema).csv(path)
 
 
 def read_delimited_inferred(spark: SparkSession, path: str, sep: str = ",", header: bool = True) -> DataFrame:
@@ -27,24 +31,12 @@ def read_delimited_inferred(spark: SparkSession, path: str, sep: str = ",", head
 def discover_datasets(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[tuple[str, str]]:
     """(name, path) of every ``*<suffix>`` entry directly inside ``folder``.
 
-    A dataset may be a single file or a directory of part files. Listing goes
-    through Spark's file index (works on any Hadoop file system); only the
-    distinct dataset names come back to the driver, never data.
+    A dataset may be a single file, also an empty one, or a directory of part
+    files. The folder is listed through the Hadoop file system it lies in; a
+    missing folder has no datasets.
     """
-    pattern = f"{folder.rstrip('/')}/*{suffix}"
-    try:
-        listing = spark.read.format("binaryFile").load(pattern).select("path")
-    except Exception as exc:  # no match / missing folder -> nothing to ingest
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return []
-        raise
-    base = re.escape(folder.rstrip("/").rsplit("/", 1)[-1])
-    suf = re.escape(suffix)
-    # first path component below the folder: a file, or a directory of parts
-    regex = rf"^(.*/{base}/([^/]+?){suf})(?:/.*)?$"
-    names = (listing
-             .select(F.regexp_extract("path", regex, 2).alias("name"),
-                     F.regexp_extract("path", regex, 1).alias("dataset_path"))
-             .filter(F.col("name") != "")
-             .distinct().orderBy("name").collect())
-    return [(r["name"], r["dataset_path"]) for r in names]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*{suffix}")
+    found = pattern.getFileSystem(conf).globStatus(pattern)
+    paths = [f.getPath() for f in found or []]
+    return sorted((p.getName()[:-len(suffix)], p.toString()) for p in paths)
