@@ -11,6 +11,7 @@ from urbanflow.config import FeedConfig, LakePaths
 from urbanflow.plans import jobs
 from urbanflow.schemas import KAFKA_RECORD, TRAFIC
 from urbanflow.sources.dims import STATIONS
+from urbanflow.streaming.ingest import quarantined_rows, sound_rows
 from test_csv import write_fixture
 
 
@@ -64,8 +65,9 @@ def lake(spark, tmp_path_factory):
 
 
 def test_ingest_lands_valid_and_quarantines_bad(spark, lake):
-    landed = spark.read.parquet(f"{lake.raw}/streaming/weather")
-    assert landed.count() == 121
+    whole = spark.read.parquet(f"{lake.raw}/streaming/weather")
+    landed = sound_rows(whole)
+    assert landed.count() == 121 and quarantined_rows(whole).count() == 1
     assert landed.filter(F.col("station.altitude").isNull()).count() == 0
     sparse = landed.filter(F.col("reading_id") == "PAR-sparse").collect()[0]["station"]
     assert (sparse["zone"], sparse["department"], sparse["altitude"]) == ("Yvelines", "78", 132)
@@ -78,6 +80,9 @@ def test_batch_load_reports_missing_dataset(spark, lake, tmp_path):
     status = jobs.batch_load(spark, [jobs.BatchDataset("nope", str(tmp_path / "absent.csv"), TRAFIC)], lake,
                              "2025-07-02").collect()[0]
     assert status["n_rows"] == 0 and status["status"].startswith("error")
+    with pytest.raises(SystemExit):
+        jobs._report(jobs.batch_load(spark, [jobs.BatchDataset("nope", str(tmp_path / "absent.csv"), TRAFIC)], lake,
+                                     "2025-07-02"))
     t = spark.read.parquet(f"{lake.raw}/batch/trafic")
     assert t.count() == 5 and t.select("year", "month", "day").distinct().collect()[0] == (2025, 7, 2)
 
@@ -95,8 +100,50 @@ def test_summary_gold_and_model(spark, lake):
 
 def test_compact_rewrites_partitions(spark, lake):
     out = f"{lake.curated}/weather"
-    jobs.compact(spark, f"{lake.raw}/streaming/weather", out, where="hour < 12")
-    assert spark.read.parquet(out).count() == spark.read.parquet(f"{lake.raw}/streaming/weather").filter("hour < 12").count()
+    table = f"{lake.raw}/streaming/weather"
+    good = sound_rows(spark.read.parquet(table))
+    assert jobs.compact(spark, table, out, where="hour < 12") > 0
+    assert spark.read.parquet(out).count() == good.filter("hour < 12").count()
+    written = {f: os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(out) for f in fs}
+    assert jobs.compact(spark, table, out, where="hour < 12") == 0  # nothing new: no file is rewritten
+    assert {f: os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(out) for f in fs} == written
+    # late rows of one hour: that hour alone is rewritten, and has them
+    copy = f"{lake.root}/late"
+    spark.read.parquet(table).write.partitionBy("valid", "year", "month", "day", "hour").parquet(copy)
+    late_out = f"{lake.curated}/late"
+    jobs.compact(spark, copy, late_out)
+    one = spark.read.parquet(copy).where("valid = 'true' and day = 2 and hour = 9")
+    n = one.count()
+    one.write.parquet(f"{lake.root}/one")
+    again = spark.read.schema(one.schema).parquet(f"{lake.root}/one")
+    again.write.mode("append").partitionBy("valid", "year", "month", "day", "hour").parquet(copy)
+    assert jobs.compact(spark, copy, late_out) == 1
+    assert spark.read.parquet(late_out).where("day = 2 and hour = 9").count() == 2 * n
+    assert spark.read.parquet(late_out).count() == good.count() + n
+
+
+def test_gold_mean_skips_missing_temperatures(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    rows = [("Paris-1er", t, dt.datetime(2025, 7, 2, 9, m)) for m, t in enumerate((10.0, None, 20.0))]
+    frame = spark.createDataFrame(rows, "name string, t double, event_ts timestamp_ntz").select(
+        F.struct("name").alias("station"), F.struct(F.col("t").alias("actual_c")).alias("temperature"),
+        F.struct(F.lit(60).alias("humidity_percent")).alias("atmospheric"), "event_ts", F.lit("true").alias("valid"))
+    frame.write.partitionBy("valid").parquet(f"{paths.raw}/streaming/weather")
+    spark.createDataFrame([(1, 5)], "`Arrondissement pour Paris` int, Trafic long").write.parquet(f"{paths.raw}/batch/trafic")
+    got = jobs.gold_weather_traffic(spark, paths).collect()
+    assert len(got) == 1 and got[0]["avg_temperature_c"] == 15.0 and got[0]["n_readings"] == 3
+
+
+def test_publish_encodes_and_needs_the_connector(spark, lake):
+    from urbanflow.sinks.kafka import encode_for_kafka, kafka_sink_options
+    opts = kafka_sink_options(FeedConfig(), "out")
+    assert opts["topic"] == "out" and opts["kafka.acks"] == "all"
+    stream = spark.readStream.schema(spark.read.parquet(f"{lake.raw}/streaming/weather").schema) \
+        .parquet(f"{lake.raw}/streaming/weather")
+    frame = encode_for_kafka(sound_rows(stream), F.col("station.name"))
+    assert frame.columns == ["key", "value"] and frame.isStreaming
+    with pytest.raises(Exception, match="(?i)kafka"):
+        jobs.publish(spark, FeedConfig(), lake, "out", trigger={"availableNow": True}).awaitTermination()
 
 
 def test_pm_ingest_parses_epoch_seconds(spark, tmp_path):
@@ -114,7 +161,7 @@ def test_pm_ingest_parses_epoch_seconds(spark, tmp_path):
     for q in jobs.pm_ingest(spark, FeedConfig(), paths, trigger={"availableNow": True},
                             source=spark.readStream.schema(KAFKA_RECORD).parquet(src)):
         q.awaitTermination()
-    pm = spark.read.parquet(f"{paths.raw}/streaming/pm").orderBy("counter").collect()
+    pm = sound_rows(spark.read.parquet(f"{paths.raw}/streaming/pm")).orderBy("counter").collect()
     assert len(pm) == 40 and pm[3]["pm10"] == 53 and pm[17]["pm25"] == 27
     assert pm[1]["event_ts"] == dt.datetime(2025, 7, 2, 10, 0, 30, 123456)
     assert (pm[0]["year"], pm[0]["month"], pm[0]["day"], pm[0]["hour"]) == (2025, 7, 2, 10)
@@ -160,7 +207,7 @@ def test_report_with_empty_quarantine(spark, tmp_path):
 
 
 def test_closed_hours_filter_prunes_partitions(spark, lake):
-    landed = spark.read.parquet(f"{lake.raw}/streaming/weather")
+    landed = sound_rows(spark.read.parquet(f"{lake.raw}/streaming/weather"))
     closed = landed.filter(jobs.closed_hours(72))
     assert closed.count() == landed.count()  # 2025 data: every hour is long closed
     old = spark.conf.get("spark.sql.maxMetadataStringLength")

@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from ..functions import weather as W
 from ..functions.messages import decode_json, drop_empty, flatten
-from ..functions.timeparts import (epoch_seconds_to_time, format_date, format_datetime, format_hour,
+from ..functions.timeparts import (format_date, format_datetime, format_hour,
                                    format_time, iso_z, parse_event_time, time_parts,
                                    with_batch_partition_cols)
 from ..functions.ids import short_id
@@ -23,8 +23,8 @@ from ..functions.paths import UNKNOWN_STATION, UNKNOWN_ZONE
 from ..operators import model as M
 from ..operators.enrich import enrich, with_defaults
 from ..operators.gold import fuse
-from ..operators.quality import WEATHER_RULES, failed_rules, qc_flags
-from ..operators.reports import column_stats, exact_sum, ingest_report, row_count, windowed_summary
+from ..operators.quality import WEATHER_RULES, qc_flags, qc_split
+from ..operators.reports import column_stats, exact_mean, exact_sum, ingest_report, row_count, windowed_summary
 from ..operators.routing import route_messages
 from ..operators.sequence import sequence_number
 from ..schemas import PM
@@ -33,7 +33,7 @@ from ..sinks.kafka import encode_for_kafka
 from ..sinks.parquet import read_partitioned, write_partitioned
 from ..sources.files import read_delimited, read_delimited_inferred
 from ..sources.spine import gap_filled_hourly_counts
-from ..streaming.ingest import parse_records, start_landing
+from ..streaming.ingest import parse_records, sound_rows, start_landing
 from ..streaming.router import read_routed, start_router
 from ..streaming.summary import DEFAULT_WATERMARK, start_summary, streaming_summary
 from . import feeds, jobs
@@ -48,16 +48,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table replayed as a file stream (stand-in for the broker).
 
-    The table may be one Parquet file (stream its folder, filtered to that
-    file name) or a directory of part files (stream the directory).
+    The table may be one Parquet file or a directory of part files; given as a
+    pattern, the source takes either. A micro-batch is at most 64 files.
     """
-    static = table(spark, sf_dir, "events")
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    files = static.inputFiles()
-    reader = spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 100_000)
-    if len(files) == 1 and files[0].rstrip("/").endswith("/events.parquet"):
-        return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
-    return reader.parquet(path)
+    schema = table(spark, sf_dir, "events").schema
+    path = f"{sf_dir.rstrip('/')}/event[s].parquet"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(path)
 
 
 def _run_available_now(queries) -> None:
@@ -72,12 +68,11 @@ def _run_available_now(queries) -> None:
 def q_stream_ingest(spark, sf):
     """Kafka records -> from_json -> flatten -> event time parts -> Parquet
     partitioned year/month/day/hour via the exactly-once streaming file sink."""
-    out, ckpt, bad = (scratch_path(spark, "stream_ingest", p) for p in ("landing", "checkpoint", "quarantine"))
+    out, ckpt = (scratch_path(spark, "stream_ingest", p) for p in ("landing", "checkpoint"))
     parsed = parse_records(feeds.event_records(events_stream(spark, sf)), feeds.EVENT_MESSAGE,
                            required=("event_id", "event_ts"))
-    _run_available_now(start_landing(parsed, out, ckpt, trigger={"availableNow": True},
-                                     quarantine_path=bad))
-    back = read_partitioned(spark, out)
+    _run_available_now(start_landing(parsed, out, ckpt, trigger={"availableNow": True}))
+    back = sound_rows(read_partitioned(spark, out))
     return back.select("event_id", "user_id", "event_type", "value", "props", "event_ts",
                        "year", "month", "day", "hour")
 
@@ -115,30 +110,47 @@ CSV_FOLDER_TABLES = ("region", "nation", "supplier", "customer")
 
 def q_csv_folder_ingest(spark, sf):
     """Every ``*.csv`` dataset of a folder -> its own Parquet directory; the
-    row count comes from the write itself (Observation), not a re-scan."""
+    row count comes from the write itself (Observation), not a re-scan.
+    Returned: every landed row with its dataset, and the datasets that failed."""
     folder = scratch_path(spark, "csv_folder", "in")
     for name in CSV_FOLDER_TABLES:
         table(spark, sf, name).write.option("header", True).csv(f"{folder}/{name}.csv")
-    report = jobs.folder_ingest(spark, folder, scratch_path(spark, "csv_folder", "out"))
-    return report.select("dataset", "n_rows", "n_columns")
+    _touch(spark, f"{folder}/nothing.csv")  # an empty file is reported, not passed over
+    out = scratch_path(spark, "csv_folder", "out")
+    report = jobs.folder_ingest(spark, folder, out).collect()  # a row a dataset
+    landed = None
+    for r in report:
+        frame = spark.range(1).select(F.lit(r["n_rows"]).alias("n_rows"))
+        if r["status"] == "ok":
+            kinds = table(spark, sf, r["dataset"]).dtypes
+            frame = read_partitioned(spark, f"{out}/{r['dataset']}").select(
+                *[F.col(c).cast(t) for c, t in kinds], F.lit(r["n_rows"]).alias("n_rows"))
+        frame = frame.select(F.lit(r["dataset"]).alias("dataset"), F.lit(r["status"] == "ok").alias("ok"), "*")
+        landed = frame if landed is None else landed.unionByName(frame, allowMissingColumns=True)
+    return landed
+
+
+def _touch(spark, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at).close()
 
 
 def q_csv_folder_uniform(spark, sf):
-    """Same-schema datasets (lineitem split by return flag into three CSV
-    drops) ingested by one scan, named from the file path."""
-    folder = scratch_path(spark, "csv_uniform", "in")
-    li = table(spark, sf, "lineitem")
-    flags = [r[0] for r in li.select("l_returnflag").distinct().collect()]  # a handful of drop names
-    for flag in flags:
-        li.filter(F.col("l_returnflag") == flag).write.option("header", True).csv(f"{folder}/lineitem_{flag}.csv")
-    return jobs.folder_ingest_uniform(spark, folder, scratch_path(spark, "csv_uniform", "out"), li.schema)
+    """Same-schema datasets (lineitem split by return flag into CSV drops, one
+    of them of rows without a flag) ingested by one scan, named from the file
+    path. Returned: every landed row with its dataset."""
+    folder, out = scratch_path(spark, "csv_uniform", "in"), scratch_path(spark, "csv_uniform", "out")
+    li = table(spark, sf, "lineitem").withColumn("l_returnflag", F.when(F.col("l_linenumber") != 7, F.col("l_returnflag")))
+    drop = F.concat(F.lit("lineitem_"), F.coalesce("l_returnflag", F.lit("none")), F.lit(".csv"))
+    li.withColumn("drop", drop).write.partitionBy("drop").option("header", True).csv(folder)
+    jobs.folder_ingest_uniform(spark, folder, out, li.schema)
+    return read_partitioned(spark, out).drop("processed_at")
 
 
 def q_pm_parse(spark, sf):
     recs = feeds.pm_records(table(spark, sf, "events"))
-    parsed = flatten(decode_json(recs, PM), "data")
-    return parsed.select("station", epoch_seconds_to_time("timestamp").alias("event_ts"),
-                         "pm10", "pm25", "counter")
+    parsed = parse_records(recs, PM, ts_field="timestamp", required=("station", "event_ts"))
+    return parsed.where("_valid").select("station", "event_ts", "pm10", "pm25", "counter")
 
 
 def q_hourly_spine(spark, sf):
@@ -207,12 +219,16 @@ def q_route_path(spark, sf):
 
 
 def q_topic_routing(spark, sf):
-    """Multi-topic stream -> foreachBatch router -> two JSON layouts -> read back."""
-    out, ckpt = scratch_path(spark, "routing", "out"), scratch_path(spark, "routing", "checkpoint")
+    """Multi-topic stream -> foreachBatch router -> two JSON layouts -> read back.
+    The messages arrive through two queries, each with a new checkpoint, one after the other."""
+    out = scratch_path(spark, "routing", "out")
     e = events_stream(spark, sf)
     static = {t: table(spark, sf, t) for t in ("customer", "nation", "region")}
     recs = feeds.routed_records(e, static["customer"], static["nation"], static["region"])
-    _run_available_now([start_router(recs, out, ckpt, feeds.WEATHER_ROLE_TOPIC, {"availableNow": True})])
+    for part in (0, 1):
+        _run_available_now([start_router(recs.where(F.col("offset") % 2 == part), out,
+                                         scratch_path(spark, "routing", "checkpoint"), feeds.WEATHER_ROLE_TOPIC,
+                                         {"availableNow": True})])
     return read_routed(spark, out).select("layout", "topic", "partition", "offset", "message_id",
                                           "zone", "dept", "date")
 
@@ -316,7 +332,7 @@ def q_pollutant_unpivot(spark, sf):
 
 INDICATOR_COLUMNS = ["dew_point_c", "feels_like_c", "condition_description", "precipitation_type",
                      "precipitation_intensity", "season", "expected_temp_c", "daylight", "uv_possible",
-                     "expected_pressure_hpa", "air_quality_label", "visibility_plausible"]
+                     "expected_pressure_hpa", "air_quality_label", "visibility_plausible", "gust_kmh"]
 
 
 def q_weather_indicators(spark, sf):
@@ -324,7 +340,7 @@ def q_weather_indicators(spark, sf):
     r = _readings(spark, sf)
     out = W.weather_indicators(r, temp="temperature", humidity="humidity", wind="wind", condition="condition",
                                precipitation="precipitation", month="month", hour="hour", zone="zone",
-                               altitude="altitude", aqi="aqi", visibility="visibility",
+                               altitude="altitude", aqi="aqi", visibility="visibility", gust="gust",
                                core_zone=feeds.CORE_ZONE_FLAG)
     return out.select("l_orderkey", "l_linenumber", *INDICATOR_COLUMNS)
 
@@ -342,14 +358,19 @@ def q_qc_flags(spark, sf):
 
 
 def q_qc_split(spark, sf):
-    r = _readings(spark, sf)
-    flagged = qc_flags(r, WEATHER_RULES)
-    return (flagged.filter(~F.col("all_valid"))
-            .select("l_orderkey", "l_linenumber", failed_rules(WEATHER_RULES).alias("failed_rules")))
+    valid, rejected = qc_split(_readings(spark, sf), WEATHER_RULES)
+    key = ["l_orderkey", "l_linenumber"]
+    return (valid.select(*key, F.lit("valid").alias("side"), F.lit("").alias("failed_rules"))
+            .unionAll(rejected.select(*key, F.lit("rejected").alias("side"), "failed_rules")))
 
 
 # ---------------------------------------------------------------- joins / aggregates / windows
 
+def _with_gaps(df: DataFrame, value: str, key: str, every: int) -> DataFrame:
+    """The value is missing in every so-manyth row: nulls must not count in means."""
+    return df.withColumn(value, F.when(F.col(key) % every != 0, F.col(value)))
+
+
 def q_dim_enrich(spark, sf):
     c = table(spark, sf, "customer")
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
@@ -359,13 +380,14 @@ def q_dim_enrich(spark, sf):
 
 def q_gold_fusion(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
-    o = table(spark, sf, "orders")
+    o = _with_gaps(table(spark, sf, "orders"), "o_totalprice", "o_orderkey", 5)
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     g = fuse(c, o, "c_custkey", "o_custkey",
              {"order_count": F.count(F.lit(1)), "total_price": exact_sum("o_totalprice"),
+              "mean_price": exact_mean("o_totalprice"),
               "last_order_date": F.max("o_orderdate")},
              fill={"order_count": 0}, dims=[(n, "c_nationkey")])
-    return g.select("c_custkey", "c_name", "n_name", "order_count", "total_price", "last_order_date")
+    return g.select("c_custkey", "c_name", "n_name", "order_count", "total_price", "mean_price", "last_order_date")
 
 
 def q_row_count(spark, sf):
@@ -376,7 +398,7 @@ STATS_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_line
 
 
 def q_column_stats(spark, sf):
-    return column_stats(table(spark, sf, "lineitem"), STATS_COLUMNS)
+    return column_stats(_with_gaps(table(spark, sf, "lineitem"), "l_discount", "l_linenumber", 3), STATS_COLUMNS)
 
 
 def q_ingest_report(spark, sf):
@@ -387,22 +409,22 @@ def q_ingest_report(spark, sf):
 
 
 def q_hourly_summary(spark, sf):
-    return windowed_summary(table(spark, sf, "events"), "ts", ["event_type"], "value", "1 hour")
+    return windowed_summary(_with_gaps(table(spark, sf, "events"), "value", "event_id", 7), "ts", ["event_type"],
+                            "value", "1 hour")
 
 
 def q_hourly_summary_stream(spark, sf):
     """The same summary as a stateful stream: 1 h windows, 72 h watermark,
     append mode. Only windows the watermark has closed are emitted."""
     out, ckpt = scratch_path(spark, "summary_stream", "out"), scratch_path(spark, "summary_stream", "checkpoint")
-    summary = streaming_summary(events_stream(spark, sf), "ts", ["event_type"], "value", "1 hour", DEFAULT_WATERMARK)
+    summary = streaming_summary(_with_gaps(events_stream(spark, sf), "value", "event_id", 7), "ts", ["event_type"], "value", "1 hour", DEFAULT_WATERMARK)
     _run_available_now([start_summary(summary, out, ckpt, {"availableNow": True})])
     return spark.read.parquet(out)
 
 
 def q_message_number(spark, sf):
-    e = table(spark, sf, "events").select("event_id", "user_id", "ts")
-    return sequence_number(e, ["user_id"], ["ts", "event_id"], "message_number").select(
-        "event_id", "user_id", "message_number")
+    numbered = sequence_number(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], "message_number")
+    return numbered.select("event_id", "user_id", "event_type", "value", "message_number")
 
 
 REGRESSION_FEATURES = ["l_quantity", "l_discount", "l_tax"]

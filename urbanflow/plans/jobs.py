@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import argparse
 import re
+import sys
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,13 +31,14 @@ from ..functions.timeparts import truncate_hour, utc_wall_clock, with_batch_part
 from ..operators import model as M
 from ..operators.enrich import fill_station_attributes
 from ..sources.dims import stations
-from ..operators.reports import exact_mean, exact_sum, ingest_report, windowed_summary
+from ..operators.reports import exact_mean, ingest_report, windowed_summary
 from ..schemas import KNOWN_DATASETS, PM, WEATHER_CORE, WEATHER_FULL
-from ..session import build_session
+from ..session import build_session, scratch_path
+from ..sinks.kafka import start_kafka_publish
 from ..sinks.parquet import read_partitioned, write_counted, write_partitioned
-from ..sources.files import discover_datasets, read_delimited, read_delimited_inferred
+from ..sources.files import CORRUPT_ROW, discover_datasets, read_delimited, read_delimited_inferred
 from ..sources.kafka import read_kafka_stream
-from ..streaming.ingest import PARTS, QUARANTINE_SCHEMA, parse_records, start_landing
+from ..streaming.ingest import PARTS, VALID, is_valid, parse_records, sound_rows, start_landing
 from ..streaming.router import start_router
 from ..streaming.summary import start_summary, streaming_summary
 
@@ -49,15 +52,14 @@ def checkpoint(paths: LakePaths, job: str) -> str:
 def weather_ingest(spark: SparkSession, cfg: FeedConfig, paths: LakePaths, *, full_schema: bool = False,
                    trigger: dict | None = None, source: DataFrame | None = None,
                    fill_stations: bool = True) -> list[StreamingQuery]:
-    """The main streaming job: weather JSON -> Parquet partitioned by event
-    year/month/day/hour, malformed rows to quarantine. Stateless; the only
+    """The main streaming job: weather JSON -> Parquet partitioned by validity and event
+    year/month/day/hour (``valid=false`` is the quarantine). Stateless; the only
     join is against the broadcast 37-row station registry."""
     records = source if source is not None else read_kafka_stream(spark, cfg, [cfg.weather_topic])
     parsed = parse_records(records, WEATHER_FULL if full_schema else WEATHER_CORE)
     if fill_stations:
         parsed = fill_station_attributes(parsed, stations(spark))
     return start_landing(parsed, f"{paths.raw}/streaming/weather", checkpoint(paths, "weather"),
-                         quarantine_path=f"{paths.quarantine}/weather",
                          trigger=trigger or {"processingTime": cfg.trigger_interval}, query_name="weather_ingest")
 
 
@@ -67,7 +69,6 @@ def pm_ingest(spark: SparkSession, cfg: FeedConfig, paths: LakePaths, *, trigger
     records = source if source is not None else read_kafka_stream(spark, cfg, [cfg.pm_topic])
     parsed = parse_records(records, PM, ts_field="timestamp", required=("station", "event_ts"))
     return start_landing(parsed, f"{paths.raw}/streaming/pm", checkpoint(paths, "pm"),
-                         quarantine_path=f"{paths.quarantine}/pm",
                          trigger=trigger or {"processingTime": cfg.trigger_interval})
 
 
@@ -84,7 +85,7 @@ def live_summary(spark: SparkSession, paths: LakePaths, *, trigger: dict | None
     as a stream with a 72 h watermark (late readings still count)."""
     landed = spark.readStream.schema(spark.read.parquet(f"{paths.raw}/streaming/weather").schema) \
         .parquet(f"{paths.raw}/streaming/weather")
-    readings = landed.select("event_ts", F.col("station.zone").alias("zone"),
+    readings = sound_rows(landed).select("event_ts", F.col("station.zone").alias("zone"),
                              F.col("temperature.actual_c").alias("temperature_c"))
     return start_summary(streaming_summary(readings, "event_ts", ["zone"], "temperature_c"),
                          f"{paths.gold}/weather_summaries_live", checkpoint(paths, "summary"), trigger)
@@ -105,23 +106,26 @@ def batch_load(spark: SparkSession, datasets: Iterable[BatchDataset], paths: Lak
     """Each delimited file -> raw/batch/<name>/year=/month=/day= (dynamic
     overwrite: a re-run replaces only its own day). Datasets load as
     concurrent jobs; one failing dataset is reported and does not stop the
-    others."""
+    others. Rows that do not fit a dataset's explicit schema go, with their raw
+    line, to quarantine/batch/<name>/ and count as rejected."""
 
-    def load(ds: BatchDataset) -> tuple[str, int, str]:
+    def load(ds: BatchDataset) -> tuple[str, int, int, str]:
         try:
-            df = (read_delimited(spark, ds.path, ds.schema, sep=ds.sep) if ds.schema is not None
-                  else read_delimited_inferred(spark, ds.path, sep=ds.sep))
+            df = (read_delimited(spark, ds.path, ds.schema, sep=ds.sep, corrupt=CORRUPT_ROW) if ds.schema is not None
+                  else read_delimited_inferred(spark, ds.path, sep=ds.sep).withColumn(CORRUPT_ROW, F.lit(None).cast("string")))
             df = with_batch_partition_cols(df, process_date).withColumn("processed_at", F.current_timestamp())
-            n = write_counted(df, f"{paths.raw}/batch/{ds.name}", ["year", "month", "day"],
-                              name=f"load_{ds.name}_{abs(hash((ds.path, process_date)))}")
-            return (ds.name, n, "ok")
+            n, bad = (write_counted(side, f"{zone}/batch/{ds.name}", ["year", "month", "day"],
+                                    name=f"load_{ds.name}_{abs(hash((ds.path, process_date, zone)))}")
+                      for zone, side in ((paths.raw, df.where(F.col(CORRUPT_ROW).isNull()).drop(CORRUPT_ROW)),
+                                         (paths.quarantine, df.where(F.col(CORRUPT_ROW).isNotNull()))))
+            return (ds.name, n, bad, "ok")
         except Exception as exc:
-            return (ds.name, 0, f"error: {type(exc).__name__}: {str(exc)[:200]}")
+            return (ds.name, 0, 0, f"error: {type(exc).__name__}: {str(exc)[:200]}")
 
     items = list(datasets)
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(items) or 1))) as pool:
         rows = list(pool.map(load, items))
-    return spark.createDataFrame(rows, "dataset string, n_rows long, status string")
+    return spark.createDataFrame(rows, "dataset string, n_rows long, n_rejected long, status string")
 
 
 def folder_ingest(spark: SparkSession, folder: str, out_root: str, sep: str = ",",
@@ -135,7 +139,10 @@ def folder_ingest(spark: SparkSession, folder: str, out_root: str, sep: str = ",
     def ingest(item: tuple[str, str]) -> tuple[str, int, int, str]:
         name, path = item
         try:
-            df = read_delimited_inferred(spark, path, sep=sep).withColumn("processed_at", F.current_timestamp())
+            df = read_delimited_inferred(spark, path, sep=sep)
+            if not df.columns:
+                raise ValueError("no header")
+            df = df.withColumn("processed_at", F.current_timestamp())
             n = write_counted(df, f"{out_root}/{name}", name=f"ingest_{name}_{abs(hash(path))}")
             return (name, n, len(df.columns), "ok")
         except Exception as exc:  # one bad dataset must not stop the others
@@ -158,7 +165,8 @@ def folder_ingest_uniform(spark: SparkSession, folder: str, out: str, schema: St
     landed table (only the partition column is needed).
     """
     base = re.escape(folder.rstrip("/").rsplit("/", 1)[-1])
-    name = F.regexp_extract(F.col("_metadata.file_path"), rf"/{base}/([^/]+?){re.escape(suffix)}(?:/|$)", 1)
+    # a drop may also be a directory that a partitioned write named (column=value)
+    name = F.regexp_extract(F.col("_metadata.file_path"), rf"/{base}/(?:[^/=]+=)?([^/=]+?){re.escape(suffix)}(?:/|$)", 1)
     df = (spark.read.schema(schema).option("header", True).option("sep", sep)
           .csv(f"{folder.rstrip('/')}/*{suffix}")
           .withColumn("dataset", name).withColumn("processed_at", F.current_timestamp()))
@@ -166,9 +174,18 @@ def folder_ingest_uniform(spark: SparkSession, folder: str, out: str, schema: St
     return (read_partitioned(spark, out).groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def publish(spark: SparkSession, cfg: FeedConfig, paths: LakePaths, topic: str, *, table: str = "streaming/weather",
+            trigger: dict | None = None) -> StreamingQuery:
+    """Every landed record to a Kafka topic, as (station name, JSON of the record)."""
+    where = f"{paths.raw}/{table}"
+    landed = spark.readStream.schema(spark.read.parquet(where).schema).parquet(where)
+    return start_kafka_publish(sound_rows(landed), F.col("station.name"), cfg, topic,
+                               checkpoint(paths, f"publish_{topic}"), trigger)
+
+
 def weather_summary(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """Hourly per-zone temperature summary (batch; complete, late data included)."""
-    w = read_partitioned(spark, f"{paths.raw}/streaming/weather")
+    w = sound_rows(read_partitioned(spark, f"{paths.raw}/streaming/weather"))
     readings = w.select("event_ts", F.col("station.zone").alias("zone"),
                         F.col("temperature.actual_c").alias("temperature_c"))
     return windowed_summary(readings, "event_ts", ["zone"], "temperature_c", "1 hour")
@@ -176,27 +193,23 @@ def weather_summary(spark: SparkSession, paths: LakePaths) -> DataFrame:
 
 def weather_ingest_report(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """Landed vs quarantined counts per topic and event-time range."""
-    good = read_partitioned(spark, f"{paths.raw}/streaming/weather").select(
-        "kafka_topic", "event_ts", F.lit(True).alias("_valid"), F.lit(None).cast("string").alias("_corrupt_record"))
-    bad = read_partitioned(spark, f"{paths.quarantine}/weather", QUARANTINE_SCHEMA).select(
-        "kafka_topic", F.lit(None).cast("timestamp_ntz").alias("event_ts"), F.lit(False).alias("_valid"),
-        "_corrupt_record")
-    return ingest_report(good.unionByName(bad), "kafka_topic", "event_ts", "_valid", "_corrupt_record")
+    rows = read_partitioned(spark, f"{paths.raw}/streaming/weather")
+    rows = rows.withColumn(VALID, is_valid()).withColumn("event_ts", F.when(F.col(VALID), F.col("event_ts")))
+    return ingest_report(rows, "kafka_topic", "event_ts", VALID, "_corrupt_record")
 
 
 def gold_weather_traffic(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """Own definition of the gold table: hourly weather per Paris
     arrondissement LEFT JOIN yearly station traffic per arrondissement.
     Both sides are aggregated to one row per key before the join."""
-    w = read_partitioned(spark, f"{paths.raw}/streaming/weather")
+    w = sound_rows(read_partitioned(spark, f"{paths.raw}/streaming/weather"))
     arr = F.regexp_extract(F.col("station.name"), r"^Paris-(\d+)", 1)
     weather = (w.withColumn("arrondissement", F.when(arr != "", arr.cast("int")))
                .filter(F.col("arrondissement").isNotNull())
                .groupBy("arrondissement", truncate_hour("event_ts").alias("hour_start"))
                .agg(F.count(F.lit(1)).alias("n_readings"),
-                    exact_sum("temperature.actual_c").alias("_t"),
-                    F.avg("atmospheric.humidity_percent").alias("avg_humidity_pct"))
-               .withColumn("avg_temperature_c", exact_mean(F.col("_t"), F.col("n_readings"))).drop("_t"))
+                    exact_mean("temperature.actual_c").alias("avg_temperature_c"),
+                    F.avg("atmospheric.humidity_percent").alias("avg_humidity_pct")))
     t = read_partitioned(spark, f"{paths.raw}/batch/trafic")
     traffic = (t.filter(F.col("Arrondissement pour Paris").isNotNull())
                .groupBy(F.col("Arrondissement pour Paris").alias("arrondissement"))
@@ -207,7 +220,7 @@ def gold_weather_traffic(spark: SparkSession, paths: LakePaths) -> DataFrame:
 def train_pm(spark: SparkSession, paths: LakePaths, features: Sequence[str] = (
         "temperature_c", "humidity_pct", "wind_kmh", "pressure_hpa", "hour")) -> DataFrame:
     """Own definition of the PM10 model: OLS on the landed full-schema weather."""
-    w = read_partitioned(spark, f"{paths.raw}/streaming/weather")
+    w = sound_rows(read_partitioned(spark, f"{paths.raw}/streaming/weather"))
     df = w.select(F.col("temperature.actual_c").alias("temperature_c"),
                   F.col("atmospheric.humidity_percent").alias("humidity_pct"),
                   F.col("wind.speed_kmh").alias("wind_kmh"), F.col("atmospheric.pressure_hpa").alias("pressure_hpa"),
@@ -227,25 +240,63 @@ def closed_hours(lateness_hours: int = 72):
 
 
 def compact(spark: SparkSession, table: str, out: str, partition_cols: Sequence[str] = PARTS,
-            where=None) -> None:
-    """Rewrite (closed) partitions of a landed table into few, evenly sized
-    files (AQE rebalance on the partition columns; dynamic overwrite, so a
-    re-run replaces the same partitions)."""
+            where=None) -> int:
+    """Rewrite the (closed) partitions of a landed table that changed since
+    their last compaction into few, evenly sized files (AQE rebalance on the
+    partition columns; dynamic overwrite, so a re-run replaces the same
+    partitions). Returns how many were rewritten.
+
+    What a partition looked like when it was compacted (newest file, number of
+    files) is kept beside the output in ``<out>_state``, written after the
+    data: a run that dies in between is repeated, never skipped. The files of
+    the landed table are listed once, so a file that arrives meanwhile is
+    left to the next run. Late rows are new files, so their hours come again.
+    """
     df = read_partitioned(spark, table)
+    if VALID in df.columns:
+        df = df.where(is_valid())
     if where is not None:
         df = df.filter(where)
-    write_partitioned(df, out, list(partition_cols))
+    keys = list(partition_cols)
+    files = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified")
+    now = df.select(*keys, *files).groupBy(*keys).agg(F.max("modified").alias("newest"), F.countDistinct("file").alias("files"))
+    try:
+        done = spark.read.parquet(f"{out}_state")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        done = spark.createDataFrame([], now.schema)
+    changed = now.join(done, [*(now[k].eqNullSafe(done[k]) for k in keys), now["newest"] == done["newest"],
+                              now["files"] == done["files"]], "left_anti")
+    changed, path = changed.coalesce(1), scratch_path(spark, "compact")
+    changed.write.parquet(path)
+    changed = spark.read.schema(now.schema).parquet(path)  # a row a partition
+    n = changed.count()
+    if n:
+        hours = changed.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        rows = df.join(hours, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
+        write_partitioned(rows.drop(VALID, "raw_value", "_corrupt_record", "arrival_date"), out, keys)
+        changed.write.mode("append").parquet(f"{out}_state")
+    return n
 
 
 # ---------------------------------------------------------------- CLI
 
+def _report(status: DataFrame) -> None:
+    """Show a load's report; exit status 1 if a dataset failed."""
+    status.show(truncate=False)
+    if status.where(F.col("status") != "ok").count():
+        sys.exit(1)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="urbanflow")
-    ap.add_argument("job", choices=["weather-ingest", "pm-ingest", "router", "live-summary", "batch-load",
+    ap.add_argument("job", choices=["weather-ingest", "pm-ingest", "router", "live-summary", "publish", "batch-load",
                                     "folder-ingest", "summary", "report", "gold", "train-pm", "compact"])
     ap.add_argument("--date", default=None)
     ap.add_argument("--folder", default=None)
     ap.add_argument("--table", default=None)
+    ap.add_argument("--topic", default=None, help="target of publish")
     ap.add_argument("--where", default=None)
     ap.add_argument("--full-schema", action="store_true")
     ap.add_argument("--closed", type=int, default=None, metavar="HOURS",
@@ -254,19 +305,20 @@ def main(argv: Sequence[str] | None = None) -> None:
     a = ap.parse_intermixed_args(argv)
     spark = build_session(f"urbanflow-{a.job}")
     cfg, paths = feed_config_from_env(), lake_paths_from_env()
-    if a.job in ("weather-ingest", "pm-ingest", "router", "live-summary"):
+    if a.job in ("weather-ingest", "pm-ingest", "router", "live-summary", "publish"):
         qs = {"weather-ingest": lambda: weather_ingest(spark, cfg, paths, full_schema=a.full_schema),
               "pm-ingest": lambda: pm_ingest(spark, cfg, paths),
               "router": lambda: [router(spark, cfg, paths)],
-              "live-summary": lambda: [live_summary(spark, paths)]}[a.job]()
+              "live-summary": lambda: [live_summary(spark, paths)],
+              "publish": lambda: [publish(spark, cfg, paths, a.topic)]}[a.job]()
         spark.streams.awaitAnyTermination()
         return
     if a.job == "batch-load":
         ds = [BatchDataset(n, p, KNOWN_DATASETS.get(n))
               for n, p in (d.split("=", 1) for d in a.datasets)]
-        batch_load(spark, ds, paths, a.date).show(truncate=False)
+        _report(batch_load(spark, ds, paths, a.date))
     elif a.job == "folder-ingest":
-        folder_ingest(spark, a.folder, f"{paths.raw}/data").show(truncate=False)
+        _report(folder_ingest(spark, a.folder, f"{paths.raw}/data"))
     elif a.job == "summary":
         write_partitioned(weather_summary(spark, paths), f"{paths.gold}/weather_summaries", [])
     elif a.job == "report":

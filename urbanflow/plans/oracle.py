@@ -2,16 +2,16 @@
 
 Conventions shared with the Spark side so values agree bit for bit:
 double literals are written ``x::DOUBLE``; rounding is
-``floor(x * 10^d + 0.5) / 10^d``; sums go through DECIMAL(38,6).
+``floor(x * 10^d + 0.5) / 10^d``; sums go through DECIMAL(38,6), which holds
+the tables' two decimals exactly, and nulls count in no mean.
 """
 
 from __future__ import annotations
 
-from ..functions.weather import AIR_QUALITY_LABELS, WEATHER_CONDITIONS
-
-
-def _list(values) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+# Fixed values, written out here so that a wrong one in the library shows: labels by index, condition names.
+LABELS = "['Bon', 'Moyen', 'Dégradé', 'Mauvais', 'Très mauvais']"
+CONDITIONS = ("['clear', 'partly_cloudy', 'cloudy', 'overcast', 'light_rain', 'moderate_rain', 'drizzle', "
+              "'thunderstorm', 'fog', 'mist', 'haze', 'light_snow', 'snow']")
 
 
 def _r1(x: str, digits: int = 1) -> str:
@@ -25,10 +25,11 @@ WITH r AS (
     (l_quantity - 25.0::DOUBLE) * 2.0::DOUBLE AS temperature,
     CAST(round(l_discount * 1100.0::DOUBLE) AS INTEGER) AS humidity,
     (l_quantity - 1.0::DOUBLE) * 5.0::DOUBLE AS wind,
+    CASE WHEN l_linenumber % 2 = 0 THEN (l_quantity - 1.0::DOUBLE) * 7.0::DOUBLE END AS gust,
     940.0::DOUBLE + l_extendedprice / 1000.0::DOUBLE AS pressure,
     l_quantity * 2.5::DOUBLE AS precipitation,
     l_linenumber - 1 AS aqi,
-    {_list(WEATHER_CONDITIONS)}[CAST(l_partkey % 13 AS INTEGER) + 1] AS condition,
+    {CONDITIONS}[CAST(l_partkey % 13 AS INTEGER) + 1] AS condition,
     l_tax * 400.0::DOUBLE AS visibility,
     l_quantity * 2.0::DOUBLE AS humidity_raw,
     CAST(month(l_shipdate) AS INTEGER) AS month, CAST(hour(l_shipdate) AS INTEGER) AS hour,
@@ -72,17 +73,22 @@ PARTS = """CAST(year({t}) AS INTEGER) AS year, CAST(month({t}) AS INTEGER) AS mo
   CAST(day({t}) AS INTEGER) AS day"""
 
 
-def _mean(sum_expr: str, n_expr: str) -> str:
-    return _r1(f"CAST({sum_expr} AS DOUBLE) / CAST({n_expr} AS DOUBLE)", 6)
+def _sum(x: str) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(38,6))) AS DOUBLE)"
+
+
+def _mean(x: str) -> str:
+    return f"{_sum(x)} / nullif(count({x}), 0)"
 
 
 def _column_stats(cols) -> str:
     parts = []
     for c in cols:
+        x = "(CASE WHEN l_linenumber % 3 <> 0 THEN l_discount END)" if c == "l_discount" else c
         parts.append(
-            f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, "
-            f"min(CAST({c} AS DOUBLE)) AS min_value, max(CAST({c} AS DOUBLE)) AS max_value, "
-            f"{_mean(f'sum(CAST({c} AS DECIMAL(38,6)))', f'count({c})')} AS mean_value FROM lineitem")
+            f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({x}) AS n_null, "
+            f"min(CAST({x} AS DOUBLE)) AS min_value, max(CAST({x} AS DOUBLE)) AS max_value, "
+            f"{_mean(x)} AS mean_value FROM lineitem")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -121,8 +127,9 @@ SELECT l_orderkey, l_linenumber,
   {_daylight_r} AS daylight,
   ({_daylight_r}) AND condition IN ('clear', 'partly_cloudy') AS uv_possible,
   {_r1('1013.25::DOUBLE - altitude * 0.12::DOUBLE')} AS expected_pressure_hpa,
-  CASE WHEN aqi BETWEEN 1 AND 5 THEN {_list(AIR_QUALITY_LABELS)}[aqi] END AS air_quality_label,
-  COALESCE(visibility BETWEEN {_vis_lo} AND {_vis_hi}, false) AS visibility_plausible
+  CASE WHEN aqi BETWEEN 1 AND 5 THEN {LABELS}[aqi] END AS air_quality_label,
+  COALESCE(visibility BETWEEN {_vis_lo} AND {_vis_hi}, false) AS visibility_plausible,
+  coalesce(gust, wind) AS gust_kmh
 FROM r"""
 
 # OLS with intercept in closed form: centred cross-products, Cramer's rule.
@@ -160,12 +167,14 @@ SELECT event_id, user_id, event_type, value, props, ts AS event_ts, {PARTS.forma
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey,
   c_acctbal, c_mktsegment FROM customer""",
     "csv_folder_ingest": """
-SELECT 'region' AS dataset, count(*) AS n_rows, 3 AS n_columns FROM region
-UNION ALL SELECT 'nation', count(*), 4 FROM nation
-UNION ALL SELECT 'supplier', count(*), 5 FROM supplier
-UNION ALL SELECT 'customer', count(*), 6 FROM customer""",
+SELECT 'region' AS dataset, true AS ok, (SELECT count(*) FROM region) AS n_rows, * FROM region
+UNION ALL BY NAME SELECT 'nation' AS dataset, true AS ok, (SELECT count(*) FROM nation) AS n_rows, * FROM nation
+UNION ALL BY NAME SELECT 'supplier' AS dataset, true AS ok, (SELECT count(*) FROM supplier) AS n_rows, * FROM supplier
+UNION ALL BY NAME SELECT 'customer' AS dataset, true AS ok, (SELECT count(*) FROM customer) AS n_rows, * FROM customer
+UNION ALL BY NAME SELECT 'nothing' AS dataset, false AS ok, 0 AS n_rows""",
     "csv_folder_uniform": """
-SELECT 'lineitem_' || l_returnflag AS dataset, count(*) AS n_rows FROM lineitem GROUP BY l_returnflag""",
+WITH l AS (SELECT * REPLACE (CASE WHEN l_linenumber <> 7 THEN l_returnflag END AS l_returnflag) FROM lineitem)
+SELECT 'lineitem_' || coalesce(l_returnflag, 'none') AS dataset, * FROM l""",
     "pm_parse": """
 SELECT event_type AS station, ts AS event_ts, CAST(floor(value) AS INTEGER) AS pm10,
   CAST(floor(value / 2.0::DOUBLE) AS INTEGER) AS pm25, event_id AS counter FROM events""",
@@ -237,7 +246,7 @@ SELECT l_orderkey, l_linenumber, CASE WHEN precipitation IS NULL THEN NULL
   ELSE 'heavy' END AS precipitation_intensity FROM r""",
     "aqi_label": READINGS + f"""
 SELECT l_orderkey, l_linenumber, aqi,
-  CASE WHEN aqi BETWEEN 1 AND 5 THEN {_list(AIR_QUALITY_LABELS)}[aqi] END AS air_quality_label FROM r""",
+  CASE WHEN aqi BETWEEN 1 AND 5 THEN {LABELS}[aqi] END AS air_quality_label FROM r""",
     "visibility_plausible": READINGS + """
 SELECT l_orderkey, l_linenumber, COALESCE(visibility BETWEEN
   CASE condition WHEN 'fog' THEN 0.1::DOUBLE WHEN 'mist' THEN 1.0::DOUBLE WHEN 'moderate_rain' THEN 3.0::DOUBLE
@@ -262,21 +271,25 @@ SELECT event_id, 'PAR-' || substr(sha256(concat_ws('-', event_type, CAST(user_id
     "qc_flags": READINGS + f""", q AS (SELECT l_orderkey, l_linenumber, {QC} FROM r)
 SELECT *, temperature_valid AND pressure_valid AND humidity_valid AND wind_valid AND precipitation_valid AS all_valid FROM q""",
     "qc_split": READINGS + f""", q AS (SELECT l_orderkey, l_linenumber, {QC} FROM r)
-SELECT l_orderkey, l_linenumber, concat_ws(',',
+SELECT l_orderkey, l_linenumber, CASE WHEN ok THEN 'valid' ELSE 'rejected' END AS side, concat_ws(',',
   CASE WHEN NOT temperature_valid THEN 'temperature_valid' END,
   CASE WHEN NOT pressure_valid THEN 'pressure_valid' END,
   CASE WHEN NOT humidity_valid THEN 'humidity_valid' END,
   CASE WHEN NOT wind_valid THEN 'wind_valid' END,
   CASE WHEN NOT precipitation_valid THEN 'precipitation_valid' END) AS failed_rules
-FROM q WHERE NOT (temperature_valid AND pressure_valid AND humidity_valid AND wind_valid AND precipitation_valid)""",
+FROM (SELECT *, temperature_valid AND pressure_valid AND humidity_valid AND wind_valid AND precipitation_valid AS ok
+      FROM q) s""",
     "dim_enrich": """
 SELECT c_custkey, c_name, n_name, r_name FROM customer
 LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
-    "gold_fusion": """
-SELECT c.c_custkey, c.c_name, n.n_name, coalesce(a.order_count, 0) AS order_count, a.total_price, a.last_order_date
+    "gold_fusion": f"""
+SELECT c.c_custkey, c.c_name, n.n_name, coalesce(a.order_count, 0) AS order_count, a.total_price, a.mean_price,
+  a.last_order_date
 FROM customer c
-LEFT JOIN (SELECT o_custkey, count(*) AS order_count, sum(CAST(o_totalprice AS DECIMAL(38,6))) AS total_price,
-                  max(o_orderdate) AS last_order_date FROM orders GROUP BY o_custkey) a ON a.o_custkey = c.c_custkey
+LEFT JOIN (SELECT o_custkey, count(*) AS order_count, {_sum('p')} AS total_price, {_mean('p')} AS mean_price,
+                  max(o_orderdate) AS last_order_date
+           FROM (SELECT *, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS p FROM orders) o
+           GROUP BY o_custkey) a ON a.o_custkey = c.c_custkey
 LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
     "row_count": "SELECT count(*) AS row_count FROM lineitem",
     "column_stats": _column_stats(["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]),
@@ -291,18 +304,16 @@ SELECT event_type AS dataset, count(*) AS n_records,
 FROM f WHERE k NOT IN (0, 1, 2, 3, 4, 5, 6, 11, 12) GROUP BY event_type""",
     "hourly_summary": f"""
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
-  event_type, count(*) AS n, min(value) AS min_value, max(value) AS max_value,
-  {_mean('sum(CAST(value AS DECIMAL(38,6)))', 'count(*)')} AS mean_value
-FROM events GROUP BY 1, 2, event_type""",
+  event_type, count(*) AS n, min(v) AS min_value, max(v) AS max_value, {_mean('v')} AS mean_value
+FROM (SELECT *, CASE WHEN event_id % 7 <> 0 THEN value END AS v FROM events) e GROUP BY 1, 2, event_type""",
     "hourly_summary_stream": f"""
 WITH s AS (
   SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
-    event_type, count(*) AS n, min(value) AS min_value, max(value) AS max_value,
-    {_mean('sum(CAST(value AS DECIMAL(38,6)))', 'count(*)')} AS mean_value
-  FROM events GROUP BY 1, 2, event_type)
+    event_type, count(*) AS n, min(v) AS min_value, max(v) AS max_value, {_mean('v')} AS mean_value
+  FROM (SELECT *, CASE WHEN event_id % 7 <> 0 THEN value END AS v FROM events) e GROUP BY 1, 2, event_type)
 SELECT * FROM s WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 72 HOUR""",
     "pm_regression": REGRESSION,
     "message_number": """
-SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS message_number
+SELECT event_id, user_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS message_number
 FROM events""",
 }
