@@ -15,6 +15,7 @@ hand (the first round); later rounds place whole pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -49,14 +50,28 @@ def _split(text: str) -> list[str]:
 class Encoder:
     """Token ids of texts, by way of their white-space separated words: the tokenizer drops white space and
     its pattern never joins what white space parts, so ids of words, in order, are the ids of the text.
-    Each distinct word is tokenized once a worker (up to CACHE of them; then the cache starts anew)."""
+    Each distinct word is tokenized once a worker (up to CACHE of them; then the cache starts anew).
+
+    Words of letters alone (most of them) skip the tokenizer's normalizer and pattern, which leave such
+    words as they are once lower-cased, and go through its model many at a time: a token that ends a word
+    tells so by its name. All others take the whole tokenizer."""
 
     def __init__(self, path: str):
         if path not in _tokenizers:
-            from tokenizers import Tokenizer
-            _tokenizers[path] = Tokenizer.from_file(path)
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+            from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+            bare = Tokenizer.from_file(path)
+            suffix = bare.model.end_of_word_suffix
+            bare.normalizer = normalizers.Sequence([])
+            bare.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            ends = np.zeros(bare.get_vocab_size() + 1, bool)
+            for token, i in bare.get_vocab().items():
+                ends[i] = bool(suffix) and token.endswith(suffix)
+            _tokenizers[path] = Tokenizer.from_file(path), bare, ends
             _words[path] = {}
-        self.tokenizer, self.known = _tokenizers[path], _words[path]
+        (self.tokenizer, self.bare, self.ends), self.known = _tokenizers[path], _words[path]
 
     def learn(self, words) -> None:
         known = self.known
@@ -66,10 +81,24 @@ class Encoder:
             new = list(words)
         # letters before one closing sign: their ids stand side by side
         stems = {w: w[:-1] for w in new if w[-1] in ".,;:!?" and w[:-1].isalpha()}
-        ask = list({*(w for w in new if w not in stems), *(s for s in stems.values() if s not in known),
-                    *{w[-1] for w in stems}})
-        for w, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)):
+        ask = {*(w for w in new if w not in stems), *(s for s in stems.values() if s not in known),
+               *{w[-1] for w in stems}}
+        plain = {w: low for w in ask if (low := _plain(w))} if self.ends.any() else {}
+        whole = [w for w in ask if w not in plain]
+        for w, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
             known[w] = np.array(e.ids, "<u4").tobytes()
+        names = list(plain)
+        for at in range(0, len(names), 200):
+            part = names[at:at + 200]
+            ids = np.array(self.bare.encode_batch_fast([" ".join(plain[w] for w in part)],
+                                                       add_special_tokens=False)[0].ids, "<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) != len(part):
+                raise ValueError("the tokenizer's word ends do not match the words")
+            raw, last = ids.tobytes(), 0
+            for w, cut in zip(part, cuts):
+                known[w] = raw[4 * last:4 * cut]
+                last = cut
         for w, s in stems.items():
             known[w] = known[s] + known[w[-1]]
 
@@ -82,6 +111,14 @@ class Encoder:
         return [b"".join([known[w] for w in words] + [end]) for words in split]
 
 
+def _plain(word: str) -> str | None:
+    """The lower-cased word if it is Latin letters in composed form alone, else None."""
+    if word.isascii():
+        return word.lower() if word.isalpha() else None
+    low = word.lower()
+    return low if low.isalpha() and max(word) < "\u0250" and max(low) < "\u0250" else None
+
+
 class Packer:
     """Open windows, each a list of (size, piece) in order of placing."""
 
