@@ -103,8 +103,9 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .mapInPandas(_emit, "h1 long, h2 long, d1 long, d2 long, pos long")
              .repartitionByRange("h1", "h2", "d1", "d2").sortWithinPartitions("h1", "h2", "d1", "d2", "pos"))
     marked = landed(lines.mapInPandas(_mark_first, "h1 long, h2 long, d1 long, d2 long, pos long, first long"), "lines")
-    common = (marked.groupBy("h1", "h2").agg(F.sum("first").alias("documents"))
-              .where(F.col("documents") >= min_documents).select("h1", "h2"))
+    # landed, so that the join deals out both of its sides and can split a hash that is in very many documents
+    common = landed(marked.groupBy("h1", "h2").agg(F.sum("first").alias("documents"))
+                    .where(F.col("documents") >= min_documents).select("h1", "h2"), "common_lines")
     dropped = marked.join(common, ["h1", "h2"]).groupBy("d1", "d2").agg(F.collect_set("pos").alias("dropped"))
     return dropped.select("d1", "d2", F.pandas_udf(_bitmap, "binary")("dropped").alias("bitmap"))
 
