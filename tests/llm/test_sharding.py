@@ -1,0 +1,86 @@
+"""Shards: exact sizes, margins of the matrix, uniformity, the rows themselves."""
+
+from collections import Counter
+
+import numpy as np
+import zlib
+
+from fixtures import messy, read, texts
+from urbanflow.llm import sharding
+from urbanflow.llm.queries import op6_sharding
+
+
+def test_query(spark):
+    docs = texts(spark)
+    rows = op6_sharding(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    sizes = Counter(r["shard"] for r in rows)
+    assert set(sizes) == set(range(8)) and max(sizes.values()) - min(sizes.values()) <= 1
+    for s in range(8):
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sizes[s]))
+    for r in rows:
+        raw = (docs[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+
+
+def test_matrix_has_both_margins():
+    rng = np.random.default_rng(0)
+    for seed in range(5):
+        counts = rng.integers(0, 50, 13)
+        sizes = sharding.shard_sizes(int(counts.sum()), 8)
+        m = np.array([sharding.matrix_row(counts, sizes, p, seed) for p in range(13)])
+        assert (m.sum(axis=1) == counts).all() and (m.sum(axis=0) == sizes).all() and (m >= 0).all()
+
+
+def test_matrix_is_hypergeometric():
+    counts, sizes = np.array([6, 4, 10]), [10, 10]
+    draws = np.array([sharding.matrix_row(counts, sizes, 0, seed)[0] for seed in range(4000)])
+    from math import comb
+    for k in range(7):
+        p = comb(10, k) * comb(10, 6 - k) / comb(20, 6)
+        assert abs((draws == k).mean() - p) < 4 * (p * (1 - p) / 4000) ** 0.5 + 1e-3
+
+
+def test_large_draws():
+    rng = np.random.default_rng(1)
+    good, bad, sample = 3_000_000_000, 9_000_000_000, 2_000_000_000
+    x = np.array([sharding.draw(rng, good, bad, sample) for _ in range(20)])
+    mean, sd = sample / 4, (sample * .25 * .75 * (10 / 12)) ** 0.5
+    assert abs(x.mean() - mean) < 6 * sd / 20 ** 0.5 and 0.4 * sd < x.std() < 2 * sd
+    assert np.allclose(np.exp(np.diff(sharding._log_factorial(np.arange(40)))), np.arange(1, 40))
+
+
+def test_every_place_is_equally_likely(spark):
+    """Where one row of 12 goes over many seeds."""
+    from urbanflow.llm.sharding import matrix_row, shard_sizes
+    counts, seen = np.array([5, 7]), Counter()
+    for seed in range(3000):
+        row = np.repeat(np.arange(4), matrix_row(counts, shard_sizes(12, 4), 0, seed))
+        seen[int(np.random.default_rng([seed, 1, 0]).permutation(row)[2])] += 1
+    assert all(abs(n / 3000 - 0.25) < 0.04 for n in seen.values()) and len(seen) == 4
+
+
+def test_many_buckets_and_seeds(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PER_BUCKET", 7)
+    docs = read(spark, "documents").repartition(5, "doc_id")
+    out = sharding.shuffle_into_shards(docs, 3, seed=1).select("doc_id", "text", "shard", "slot").collect()
+    sizes = Counter(r["shard"] for r in out)
+    assert sorted(sizes.values()) == [66, 67, 67]
+    for s in sizes:
+        assert sorted(r["slot"] for r in out if r["shard"] == s) == list(range(sizes[s]))
+    assert {r["doc_id"]: r["text"] for r in out} == texts(spark)
+    other = sharding.shuffle_into_shards(docs, 3, seed=2).select("doc_id", "shard", "slot").collect()
+    assert {tuple(r) for r in other} != {(r["doc_id"], r["shard"], r["slot"]) for r in out}
+
+
+def test_edges(spark):
+    docs = messy(spark)
+    out = sharding.shuffle_into_shards(docs, 4)
+    rows = out.collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in docs.collect())
+    assert sorted(Counter(r["shard"] for r in rows).values()) == [2, 2, 3, 3]
+    assert all(r["key"] == "own key" and r["bucket"] == "own bucket" for r in rows)
+    assert len({(r["shard"], r["slot"]) for r in rows}) == len(rows)
+    assert sharding.shuffle_into_shards(docs.limit(0), 4).count() == 0
+    few = sharding.shuffle_into_shards(docs.limit(2), 8).collect()
+    assert {r["slot"] for r in few} == {0} and len(few) == 2

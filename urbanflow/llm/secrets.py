@@ -7,7 +7,8 @@ symbols, the runs test above and below the alphabet's middle, and the lag-1 seri
 
 Passing is easy for a short token, so what passes needs evidence against the other hypothesis, ordinary
 structured text: few repeated symbols for the length (symbol pairs that are equal, against the rate of
-text) and many changes between letters, digits and signs (against the rate of text). Both tails have
+text) and many changes between letters and digits (against the rate of text; signs, which part the
+words of paths, names and dates, belong to what stands before them). Both tails have
 closed bounds whose strength grows with the length; their product gives a p-value (Fisher). Over all
 tokens of the corpus, within each class of length, the Benjamini-Hochberg step-up keeps the false
 discovery rate at ``FDR``. Its thresholds come from counts on a fixed grid of p-values, summed over
@@ -41,16 +42,16 @@ ENCODINGS = (("decimal", _09), ("hex", _09 + "abcdef"), ("HEX", _09 + "ABCDEF"),
 #: level of each randomness test
 ALPHA = 1e-3
 FDR = 0.01
-#: rate of equal symbol pairs and of class changes in ordinary text
+#: rate of equal symbol pairs and of changes between letters and digits in ordinary text
 TEXT_PAIRS, TEXT_CHANGES = 0.065, 0.08
 #: first lengths of the classes
 LENGTHS = (16, 20, 24, 32, 48, 64, 128)
 #: p-values are compared on this grid of -ln p
 GRID, CELLS = 0.1, 2000
 
-_CLASS = np.zeros(128, np.int8)
-for _i, _chars in enumerate((_az, _AZ, _09, "+/_=-")):
-    _CLASS[[ord(c) for c in _chars]] = _i
+_DIGIT, _SIGN = np.zeros(128, bool), np.zeros(128, bool)
+_DIGIT[[ord(c) for c in _09]] = True
+_SIGN[[ord(c) for c in "+/_=-"]] = True
 _PLACE = np.full((len(ENCODINGS), 128), -1, np.int16)
 for _e, (_, _alphabet) in enumerate(ENCODINGS):
     _PLACE[_e, [ord(c) for c in _alphabet]] = np.arange(len(_alphabet))
@@ -100,7 +101,9 @@ def battery(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     pairs = (counts.astype(float) * (counts - 1)).sum(axis=1) / 2
     rate = TEXT_PAIRS * n * (n - 1) / 2
     few = np.where(pairs < rate, rate - pairs + pairs * np.log(np.maximum(pairs, 1e-300) / rate), 0.0)
-    kind = _CLASS[flat]
+    sign = _SIGN[flat]
+    sign[start] = False
+    kind = _DIGIT[flat][np.maximum.accumulate(np.where(sign, 0, np.arange(len(flat))))]
     changes = np.bincount(inner, weights=(kind[1:] != kind[:-1])[same], minlength=m)
     q = changes / (n - 1)
     kl = (q * np.log(np.maximum(q, 1e-300) / TEXT_CHANGES)
