@@ -1,0 +1,78 @@
+"""Line dedup against a plain count; bitmaps; hot lines."""
+
+import hashlib
+from collections import defaultdict
+
+import numpy as np
+import pandas as pd
+
+from fixtures import messy, read, texts
+from urbanflow.llm import linededup
+from urbanflow.llm.queries import op9_line_dedup
+
+WS = " \t\n\x0b\x0c\r"
+
+
+def lower(s):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s)
+
+
+def brute(docs, least):
+    """docs: {key: text}."""
+    holders = defaultdict(set)
+    for i, t in docs.items():
+        for line in (t or "").split("\n"):
+            holders[lower(line.strip(WS))].add(i)
+    common = {k for k, v in holders.items() if k and len(v) >= least}
+    out = {}
+    for i, t in docs.items():
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if lower(x.strip(WS)) not in common]
+        out[i] = (len(lines), len(lines) - len(kept), "\n".join(kept))
+    return out
+
+
+def test_query_equals_brute_force(spark):
+    want = brute(texts(spark, "/root/testdata/sf0.01"), 10)
+    got = op9_line_dedup(spark, "/root/testdata/sf0.01").collect()
+    assert len(got) == len(want)
+    for r in got:
+        n, gone, text = want[r["doc_id"]]
+        assert (r["n_lines"], r["n_dropped"], r["kept_sha256"]) == (n, gone, hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_keys_and_thresholds(spark):
+    rows = {i: f"  Common LINE\t\nÀ only {i}\n\n x\x0b\nÉ\nCommon line\r" + ("\nrare" if i < 3 else "") for i in range(12)}
+    rows[100], rows[101] = None, ""
+    for least in (2, 3, 4, 12, 13):
+        docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(5)
+        got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["text"]) for r in linededup.drop_common_lines(docs, min_documents=least).collect()}
+        assert got == brute(rows, least)
+
+
+def test_firsts_are_counted_across_batches():
+    frame = pd.DataFrame({"h1": [1, 1, 1, 1, 2, 2], "h2": [0] * 6, "d1": [1, 1, 2, 2, 2, 3], "d2": [0] * 6, "pos": range(6)})
+    for cut in range(1, 6):
+        out = pd.concat(list(linededup._mark_first([frame[:cut], frame[cut:cut], frame[cut:]])))
+        assert out["first"].tolist() == [1, 0, 1, 0, 1, 1]
+
+
+def test_bitmaps():
+    data = linededup._bitmap(pd.Series([[3, 0, 9]]))[0]
+    keep = linededup.read_bitmap(data)
+    assert len(keep) == 16 and np.flatnonzero(~keep).tolist() == [0, 3, 9]
+    out = linededup._apply(pd.Series([b"\n".join(b"%d" % i for i in range(14)), None]), pd.Series([data, None]))
+    assert out["text"].tolist() == ["1\n2\n4\n5\n6\n7\n8\n10\n11\n12\n13", ""]
+    assert out[["n_lines", "n_dropped"]].values.tolist() == [[14, 3], [1, 0]]
+
+
+def test_edges(spark):
+    docs = messy(spark)
+    rows = linededup.drop_common_lines(docs, min_documents=3).collect()  # the greeting: documents 1 (its copy is one) and 6
+    assert len(rows) == docs.count() and all(r["d1"] == "own d1" and r["bitmap"] == "own bitmap" for r in rows)
+    assert all(r["n_dropped"] == 0 for r in rows)
+    two = linededup.drop_common_lines(docs, min_documents=2).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in two if r["n_dropped"]) == [(1, ""), (1, ""), (6, "")]
+    assert {r["doc_id"]: r["n_lines"] for r in rows if r["doc_id"] in (2, 3, 5, 8)} == {2: 1, 3: 1, 5: 2, 8: 41}
+    assert [r["text"] for r in rows if r["doc_id"] == 2] == [""]
+    assert linededup.drop_common_lines(docs.limit(0)).count() == 0

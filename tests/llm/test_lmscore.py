@@ -1,0 +1,111 @@
+"""Pseudo-likelihood scores: the network against plain loops, gradients against differences, learning."""
+
+import numpy as np
+import pytest
+
+from fixtures import messy, read
+from urbanflow.llm import lmscore as lm
+
+
+def tiny():
+    vocabulary = lm.Vocabulary([(b"the", 50), (b"cat", 20), (b"sat", 10), (b"mat", 5)], 100)
+    return vocabulary, lm.fresh_weights()
+
+
+def test_contexts():
+    x = lm.contexts(np.array([10, 11, 12, 13, 14]), np.array([3, 0, 1, 1]))
+    P = lm.PAD
+    assert x.tolist() == [[P, P, 11, 12], [P, 10, 12, P], [10, 11, P, P], [P] * 4, [P] * 4]
+    assert lm.contexts(np.zeros(0, np.int64), np.zeros(2, np.int64)).shape == (0, 4)
+
+
+def test_scores_equal_plain_loops():
+    v, w = tiny()
+    ids = v.encode([b"the", b"cat", b"zzz", b"sat", b"the"])
+    assert ids[0] == 0 and lm.VOCABULARY <= ids[2] < lm.PAD
+    got = lm.log_probabilities(w, v, ids, np.array([3, 2]))
+    docs, at = [ids[:3], ids[3:]], 0
+    for d in docs:
+        for t, target in enumerate(d):
+            hidden = w["bias"].astype(float).copy()
+            for s, shift in enumerate((-2, -1, 1, 2)):
+                neighbour = d[t + shift] if 0 <= t + shift < len(d) else lm.PAD
+                hidden += w["emb"][neighbour].astype(float) @ w["inner"][s].astype(float)
+            z = np.tanh(hidden) @ w["outer"].astype(float) + w["out_bias"]
+            p = np.exp(z - z.max())
+            p /= p.sum()
+            want = np.log(p[v.class_of[target]]) + v.log_share[target]
+            assert abs(got[at] - want) < 1e-4
+            at += 1
+
+
+def test_shares_sum_to_one_in_each_class():
+    v, _ = tiny()
+    for c in np.unique(v.class_of):
+        assert abs(np.exp(v.log_share[v.class_of == c]).sum() - 1) < 1e-9
+
+
+def test_step_follows_the_gradient():
+    _, w = tiny()
+    rng = np.random.default_rng(0)
+    w = {k: a.astype(np.float64) for k, a in w.items()}
+    x, y = rng.integers(0, 20, (7, 4)), rng.integers(0, lm.CLASSES, 7)
+
+    def loss(u):
+        _, _, z = lm._forward(u, x)
+        return -(z[np.arange(7), y] - np.log(np.exp(z).sum(axis=1))).mean()
+
+    g = lm.gradients(w, x, y)
+    emb = np.zeros_like(w["emb"])
+    np.add.at(emb, x.ravel(), g["emb"])
+    g["emb"] = emb
+    for name, at in (("emb", (x[0, 0], 3)), ("inner", (1, 2, 5)), ("bias", (4,)), ("outer", (6, int(y[0]))), ("out_bias", (int(y[1]),))):
+        up, down = ({k: a.copy() for k, a in w.items()} for _ in range(2))
+        up[name][at] += 1e-5
+        down[name][at] -= 1e-5
+        assert g[name][at] == pytest.approx((loss(up) - loss(down)) / 2e-5, abs=1e-6)
+    squares = {k: np.full_like(a, 1e-6) for k, a in w.items()}
+    before = loss(w)
+    for _ in range(5):
+        lm.learn(w, squares, x, y)
+    assert loss(w) < before
+
+
+def test_vocabulary_is_exact(spark):
+    from collections import Counter
+    docs = read(spark, "documents")
+    v = lm.build_vocabulary(docs.selectExpr("cast(text as binary) text"))
+    count = Counter(w for r in docs.collect() for w in (r["text"] or "").encode().lower().split())
+    top = sorted(count.items(), key=lambda x: (-x[1], x[0]))[:lm.VOCABULARY]
+    assert list(v.number) == [w for w, _ in top]
+
+
+def test_training_helps_and_scores_add_up(spark):
+    docs = read(spark, "documents", "/root/testdata/sf0.01").repartition(4, "doc_id")
+    out = lm.score(docs).collect()
+    texts = docs.selectExpr("cast(text as binary) text")
+    v = lm.build_vocabulary(texts)
+    ids, lengths = lm._join([r["text"] for r in texts.collect()], v)
+    before = lm.log_probabilities(lm.fresh_weights(), v, ids, lengths).sum()
+    assert sum(r["n_tokens"] for r in out) == len(ids)
+    assert sum(r["log_prob"] for r in out) > before + 0.05 * len(ids)
+    assert all(abs(r["mean_log_prob"] * r["n_tokens"] - r["log_prob"]) < 1e-6 * abs(r["log_prob"]) for r in out if r["n_tokens"])
+    # real text is likelier than its own words in disorder
+    rng = np.random.default_rng(0)
+    w = lm.train(texts, v)
+    some = [r["text"] for r in texts.limit(60).collect()]
+    mixed = [b" ".join(rng.permutation(np.array(lm.tokens(t), object)).tolist()) for t in some]
+    scores = [lm.log_probabilities(w, v, *lm._join(x, v)).sum() for x in (some, mixed)]
+    assert scores[0] > scores[1]
+
+
+def test_edges(spark):
+    docs = messy(spark)
+    rows = lm.score(docs).collect()
+    assert len(rows) == docs.count() and all(r["kept"] == "own kept" for r in rows)
+    for r in rows:
+        if not (r["text"] or "").strip():
+            assert (r["n_tokens"], r["log_prob"], r["mean_log_prob"]) == (0, 0.0, None)
+        else:
+            assert r["n_tokens"] == len(r["text"].split()) and r["log_prob"] < 0
+    assert lm.score(docs.limit(0)).count() == 0

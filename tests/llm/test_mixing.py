@@ -1,0 +1,112 @@
+"""The mix against a plain simulation of the queue over all copies."""
+
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from fixtures import messy, read
+from urbanflow.llm import mixing
+from urbanflow.llm.queries import op7_mixing
+
+SF = "/root/testdata/sf0.01"
+
+
+def water_fill(sizes, weights=(5, 2, 1), epochs=3):
+    """Share by weight, freeze what is above its cap, share the rest again."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, free, budget = {}, set(names), float(sum(sizes.values()))
+    while free:
+        level = budget / sum(weight[s] for s in free)
+        over = {s for s in free if weight[s] * level > epochs * sizes[s]}
+        if not over:
+            target.update({s: weight[s] * level for s in free})
+            break
+        for s in over:
+            target[s] = float(epochs * sizes[s])
+            budget -= target[s]
+        free -= over
+    return target
+
+
+def simulate(rows, epochs=3):
+    """rows: (key, source, size, hash). {key: taken} of the longest prefix in order of finish time."""
+    sizes = Counter()
+    for _, s, n, _ in rows:
+        sizes[s] += n
+    target = water_fill(dict(sizes))
+    items = []
+    for s in sizes:
+        cum = 0
+        for key, _, n, h in sorted((r for r in rows if r[1] == s), key=lambda r: (r[3], r[2])):
+            cum += n
+            if n:
+                items += [((e * sizes[s] + cum) / target[s], h, e, n, key) for e in range(epochs)]
+    taken, run = Counter(), 0
+    for v, h, e, n, key in sorted(items):
+        if run + n > sum(sizes.values()):
+            break
+        run += n
+        taken[key] += n
+    return taken, target, sizes
+
+
+def hashed(spark, docs):
+    return {r["doc_id"]: r["h"] for r in docs.select("doc_id", F.xxhash64(F.lit(42), "doc_id", "text").alias("h")).collect()}
+
+
+def test_query_equals_the_simulation(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PER_RANGE", 64)  # many hash ranges a source
+    docs = read(spark, "documents", SF)
+    h = hashed(spark, docs)
+    rows = [(r["doc_id"], r["source"], len((r["text"] or "").encode().split()), h[r["doc_id"]]) for r in docs.collect()]
+    taken, target, sizes = simulate(rows)
+    source = {r[0]: r[1] for r in rows}
+    got = op7_mixing(spark, SF).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        s = source[r["doc_id"]]
+        assert (r["taken"], r["source_size"]) == (taken[r["doc_id"]], sizes[s])
+        assert abs(r["target"] - target[s]) < 1e-6 * target[s] and r["taken"] <= 3 * r["size"]
+    per = Counter()
+    for r in got:
+        per[source[r["doc_id"]]] += r["taken"]
+    largest = max(r["size"] for r in got)
+    assert all(abs(per[s] - target[s]) <= 2 * largest for s in per)
+    assert {tuple(r) for r in op7_mixing(spark, SF).collect()} == {tuple(r) for r in got}  # reruns agree
+
+
+def test_targets_stop_at_the_cap(spark):
+    sizes = {"a": 10, "b": 1000, "c": 5, None: 400, "d": 0}
+    frame = spark.createDataFrame([(s is None, s or "", n) for s, n in sizes.items()], "none boolean, name string, source_size long")
+    got = {None if r["none"] else r["name"]: r["target"] for r in mixing.targets(frame, (5.0, 2.0, 1.0), 3).collect()}
+    want = water_fill(sizes)
+    assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-9 * max(1, want[s]) for s in want)
+    assert got["a"] == 30 and got["d"] == 0
+
+
+def test_one_source_holds_almost_all(spark):
+    rows = [(i, "w " * (i % 50 + 1), "big" if i % 20 else f"s{i % 3}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    h = hashed(spark, docs)
+    taken, _, _ = simulate([(i, s, i % 50 + 1, h[i]) for i, _, s in rows])
+    assert {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()} == {i: taken[i] for i, _, _ in rows}
+
+
+def test_edges(spark):
+    docs = messy(spark)
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == docs.count() and all(r["range"] == "own range" and r["cell"] == "own cell" for r in rows)
+    for r in rows:
+        assert (r["size"] == 0) == (not (r["text"] or "").strip())
+        assert r["taken"] in {k * r["size"] for k in range(4)}
+    total = sum(r["size"] for r in rows)
+    assert 0 <= total - sum(r["taken"] for r in rows)
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns
+    assert Counter(r["doc_id"] for r in out.collect()) == Counter({k: n for k, n in Counter(
+        {i: sum(r["taken"] // r["size"] for r in rows if r["doc_id"] == i and r["size"]) for i in {r["doc_id"] for r in rows}}).items() if n})
+    assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
+    empty = mixing.mix(docs.where("doc_id = 3")).collect()
+    assert [(r["size"], r["target"], r["taken"]) for r in empty] == [(0, 0.0, 0)]

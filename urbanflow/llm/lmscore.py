@@ -31,7 +31,7 @@ from .common import landed, packed, ship, unpacked
 VOCABULARY, RARE, CLASSES = 8192, 64, 64
 SIDE, WIDTH, HIDDEN = 2, 16, 32
 ROUNDS, STRIDE = 2, 16
-MINIBATCH, RATE = 1024, 0.5
+MINIBATCH, RATE = 128, 0.07
 SLICES = 8
 SEED = 42
 #: words that a counting task holds before it sends what it has; tokens scored at a time
@@ -94,20 +94,30 @@ def _forward(w, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return e, h, z
 
 
-def learn(w, x: np.ndarray, y: np.ndarray) -> None:
-    """One step of gradient descent, in place, on the mean loss of a minibatch."""
+def gradients(w, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean loss of a minibatch; ``emb`` has one row a place of x."""
     e, h, z = _forward(w, x)
     p = np.exp(z)
     p /= p.sum(axis=1, keepdims=True)
     p[np.arange(len(y)), y] -= 1
-    p *= RATE / len(y)
+    p /= len(y)
     back = (p @ w["outer"].T) * (1 - h * h)
-    wide = back @ w["inner"].reshape(-1, HIDDEN).T
-    w["outer"] -= h.T @ p
-    w["out_bias"] -= p.sum(axis=0)
-    w["inner"] -= (e.reshape(len(x), -1).T @ back).reshape(w["inner"].shape)
-    w["bias"] -= back.sum(axis=0)
-    np.add.at(w["emb"], x.ravel(), -wide.reshape(-1, WIDTH))
+    return {"outer": h.T @ p, "out_bias": p.sum(axis=0), "bias": back.sum(axis=0),
+            "inner": (e.reshape(len(x), -1).T @ back).reshape(w["inner"].shape),
+            "emb": (back @ w["inner"].reshape(-1, HIDDEN).T).reshape(-1, WIDTH)}
+
+
+def learn(w, squares, x: np.ndarray, y: np.ndarray) -> None:
+    """One AdaGrad step, in place; ``squares`` are the sums of squared gradients so far."""
+    g = gradients(w, x, y)
+    rows, where = np.unique(x, return_inverse=True)
+    emb = np.zeros((len(rows), WIDTH), w["emb"].dtype)
+    np.add.at(emb, where.ravel(), g.pop("emb"))
+    squares["emb"][rows] += emb * emb
+    w["emb"][rows] -= RATE * emb / np.sqrt(squares["emb"][rows])
+    for name, d in g.items():
+        squares[name] += d * d
+        w[name] -= RATE * d / np.sqrt(squares[name])
 
 
 def log_probabilities(w, vocabulary: Vocabulary, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -179,6 +189,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
             from pyspark import TaskContext
 
             own, seen, task = _unflatten(shared.value), 0, TaskContext.get().partitionId()
+            squares = {name: np.full_like(a, 1e-6) for name, a in own.items()}
             for frame in frames:
                 for at in range(0, len(frame), 500):
                     ids, lengths = _join(frame["text"][at:at + 500], shared_vocabulary.value)
@@ -188,7 +199,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
                     np.random.default_rng([SEED, round_, task, at]).shuffle(pick)
                     x, y = contexts(ids, lengths)[pick], shared_vocabulary.value.class_of[ids[pick]]
                     for i in range(0, len(pick), MINIBATCH):
-                        learn(own, x[i:i + MINIBATCH], y[i:i + MINIBATCH])
+                        learn(own, squares, x[i:i + MINIBATCH], y[i:i + MINIBATCH])
                     seen += len(pick)
             if seen:
                 parts = np.array_split(_flatten(own), SLICES)
