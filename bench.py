@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from urbanflow.plans.catalog import QUERIES  # noqa: E402
-from urbanflow.session import build_session  # noqa: E402
+from urbanflow.session import build_session, clean_scratch  # noqa: E402
 
 
 def _sf_value(sf_dir: str):
@@ -88,6 +88,7 @@ def main() -> None:
     if failures:
         out["failures"] = failures
     print(json.dumps(out))
+    clean_scratch(spark)
     spark.stop()
 
 

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from urbanflow.session import build_session  # noqa: E402
+from urbanflow.session import build_session, clean_scratch  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -20,6 +20,7 @@ def spark():
     })
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    clean_scratch(s)
     s.stop()
 
 

@@ -9,7 +9,8 @@ from urbanflow import session
 
 def test_scratch_under_configured_checkpoint_dir(spark):
     root = session.configured_root(spark)
-    assert root and session.scratch_path(spark, "x").startswith(root.rstrip("/"))
+    assert root and spark.sparkContext.applicationId in session.scratch_path(spark, "x")
+    assert session.scratch_path(spark, "x").startswith(root.rstrip("/"))
 
 
 def test_fallback_when_no_checkpoint_dir(spark, monkeypatch):
@@ -24,3 +25,11 @@ def test_fallback_when_no_checkpoint_dir(spark, monkeypatch):
     monkeypatch.undo()
     p1, p2 = session.scratch_path(spark, "q"), session.scratch_path(spark, "q")
     assert p1 != p2  # a fresh folder per call
+
+
+def test_scratch_is_cleaned(spark):
+    path = session.scratch_path(spark, "rows")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    session.clean_scratch(spark)
+    assert not os.path.exists(path.removeprefix("file:"))

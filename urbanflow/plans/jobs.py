@@ -33,7 +33,7 @@ from ..operators.enrich import fill_station_attributes
 from ..sources.dims import stations
 from ..operators.reports import exact_mean, ingest_report, windowed_summary
 from ..schemas import KNOWN_DATASETS, PM, WEATHER_CORE, WEATHER_FULL
-from ..session import build_session, scratch_path
+from ..session import build_session, clean_scratch, scratch_path
 from ..sinks.kafka import start_kafka_publish
 from ..sinks.parquet import read_partitioned, write_counted, write_partitioned
 from ..sources.files import CORRUPT_ROW, discover_datasets, read_delimited, read_delimited_inferred
@@ -330,6 +330,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "compact":
         where = closed_hours(a.closed) if a.closed is not None else a.where
         compact(spark, f"{paths.root}/{a.table}", f"{paths.curated}/{a.table.rsplit('/', 1)[-1]}", where=where)
+    clean_scratch(spark)
 
 
 if __name__ == "__main__":

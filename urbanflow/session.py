@@ -69,6 +69,16 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/urbanflow/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh, never-reused path under the shared root."""
-    return "/".join([shared_root(spark), "urbanflow", *parts, uuid.uuid4().hex])
+    """A fresh, never-reused path under the shared root, in the folder of this application."""
+    return "/".join([_own_scratch(spark), *parts, uuid.uuid4().hex])
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch; call it once no result that reads from it is needed any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
