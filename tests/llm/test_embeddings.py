@@ -1,5 +1,7 @@
 """Embedding near-dedup against all pairs; hashing, blocks, broken vectors."""
 
+import os
+
 import numpy as np
 import pytest
 
@@ -52,6 +54,8 @@ def test_links_and_components_equal_all_pairs(spark, monkeypatch, block):
 
 def test_recall_on_the_given_vectors(spark):
     """All labels of the smaller check table's first part, against all pairs in blocks."""
+    if not os.path.isdir("/root/testdata/check_s"):
+        pytest.skip("no larger table here")
     table = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").where("label = 1")
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in table.collect()]
     links, _ = brute(rows)

@@ -21,6 +21,12 @@ SPACE = r"\x20\x09-\x0D"
 WORD = f"[^{SPACE}]+"
 
 IN = "__in"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def document_key(id_: Column, text: Column) -> list[Column]:
+    """128 bits (d1, d2) that stand for a document: repeated rows (same id, same text) are one."""
+    return [F.xxhash64(id_, text).alias("d1"), F.xxhash64(F.lit(1), id_, text).alias("d2")]
 
 
 def packed(df: DataFrame, columns: list[str] | None = None) -> Column:
@@ -47,7 +53,12 @@ def landed_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """As ``landed``, with the path (for ``discard``)."""
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")  # what the write has shuffled is not read again: its files go with the job
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -58,6 +69,15 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: steps of ``lot``
+LOTS = 1 << 30
+
+
+def lot(seed: int, *columns: str) -> Column:
+    """An even number from 0 to LOTS - 1 that depends on the columns alone."""
+    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(LOTS))
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, wherever the executors run (once a session)."""
     sc = spark.sparkContext

@@ -6,7 +6,8 @@ through a tanh layer, and a softmax gives the token's class. Within its class a
 the corpus counts, so log p(token | both sides) = log p(class | both sides) + log p(token | class). A
 document's score is the sum over its tokens.
 
-Vocabulary: the ``VOCABULARY`` most frequent words by exact counts over all documents; every other word
+Vocabulary: the ``VOCABULARY`` most frequent words by exact counts over all documents, among those that
+make up at least ``MIN_SHARE`` of them (which bounds what is sorted); every other word
 is one of ``RARE`` tokens by hash. Classes hold about equal shares of the corpus.
 
 Training covers all documents: in each of ``ROUNDS`` every task walks its own documents from the common
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import landed, packed, ship, unpacked
 
 VOCABULARY, RARE, CLASSES = 8192, 64, 64
+MIN_SHARE = 1e-7
 SIDE, WIDTH, HIDDEN = 2, 16, 32
 ROUNDS, STRIDE = 2, 16
 MINIBATCH, RATE = 128, 0.07
@@ -159,8 +161,10 @@ def _count(batches):
 def build_vocabulary(texts: DataFrame) -> Vocabulary:
     """From the column ``text`` (binary), over all rows."""
     counts = landed(texts.mapInPandas(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm_words")
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()  # a bounded list
     total = counts.agg(F.sum("n")).first()[0] or 0
+    # landed first: a collected limit would send every task's share of it to the driver
+    top = landed(counts.where(F.col("n") >= MIN_SHARE * total).orderBy(F.desc("n"), "word").limit(VOCABULARY), "lm_top")
+    top = sorted(top.collect(), key=lambda r: (-r["n"], bytes(r["word"])))
     return Vocabulary([(bytes(r["word"]), r["n"]) for r in top], total)
 
 
