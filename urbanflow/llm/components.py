@@ -1,7 +1,9 @@
 """Connected components over links that stay distributed: alternating large and small stars.
 
 Each round is two aggregations and two joins over the links; rounds grow with the logarithm of the
-component size. Nothing but a count and a checksum reaches the driver.
+component size. The aggregated side of a join is landed first, so that both sides of the join are
+dealt out for it and a node with very many links can be split. Nothing but a count and a checksum
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -25,9 +27,10 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     e, path = landed_at(start, "links")
     seen = _signature(e)
     while True:
-        nxt, new_path = landed_at(_round(e), "links")
+        nxt, new_path, used = _round(e)
         now = _signature(nxt)
-        discard(spark, path)
+        for done in (path, *used):
+            discard(spark, done)
         e, path = nxt, new_path
         if now == seen:
             break
@@ -40,15 +43,17 @@ def _signature(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def _round(e: DataFrame) -> DataFrame:
-    """One large star (every larger neighbour moves to the smallest neighbour), one small star."""
+def _round(e: DataFrame) -> tuple[DataFrame, str, list[str]]:
+    """One large star (every larger neighbour moves to the smallest neighbour), one small star: the new
+    links, where they are, and the tables used on the way."""
     both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = (both.where("v > u").join(low, "u")
-             .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-    low = large.groupBy("u").agg(F.min("v").alias("m"))
-    moved = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(low.select("u", F.col("m").alias("v"))).distinct()
+    low, low_path = landed_at(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "stars")
+    large, large_path = landed_at(
+        both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "stars")
+    least, least_path = landed_at(large.groupBy("u").agg(F.min("v").alias("m")), "stars")
+    moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    out, path = landed_at(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+    return out, path, [low_path, large_path, least_path]
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

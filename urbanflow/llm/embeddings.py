@@ -219,7 +219,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
               .select("node", "first", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                       F.coalesce("root", "node").alias("root")))
     marked = landed(marked, "vector_marks")
-    least = marked.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = landed(marked.groupBy("root").agg(F.min("first").alias("component_id")), "vector_components")
     per_node = marked.join(least, "root").select("node", "n_links", "component_id")
     out = base.select("__in", "id", "node").join(per_node, "node", "left").select(
         "__in", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
