@@ -15,10 +15,10 @@ import zlib
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import landed, packed, ship, unpacked
+from .common import document_key, landed, packed, ship, unpacked
 
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -28,11 +28,6 @@ def key(line: bytes) -> bytes:
     return line.strip(_SPACE).lower()
 
 
-def _document(id_: Column, text: Column) -> list[Column]:
-    """128 bits that stand for a document: repeated rows (same id, same text) are one."""
-    return [F.xxhash64(id_, text).alias("d1"), F.xxhash64(F.lit(1), id_, text).alias("d2")]
-
-
 def _emit(frames):
     for frame in frames:
         hashes, docs, at = [], [], []
@@ -96,10 +91,10 @@ def _apply(texts: pd.Series, maps: pd.Series) -> pd.DataFrame:
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_documents: int = 10) -> DataFrame:
-    """(d1, d2, bitmap) of every document that loses a line (see ``_document`` for its key)."""
+    """(d1, d2, bitmap) of every document that loses a line (see ``document_key``)."""
     ship(docs.sparkSession)
     text = F.col(text_col)
-    lines = (docs.where(text != "").select(*_document(F.col(id_col), text), text.cast("binary").alias("text"))
+    lines = (docs.where(text != "").select(*document_key(F.col(id_col), text), text.cast("binary").alias("text"))
              .mapInPandas(_emit, "h1 long, h2 long, d1 long, d2 long, pos long")
              .repartitionByRange("h1", "h2", "d1", "d2").sortWithinPartitions("h1", "h2", "d1", "d2", "pos"))
     marked = landed(lines.mapInPandas(_mark_first, "h1 long, h2 long, d1 long, d2 long, pos long, first long"), "lines")
@@ -123,7 +118,7 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ship(docs.sparkSession)
     bitmaps = keep_bitmaps(docs, id_col, text_col, min_documents)
     others = [c for c in docs.columns if c.lower() != text_col.lower()]
-    rows = docs.select(packed(docs, others), *_document(F.col(id_col), F.col(text_col)),
+    rows = docs.select(packed(docs, others), *document_key(F.col(id_col), F.col(text_col)),
                        F.col(text_col).cast("binary").alias("raw"))
     done = rows.join(bitmaps, ["d1", "d2"], "left").select("__in", F.pandas_udf(_apply, "text string, n_lines long, n_dropped long")("raw", "bitmap")
                          .alias("done"))

@@ -22,10 +22,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import landed, packed, ship, unpacked
+from .common import document_key, landed, packed, ship, unpacked
 from .components import connected_components, forest
 
 #: fingerprints that a map chunk turns into variants at a time (12 bits number them)
@@ -121,7 +121,12 @@ def unblock(block: bytes) -> tuple[np.ndarray, np.ndarray]:
 def meet(keys: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Verified links among fingerprints with equal keys, as a forest (node, root)."""
     order = np.argsort(keys, kind="stable")
-    keys, fps = keys[order], fps[order]
+    keys = keys[order]
+    alone = np.ones(len(keys), bool)  # most keys: nothing to verify
+    alone[1:] &= keys[1:] != keys[:-1]
+    alone[:-1] &= keys[1:] != keys[:-1]
+    keys, fps = keys[~alone], fps[order[~alone]]
+    del order, alone
     cuts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)])) if len(keys) else np.array([0])
     sizes = np.diff(cuts)
     found_a, found_b = [], []
@@ -177,6 +182,7 @@ def link_fingerprints(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     def verify(frame):
         parts = [unblock(b) for b in frame["block"]]
         keys, values = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        del parts
         node, root = meet(keys, values, max_bits)
         return pd.DataFrame({"a": node.view(np.int64), "b": root.view(np.int64)})
 
@@ -209,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = link_fingerprints(nodes.select("fp").repartition(_spread(nodes)), max_bits)
     rooted = landed(nodes.join(roots, nodes["fp"] == roots["node"], "left")
                     .select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash_roots")
-    whole = rooted.groupBy("root").agg(F.min("first").alias("of"))
+    whole = landed(rooted.groupBy("root").agg(F.min("first").alias("of")), "simhash_components")
     classes = rooted.join(whole, "root").select("fp", "of")
     out = base.join(classes, "fp").select(
         "__in", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -224,8 +230,15 @@ def _spread(nodes: DataFrame) -> int:
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
                 max_bits: int = 4) -> DataFrame:
-    """docs with one row of each near-duplicate component (see ``near_duplicates``), its columns as given."""
-    flagged = near_duplicates(docs.select(F.struct("*").alias("doc")).select(
-        "doc", F.col("doc")[id_col].alias("id"), F.col("doc")[text_col].alias("text")),
-        "id", "text", words, max_bits, carry=["doc"])
-    return flagged.where("component_first").select("doc.*")
+    """docs with one row of each near-duplicate component (see ``near_duplicates``), its columns as given.
+
+    Only keys of documents go through the grouping; texts move once, to meet the keys that stay. Rows that
+    repeat a document (same id and text) are told apart there, within their key.
+    """
+    keys = document_key(F.col(id_col), F.col(text_col))
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *keys)
+    stay = landed(near_duplicates(slim, "id", "text", words, max_bits, carry=["d1", "d2"])
+                  .where("component_first").select("d1", "d2"), "simhash_kept")
+    rows = docs.select(F.struct("*").alias("doc"), *keys).join(stay, ["d1", "d2"], "left_semi")
+    first = F.row_number().over(Window.partitionBy("d1", "d2").orderBy(F.lit(0)))
+    return rows.withColumn("n", first).where("n = 1").select("doc.*")
