@@ -33,7 +33,7 @@ def test_code_switched_text_is_labelled_word_by_word(spark, model):
     docs = {r["lang"]: langid.words(r["text"])[:40] for r in read(spark, "documents", SF).orderBy("doc_id").collect()
             if len(langid.words(r["text"])) > 60}
     text = " ".join(docs["fr"] + docs["en"])
-    gamma = langid.label([text], model)[0]
+    gamma = dict(langid.label([text], model))[0]
     got = gamma.argmax(axis=1)
     want = np.repeat([model.languages.index("fr"), model.languages.index("en")], 40)
     assert (got == want).mean() > 0.9

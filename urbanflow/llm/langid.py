@@ -6,8 +6,8 @@ conditional likelihood in numpy. Forward-backward gives each word of a text its
 probabilities in the light of the whole text, so code-switched passages are labelled word by word; a
 document's language is the one with most expected words, its score their share.
 
-Fit: up to ``PER_LANGUAGE`` labelled documents of each language (the documented bound; those of the
-smallest id hashes, at most ``FIT_CHARS`` characters each), cut into spans that are strung together
+Fit: up to ``PER_LANGUAGE`` labelled documents of each language (the documented bound; drawn by lot from
+their ids, at most ``FIT_CHARS`` characters each), cut into spans that are strung together
 across documents and languages, so that the transitions learn switches. Everything else covers all
 texts whole. Prediction is map-only: the model is broadcast (its size depends on the features and
 languages alone), texts never move.
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, ship, unpacked
+from .common import LOTS, lot, packed, ship, unpacked
 
 FEATURES = 1 << 16
 PER_LANGUAGE = 300
@@ -33,8 +33,8 @@ LEXICON = 300
 #: words of a training chain, and the chance that a span ends after a word
 CHAIN, SWITCH = 64, 0.04
 STEPS, RATE, PENALTY = 60, 0.3, 1e-4
-#: words that a worker keeps the scores of, and words of one forward-backward batch
-CACHE, BATCH = 1_000_000, 1_500_000
+#: words that a worker keeps the scores of (under one model), and words of one forward-backward batch
+CACHE, BATCH = 300_000, 400_000
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -179,13 +179,14 @@ def fit(rows: list[tuple[str, str]], seed: int = 42) -> Model | None:
     return Model(languages, lexicons, w.astype(np.float32), start, trans)
 
 
-def label(texts: list[str | None], model: Model) -> list[np.ndarray]:
-    """Language probabilities of each word of each text."""
+def label(texts: list[str | None], model: Model):
+    """(position, language probabilities of each word) of every text. Texts come in order of length, so that
+    those of a batch run together for most of their steps; no more than a batch's words are held."""
+    if model.key not in _scores:
+        _scores.clear()
     known = _scores.setdefault(model.key, {"rows": {}, "matrix": np.zeros((0, len(model.languages)), np.float32)})
-    out: list[np.ndarray] = []
-    held: list[list[str]] = []
 
-    def flush():
+    def batch(at: list[int], held: list[list[str]]):
         new = sorted({w for ws in held for w in ws} - known["rows"].keys())
         if len(known["rows"]) + len(new) > CACHE:
             known["rows"], known["matrix"] = {}, known["matrix"][:0]
@@ -194,21 +195,19 @@ def label(texts: list[str | None], model: Model) -> list[np.ndarray]:
         known["matrix"] = np.concatenate((known["matrix"], model.emissions(new)))
         rows, lengths = known["rows"], np.fromiter(map(len, held), np.int64, len(held))
         ids = np.fromiter((rows[w] for ws in held for w in ws), np.int64, int(lengths.sum()))
-        full = lengths > 0
-        gamma = forward_backward(known["matrix"][ids], lengths[full], model.start, model.trans)
-        out.extend(np.split(gamma, np.cumsum(lengths)[:-1]))
-        held.clear()
-
-    total = 0
-    for text in texts:
-        held.append(words(text))
+        gamma = forward_backward(known["matrix"][ids], lengths[lengths > 0], model.start, model.trans)
+        yield from zip(at, np.split(gamma, np.cumsum(lengths)[:-1]))
+
+    at, held, total = [], [], 0
+    for i in sorted(range(len(texts)), key=lambda i: len(texts[i] or "")):
+        at.append(i)
+        held.append(words(texts[i]))
         total += len(held[-1])
         if total > BATCH:
-            flush()
-            total = 0
+            yield from batch(at, held)
+            at, held, total = [], [], 0
     if held:
-        flush()
-    return out
+        yield from batch(at, held)
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
@@ -217,8 +216,12 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"),
                            F.col(text_col).alias("text"))
     small = rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & (F.length("text") <= FIT_CHARS))
-    rank = Window.partitionBy("lang").orderBy("k", "id")
-    chosen = (small.select("lang", "id", F.xxhash64(F.lit(5), "id").alias("k")).withColumn("n", F.row_number().over(rank))
+    # a share of each language that holds several times what is wanted, so that no task ranks more than that
+    share = rows.where("lang is not null and id is not null").groupBy("lang").agg(
+        F.least(F.lit(1.0), F.lit(4.0 * PER_LANGUAGE) / F.count("*")).alias("share"))
+    rank = Window.partitionBy("lang").orderBy("lot", "id")
+    chosen = (small.select("lang", "id", lot(5, "id").alias("lot")).join(share, "lang")
+              .where(F.col("lot") < F.col("share") * LOTS).withColumn("n", F.row_number().over(rank))
               .where(F.col("n") <= PER_LANGUAGE).select("lang", "id").distinct())
     sample = small.join(F.broadcast(chosen), ["lang", "id"]).select("text", "lang", "id").collect()
     return fit([(r["text"], r["lang"]) for r in sorted(sample, key=lambda r: (r["lang"], r["id"], r["text"]))])
@@ -237,16 +240,12 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", carry
 
     def predict(texts: pd.Series) -> pd.DataFrame:
         m = shared.value
-        names, scores = [], []
-        for gamma in (label(texts.tolist(), m) if m else [()] * len(texts)):
-            if not len(gamma):
-                names.append(UNKNOWN)
-                scores.append(0.0)
-                continue
-            share = gamma.sum(axis=0, dtype=float) / len(gamma)
-            best = int(share.argmax())
-            names.append(m.languages[best])
-            scores.append(min(1.0, float(share[best])))
+        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        for i, gamma in (label(texts.tolist(), m) if m else ()):
+            if len(gamma):
+                share = gamma.sum(axis=0, dtype=float) / len(gamma)
+                best = int(share.argmax())
+                names[i], scores[i] = m.languages[best], min(1.0, float(share[best]))
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
     done = docs.select(packed(docs, carry), F.pandas_udf(predict, "lang_pred string, score double")(
@@ -255,5 +254,5 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", carry
 
 
 def held_out(id_col):
-    """Rows whose language is never learned from."""
-    return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(4)) == 2
+    """Rows whose language is never learned from (a null id: false; such rows are not learned from either)."""
+    return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))

@@ -32,7 +32,7 @@ MIN_CUT = 16
 FAN_IN = 16
 END_ID = 1
 #: words whose ids a Python worker keeps
-CACHE = 1_000_000
+CACHE = 500_000
 
 _words: dict = {}
 _tokenizers: dict = {}
@@ -182,8 +182,8 @@ def _pack_documents(path: str, length: int):
         encoder, packer, sink = Encoder(path), Packer(length, OPEN), None
         for batch in batches:
             sink = sink or _Sink(batch.schema.field("id").type, TaskContext.get().partitionId(), 0)
-            for begin in range(0, batch.num_rows, 2000):
-                part = batch.slice(begin, 2000)
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
                 texts = part.column("text").to_pylist()
                 for id_, ids in zip(part.column("id").to_pylist(), encoder.batch(texts)):
                     total, at = len(ids) // 4, 0
