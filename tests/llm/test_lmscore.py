@@ -109,3 +109,19 @@ def test_edges(spark):
         else:
             assert r["n_tokens"] == len(r["text"].split()) and r["log_prob"] < 0
     assert lm.score(docs.limit(0)).count() == 0
+
+
+def test_rare_words_have_their_own_share(spark):
+    import zlib
+    token = lambda w: zlib.crc32(w.encode()) % lm.RARE
+    filler = " ".join(f"w{i}" for i in range(lm.VOCABULARY))
+    first = "rare0"
+    second = next(w for w in (f"rare{i}" for i in range(1, 10_000)) if token(w) == token(first))
+    docs = [filler] * 6 + [first, first, first, second, "w1 " + second + " w2"]
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {r["doc_id"]: r["log_prob"] for r in lm.score(rows).collect()}
+    assert got[6] == got[7] and got[6] - got[9] == pytest.approx(np.log(3 / 2), abs=1e-6)
+    v, rare = lm._vocabulary_and_rare(rows.selectExpr("cast(text as binary) text"))
+    mean = v.word_mean[lm.VOCABULARY + token(first)]
+    assert {bytes(r["word"]).decode(): r["share"] / lm.UNIT + mean for r in rare.collect()} == pytest.approx(
+        {first: np.log(3 / 6), second: np.log(2 / 6)}, abs=1e-8)  # one count is for unseen words

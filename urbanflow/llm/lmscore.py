@@ -8,7 +8,9 @@ document's score is the sum over its tokens.
 
 Vocabulary: the ``VOCABULARY`` most frequent words by exact counts over all documents, among those that
 make up at least ``MIN_SHARE`` of them (which bounds what is sorted); every other word
-is one of ``RARE`` tokens by hash. Classes hold about equal shares of the corpus.
+is one of ``RARE`` tokens by hash to the network, and log p(word | token) comes on top: its share of the
+token's exact count, joined from the table of all words (it is never held whole). A token keeps one count for
+the words that the corpus lacks. Classes hold about equal shares of the corpus.
 
 Training covers all documents: in each of ``ROUNDS`` every task walks its own documents from the common
 weights, on every ``STRIDE``-th position (another set in each round), and the tasks' weights
@@ -38,6 +40,8 @@ SLICES = 8
 SEED = 42
 #: words that a counting task holds before it sends what it has; tokens scored at a time
 HELD, BATCH = 500_000, 65_536
+#: steps of a rare word's log-share (whole numbers, so that sums do not depend on their order)
+UNIT = 10 ** 9
 
 _SHAPES = (("emb", (VOCABULARY + RARE + 1, WIDTH)), ("inner", (2 * SIDE, WIDTH, HIDDEN)), ("bias", (HIDDEN,)),
            ("outer", (HIDDEN, CLASSES)), ("out_bias", (CLASSES,)))
@@ -52,16 +56,22 @@ def tokens(data: bytes | None) -> list[bytes]:
 class Vocabulary:
     """Token numbers of words, class and log-share of each token."""
 
-    def __init__(self, words: list[tuple[bytes, int]], total: int):
+    def __init__(self, words: list[tuple[bytes, int]], total: int, rare: np.ndarray | None = None,
+                 rare_mean: np.ndarray | None = None):
+        """Of the RARE tokens: ``rare``, their counts (default: equal shares of what the words leave of total),
+        and ``rare_mean``, the mean log p(word | token) over their occurrences (default: 0)."""
         self.number = {w: i for i, (w, _) in enumerate(words)}
         count = np.zeros(VOCABULARY + RARE)
         count[:len(words)] = [n for _, n in words]
-        count[VOCABULARY:] = max(0, total - sum(n for _, n in words)) / RARE
+        count[VOCABULARY:] = max(0, total - sum(n for _, n in words)) / RARE if rare is None else rare
         count += 1  # no token is impossible
         before = np.cumsum(count) - count / 2
         self.class_of = np.minimum((CLASSES * before / count.sum()).astype(np.int64), CLASSES - 1)
         mass = np.bincount(self.class_of, weights=count, minlength=CLASSES)
         self.log_share = np.log(count / mass[self.class_of])
+        self.word_mean = np.zeros(VOCABULARY + RARE)
+        if rare_mean is not None:
+            self.word_mean[VOCABULARY:] = rare_mean
 
     def encode(self, words: list[bytes]) -> np.ndarray:
         get = self.number.get
@@ -123,7 +133,8 @@ def learn(w, squares, x: np.ndarray, y: np.ndarray) -> None:
 
 
 def log_probabilities(w, vocabulary: Vocabulary, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """log p(token | both sides) of every token of documents laid end to end."""
+    """log p(token | both sides) of every token of documents laid end to end; a rare token, whose word the
+    number does not tell, with the mean log p(word | token)."""
     x = contexts(ids, lengths)
     out = np.empty(len(ids))
     position = [w["emb"] @ w["inner"][s] for s in range(2 * SIDE)]  # each token's part in the hidden layer
@@ -137,11 +148,14 @@ def log_probabilities(w, vocabulary: Vocabulary, ids: np.ndarray, lengths: np.nd
         z -= z.max(axis=1, keepdims=True)
         mine = vocabulary.class_of[ids[at:at + BATCH]]
         out[at:at + BATCH] = z[np.arange(len(part)), mine] - np.log(np.exp(z).sum(axis=1))
-    return out + vocabulary.log_share[ids]
+    return out + vocabulary.log_share[ids] + vocabulary.word_mean[ids]
 
 
 def _join(texts, vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    found = [tokens(t) for t in texts]
+    return _encoded([tokens(t) for t in texts], vocabulary)
+
+
+def _encoded(found: list[list[bytes]], vocabulary) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.fromiter(map(len, found), np.int64, len(found))
     return vocabulary.encode([w for ws in found for w in ws]), lengths
 
@@ -158,14 +172,31 @@ def _count(batches):
         yield pd.DataFrame({"word": list(held), "n": list(held.values())})
 
 
-def build_vocabulary(texts: DataFrame) -> Vocabulary:
-    """From the column ``text`` (binary), over all rows."""
+def _vocabulary_and_rare(texts: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary and (word, share) of every other word: what its log p(word | token) is beyond the token's
+    mean, in units of 1 / UNIT."""
     counts = landed(texts.mapInPandas(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm_words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     # landed first: a collected limit would send every task's share of it to the driver
     top = landed(counts.where(F.col("n") >= MIN_SHARE * total).orderBy(F.desc("n"), "word").limit(VOCABULARY), "lm_top")
-    top = sorted(top.collect(), key=lambda r: (-r["n"], bytes(r["word"])))
-    return Vocabulary([(bytes(r["word"]), r["n"]) for r in top], total)
+    words = sorted(((bytes(r["word"]), r["n"]) for r in top.collect()), key=lambda r: (-r[1], r[0]))
+    rest = (counts.join(F.broadcast(top.select("word")), "word", "left_anti")
+            .withColumn("token", F.pmod(F.crc32("word"), F.lit(RARE)).cast("int")))
+    mass, mean = np.zeros(RARE), np.zeros(RARE)
+    for r in rest.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.log("n")).alias("n_log_n")).collect():
+        mass[r["token"]] = r["n"]
+        mean[r["token"]] = r["n_log_n"] / r["n"] - np.log(r["n"] + 1)
+
+    def of(values):
+        return F.get(F.array(*[F.lit(float(x)) for x in values]), F.col("token"))
+
+    beyond = F.log("n") - of(np.log(mass + 1)) - of(mean)
+    return Vocabulary(words, total, mass, mean), rest.select("word", F.round(beyond * UNIT).cast("long").alias("share"))
+
+
+def build_vocabulary(texts: DataFrame) -> Vocabulary:
+    """From the column ``text`` (binary), over all rows."""
+    return _vocabulary_and_rare(texts)[0]
 
 
 def _flatten(w) -> np.ndarray:
@@ -233,22 +264,29 @@ def score(docs: DataFrame, text_col: str = "text", carry: list[str] | None = Non
     sc = docs.sparkSession.sparkContext
     ship(docs.sparkSession)
     texts = docs.select(F.col(text_col).cast("binary").alias("text"))
-    vocabulary = build_vocabulary(texts)
+    vocabulary, rare = _vocabulary_and_rare(texts)
     shared = sc.broadcast((vocabulary, train(texts, vocabulary)))
 
     def scored(column: pd.Series) -> pd.DataFrame:
         v, w = shared.value
-        sizes, sums = [], []
+        sizes, sums, others = [], [], []
         for at in range(0, len(column), 500):
-            ids, lengths = _join(column.iloc[at:at + 500], v)
+            found = [tokens(t) for t in column.iloc[at:at + 500]]
+            ids, lengths = _encoded(found, v)
             logs = log_probabilities(w, v, ids, lengths)
             ends = np.cumsum(np.concatenate(([0.0], logs)))
             cuts = np.concatenate(([0], np.cumsum(lengths)))
             sizes.append(lengths)
             sums.append(ends[cuts[1:]] - ends[cuts[:-1]])
-        return pd.DataFrame({"n_tokens": np.concatenate(sizes), "log_prob": np.concatenate(sums)})
-
-    done = docs.select(packed(docs, carry), F.pandas_udf(scored, "n_tokens long, log_prob double")(
-        F.col(text_col).cast("binary")).alias("s"))
-    return unpacked(done.select("__in", "s.n_tokens", "s.log_prob", (F.col("s.log_prob") / F.nullif(F.col("s.n_tokens"), F.lit(0)))
+            others += [[x for x in ws if x not in v.number] for ws in found]
+        return pd.DataFrame({"n_tokens": np.concatenate(sizes), "log_prob": np.concatenate(sums), "rare": others})
+
+    done = landed(docs.select(packed(docs, carry), F.pandas_udf(scored, "n_tokens long, log_prob double, rare array<binary>")(
+        F.col(text_col).cast("binary")).alias("s")).select(
+        "__in", F.monotonically_increasing_id().alias("row"), "s.n_tokens", "s.log_prob", "s.rare"), "lm_scored")
+    shares = (done.select("row", F.explode("rare").alias("word")).join(rare, "word")
+              .groupBy("row").agg(F.sum("share").alias("share")))
+    log_prob = F.col("log_prob") + F.coalesce(F.col("share"), F.lit(0)) / F.lit(float(UNIT))
+    done = done.drop("rare").join(shares, "row", "left").withColumn("log_prob", log_prob)
+    return unpacked(done.select("__in", "n_tokens", "log_prob", (F.col("log_prob") / F.nullif(F.col("n_tokens"), F.lit(0)))
                                 .alias("mean_log_prob")), ["n_tokens", "log_prob", "mean_log_prob"])
