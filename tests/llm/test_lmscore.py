@@ -125,3 +125,15 @@ def test_rare_words_have_their_own_share(spark):
     mean = v.word_mean[lm.VOCABULARY + token(first)]
     assert {bytes(r["word"]).decode(): r["share"] / lm.UNIT + mean for r in rare.collect()} == pytest.approx(
         {first: np.log(3 / 6), second: np.log(2 / 6)}, abs=1e-8)  # one count is for unseen words
+
+
+def test_every_position_is_predicted_once(monkeypatch):
+    v, w = tiny()
+    seen = []
+    monkeypatch.setattr(lm, "learn", lambda w, squares, x, *_: seen.extend(map(tuple, x.tolist())))
+    for lengths in ([1], [2, 0, 1], [300, 7, 1, 40]):
+        n = sum(lengths)
+        ids = np.arange(n) % lm.PAD
+        seen.clear()
+        counted = sum(lm.walk(w, {}, ids, np.array(lengths), v, r, np.random.default_rng(r)) for r in range(lm.ROUNDS))
+        assert counted == n and sorted(seen) == sorted(map(tuple, lm.contexts(ids, np.array(lengths)).tolist()))

@@ -13,8 +13,8 @@ token's exact count, joined from the table of all words (it is never held whole)
 the words that the corpus lacks. Classes hold about equal shares of the corpus.
 
 Training covers all documents: in each of ``ROUNDS`` every task walks its own documents from the common
-weights, on every ``STRIDE``-th position (another set in each round), and the tasks' weights
-are averaged by positions seen, a slice of the weights at a time. What is gathered grows with the
+weights, on every ``ROUNDS``-th position (another set in each round, so that each position is predicted
+once), and the tasks' weights are averaged by positions seen, a slice of the weights at a time. What is gathered grows with the
 corpus (word counts of every task, weights of every task); what is broadcast is the model alone, of a
 size set by the constants.
 """
@@ -34,7 +34,7 @@ from .common import landed, packed, ship, unpacked
 VOCABULARY, RARE, CLASSES = 8192, 64, 64
 MIN_SHARE = 1e-7
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-ROUNDS, STRIDE = 2, 16
+ROUNDS = 2
 MINIBATCH, RATE = 128, 0.07
 SLICES = 8
 SEED = 42
@@ -122,9 +122,10 @@ def gradients(w, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
 def learn(w, squares, x: np.ndarray, y: np.ndarray) -> None:
     """One AdaGrad step, in place; ``squares`` are the sums of squared gradients so far."""
     g = gradients(w, x, y)
-    rows, where = np.unique(x, return_inverse=True)
-    emb = np.zeros((len(rows), WIDTH), w["emb"].dtype)
-    np.add.at(emb, where.ravel(), g.pop("emb"))
+    flat = x.ravel()
+    order = flat.astype(np.uint16).argsort(kind="stable")
+    rows, first = np.unique(flat[order], return_index=True)
+    emb = np.add.reduceat(g.pop("emb")[order], first)
     squares["emb"][rows] += emb * emb
     w["emb"][rows] -= RATE * emb / np.sqrt(squares["emb"][rows])
     for name, d in g.items():
@@ -212,6 +213,17 @@ def _unflatten(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+def walk(w, squares, ids: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary, round_: int, rng) -> int:
+    """Learn from the round's positions of documents laid end to end, in disorder; their number."""
+    pick = np.arange(round_, len(ids), ROUNDS)
+    rng.shuffle(pick)
+    x = contexts(ids, lengths)
+    for i in range(0, len(pick), MINIBATCH):
+        at = pick[i:i + MINIBATCH]
+        learn(w, squares, x[at], vocabulary.class_of[ids[at]])
+    return len(pick)
+
+
 def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     """Weights after ROUNDS of local descent and averaging over all rows of column ``text`` (binary)."""
     sc = texts.sparkSession.sparkContext
@@ -228,14 +240,8 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
             for frame in frames:
                 for at in range(0, len(frame), 500):
                     ids, lengths = _join(frame["text"][at:at + 500], shared_vocabulary.value)
-                    if not len(ids):
-                        continue
-                    pick = np.arange(round_ * (STRIDE // ROUNDS) % len(ids), len(ids), STRIDE)
-                    np.random.default_rng([SEED, round_, task, at]).shuffle(pick)
-                    x, y = contexts(ids, lengths)[pick], shared_vocabulary.value.class_of[ids[pick]]
-                    for i in range(0, len(pick), MINIBATCH):
-                        learn(own, squares, x[i:i + MINIBATCH], y[i:i + MINIBATCH])
-                    seen += len(pick)
+                    rng = np.random.default_rng([SEED, round_, task, at])
+                    seen += walk(own, squares, ids, lengths, shared_vocabulary.value, round_, rng)
             if seen:
                 parts = np.array_split(_flatten(own), SLICES)
                 yield pd.DataFrame({"slice": range(SLICES), "task": task, "seen": seen, "weights": [p.tobytes() for p in parts]})
