@@ -137,3 +137,51 @@ def test_every_position_is_predicted_once(monkeypatch):
         seen.clear()
         counted = sum(lm.walk(w, {}, ids, np.array(lengths), v, r, np.random.default_rng(r)) for r in range(lm.ROUNDS))
         assert counted == n and sorted(seen) == sorted(map(tuple, lm.contexts(ids, np.array(lengths)).tolist()))
+
+
+def test_the_token_is_predicted_from_both_sides():
+    words = [(b"w%d" % i, 1_000_000) for i in range(8)] + [(b"x", 10), (b"y", 10)]
+    v = lm.Vocabulary(words, 8_000_020)
+    a, b, x, y = (v.number[k] for k in (b"w0", b"w1", b"x", b"y"))
+    assert v.class_of[x] == v.class_of[y]
+    w = lm.fresh_weights()
+    squares = {k: np.full_like(u, 1e-6) for k, u in w.items()}
+    ids, lengths = np.array([a, x, a, b, y, b] * 100), np.full(200, 3)
+    for step in range(200):
+        lm.walk(w, squares, ids, lengths, v, step % lm.ROUNDS, np.random.default_rng(step))
+
+    def middle(d):
+        return lm.log_probabilities(w, v, np.array(d), np.array([3]))[1]
+
+    assert middle([a, x, a]) > middle([a, y, a]) + 1 and middle([b, y, b]) > middle([b, x, b]) + 1
+    # over all tokens the probabilities make 1, whatever the weights
+    w["words"] += np.random.default_rng(0).normal(size=w["words"].shape).astype(np.float32)
+    every = np.arange(lm.PAD)
+    docs = np.stack([np.full_like(every, a), every, np.full_like(every, b)], axis=1).ravel()
+    p = np.exp(lm.log_probabilities(w, v, docs, np.full(len(every), 3))[1::3]).sum()
+    assert p == pytest.approx(1, abs=1e-4)
+
+
+def test_token_gradient_equals_differences():
+    v, _ = tiny()
+    rng = np.random.default_rng(1)
+    w = {k: a.astype(np.float64) for k, a in lm.fresh_weights().items()}
+    w["words"] += rng.normal(size=w["words"].shape)
+    ids = np.sort(rng.choice([0, 1, 2, 3, 500, 7000, lm.VOCABULARY + 5, lm.PAD - 1], 9))
+    x, y = rng.integers(0, 20, (9, 4)), v.class_of[ids]
+
+    def loss(u):
+        _, h, z = lm._forward(u, x)
+        total = (z[np.arange(9), y] - np.log(np.exp(z).sum(axis=1))).sum()
+        for k, t in enumerate(ids):
+            c = np.flatnonzero(v.class_of == y[k])
+            q = u["words"][c] @ h[k] + v.log_share[c]
+            total += q[c == t][0] - np.log(np.exp(q).sum())
+        return -total / 9
+
+    g = lm.gradients(w, x, y, ids, v)
+    for name, at in (("words", (ids[-1], 3)), ("words", (500, 0)), ("inner", (1, 2, 5)), ("bias", (4,)), ("outer", (6, int(y[0])))):
+        up, down = ({k: a.copy() for k, a in w.items()} for _ in range(2))
+        up[name][at] += 1e-5
+        down[name][at] -= 1e-5
+        assert g[name][at] == pytest.approx((loss(up) - loss(down)) / 2e-5, abs=1e-6)

@@ -2,9 +2,10 @@
 
 A bidirectional window network, trained in numpy, predicts every token from the ``SIDE`` tokens on
 either side of it: each neighbour's embedding goes through the weights of its position, their sum
-through a tanh layer, and a softmax gives the token's class. Within its class a token has its share of
-the corpus counts, so log p(token | both sides) = log p(class | both sides) + log p(token | class). A
-document's score is the sum over its tokens.
+through a tanh layer, and a softmax gives the token's class. A second softmax from the same layer, over the
+tokens of that class, gives the token; it starts from their shares of the corpus counts. So
+log p(token | both sides) = log p(class | both sides) + log p(token | class, both sides). A document's score
+is the sum over its tokens.
 
 Vocabulary: the ``VOCABULARY`` most frequent words by exact counts over all documents, among those that
 make up at least ``MIN_SHARE`` of them (which bounds what is sorted); every other word
@@ -35,16 +36,16 @@ VOCABULARY, RARE, CLASSES = 8192, 64, 64
 MIN_SHARE = 1e-7
 SIDE, WIDTH, HIDDEN = 2, 16, 32
 ROUNDS = 2
-MINIBATCH, RATE = 128, 0.07
-SLICES = 8
+MINIBATCH, RATE = 1024, 0.07
+SLICES = 32
 SEED = 42
 #: words that a counting task holds before it sends what it has; tokens scored at a time
-HELD, BATCH = 500_000, 65_536
+HELD, BATCH = 500_000, 16_384
 #: steps of a rare word's log-share (whole numbers, so that sums do not depend on their order)
 UNIT = 10 ** 9
 
 _SHAPES = (("emb", (VOCABULARY + RARE + 1, WIDTH)), ("inner", (2 * SIDE, WIDTH, HIDDEN)), ("bias", (HIDDEN,)),
-           ("outer", (HIDDEN, CLASSES)), ("out_bias", (CLASSES,)))
+           ("outer", (HIDDEN, CLASSES)), ("out_bias", (CLASSES,)), ("words", (VOCABULARY + RARE, HIDDEN)))
 PAD = VOCABULARY + RARE
 
 
@@ -69,10 +70,18 @@ class Vocabulary:
         self.class_of = np.minimum((CLASSES * before / count.sum()).astype(np.int64), CLASSES - 1)
         mass = np.bincount(self.class_of, weights=count, minlength=CLASSES)
         self.log_share = np.log(count / mass[self.class_of])
+        self.prior = self.log_share.astype(np.float32)
+        self.first = np.searchsorted(self.class_of, np.arange(CLASSES + 1))  # a class is a range of tokens
         self.word_mean = np.zeros(VOCABULARY + RARE)
         if rare_mean is not None:
             self.word_mean[VOCABULARY:] = rare_mean
 
+    def by_class(self, ids: np.ndarray):
+        """(first place, place after the last, first token, token after the last) of each class of the ascending ids."""
+        ends = np.searchsorted(ids, self.first)
+        for c in np.flatnonzero(ends[1:] > ends[:-1]):
+            yield ends[c], ends[c + 1], self.first[c], self.first[c + 1]
+
     def encode(self, words: list[bytes]) -> np.ndarray:
         get = self.number.get
         return np.fromiter((i if (i := get(w)) is not None else VOCABULARY + zlib.crc32(w) % RARE for w in words),
@@ -81,7 +90,7 @@ class Vocabulary:
 
 def fresh_weights() -> dict[str, np.ndarray]:
     rng = np.random.default_rng(SEED)
-    scale = {"emb": 0.1, "inner": (2 * SIDE * WIDTH) ** -0.5, "outer": HIDDEN ** -0.5, "bias": 0, "out_bias": 0}
+    scale = {"emb": 0.1, "inner": (2 * SIDE * WIDTH) ** -0.5, "outer": HIDDEN ** -0.5, "bias": 0, "out_bias": 0, "words": 0}
     return {n: (rng.standard_normal(shape) * scale[n]).astype(np.float32) for n, shape in _SHAPES}
 
 
@@ -106,22 +115,46 @@ def _forward(w, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return e, h, z
 
 
-def gradients(w, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-    """Of the mean loss of a minibatch; ``emb`` has one row a place of x."""
+def _in_class(w, vocabulary: Vocabulary, h: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Logits of the tokens a to b of a class, less their greatest."""
+    z = h @ w["words"][a:b].T
+    z += vocabulary.prior[a:b]
+    z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def gradients(w, x: np.ndarray, y: np.ndarray, ids: np.ndarray | None = None,
+              vocabulary: Vocabulary | None = None) -> dict[str, np.ndarray]:
+    """Of the mean loss of a minibatch; ``emb`` has one row a place of x. With the (ascending) token numbers ids,
+    whose classes are y, the loss is that of the tokens, else that of the classes."""
     e, h, z = _forward(w, x)
     p = np.exp(z)
     p /= p.sum(axis=1, keepdims=True)
     p[np.arange(len(y)), y] -= 1
     p /= len(y)
-    back = (p @ w["outer"].T) * (1 - h * h)
-    return {"outer": h.T @ p, "out_bias": p.sum(axis=0), "bias": back.sum(axis=0),
+    back = p @ w["outer"].T
+    of_tokens = {}
+    if ids is not None:
+        of_tokens["words"] = np.zeros_like(w["words"])
+        for i, j, a, b in vocabulary.by_class(ids):
+            if b - a == 1:  # certain within its class
+                continue
+            q = np.exp(_in_class(w, vocabulary, h[i:j], a, b))
+            q /= q.sum(axis=1, keepdims=True)
+            q[np.arange(j - i), ids[i:j] - a] -= 1
+            q /= len(y)
+            of_tokens["words"][a:b] = q.T @ h[i:j]
+            back[i:j] += q @ w["words"][a:b]
+    back *= 1 - h * h
+    return {**of_tokens, "outer": h.T @ p, "out_bias": p.sum(axis=0), "bias": back.sum(axis=0),
             "inner": (e.reshape(len(x), -1).T @ back).reshape(w["inner"].shape),
             "emb": (back @ w["inner"].reshape(-1, HIDDEN).T).reshape(-1, WIDTH)}
 
 
-def learn(w, squares, x: np.ndarray, y: np.ndarray) -> None:
+def learn(w, squares, x: np.ndarray, y: np.ndarray, ids: np.ndarray | None = None,
+          vocabulary: Vocabulary | None = None) -> None:
     """One AdaGrad step, in place; ``squares`` are the sums of squared gradients so far."""
-    g = gradients(w, x, y)
+    g = gradients(w, x, y, ids, vocabulary)
     flat = x.ravel()
     order = flat.astype(np.uint16).argsort(kind="stable")
     rows, first = np.unique(flat[order], return_index=True)
@@ -130,7 +163,9 @@ def learn(w, squares, x: np.ndarray, y: np.ndarray) -> None:
     w["emb"][rows] -= RATE * emb / np.sqrt(squares["emb"][rows])
     for name, d in g.items():
         squares[name] += d * d
-        w[name] -= RATE * d / np.sqrt(squares[name])
+        d /= np.sqrt(squares[name])
+        d *= RATE
+        w[name] -= d
 
 
 def log_probabilities(w, vocabulary: Vocabulary, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -148,8 +183,16 @@ def log_probabilities(w, vocabulary: Vocabulary, ids: np.ndarray, lengths: np.nd
         z = h @ w["outer"] + w["out_bias"]
         z -= z.max(axis=1, keepdims=True)
         mine = vocabulary.class_of[ids[at:at + BATCH]]
-        out[at:at + BATCH] = z[np.arange(len(part)), mine] - np.log(np.exp(z).sum(axis=1))
-    return out + vocabulary.log_share[ids] + vocabulary.word_mean[ids]
+        logs = z[np.arange(len(part)), mine] - np.log(np.exp(z).sum(axis=1))
+        order = np.argsort(ids[at:at + BATCH].astype(np.uint16), kind="stable")
+        own, h, of_token = ids[at:at + BATCH][order], h[order], np.zeros(len(part))
+        for i, j, a, b in vocabulary.by_class(own):
+            if b - a > 1:
+                z = _in_class(w, vocabulary, h[i:j], a, b)
+                of_token[i:j] = z[np.arange(j - i), own[i:j] - a] - np.log(np.exp(z).sum(axis=1))
+        logs[order] += of_token
+        out[at:at + BATCH] = logs
+    return out + vocabulary.word_mean[ids]
 
 
 def _join(texts, vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -220,7 +263,8 @@ def walk(w, squares, ids: np.ndarray, lengths: np.ndarray, vocabulary: Vocabular
     x = contexts(ids, lengths)
     for i in range(0, len(pick), MINIBATCH):
         at = pick[i:i + MINIBATCH]
-        learn(w, squares, x[at], vocabulary.class_of[ids[at]])
+        at = at[np.argsort(ids[at].astype(np.uint16), kind="stable")]
+        learn(w, squares, x[at], vocabulary.class_of[ids[at]], ids[at], vocabulary)
     return len(pick)
 
 
