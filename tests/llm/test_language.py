@@ -86,3 +86,21 @@ def test_edges(spark, model):
     from pyspark.sql import functions as F
     assert langid.train(docs.limit(0)) is None and langid.train(docs.withColumn("lang", F.lit(None).cast("string"))) is None
     assert {r["lang_pred"] for r in langid.identify(docs, None).collect()} == {"und"}
+
+
+def test_long_documents_are_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 5)
+    monkeypatch.setattr(langid, "FIT_CHARS", 50)
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda rows: seen.append(rows))
+    long = "".join(chr(97 + i % 26) + (" " if i % 7 == 6 else "") for i in range(900))
+    rows = [(i, "long", long) for i in range(30)]
+    rows += [(1000 + i, "mixed", "short text" if i % 100 == 0 else long) for i in range(2000)]
+    rows += [(5000 + i, "unread", None) for i in range(2000)] + [(8000, "unread", "one text")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    langid.train(docs)
+    langid.train(docs.repartition(7))
+    assert seen[0] == seen[1]
+    by = {lang: [t for t, x in seen[0] if x == lang] for lang in ("long", "mixed", "unread")}
+    assert len(by["long"]) == len(by["mixed"]) == 5 and by["unread"] == ["one text"]
+    assert all(t in long and len(t) == 50 for t in by["long"]) and len(set(by["long"])) > 1

@@ -7,7 +7,7 @@ probabilities in the light of the whole text, so code-switched passages are labe
 document's language is the one with most expected words, its score their share.
 
 Fit: up to ``PER_LANGUAGE`` labelled documents of each language (the documented bound; drawn by lot from
-their ids, at most ``FIT_CHARS`` characters each), cut into spans that are strung together
+their ids; of a longer one, ``FIT_CHARS`` characters from a place that its id gives), cut into spans that are strung together
 across documents and languages, so that the transitions learn switches. Everything else covers all
 texts whole. Prediction is map-only: the model is broadcast (its size depends on the features and
 languages alone), texts never move.
@@ -215,15 +215,18 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     are left out."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"),
                            F.col(text_col).alias("text"))
-    small = rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & (F.length("text") <= FIT_CHARS))
+    small = rows.where("lang is not null and id is not null and text is not null")
+    places = F.greatest(F.length("text") - F.lit(FIT_CHARS), F.lit(0)) + 1
+    at = F.pmod(F.xxhash64(F.lit(6), "id"), places).cast("int") + 1
+    spans = small.withColumn("text", F.substring("text", at, F.lit(FIT_CHARS)))
     # a share of each language that holds several times what is wanted, so that no task ranks more than that
-    share = rows.where("lang is not null and id is not null").groupBy("lang").agg(
+    share = small.groupBy("lang").agg(
         F.least(F.lit(1.0), F.lit(4.0 * PER_LANGUAGE) / F.count("*")).alias("share"))
     rank = Window.partitionBy("lang").orderBy("lot", "id")
     chosen = (small.select("lang", "id", lot(5, "id").alias("lot")).join(share, "lang")
               .where(F.col("lot") < F.col("share") * LOTS).withColumn("n", F.row_number().over(rank))
               .where(F.col("n") <= PER_LANGUAGE).select("lang", "id").distinct())
-    sample = small.join(F.broadcast(chosen), ["lang", "id"]).select("text", "lang", "id").collect()
+    sample = spans.join(F.broadcast(chosen), ["lang", "id"]).select("text", "lang", "id").collect()
     return fit([(r["text"], r["lang"]) for r in sorted(sample, key=lambda r: (r["lang"], r["id"], r["text"]))])
 
 
