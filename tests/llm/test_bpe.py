@@ -1,0 +1,163 @@
+"""BPE by transducer: ids and texts of the tokenizers library, minimality of the automaton, odd rows."""
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from fixtures import CLASHES, messy, read, texts
+from urbanflow.llm import bpe
+from urbanflow.llm.queries import op13_bpe, tokenizer_path
+
+ODD = ["Ａｂｃ don't I'LL naïve É é ΣΑΣ İstanbul a\x1cb c\x1fd <|endoftext|> x<|startoftext|>y ①²3 ﬁx ß ŉa", "",
+       "...!!! a.b,c 'S 12ab Ǆ ǆ ſs K İx é ́a", "日本語 текст ελληνικά  z", "a" * 5000 + " x", "zq" * 300 + "!" * 200,
+       "<|endoftext|><|endoftext|>", "<|endoftext|", "\x00\x85\xa0µ ª º \xad", "😀👍🏽 é ẛ̣", "½¼ 1st 2nd"]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(tokenizer_path())
+
+
+@pytest.fixture(scope="module")
+def vocab():
+    return bpe.Vocabulary(tokenizer_path())
+
+
+def lexicon(vocab, words):
+    words = sorted({w.encode() for w in words})
+    ids, counts = vocab.merge(words)
+    parts = np.split(ids, np.cumsum(counts)[:-1]) if words else []
+    return bpe.Lexicon(bpe.compile_transducer((w, tuple(p.tolist())) for w, p in zip(words, parts)))
+
+
+def library(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_query_equals_the_library(spark, tokenizer):
+    rows = op13_bpe(spark, "/root/testdata/sf0.001").collect()
+    want = texts(spark)
+    assert len(rows) == len(want)
+    for r in rows:
+        ids = library(tokenizer, want[r["doc_id"]])
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("known", ["none", "some", "all"])
+def test_ids_do_not_depend_on_the_lexicon(vocab, tokenizer, known):
+    words = [w for t in ODD for w in vocab.words(t) if w not in vocab.added]
+    lex = lexicon(vocab, {"none": [], "some": words[::3], "all": words}[known])
+    ids, at = bpe.encode_texts(vocab, lex, ODD)
+    for i, t in enumerate(ODD):
+        assert ids[at[i]:at[i + 1]].tolist() == library(tokenizer, t), t
+    assert bpe.decode_ids(vocab.names, ids, at) == [tokenizer.decode(library(tokenizer, t), skip_special_tokens=False) for t in ODD]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("abc 'sté.!1<|\n")), max_size=60))
+def test_any_text(text):
+    from tokenizers import Tokenizer
+    vocab = bpe.vocabulary(tokenizer_path())
+    tokenizer = test_any_text.__dict__.setdefault("tokenizer", Tokenizer.from_file(tokenizer_path()))
+    ids, _ = bpe.encode_texts(vocab, test_any_text.__dict__.setdefault("empty", bpe.Lexicon(bpe.compile_transducer([]))), [text])
+    assert ids.tolist() == library(tokenizer, text)
+
+
+def test_merge_block_and_heap_agree(vocab):
+    rng = random.Random(3)
+    words = [bytes(rng.choice(b"aeinrst'.\xc3\xa9") for _ in range(rng.randrange(1, 65))) for _ in range(400)] + [b"a" * 64, b"in" * 32]
+    ids, counts = vocab.merge(words)
+    for w, part in zip(words, np.split(ids, np.cumsum(counts)[:-1])):
+        assert vocab._merge_long(w).tolist() == part.tolist()
+
+
+def rights(entries):
+    """States of the minimal automaton by definition: distinct futures of the prefixes, ids taken as far to the
+    front as all continuations of a prefix have them in common."""
+    import os
+    entries = dict(entries)
+    prefixes = {w[:i] for w in entries for i in range(len(w) + 1)} | {b""}
+
+    def ahead(p):
+        return os.path.commonprefix([o for w, o in entries.items() if w.startswith(p)]) if p else ()
+    return len({frozenset((w[len(p):], o[len(ahead(p)):]) for w, o in entries.items() if w.startswith(p)) for p in prefixes})
+
+
+def test_transducer_is_minimal_and_exact():
+    rng = random.Random(4)
+    for _ in range(40):
+        words = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 7))) for _ in range(rng.randrange(1, 60))})
+        entries = [(w, tuple(rng.randrange(3) for _ in range(rng.randrange(1, 4)))) for w in words]
+        lex = bpe.Lexicon(bpe.compile_transducer(entries))
+        assert lex.states == rights(entries)
+        asked = sorted({*words, *(bytes(rng.choice(b"abcd") for _ in range(rng.randrange(0, 8))) for _ in range(50))})
+        flat = np.frombuffer(b"".join(asked), np.uint8)
+        known, counts, ids = lex.look_up(flat, np.cumsum([0, *map(len, asked)]))
+        want = dict(entries)
+        assert known.tolist() == [w in want for w in asked]
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        assert [tuple(p.tolist()) for p, k in zip(parts, known) if k] == [want[w] for w in asked if w in want]
+    with pytest.raises(ValueError):
+        bpe.compile_transducer([(b"b", (1,)), (b"a", (1,))])
+
+
+def test_suffixes_are_shared(vocab):
+    stems = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "klmnp"]
+    lex = bpe.Lexicon(bpe.compile_transducer(sorted((f"{s}ingness".encode(), (7, 8)) for s in stems)))
+    assert lex.states == 1 + 3 + len("ingness")  # the ids leave on the first arc, all else is one path
+
+
+def test_frequent_words(spark, vocab):
+    rows = [(i, "common " * 5 + "rare" + "abcdefgh"[i % 8] + "klmno"[i // 8]) for i in range(40)] + [(99, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert bpe.frequent_words(df, tokenizer_path(), size=2) == ["common"]
+    every = {w for _, t in rows for w in vocab.words(t or "")}
+    assert set(bpe.frequent_words(df, tokenizer_path(), size=100)) == every
+    assert bpe.frequent_words(df.limit(0), tokenizer_path()) == [] == bpe.frequent_words(df, tokenizer_path(), size=0)
+
+
+def test_slices_cut_long_texts(vocab, tokenizer, monkeypatch):
+    text = " ".join(f"word{i} Ünd\tsome's" for i in range(3000))
+    parts = list(bpe.slices([text, None, "a b", ""], 500))
+    assert all(sum(map(len, p)) < 1100 for p, _ in parts) and [i for _, of in parts for i in of] == sorted(i for _, of in parts for i in of)
+    empty = bpe.Lexicon(bpe.compile_transducer([]))
+    ids = np.concatenate([bpe.encode_texts(vocab, empty, [x for x, i in zip(p, of) if i == 0])[0] for p, of in parts])
+    assert ids.tolist() == library(tokenizer, text)
+
+
+def test_edges(spark, tokenizer, monkeypatch):
+    docs = messy(spark)
+    encoded = bpe.encode(docs, tokenizer_path())
+    rows = bpe.decode(encoded, tokenizer_path()).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        ids = library(tokenizer, r["text"])
+        assert np.frombuffer(bytes(r["ids"]), "<u4").tolist() == ids
+        assert r["decoded"] == tokenizer.decode(ids, skip_special_tokens=False)
+        assert all(r[c] == f"own {c}" for c in CLASHES)
+    assert bpe.encode(docs.limit(0), tokenizer_path()).count() == 0
+    odd = spark.createDataFrame([(None,), (b"",), (np.array([1, 60000, 2], "<u4").tobytes(),)], "ids binary")
+    assert {r["decoded"] for r in bpe.decode(odd, tokenizer_path()).collect()} == {None, "", tokenizer.decode([1, 60000, 2])}
+
+
+def test_words_of_plain_texts_are_the_librarys(vocab, tokenizer):
+    plain = "".join(map(chr, range(1, 0x250))).replace("İ", "")
+    rng = random.Random(6)
+    for _ in range(300):
+        text = "".join(rng.choice(plain) for _ in range(40))
+        whole = [w for w, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(text))]
+        back = vocab.bytes_of
+        assert [bytes(back[c] for c in w).decode() for w in whole] == vocab.words(text)
+    assert vocab.known_split and pa.array(vocab.words("it's")).to_pylist() == ["it", "'s"]
+
+
+def test_given_documents_are_read_whole(spark):
+    assert read(spark, "documents").count() == op13_bpe(spark, "/root/testdata/sf0.001").count()

@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, langid, linededup, lmscore, mixing, packing, quality, secrets, sharding, simhash
+from . import (bpe, conversations, embeddings, langid, linededup, lmscore, mixing, packing, quality, secrets, sharding,
+               simhash)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +88,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "kept", "score"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair(rows, gone_col="gone").select("conv_id", *conversations.RESULTS)
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), carry=["doc_id"])
+    return bpe.decode(encoded, tokenizer_path()).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_secrets": op2_secrets,
@@ -98,6 +111,8 @@ QUERIES = {
     "op8_lm_score": op8_lm_score,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
+    "op12_conversations": op12_conversations,
+    "op13_bpe": op13_bpe,
 }
 
 _SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
