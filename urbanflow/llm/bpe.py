@@ -48,7 +48,7 @@ _HEAD = 5
 _NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
-#: plain texts hold no character from here on: composed, and lower-cased one by one
+#: plain texts hold no character from here on, lower-cased or not: they are composed, and lower-cased one by one
 _PLAIN_END = "ɐ"
 _BELOW = [chr(c) for c in range(ord(_PLAIN_END))]
 _LETTERS = "".join(c for c in _BELOW if unicodedata.category(c)[0] == "L")
@@ -114,8 +114,9 @@ class Vocabulary:
         return out + self._split(text[at:])
 
     def _split(self, text: str) -> list[str]:
-        if self.known_split and (text.isascii() or (max(text) < _PLAIN_END and "İ" not in text)):
-            return _PLAIN.findall(text.lower())
+        low = text.lower()
+        if self.known_split and (text.isascii() or (max(text) < _PLAIN_END and max(low) < _PLAIN_END)):
+            return _PLAIN.findall(low)
         if self._whole is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
             from tokenizers import Tokenizer
