@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe, conversations, embeddings, langid, linededup, lmscore, mixing, packing, quality, secrets, sharding,
-               simhash)
+               simhash, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +88,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "kept", "score"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), carry=["vec_id"], number=16)
+    return found.select("*", F.posexplode("whitened").alias("at", "value")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", F.expr("try_cast(deviation AS BIGINT)").alias("deviation"),
+        F.col("value").alias("whitened"), F.get("explained", "at").alias("explained"), "identity_error")
+
+
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversations.damage(table(spark, sf_dir, "conversations"))
     return conversations.repair(rows, gone_col="gone").select("conv_id", *conversations.RESULTS)
@@ -111,6 +118,7 @@ QUERIES = {
     "op8_lm_score": op8_lm_score,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
     "op12_conversations": op12_conversations,
     "op13_bpe": op13_bpe,
 }
