@@ -12,6 +12,11 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# microseconds of 0001-01-01 and of 10000-01-01, as doubles
+FIRST_MICROS = -62_135_596_800_000_000.0
+END_MICROS = 253_402_300_800_000_000.0
+
+
 def _epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -37,10 +42,13 @@ def epoch_seconds_to_time(seconds: Column | str) -> Column:
     """Epoch seconds as a double -> UTC TIMESTAMP_NTZ at microsecond precision.
 
     Rounding (not truncating) to the microsecond undoes the binary fraction
-    noise of a float epoch.
+    noise of a float epoch. NaN, infinities and times outside the years 1 to
+    9999 (epochs in milliseconds or nanoseconds among them) give null, never an
+    error: one bad number must not end a stream.
     """
-    micros = F.round(_c(seconds) * F.lit(1_000_000.0)).cast("long")
-    return F.timestamp_add("MICROSECOND", micros, _epoch_ntz())
+    micros = F.round(_c(seconds).cast("double") * F.lit(1_000_000.0))
+    sound = (micros >= F.lit(FIRST_MICROS)) & (micros < F.lit(END_MICROS))  # NaN is above every number
+    return F.timestamp_add("MICROSECOND", F.when(sound, micros).try_cast("long"), _epoch_ntz())
 
 
 def truncate_hour(ts: Column | str) -> Column:

@@ -37,32 +37,12 @@ from ..streaming.ingest import parse_records, sound_rows, start_landing
 from ..streaming.router import read_routed, start_router
 from ..streaming.summary import DEFAULT_WATERMARK, start_summary, streaming_summary
 from . import feeds, jobs
+from .feed_queries import QUERIES as FEED_QUERIES
+from .inputs import events_stream, run_available_now, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table replayed as a file stream (stand-in for the broker).
-
-    The table may be one Parquet file or a directory of part files; given as a
-    pattern, the source takes either. A micro-batch is at most 64 files.
-    """
-    schema = table(spark, sf_dir, "events").schema
-    path = f"{sf_dir.rstrip('/')}/event[s].parquet"
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(path)
-
-
-def _run_available_now(queries) -> None:
-    for q in queries:
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
-
-
 # ---------------------------------------------------------------- sources / sinks
 
 def q_stream_ingest(spark, sf):
@@ -71,7 +51,7 @@ def q_stream_ingest(spark, sf):
     out, ckpt = (scratch_path(spark, "stream_ingest", p) for p in ("landing", "checkpoint"))
     parsed = parse_records(feeds.event_records(events_stream(spark, sf)), feeds.EVENT_MESSAGE,
                            required=("event_id", "event_ts"))
-    _run_available_now(start_landing(parsed, out, ckpt, trigger={"availableNow": True}))
+    run_available_now(start_landing(parsed, out, ckpt, trigger={"availableNow": True}))
     back = sound_rows(read_partitioned(spark, out))
     return back.select("event_id", "user_id", "event_type", "value", "props", "event_ts",
                        "year", "month", "day", "hour")
@@ -226,7 +206,7 @@ def q_topic_routing(spark, sf):
     static = {t: table(spark, sf, t) for t in ("customer", "nation", "region")}
     recs = feeds.routed_records(e, static["customer"], static["nation"], static["region"])
     for part in (0, 1):
-        _run_available_now([start_router(recs.where(F.col("offset") % 2 == part), out,
+        run_available_now([start_router(recs.where(F.col("offset") % 2 == part), out,
                                          scratch_path(spark, "routing", "checkpoint"), feeds.WEATHER_ROLE_TOPIC,
                                          {"availableNow": True})])
     return read_routed(spark, out).select("layout", "topic", "partition", "offset", "message_id",
@@ -418,7 +398,7 @@ def q_hourly_summary_stream(spark, sf):
     append mode. Only windows the watermark has closed are emitted."""
     out, ckpt = scratch_path(spark, "summary_stream", "out"), scratch_path(spark, "summary_stream", "checkpoint")
     summary = streaming_summary(_with_gaps(events_stream(spark, sf), "value", "event_id", 7), "ts", ["event_type"], "value", "1 hour", DEFAULT_WATERMARK)
-    _run_available_now([start_summary(summary, out, ckpt, {"availableNow": True})])
+    run_available_now([start_summary(summary, out, ckpt, {"availableNow": True})])
     return spark.read.parquet(out)
 
 
@@ -485,4 +465,5 @@ QUERIES: dict[str, Query] = {
     "hourly_summary_stream": q_hourly_summary_stream,
     "message_number": q_message_number,
     "pm_regression": q_pm_regression,
+    **FEED_QUERIES,
 }

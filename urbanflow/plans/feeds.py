@@ -143,3 +143,65 @@ def lineitem_readings(lineitem: DataFrame) -> DataFrame:
         (F.col("l_linenumber") * F.lit(20)).alias("altitude"),
         q.alias("l_quantity"), "l_extendedprice",
     )
+
+
+# Fixed parameters of the feeds with resends, untyped payloads and bad epochs.
+LATEST_HOURS = 70              # a message arrives 0 to 69 hours after its event
+KEEP_HOURS = 72                # the delay of the watermark
+OFFSET_SPAN = 20               # consecutive events that share an offset
+
+
+def resent_records(events: DataFrame) -> DataFrame:
+    """Every event as a message that arrives up to ``LATEST_HOURS`` late; of some a copy comes again within
+    ``KEEP_HOURS`` of the event, of others one far beyond, of some both."""
+    id_ = F.col("event_id")
+    late = F.pmod(id_ * F.lit(37), F.lit(LATEST_HOURS))
+
+    def sent_at(copy: int, hours: Column) -> Column:
+        return F.struct(F.lit(copy).alias("copy"), hours.cast("int").alias("hours"))
+
+    copies = F.array_compact(F.array(
+        sent_at(0, late),
+        F.when(F.pmod(id_, F.lit(5)) == 1, sent_at(1, F.least(late + 1 + F.pmod(id_, F.lit(30)), F.lit(KEEP_HOURS - 1)))),
+        F.when(F.pmod(id_, F.lit(7)) == 2, sent_at(2, F.lit(KEEP_HOURS + 1) + F.pmod(id_, F.lit(200))))))
+    e = events.withColumn("_sent", F.explode(copies))
+    sent = ntz_to_instant("ts") + F.make_dt_interval(F.lit(0), F.col("_sent.hours"))
+    return as_kafka_records(
+        e, value=_event_json(e), key=F.col("user_id"), topic=F.col("event_type"),
+        partition=F.pmod(F.col("user_id"), F.lit(KAFKA_PARTITIONS)),
+        offset=id_ * F.lit(3) + F.col("_sent.copy"), timestamp=sent)
+
+
+def untyped_records(events: DataFrame) -> DataFrame:
+    """Topics without a schema: by the event's ``k`` the payload is missing (0), ``null`` (1), an empty object
+    (2), no JSON (7), an array of unlike objects (8), has text for a number (10) or text for an object (11)."""
+    def payload(value: Column, place: Column) -> Column:
+        return to_json_value(F.struct(
+            F.col("event_id"), value.alias("value"), (F.col("event_id") % 2 == 0).alias("ok"), place.alias("place")))
+
+    place = F.struct(F.concat(F.lit("z"), F.pmod(F.col("user_id"), F.lit(5))).alias("zone"),
+                     F.array(F.struct(F.col("user_id").alias("id"))).alias("seen"))
+    k = props_k()
+    value = (F.when(k == 0, F.lit(None).cast("string")).when(k == 1, "null").when(k == 2, "{}").when(k == 7, "not json")
+             .when(k == 8, '[{"a":1},{"b":"x"}]').when(k == 10, payload(F.lit("abc"), place))
+             .when(k == 11, payload(F.col("value"), F.lit("nowhere"))).otherwise(payload(F.col("value"), place)))
+    return _kafka(events, value)
+
+
+def offset_records(events: DataFrame) -> DataFrame:
+    """Messages with dense offsets: a topic's partition has gaps and repeated offsets."""
+    return as_kafka_records(
+        events, value=_event_json(events), key=F.col("user_id"), topic=F.col("event_type"),
+        partition=F.pmod(F.col("event_id"), F.lit(KAFKA_PARTITIONS)),
+        offset=F.floor(F.col("event_id") / F.lit(OFFSET_SPAN)), timestamp=ntz_to_instant("ts"))
+
+
+def poisoned_pm_records(events: DataFrame) -> DataFrame:
+    """The PM feed, with epochs that are no time, or in another unit, in six of eleven messages."""
+    seconds = epoch_seconds("ts")
+    bad = F.element_at(F.array(*[F.lit(v) for v in ("NaN", "1e14", "1e300", "-Infinity")], (seconds * 1e3).cast("string"),
+                               (seconds * 1e9).cast("string")), (F.pmod(F.col("event_id"), F.lit(11)) + 1).cast("int"))
+    stamp = F.when(F.pmod(F.col("event_id"), F.lit(11)) < 6, bad).otherwise(seconds.cast("decimal(20,6)").cast("string"))
+    value = F.concat(F.lit('{"station":"'), F.col("event_type"), F.lit('","timestamp":'), stamp, F.lit(',"pm10":1,"pm25":2,"counter":'),
+                     F.col("event_id"), F.lit("}"))
+    return _kafka(events, value)

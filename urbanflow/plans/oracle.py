@@ -8,6 +8,8 @@ the tables' two decimals exactly, and nulls count in no mean.
 
 from __future__ import annotations
 
+from .feed_oracle import FEED_ORACLE
+
 # Fixed values, written out here so that a wrong one in the library shows: labels by index, condition names.
 LABELS = "['Bon', 'Moyen', 'Dégradé', 'Mauvais', 'Très mauvais']"
 CONDITIONS = ("['clear', 'partly_cloudy', 'cloudy', 'overcast', 'light_rain', 'moderate_rain', 'drizzle', "
@@ -316,4 +318,5 @@ SELECT * FROM s WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 72 H
     "message_number": """
 SELECT event_id, user_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS message_number
 FROM events""",
+    **FEED_ORACLE,
 }
