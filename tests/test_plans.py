@@ -70,7 +70,8 @@ def test_spine_reads_the_events_once(spark):
 
 @pytest.mark.parametrize("name", [k for k in QUERIES if k not in (
     "stream_ingest", "topic_routing", "csv_folder_ingest", "csv_folder_uniform", "csv_scan", "csv_scan_inferred",
-    "partitioned_write", "pm_regression", "pm_quarantine", "stream_dedup", "stream_fusion")])
+    "partitioned_write", "pm_regression", "pm_quarantine", "stream_dedup", "stream_fusion",
+    "station_sessions_stream", "message_number_stream", "folder_incremental", "pm_ridge_cv")])
 def test_no_python_udf_in_plans(spark, name):
     txt = plan(QUERIES[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
