@@ -90,6 +90,34 @@ def test_rows_that_do_not_fit_are_quarantined(spark, tmp_path):
     assert {r["_corrupt_row"] for r in bad.collect()} == {"4;5;6", "3", "x;7"}
 
 
+def test_a_rerun_reads_sound_files_once_and_clears_its_quarantine(spark, tmp_path, monkeypatch):
+    from urbanflow.config import LakePaths
+    from urbanflow.plans import jobs
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    src = tmp_path / "two.csv"
+    src.mkdir()
+    (src / "good.csv").write_text("a;b\n1;2\n3;4\n")
+    (src / "bad.csv").write_text("a;b\n5;6\n7\n")
+    schema, paths = StructType([StructField(c, IntegerType()) for c in "ab"]), LakePaths(str(tmp_path / "lake"))
+    ds = [jobs.BatchDataset("two", str(src), schema)]
+    written = []
+    plain = jobs.write_partitioned
+    monkeypatch.setattr(jobs, "write_partitioned", lambda df, *a, **k: (written.append(df), plain(df, *a, **k)))
+
+    def load(day):
+        r = jobs.batch_load(spark, ds, paths, day).collect()[0]
+        assert r["status"] == "ok"
+        return r["n_rows"], r["n_rejected"]
+
+    assert load("2025-07-02") == (3, 1) and load("2025-07-03") == (3, 1)
+    assert len(written) == 2 and "bad.csv" in written[0]._jdf.queryExecution().logical().toString()  # the second read is of that file
+    (src / "bad.csv").write_text("a;b\n5;6\n7;8\n")
+    assert load("2025-07-03") == (4, 0) and len(written) == 2  # sound files are read once
+    bad = spark.read.parquet(f"{paths.quarantine}/batch/two")
+    assert [(r["day"], r["_corrupt_row"]) for r in bad.collect()] == [(2, "7")]
+    assert spark.read.parquet(f"{paths.raw}/batch/two").groupBy("day").count().count() == 2
+
+
 def test_empty_file_and_missing_flag_are_not_lost(spark, tmp_path):
     from urbanflow.plans.jobs import folder_ingest
     folder = tmp_path / "in"

@@ -76,6 +76,39 @@ def test_ingest_lands_valid_and_quarantines_bad(spark, lake):
     assert report["weather"]["n_valid"] == 121 and report["weather"]["n_quarantined"] == 1
 
 
+def test_compaction_finds_changes_without_opening_files(spark, lake, tmp_path):
+    seen = []
+    table, out = f"{lake.raw}/streaming/weather", str(tmp_path / "compacted")
+    reader = jobs.read_partitioned
+
+    def watched(*a, **k):
+        seen.append(a[1])
+        return reader(*a, **k)
+    jobs.read_partitioned = watched
+    try:
+        assert jobs.compact(spark, table, out) > 0 and seen == [table]
+        assert jobs.compact(spark, table, out) == 0 and seen == [table]  # nothing changed: the rows are not looked at
+    finally:
+        jobs.read_partitioned = reader
+    assert spark.read.parquet(out).count() == 121
+
+
+def test_offset_report_and_dedup_job(spark, lake, tmp_path):
+    (r,) = jobs.offset_report(spark, lake).collect()
+    assert (r["topic"], r["partition"], r["first"], r["last"], r["rows"], r["missing"], r["runs"]) == ("weather", 0, 0, 1000, 122, 879, 2)
+    now, src = dt.datetime(2025, 7, 2, 12, 0), str(tmp_path / "_src")
+    value = json.dumps(message(1, STATIONS[0], now)).encode()
+    sent = [(b"k", value, "weather", 0, i, now, 0) for i in range(3)] + [(b"k", b"junk", "weather", 0, 3 + i, now, 0) for i in range(2)]
+    spark.createDataFrame(sent, KAFKA_RECORD).write.parquet(src)
+    paths = LakePaths(str(tmp_path / "lake"))
+    for q in jobs.weather_ingest(spark, FeedConfig(), paths, trigger={"availableNow": True}, dedup=True,
+                                 source=spark.readStream.schema(KAFKA_RECORD).parquet(src)):
+        q.awaitTermination()
+        assert q.exception() is None
+    landed = spark.read.parquet(f"{paths.raw}/streaming/weather")
+    assert sound_rows(landed).count() == 1 and quarantined_rows(landed).count() == 2
+
+
 def test_batch_load_reports_missing_dataset(spark, lake, tmp_path):
     status = jobs.batch_load(spark, [jobs.BatchDataset("nope", str(tmp_path / "absent.csv"), TRAFIC)], lake,
                              "2025-07-02").collect()[0]

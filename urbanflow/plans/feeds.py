@@ -77,14 +77,11 @@ def messy_payload(events: DataFrame, k: Column) -> Column:
     8 a two-object array; 9 an unparseable timestamp; 10 a text value in a
     numeric field; otherwise a clean message.
 
-    Built as one array lookup so ``k`` is evaluated once per row (a 13-way
-    CASE gets inlined into every predicate that reads the payload)."""
-    variants = [F.lit(MESSY_LITERALS.get(i)).cast("string") for i in range(13)]
-    variants[9] = _event_json(events, ts=F.lit("garbage"))
-    variants[10] = _event_json(events, value=F.lit("abc"))
-    variants.append(_event_json(events))
-    idx = F.coalesce(F.when(k.between(0, 12), k), F.lit(13))
-    return F.get(F.array(*variants), idx)
+    The fixed payloads are one array lookup; each of the three documents is
+    rendered only for the rows that carry it."""
+    fixed = F.array(*[F.lit(MESSY_LITERALS.get(i)).cast("string") for i in range(13)])
+    return (F.when(k == 9, _event_json(events, ts=F.lit("garbage"))).when(k == 10, _event_json(events, value=F.lit("abc")))
+            .when(k.between(0, 12), F.get(fixed, k)).otherwise(_event_json(events)))
 
 
 def messy_records(events: DataFrame) -> DataFrame:

@@ -16,21 +16,23 @@ from __future__ import annotations
 import argparse
 import re
 import sys
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..config import FeedConfig, LakePaths, feed_config_from_env, lake_paths_from_env
-from ..functions.timeparts import truncate_hour, utc_wall_clock, with_batch_partition_cols
+from ..functions.timeparts import parse_process_date, truncate_hour, utc_wall_clock, with_batch_partition_cols
 from ..operators import model as M
 from ..operators.enrich import fill_station_attributes
 from ..sources.dims import stations
+from ..operators.offsets import offset_completeness, offset_islands
 from ..operators.reports import exact_mean, ingest_report, windowed_summary
 from ..schemas import KNOWN_DATASETS, PM, WEATHER_CORE, WEATHER_FULL
 from ..session import build_session, clean_scratch, scratch_path
@@ -38,6 +40,8 @@ from ..sinks.kafka import start_kafka_publish
 from ..sinks.parquet import read_partitioned, write_counted, write_partitioned
 from ..sources.files import CORRUPT_ROW, discover_datasets, read_delimited, read_delimited_inferred
 from ..sources.kafka import read_kafka_stream
+from ..streaming.dedup import deduplicated
+from ..streaming.drops import load_new_files
 from ..streaming.ingest import PARTS, VALID, is_valid, parse_records, sound_rows, start_landing
 from ..streaming.router import start_router
 from ..streaming.summary import start_summary, streaming_summary
@@ -51,14 +55,17 @@ def checkpoint(paths: LakePaths, job: str) -> str:
 
 def weather_ingest(spark: SparkSession, cfg: FeedConfig, paths: LakePaths, *, full_schema: bool = False,
                    trigger: dict | None = None, source: DataFrame | None = None,
-                   fill_stations: bool = True) -> list[StreamingQuery]:
+                   fill_stations: bool = True, dedup: bool = False) -> list[StreamingQuery]:
     """The main streaming job: weather JSON -> Parquet partitioned by validity and event
-    year/month/day/hour (``valid=false`` is the quarantine). Stateless; the only
-    join is against the broadcast 37-row station registry."""
+    year/month/day/hour (``valid=false`` is the quarantine). Stateless, but for ``dedup``
+    (each reading once, by its id, over 72 h of state); the only join is against the
+    broadcast 37-row station registry."""
     records = source if source is not None else read_kafka_stream(spark, cfg, [cfg.weather_topic])
     parsed = parse_records(records, WEATHER_FULL if full_schema else WEATHER_CORE)
     if fill_stations:
         parsed = fill_station_attributes(parsed, stations(spark))
+    if dedup:
+        parsed = deduplicated(parsed, ["reading_id"])
     return start_landing(parsed, f"{paths.raw}/streaming/weather", checkpoint(paths, "weather"),
                          trigger=trigger or {"processingTime": cfg.trigger_interval}, query_name="weather_ingest")
 
@@ -101,23 +108,41 @@ class BatchDataset:
     sep: str = ";"
 
 
+def _clear_day(spark: SparkSession, table: str, process_date: str) -> None:
+    d = parse_process_date(process_date)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/year={d.year}/month={d.month}/day={d.day}")
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def batch_load(spark: SparkSession, datasets: Iterable[BatchDataset], paths: LakePaths,
                process_date: str, max_parallel: int = 4) -> DataFrame:
     """Each delimited file -> raw/batch/<name>/year=/month=/day= (dynamic
     overwrite: a re-run replaces only its own day). Datasets load as
     concurrent jobs; one failing dataset is reported and does not stop the
     others. Rows that do not fit a dataset's explicit schema go, with their raw
-    line, to quarantine/batch/<name>/ and count as rejected."""
+    line, to quarantine/batch/<name>/ and count as rejected. They are counted
+    while the sound rows are written: only a file that has some is read a second
+    time, for them; a rerun without any clears its day's quarantine."""
 
     def load(ds: BatchDataset) -> tuple[str, int, int, str]:
         try:
             df = (read_delimited(spark, ds.path, ds.schema, sep=ds.sep, corrupt=CORRUPT_ROW) if ds.schema is not None
                   else read_delimited_inferred(spark, ds.path, sep=ds.sep).withColumn(CORRUPT_ROW, F.lit(None).cast("string")))
+            days = ["year", "month", "day"]
             df = with_batch_partition_cols(df, process_date).withColumn("processed_at", F.current_timestamp())
-            n, bad = (write_counted(side, f"{zone}/batch/{ds.name}", ["year", "month", "day"],
-                                    name=f"load_{ds.name}_{abs(hash((ds.path, process_date, zone)))}")
-                      for zone, side in ((paths.raw, df.where(F.col(CORRUPT_ROW).isNull()).drop(CORRUPT_ROW)),
-                                         (paths.quarantine, df.where(F.col(CORRUPT_ROW).isNotNull()))))
+            seen = Observation(f"rejected_{ds.name}_{uuid.uuid4().hex}")
+            rejected = F.col(CORRUPT_ROW).isNotNull()
+            # the distinct files of the rejected rows: at most as many names as the dataset has files
+            counted = df.withColumn("_file", F.col("_metadata.file_path")).observe(
+                seen, F.count_if(rejected).alias("rows"), F.collect_set(F.when(rejected, F.col("_file"))).alias("files"))
+            n = write_counted(counted.where(~rejected).drop(CORRUPT_ROW, "_file"), f"{paths.raw}/batch/{ds.name}", days,
+                              name=f"load_{ds.name}_{uuid.uuid4().hex}")
+            bad, where = int(seen.get["rows"]), f"{paths.quarantine}/batch/{ds.name}"
+            if bad:
+                again = df.where(F.col("_metadata.file_path").isin(list(seen.get["files"])) & rejected)
+                write_partitioned(again, where, days)
+            else:
+                _clear_day(spark, where, process_date)
             return (ds.name, n, bad, "ok")
         except Exception as exc:
             return (ds.name, 0, 0, f"error: {type(exc).__name__}: {str(exc)[:200]}")
@@ -198,6 +223,13 @@ def weather_ingest_report(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return ingest_report(rows, "kafka_topic", "event_ts", VALID, "_corrupt_record")
 
 
+def offset_report(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """Per topic and partition of the landed weather feed: first and last offset, rows, offsets that are missing
+    between them, rows that repeat one. Empty messages are dropped on landing and show as missing."""
+    landed = read_partitioned(spark, f"{paths.raw}/streaming/weather")
+    return offset_completeness(offset_islands(landed, "kafka_topic", "kafka_partition", "kafka_offset"))
+
+
 def gold_weather_traffic(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """Own definition of the gold table: hourly weather per Paris
     arrondissement LEFT JOIN yearly station traffic per arrondissement.
@@ -248,18 +280,21 @@ def compact(spark: SparkSession, table: str, out: str, partition_cols: Sequence[
 
     What a partition looked like when it was compacted (newest file, number of
     files) is kept beside the output in ``<out>_state``, written after the
-    data: a run that dies in between is repeated, never skipped. The files of
-    the landed table are listed once, so a file that arrives meanwhile is
-    left to the next run. Late rows are new files, so their hours come again.
+    data: a run that dies in between is repeated, never skipped. Changes are
+    found from the listing of the files, no file is opened for it, so their cost
+    is that of the files, not of the rows. The listing comes before the rows are
+    listed for reading: a file that arrives in between is compacted now and once
+    more by the next run. Late rows are new files, so their hours come again.
     """
-    df = read_partitioned(spark, table)
-    if VALID in df.columns:
-        df = df.where(is_valid())
-    if where is not None:
-        df = df.filter(where)
+    def chosen(frame: DataFrame) -> DataFrame:
+        if VALID in frame.columns:
+            frame = frame.where(is_valid())
+        return frame if where is None else frame.filter(where)
+
     keys = list(partition_cols)
-    files = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified")
-    now = df.select(*keys, *files).groupBy(*keys).agg(F.max("modified").alias("newest"), F.countDistinct("file").alias("files"))
+    files = spark.read.format("binaryFile").option("basePath", table).option("pathGlobFilter", "*.parquet").load(table)
+    now = chosen(files.drop("content")).groupBy(*keys).agg(
+        F.max("modificationTime").alias("newest"), F.count_distinct("path").alias("files"))
     try:
         done = spark.read.parquet(f"{out}_state")
     except AnalysisException as exc:
@@ -273,6 +308,7 @@ def compact(spark: SparkSession, table: str, out: str, partition_cols: Sequence[
     changed = spark.read.schema(now.schema).parquet(path)  # a row a partition
     n = changed.count()
     if n:
+        df = chosen(read_partitioned(spark, table))
         hours = changed.select(*[F.col(k).alias(f"_{k}") for k in keys])
         rows = df.join(hours, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
         write_partitioned(rows.drop(VALID, "raw_value", "_corrupt_record", "arrival_date"), out, keys)
@@ -292,13 +328,15 @@ def _report(status: DataFrame) -> None:
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="urbanflow")
     ap.add_argument("job", choices=["weather-ingest", "pm-ingest", "router", "live-summary", "publish", "batch-load",
-                                    "folder-ingest", "summary", "report", "gold", "train-pm", "compact"])
+                                    "folder-ingest", "load-new", "summary", "report", "offsets", "gold", "train-pm",
+                                    "compact"])
     ap.add_argument("--date", default=None)
     ap.add_argument("--folder", default=None)
     ap.add_argument("--table", default=None)
     ap.add_argument("--topic", default=None, help="target of publish")
     ap.add_argument("--where", default=None)
     ap.add_argument("--full-schema", action="store_true")
+    ap.add_argument("--dedup", action="store_true", help="weather-ingest: land each reading once (72 h of state)")
     ap.add_argument("--closed", type=int, default=None, metavar="HOURS",
                     help="compact only hours older than HOURS of lateness")
     ap.add_argument("datasets", nargs="*", help="name=path for batch-load")
@@ -306,7 +344,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session(f"urbanflow-{a.job}")
     cfg, paths = feed_config_from_env(), lake_paths_from_env()
     if a.job in ("weather-ingest", "pm-ingest", "router", "live-summary", "publish"):
-        qs = {"weather-ingest": lambda: weather_ingest(spark, cfg, paths, full_schema=a.full_schema),
+        qs = {"weather-ingest": lambda: weather_ingest(spark, cfg, paths, full_schema=a.full_schema, dedup=a.dedup),
               "pm-ingest": lambda: pm_ingest(spark, cfg, paths),
               "router": lambda: [router(spark, cfg, paths)],
               "live-summary": lambda: [live_summary(spark, paths)],
@@ -319,6 +357,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         _report(batch_load(spark, ds, paths, a.date))
     elif a.job == "folder-ingest":
         _report(folder_ingest(spark, a.folder, f"{paths.raw}/data"))
+    elif a.job == "load-new":
+        query = load_new_files(spark, a.folder, f"{paths.raw}/drops", checkpoint(paths, "drops"), KNOWN_DATASETS)
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+    elif a.job == "offsets":
+        offset_report(spark, paths).write.mode("overwrite").parquet(f"{paths.reports}/offsets")
     elif a.job == "summary":
         write_partitioned(weather_summary(spark, paths), f"{paths.gold}/weather_summaries", [])
     elif a.job == "report":
