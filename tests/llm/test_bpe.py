@@ -115,6 +115,15 @@ def test_suffixes_are_shared(vocab):
     assert lex.states == 1 + 3 + len("ingness")  # the ids leave on the first arc, all else is one path
 
 
+def test_row_slices():
+    batch = pa.RecordBatch.from_arrays([pa.array(["a" * 10, None, "b" * 50, "", "c", "d" * 5]), pa.array(range(6))], ["text", "i"])
+    for size in (1, 11, 20, 1000):
+        parts = list(bpe.row_slices(batch, "text", size))
+        assert [i for p in parts for i in p.column("i").to_pylist()] == list(range(6)) and all(p.num_rows for p in parts)
+        assert all(p.num_rows == 1 or sum(len(t or "") + 1 for t in p.column("text").to_pylist()) <= size for p in parts)
+    assert list(bpe.row_slices(batch.slice(0, 0), "text", 5)) == []
+
+
 def test_frequent_words(spark, vocab):
     rows = [(i, "common " * 5 + "rare" + "abcdefgh"[i % 8] + "klmno"[i // 8]) for i in range(40)] + [(99, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -144,6 +153,9 @@ def test_edges(spark, tokenizer, monkeypatch):
         assert r["decoded"] == tokenizer.decode(ids, skip_special_tokens=False)
         assert all(r[c] == f"own {c}" for c in CLASHES)
     assert bpe.encode(docs.limit(0), tokenizer_path()).count() == 0
+    both = bpe.encode(docs, tokenizer_path(), decoded=True)
+    assert both.columns == [*docs.columns, "ids", "decoded"]
+    assert sorted(r["decoded"] for r in both.collect()) == sorted(r["decoded"] for r in rows)
     odd = spark.createDataFrame([(None,), (b"",), (np.array([1, 60000, 2], "<u4").tobytes(),)], "ids binary")
     assert {r["decoded"] for r in bpe.decode(odd, tokenizer_path()).collect()} == {None, "", tokenizer.decode([1, 60000, 2])}
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from fixtures import messy, read, texts
-from urbanflow.llm import packing
+from urbanflow.llm import bpe, packing
 from urbanflow.llm.queries import op4_packing, tokenizer_path
 
 ODD = ["Ａｂｃ don't I'LL naïve É é ΣΑΣ İstanbul a\x1cb c\x1fd <|endoftext|> x<|startoftext|>y ①²3 ﬁx ß ŉa", "", None,
@@ -67,11 +67,12 @@ def test_leftovers_merge_over_several_rounds(spark, tokenizer, monkeypatch):
     assert padding < 0.05
 
 
-def test_cache_that_overflows(tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "CACHE", 3)
+def test_slices_of_a_few_words(tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE", 9)
     encoder = packing.Encoder(tokenizer_path())
-    for t in ("one two three. four", "five six, seven", "one two three."):
-        assert encoder.batch([t]) == [ids_of(tokenizer, t).tobytes()]
+    many = ["one two three. four", None, "five six, seven", "", "one two three.", "x" * 40]
+    for texts_ in ([many[0]], many[2:3], many, []):
+        assert encoder.batch(texts_) == [ids_of(tokenizer, t).tobytes() for t in texts_]
 
 
 def test_best_fit():

@@ -24,24 +24,28 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from ..session import scratch_path
-from .common import discard, landed_at, packed, ship, unpacked
+from .common import IN, discard, landed_at, packed, ship, unpacked
 
 #: words of the lexicon, at most
 LEXICON = 1 << 17
 #: characters of text that a worker takes on at once
-SLICE = 4_000_000
+SLICE = 1_500_000
 #: words that a worker counts before it hands the counts on
-COUNTED = 300_000
+COUNTED = 150_000
 #: words of more bytes are merged one by one, with a heap
 LONG = 64
 #: steps of the count histogram per doubling
 STEPS = 16
 
-_NONE = np.iinfo(np.int64).max
+_NONE = np.iinfo(np.int32).max
+#: widths of the blocks of words that are merged together, and their rows at most
+_WIDTHS = (4, 6, 8, 10, 12, 16, 24, 40, LONG)
+_ROWS = 8192
 _HEAD = 5
 
 #: fixed values: normalizer and pre-tokenizer whose words ``_PLAIN`` finds in plain texts
@@ -55,6 +59,7 @@ _LETTERS = "".join(c for c in _BELOW if unicodedata.category(c)[0] == "L")
 _NUMBERS = "".join(c for c in _BELOW if unicodedata.category(c)[0] == "N")
 _SPACES = "\\x20\\x09-\\x0D\\x85\\xA0"
 _PLAIN = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
+_OTHER = re.compile(f"[{_PLAIN_END}-\U0010ffff]")
 _BREAK = re.compile("[\\x20\\x09-\\x0D]")
 
 
@@ -86,8 +91,8 @@ class Vocabulary:
         self.names = pa.array(names, pa.string())
         byte = byte_names()
         self.bytes_of = {c: b for b, c in enumerate(byte)}
-        self.inner = np.array([vocab[c] for c in byte], np.int64)
-        self.last = np.array([vocab[c + suffix] for c in byte], np.int64)
+        self.inner = np.array([vocab[c] for c in byte], np.int32)
+        self.last = np.array([vocab[c + suffix] for c in byte], np.int32)
         pairs = [m if isinstance(m, list) else m.split(" ", 1) for m in model["merges"]]
         left, right, out = (np.array([vocab[t] for t in ts], np.int64) for ts in
                             ([a for a, _ in pairs], [b for _, b in pairs], [a + b for a, b in pairs]))
@@ -95,6 +100,10 @@ class Vocabulary:
         keys = left * size + right
         self.rank_of = np.argsort(keys, kind="stable")
         self.keys = keys[self.rank_of]
+        self.rank_of, self.product = self.rank_of.astype(np.int32), self.product.astype(np.int32)
+        # a byte inside a word is symbol 0 to 255, at its end 256 to 511, padding 512; ranks of all their pairs
+        self.symbol = np.concatenate((self.inner, self.last, [-1])).astype(np.int32)
+        self.first_ranks = self._ranks(*np.broadcast_arrays(self.symbol[:, None], self.symbol[None, :]))
         self.special = re.compile("|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) or "(?!)")
         self.known_split = spec["normalizer"] == {"type": "Sequence", "normalizers": _NORMALIZER} and (
             [p.get("pattern") for p in spec["pre_tokenizer"].get("pretokenizers", [])] == [{"Regex": _SPLIT}, None])
@@ -115,7 +124,7 @@ class Vocabulary:
 
     def _split(self, text: str) -> list[str]:
         low = text.lower()
-        if self.known_split and (text.isascii() or (max(text) < _PLAIN_END and max(low) < _PLAIN_END)):
+        if self.known_split and not (_OTHER.search(text) or _OTHER.search(low)):
             return _PLAIN.findall(low)
         if self._whole is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -131,56 +140,67 @@ class Vocabulary:
     # -- merging -------------------------------------------------------------------------------------
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = np.where((left < 0) | (right < 0), -1, left * self.size + right)
+        key = np.where((left < 0) | (right < 0), -1, left.astype(np.int64) * self.size + right)
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.rank_of[at], _NONE)
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in a row, number of ids of each word)."""
         sizes = np.array([len(w) for w in words], np.int64)
-        parts: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+        return self.merge_flat(np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes) - sizes, sizes)
+
+    def merge_flat(self, flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``merge``, of words that lie in flat bytes."""
+        found: list[tuple] = []  # (words, number of ids of each, ids in a row)
         low = 0
-        for high in (8, 16, 32, LONG):
-            rows = np.flatnonzero((sizes > low) & (sizes <= high))
-            if len(rows):
-                self._merge_block([words[i] for i in rows], sizes[rows], rows, parts)
+        for high in _WIDTHS:
+            rows = np.flatnonzero((size > low) & (size <= high))
+            for part in np.split(rows, range(_ROWS, len(rows), _ROWS)):
+                if len(part):
+                    self._merge_block(flat, start[part], size[part], part, found)
             low = high
-        for i in np.flatnonzero(sizes > LONG):
-            parts[i] = self._merge_long(words[i])
-        return (np.concatenate(parts) if parts else np.zeros(0, np.int64)), np.array([len(p) for p in parts], np.int64)
-
-    def _symbols(self, flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        symbols = self.inner[flat]
-        symbols[ends - 1] = self.last[flat[ends - 1]]
-        return symbols
-
-    def _merge_block(self, words: list[bytes], sizes: np.ndarray, rows: np.ndarray, parts: list) -> None:
+        for i in np.flatnonzero(size > LONG):
+            ids = self._merge_long(flat[start[i]:start[i] + size[i]].tobytes())
+            found.append((np.array([i]), np.array([len(ids)]), ids))
+        counts = np.zeros(len(size), np.int64)
+        for rows, n, _ in found:
+            counts[rows] = n
+        out = np.empty(int(counts.sum()), np.int32)
+        at = np.cumsum(counts) - counts
+        for rows, n, ids in found:
+            out[spread(at[rows], n)] = ids
+        return out, counts
+
+    def _merge_block(self, flat: np.ndarray, start: np.ndarray, size: np.ndarray, rows: np.ndarray, found: list) -> None:
         """One merge a word and round, all words at once; a word without a pair to merge leaves."""
-        width = int(sizes.max())
-        sym = np.full((len(words), width), -1, np.int64)
-        inside = np.arange(width) < sizes[:, None]
-        sym[inside] = self._symbols(np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes))
-        rank = self._ranks(sym[:, :-1], sym[:, 1:])
-        while len(rows):
-            if rank.shape[1]:
-                at = rank.argmin(axis=1)
-                best = rank[np.arange(len(rows)), at]
-            else:
-                at, best = np.zeros(len(rows), np.int64), np.full(len(rows), _NONE)
+        width = int(size.max())
+        code = np.full((len(rows), width), 512, np.int16)
+        code[np.arange(width) < size[:, None]] = flat[spread(start, size)]
+        code[np.arange(len(rows)), size - 1] += 256
+        sym = self.symbol[code]
+        rank = np.full((len(rows), max(width - 1, 1)), _NONE, np.int32)
+        if width > 1:
+            rank[:] = self.first_ranks[code[:, :-1], code[:, 1:]]
+        while True:
+            at = rank.argmin(axis=1)
+            best = rank[np.arange(len(rows)), at]
             over = best == _NONE
             if over.any():
-                for i, s in zip(rows[over], sym[over]):
-                    parts[i] = s[s >= 0]
+                done = sym[over]
+                found.append((rows[over], (done >= 0).sum(axis=1), done[done >= 0]))
                 go = ~over
                 rows, sym, rank, at, best = rows[go], sym[go], rank[go], at[go], best[go]
                 if not len(rows):
-                    break
+                    return
             each, width = np.arange(len(rows)), sym.shape[1] - 1
-            column = np.arange(width)
             sym[each, at] = self.product[best]
-            sym = np.take_along_axis(sym, column + (column > at[:, None]), axis=1)
+            column = np.arange(width)
+            sym = sym[each[:, None], column + (column > at[:, None])]
+            if width == 1:
+                rank[:] = _NONE
+                continue
             column = column[:-1]
-            rank = np.take_along_axis(rank, column + (column >= at[:, None]), axis=1)
+            rank = rank[each[:, None], column + (column >= at[:, None])]
             for p in (at - 1, at):
                 ok = (p >= 0) & (p < width - 1)
                 r, c = each[ok], p[ok]
@@ -189,7 +209,7 @@ class Vocabulary:
     def _merge_long(self, word: bytes) -> np.ndarray:
         """One word by a heap of its pairs; a pair whose sides have changed since is passed over."""
         flat = np.frombuffer(word, np.uint8)
-        sym = self._symbols(flat, np.array([len(flat)])).tolist()
+        sym = [*self.inner[flat[:-1]].tolist(), int(self.last[flat[-1]])]
         after, before = [*range(1, len(sym)), -1], [*range(-1, len(sym) - 1)]
         ranks = self._ranks(np.array(sym[:-1]), np.array(sym[1:]))
         heap = [(int(ranks[i]), int(i), sym[i], sym[i + 1]) for i in np.flatnonzero(ranks != _NONE)]
@@ -210,7 +230,7 @@ class Vocabulary:
                     at = int(np.searchsorted(keys, key))
                     if at < len(keys) and keys[at] == key:
                         heapq.heappush(heap, (int(rank_of[at]), x, sym[x], sym[y]))
-        return np.array([s for s in sym if s >= 0], np.int64)
+        return np.array([s for s in sym if s >= 0], np.int32)
 
 
 _vocabularies: dict[str, Vocabulary] = {}
@@ -296,9 +316,11 @@ def compile_transducer(entries: Iterable[tuple[bytes, tuple[int, ...]]]) -> np.n
 
 
 class Lexicon:
-    """A compiled transducer: an array, or a file that is memory-mapped."""
+    """A compiled transducer: an array, or a file that is memory-mapped; by default one without words."""
 
-    def __init__(self, source: np.ndarray | str):
+    def __init__(self, source: np.ndarray | str | None = None):
+        if source is None:
+            source = compile_transducer([])
         a = np.memmap(source, np.uint32, "r") if isinstance(source, str) else source
         arcs, states, pool, self.root = (int(x) for x in a[:4])
         at = _HEAD
@@ -351,13 +373,17 @@ def encode_words(vocab: Vocabulary, lexicon: Lexicon, words: pa.StringArray) ->
     flat = np.frombuffer(raw.buffers()[2], np.uint8) if raw.buffers()[2] else np.zeros(0, np.uint8)
     known, counts, ids = lexicon.look_up(flat, offsets)
     unseen = np.flatnonzero(~known)
-    names = raw.take(pa.array(unseen)).to_pylist()
-    special = {w: i for w, n in enumerate(names) if n[:1] == b"<" and (i := vocab.added.get(n.decode())) is not None}
-    merged, sizes = vocab.merge([b"" if w in special else n for w, n in enumerate(names)])
-    for w in sorted(special, reverse=True):
-        merged, sizes[w] = np.insert(merged, int(sizes[:w].sum()), special[w]), 1
+    size = np.diff(offsets)[unseen]
+    merged, sizes = vocab.merge_flat(flat, offsets[:-1][unseen], size)
+    special = [(w, i) for t, i in vocab.added.items()
+               for w in np.flatnonzero((size == len(t.encode())) & (flat[offsets[:-1][unseen]] == t.encode()[0]))
+               if words[int(unseen[w])].as_py() == t] if len(unseen) else []
+    for w, i in special:  # an added token is one id, whatever its text would merge to
+        before = int(sizes[:w].sum())
+        merged = np.concatenate((merged[:before], [i], merged[before + sizes[w]:]))
+        sizes[w] = 1
     counts[unseen] = sizes
-    out = np.empty(int(counts.sum()), np.int64)
+    out = np.empty(int(counts.sum()), np.int32)
     start = np.cumsum(counts) - counts
     seen = np.flatnonzero(known)
     out[spread(start[seen], counts[seen])] = ids
@@ -379,6 +405,21 @@ def encode_texts(vocab: Vocabulary, lexicon: Lexicon, texts: list[str]) -> tuple
     return ids[spread(offsets[:-1][codes], sizes)].astype("<u4"), at[np.array([0, *ends])]
 
 
+def encode_each(vocab: Vocabulary, lexicon: Lexicon, texts: Iterable[str | None]) -> Iterator[bytes]:
+    """Ids of each text, in order, as little-endian unsigned 32-bit integers; a null text is an empty one."""
+    now, held = 0, []
+    for part, of in slices(texts, SLICE):
+        ids, at = encode_texts(vocab, lexicon, part)
+        raw, at = memoryview(ids.tobytes()), (4 * at).tolist()
+        for i, a, b in zip(of, at, at[1:]):
+            if i != now:
+                yield b"".join(held)
+                now, held = i, []
+            held.append(raw[a:b])
+    if held:
+        yield b"".join(held)
+
+
 def pieces(text: str, size: int) -> Iterator[str]:
     """The text in pieces of about ``size`` characters, cut at white space, which no word spans."""
     at = 0
@@ -475,25 +516,35 @@ def _send(spark: SparkSession, lexicon: np.ndarray) -> str:
     return at.rsplit("/", 1)[1]
 
 
-def _encoder(path: str, name: str):
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def row_slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``size`` bytes in a text or binary column, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(int(np.searchsorted(ends, before + size, side="right")), begin + 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def _encode_rows(path: str, name: str, decoded: bool):
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import SparkFiles
 
         vocab, lexicon = vocabulary(path), Lexicon(SparkFiles.get(name))
-        for texts in batches:
-            found: list[bytes] = [b""] * len(texts)
-            for part, of in slices((t.as_py() for t in texts), SLICE):
-                ids, at = encode_texts(vocab, lexicon, part)
-                for i, a, b in zip(of, at.tolist(), at[1:].tolist()):
-                    found[i] += ids[a:b].tobytes()
-            yield pa.array(found, pa.binary())
-    return F.arrow_udf(encode, "binary")
+        for batch in batches:
+            for part in row_slices(batch, "text", SLICE):
+                ids = pa.array(list(encode_each(vocab, lexicon, (t.as_py() for t in part.column("text")))), pa.binary())
+                out = [part.column(IN), ids, *([decode_column(vocab.names, ids)] if decoded else [])]
+                yield pa.RecordBatch.from_arrays(out, [IN, "ids", "decoded"][:len(out)])
+    return encode
 
 
 def encode(docs: DataFrame, path: str, lexicon: str | None = None, text_col: str = "text",
-           carry: list[str] | None = None) -> DataFrame:
+           carry: list[str] | None = None, decoded: bool = False) -> DataFrame:
     """Every row of docs with ``ids``: its token ids as little-endian unsigned 32-bit integers, no special
-    tokens added; added tokens of the vocabulary that stand in a text are encoded as such.
+    tokens added; added tokens of the vocabulary that stand in a text are encoded as such. ``decoded``: also
+    the text that the ids decode to (see ``decode``), in the same pass.
 
     lexicon: the name that ``build_lexicon`` gave; by default that of docs. Null or empty text: no ids.
     Repeated rows: each is encoded. Texts of any length, in slices. Empty table: no rows. Columns as
@@ -501,8 +552,15 @@ def encode(docs: DataFrame, path: str, lexicon: str | None = None, text_col: str
     """
     ship(docs.sparkSession)
     name = lexicon or build_lexicon(docs, path, text_col)
-    rows = docs.select(packed(docs, carry), _encoder(path, name)(F.col(text_col)).alias("ids"))
-    return unpacked(rows, ["ids"])
+    results = [StructField("ids", BinaryType()), *([StructField("decoded", StringType())] if decoded else [])]
+    rows = _mapped(docs, carry, F.col(text_col).alias("text"), _encode_rows(path, name, decoded), results)
+    return unpacked(rows, [r.name for r in results])
+
+
+def _mapped(df: DataFrame, carry: list[str] | None, column: Column, task, results: list[StructField]) -> DataFrame:
+    """The packed row and results of a task over (packed row, column)."""
+    rows = df.select(packed(df, carry), column)
+    return rows.mapInArrow(task, StructType([rows.schema[IN], *results]))
 
 
 def decode_ids(names: pa.StringArray, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
@@ -513,39 +571,44 @@ def decode_ids(names: pa.StringArray, ids: np.ndarray, offsets: np.ndarray) -> l
     return pc.binary_join(lists, " ").to_pylist()
 
 
-def _decoder(path: str):
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def decode_column(names: pa.StringArray, column: pa.BinaryArray) -> pa.StringArray:
+    """The texts of ids, a bounded number of ids at a time; null for null."""
+    found: list[list[str] | None] = [None] * len(column)
+    part, of, size = [], [], 0
+
+    def out():
+        at = np.cumsum([0, *[len(p) // 4 for p in part]])
+        for i, text in zip(of, decode_ids(names, np.frombuffer(b"".join(part), "<u4"), at)):
+            if text:
+                found[i].append(text)
+
+    for i, value in enumerate(column):
+        raw = value.as_py()
+        if raw is None:
+            continue
+        found[i] = []
+        for begin in range(0, len(raw), SLICE):
+            part.append(raw[begin:begin + SLICE])
+            of.append(i)
+            size += len(part[-1])
+            if size >= SLICE:
+                out()
+                part, of, size = [], [], 0
+    out()
+    return pa.array([None if f is None else " ".join(f) for f in found], pa.string())
+
+
+def _decode_rows(path: str):
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = vocabulary(path).names
-        for column in batches:
-            found: list[list[str] | None] = [None] * len(column)
-            part, of, size = [], [], 0
-
-            def out():
-                at = np.cumsum([0, *[len(p) // 4 for p in part]])
-                for i, text in zip(of, decode_ids(names, np.frombuffer(b"".join(part), "<u4"), at)):
-                    if text:
-                        found[i].append(text)
-
-            for i, value in enumerate(column):
-                raw = value.as_py()
-                if raw is None:
-                    continue
-                found[i] = []
-                for begin in range(0, len(raw), SLICE):
-                    part.append(raw[begin:begin + SLICE])
-                    of.append(i)
-                    size += len(part[-1])
-                    if size >= SLICE:
-                        out()
-                        part, of, size = [], [], 0
-            out()
-            yield pa.array([None if f is None else " ".join(f) for f in found], pa.string())
-    return F.arrow_udf(decode, "string")
+        for batch in batches:
+            for part in row_slices(batch, "ids", SLICE):
+                yield pa.RecordBatch.from_arrays([part.column(IN), decode_column(names, part.column("ids"))], [IN, "decoded"])
+    return decode
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", carry: list[str] | None = None) -> DataFrame:
     """Every row of encoded with ``decoded``: the text of its ids, special tokens included. Null ids: null; no
     ids: empty. Columns as ``unpacked`` says."""
     ship(encoded.sparkSession)
-    rows = encoded.select(packed(encoded, carry), _decoder(path)(F.col(ids_col)).alias("decoded"))
-    return unpacked(rows, ["decoded"])
+    return unpacked(_mapped(encoded, carry, F.col(ids_col).alias("ids"), _decode_rows(path), [StructField("decoded", StringType())]), ["decoded"])

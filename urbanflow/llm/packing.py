@@ -15,8 +15,8 @@ hand (the first round); later rounds place whole pieces.
 
 from __future__ import annotations
 
-import os
 import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from .bpe import Lexicon, encode_each, vocabulary
 from .common import landed, ship
 
 LENGTH = 2048
@@ -31,92 +32,21 @@ OPEN = 64
 MIN_CUT = 16
 FAN_IN = 16
 END_ID = 1
-#: words whose ids a Python worker keeps
-CACHE = 500_000
-
-_words: dict = {}
-_tokenizers: dict = {}
-
-
-def _split(text: str) -> list[str]:
-    """Words between white space; four control characters are white space to Python alone."""
-    if text.isascii():
-        text = text.lower()
-    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return [w.decode() for w in text.encode().split()]
-    return text.split()
-
-
 class Encoder:
-    """Token ids of texts, by way of their white-space separated words: the tokenizer drops white space and
-    its pattern never joins what white space parts, so ids of words, in order, are the ids of the text.
-    Each distinct word is tokenized once a worker (up to CACHE of them; then the cache starts anew).
-
-    Words of letters alone (most of them) skip the tokenizer's normalizer and pattern, which leave such
-    words as they are once lower-cased, and go through its model many at a time: a token that ends a word
-    tells so by its name. All others take the whole tokenizer."""
+    """Token ids of texts with the end id, merged a slice of texts at a time (``bpe``). A worker keeps the
+    vocabulary and nothing that grows with the texts it has seen."""
 
     def __init__(self, path: str):
-        if path not in _tokenizers:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-            from tokenizers import Tokenizer, normalizers, pre_tokenizers
-
-            bare = Tokenizer.from_file(path)
-            suffix = bare.model.end_of_word_suffix
-            bare.normalizer = normalizers.Sequence([])
-            bare.pre_tokenizer = pre_tokenizers.Sequence([
-                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-            ends = np.zeros(bare.get_vocab_size() + 1, bool)
-            for token, i in bare.get_vocab().items():
-                ends[i] = bool(suffix) and token.endswith(suffix)
-            _tokenizers[path] = Tokenizer.from_file(path), bare, ends
-            _words[path] = {}
-        (self.tokenizer, self.bare, self.ends), self.known = _tokenizers[path], _words[path]
-
-    def learn(self, words) -> None:
-        known = self.known
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = list(words)
-        # letters before one closing sign: their ids stand side by side
-        stems = {w: w[:-1] for w in new if w[-1] in ".,;:!?" and w[:-1].isalpha()}
-        ask = {*(w for w in new if w not in stems), *(s for s in stems.values() if s not in known),
-               *{w[-1] for w in stems}}
-        plain = {w: low for w in ask if (low := _plain(w))} if self.ends.any() else {}
-        whole = [w for w in ask if w not in plain]
-        for w, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-        names = list(plain)
-        for at in range(0, len(names), 200):
-            part = names[at:at + 200]
-            ids = np.array(self.bare.encode_batch_fast([" ".join(plain[w] for w in part)],
-                                                       add_special_tokens=False)[0].ids, "<u4")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) != len(part):
-                raise ValueError("the tokenizer's word ends do not match the words")
-            raw, last = ids.tobytes(), 0
-            for w, cut in zip(part, cuts):
-                known[w] = raw[4 * last:4 * cut]
-                last = cut
-        for w, s in stems.items():
-            known[w] = known[s] + known[w[-1]]
+        self.vocabulary, self.lexicon = vocabulary(path), Lexicon()
 
-    def batch(self, texts: list[str | None]) -> list[bytes]:
+    def each(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text, the end id included."""
         end = np.array([END_ID], "<u4").tobytes()
-        split = [_split(t) if t else [] for t in texts]
-        self.learn({w for words in split for w in words})
-        known = self.known
-        return [b"".join([known[w] for w in words] + [end]) for words in split]
+        for ids in encode_each(self.vocabulary, self.lexicon, texts):
+            yield ids + end
 
-
-def _plain(word: str) -> str | None:
-    """The lower-cased word if it is Latin letters in composed form alone, else None."""
-    if word.isascii():
-        return word.lower() if word.isalpha() else None
-    low = word.lower()
-    return low if low.isalpha() and max(word) < "\u0250" and max(low) < "\u0250" else None
+    def batch(self, texts: list[str | None]) -> list[bytes]:
+        return list(self.each(texts))
 
 
 class Packer:
@@ -182,28 +112,26 @@ def _pack_documents(path: str, length: int):
         encoder, packer, sink = Encoder(path), Packer(length, OPEN), None
         for batch in batches:
             sink = sink or _Sink(batch.schema.field("id").type, TaskContext.get().partitionId(), 0)
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
-                texts = part.column("text").to_pylist()
-                for id_, ids in zip(part.column("id").to_pylist(), encoder.batch(texts)):
-                    total, at = len(ids) // 4, 0
-
-                    def piece(size):
-                        return id_, at, size, zlib.crc32(ids[4 * at:4 * (at + size)]), total
-
-                    while total - at >= length:
-                        sink.send([piece(length)])
-                        at += length
-                    while at < total:
-                        rest = total - at
-                        if packer.place(rest, piece(rest)):
-                            break
-                        i = packer.fullest()
-                        gap = packer.room[i]
-                        if gap >= MIN_CUT:
-                            packer.windows[i].append(piece(gap))
-                            at += gap
-                        sink.send(packer.out(i))
+            texts = (t.as_py() for t in batch.column("text"))
+            for id_, ids in zip(batch.column("id"), encoder.each(texts)):
+                id_, total, at = id_.as_py(), len(ids) // 4, 0
+
+                def piece(size):
+                    return id_, at, size, zlib.crc32(ids[4 * at:4 * (at + size)]), total
+
+                while total - at >= length:
+                    sink.send([piece(length)])
+                    at += length
+                while at < total:
+                    rest = total - at
+                    if packer.place(rest, piece(rest)):
+                        break
+                    i = packer.fullest()
+                    gap = packer.room[i]
+                    if gap >= MIN_CUT:
+                        packer.windows[i].append(piece(gap))
+                        at += gap
+                    sink.send(packer.out(i))
             yield pa.RecordBatch.from_arrays(sink.flush(), ["id", *_COLUMNS])
         if sink:
             for window in packer.windows:

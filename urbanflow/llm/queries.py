@@ -101,8 +101,7 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), carry=["doc_id"])
-    return bpe.decode(encoded, tokenizer_path()).select(
+    return bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), carry=["doc_id"], decoded=True).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
