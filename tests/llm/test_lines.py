@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from fixtures import messy, read, texts
 from urbanflow.llm import linededup
@@ -51,7 +52,7 @@ def test_keys_and_thresholds(spark):
 
 
 def test_firsts_are_counted_across_batches():
-    frame = pd.DataFrame({"h1": [1, 1, 1, 1, 2, 2], "h2": [0] * 6, "d1": [1, 1, 2, 2, 2, 3], "d2": [0] * 6, "pos": range(6)})
+    frame = pd.DataFrame({"h1": [1, 1, 1, 1, 2, 2], "h2": [0] * 6, "row": [1, 1, 2, 2, 2, 3], "d1": [9] * 6, "d2": [0] * 6, "pos": range(6)})
     for cut in range(1, 6):
         out = pd.concat(list(linededup._mark_first([frame[:cut], frame[cut:cut], frame[cut:]])))
         assert out["first"].tolist() == [1, 0, 1, 0, 1, 1]
@@ -68,11 +69,36 @@ def test_bitmaps():
 
 def test_edges(spark):
     docs = messy(spark)
-    rows = linededup.drop_common_lines(docs, min_documents=3).collect()  # the greeting: documents 1 (its copy is one) and 6
+    rows = linededup.drop_common_lines(docs, min_documents=4).collect()  # the greeting: document 1 twice, and 6
     assert len(rows) == docs.count() and all(r["d1"] == "own d1" and r["bitmap"] == "own bitmap" for r in rows)
     assert all(r["n_dropped"] == 0 for r in rows)
-    two = linededup.drop_common_lines(docs, min_documents=2).collect()
-    assert sorted((r["doc_id"], r["text"]) for r in two if r["n_dropped"]) == [(1, ""), (1, ""), (6, "")]
+    for least in (2, 3):
+        two = linededup.drop_common_lines(docs, min_documents=least).collect()
+        assert sorted((r["doc_id"], r["text"]) for r in two if r["n_dropped"]) == [(1, ""), (1, ""), (6, "")]
     assert {r["doc_id"]: r["n_lines"] for r in rows if r["doc_id"] in (2, 3, 5, 8)} == {2: 1, 3: 1, 5: 2, 8: 41}
     assert [r["text"] for r in rows if r["doc_id"] == 2] == [""]
     assert linededup.drop_common_lines(docs.limit(0)).count() == 0
+
+
+def test_repeated_and_null_rows_as_the_sql_counts_them(spark, tmp_dir):
+    import duckdb
+
+    from urbanflow.llm.queries import ORACLE
+    rows = [(None, "same\nown")] * 12 + [(7, "seven\nx")] * 10 + [(8, "eight\nx")] * 9 + [(i, None) for i in range(20, 32)] + [(None, "")] * 3
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = sorted((tuple(r) for r in op9_line_dedup(spark, tmp_dir).collect()), key=repr)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_dir}/documents.parquet/*.parquet'")
+    assert got == sorted(db.execute(ORACLE["op9_line_dedup"]).fetchall(), key=repr)
+    assert sum(r[2] for r in got) == 2 * 12 + 2 * 10 + 9  # all of the null id and of 7, and the x of 8
+
+
+def test_a_row_that_repeats_in_a_third_of_the_table_is_split(spark):
+    rows = [(1, "hot line\nhot line")] * 400 + [(i, f"line {i}") for i in range(2, 800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    text = F.col("text")
+    lines = (docs.select(*linededup.document_key(F.col("doc_id"), text), text.cast("binary").alias("text"))
+             .mapInPandas(linededup._emit, "h1 long, h2 long, row long, d1 long, d2 long, pos long").repartitionByRange(8, "h1", "h2", "row"))
+    sizes = [r["n"] for r in lines.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 2 * sum(sizes) / 8
+    assert lines.select("row").distinct().count() == len(rows)

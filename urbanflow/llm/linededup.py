@@ -1,11 +1,11 @@
 """Line dedup: lines whose key stands in many documents lose all their copies.
 
-Every line sends a 128-bit hash of its key, its document and its position: no text. The rows are
-range-partitioned by (hash, document) and sorted by hash, document and position, so that a very
-common line is spread over many partitions by its documents. A stream over each partition sees the
-first occurrence in each document and counts it; the counts of a hash that spans partitions are added
-up. What returns is a compressed keep bitmap for each document that loses a line; texts move once, to
-meet their bitmaps.
+Every line sends a 128-bit hash of its key, the row it stands in, a hash of that document and its
+position: no text. The rows are range-partitioned by (hash, row) and sorted by hash, row and position,
+so that a very common line is spread over many partitions by its documents, rows that repeat one
+document among them. A stream over each partition sees the first occurrence in each row and counts
+it; the counts of a hash that spans partitions are added up. What returns is a compressed keep bitmap
+for each document that loses a line; texts move once, to meet their bitmaps.
 """
 
 from __future__ import annotations
@@ -28,34 +28,46 @@ def key(line: bytes) -> bytes:
     return line.strip(_SPACE).lower()
 
 
+#: bytes of text whose lines are hashed at once
+SLICE = 2_000_000
+
+
 def _emit(frames):
+    from pyspark import TaskContext
+
+    row = TaskContext.get().partitionId() << 33
     for frame in frames:
-        hashes, docs, at = [], [], []
-        for i, text in enumerate(frame["text"]):
+        texts, d1, d2 = frame["text"].tolist(), frame["d1"].to_numpy(), frame["d2"].to_numpy()
+        hashes, docs, at, size = [], [], [], 0
+        for i, text in enumerate(texts):
             for pos, line in enumerate(text.split(b"\n")):
                 k = key(line)
                 if k:
                     hashes.append(xxhash.xxh3_128_digest(k))
                     docs.append(i)
                     at.append(pos)
-        raw = np.frombuffer(b"".join(hashes), ">i8").reshape(-1, 2).astype(np.int64)
-        docs = np.array(docs, np.int64)
-        yield pd.DataFrame({"h1": raw[:, 0], "h2": raw[:, 1], "d1": frame["d1"].to_numpy()[docs],
-                            "d2": frame["d2"].to_numpy()[docs], "pos": np.array(at, np.int64)})
+            size += len(text)
+            if size >= SLICE or i == len(texts) - 1:
+                raw = np.frombuffer(b"".join(hashes), ">i8").reshape(-1, 2).astype(np.int64)
+                of = np.array(docs, np.int64)
+                yield pd.DataFrame({"h1": raw[:, 0], "h2": raw[:, 1], "row": row + of, "d1": d1[of], "d2": d2[of],
+                                    "pos": np.array(at, np.int64)})
+                hashes, docs, at, size = [], [], [], 0
+        row += len(texts)
 
 
 def _mark_first(frames):
-    """Rows arrive sorted by hash, document and position: flag the first of each (hash, document)."""
+    """Rows arrive sorted by hash, row and position: flag the first of each (hash, row)."""
     last = None
     for frame in frames:
         if not len(frame):
             continue
-        rows = frame[["h1", "h2", "d1", "d2"]].to_numpy(np.int64)
+        rows = frame[["h1", "h2", "row"]].to_numpy(np.int64)
         first = np.ones(len(rows), bool)
         first[1:] = (rows[1:] != rows[:-1]).any(axis=1)
         first[0] = last is None or (rows[0] != last).any()
         last = rows[-1].copy()
-        yield frame.assign(first=first.astype(np.int64))
+        yield frame[["h1", "h2", "d1", "d2", "pos"]].assign(first=first.astype(np.int64))
 
 
 def _bitmap(positions: pd.Series) -> pd.Series:
@@ -95,8 +107,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship(docs.sparkSession)
     text = F.col(text_col)
     lines = (docs.where(text != "").select(*document_key(F.col(id_col), text), text.cast("binary").alias("text"))
-             .mapInPandas(_emit, "h1 long, h2 long, d1 long, d2 long, pos long")
-             .repartitionByRange("h1", "h2", "d1", "d2").sortWithinPartitions("h1", "h2", "d1", "d2", "pos"))
+             .mapInPandas(_emit, "h1 long, h2 long, row long, d1 long, d2 long, pos long")
+             .repartitionByRange("h1", "h2", "row").sortWithinPartitions("h1", "h2", "row", "pos"))
     marked = landed(lines.mapInPandas(_mark_first, "h1 long, h2 long, d1 long, d2 long, pos long, first long"), "lines")
     # landed, so that the join deals out both of its sides and can split a hash that is in very many documents
     common = landed(marked.groupBy("h1", "h2").agg(F.sum("first").alias("documents"))
@@ -111,8 +123,8 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     A line's key is the line without ASCII white space at its ends, A-Z lower-cased; keys of at least
     one character in at least ``min_documents`` documents lose all their lines. Null or empty text:
-    one empty line, kept text empty. Null id: a document like any other. Repeated rows (same id and
-    text) count as one document and lose the same lines. Several copies of a line in one document
+    one empty line, kept text empty. Null id: a document like any other. Every row is a document: rows that
+    repeat (same id and text) count each, and lose the same lines. Several copies of a line in one document
     count once and go together. Empty table: no rows.
     """
     ship(docs.sparkSession)
