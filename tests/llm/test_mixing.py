@@ -94,6 +94,32 @@ def test_one_source_holds_almost_all(spark):
     assert {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()} == {i: taken[i] for i, _, _ in rows}
 
 
+def test_cut_narrowed_over_several_sortings(spark, monkeypatch):
+    docs = read(spark, "documents", SF)
+    want = {tuple(r) for r in op7_mixing(spark, SF).collect()}
+    monkeypatch.setattr(mixing, "CUT_ROWS", 16)
+    monkeypatch.setattr(mixing, "CUT_PARTS", 5)
+    assert {tuple(r) for r in op7_mixing(spark, SF).collect()} == want and docs.count() == len(want)
+
+
+def test_a_document_that_repeats_in_a_third_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PER_RANGE", 32)
+    rows = [(1, "the same words again", "a")] * 400 + [(i, "w " * (i % 30 + 1), "ab"[i % 2]) for i in range(2, 800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    runs = [Counter((r["doc_id"], r["size"], r["source_size"], r["taken"]) for r in mixing.mix(d).collect()) for d in (docs, docs.repartition(3))]
+    assert runs[0] == runs[1] and sum(runs[0].values()) == len(rows)  # reruns agree, whoever of the copies is taken
+    per, targets = Counter(), {}
+    for r in mixing.mix(docs).collect():
+        per[r["source"]] += r["taken"]
+        targets[r["source"]] = r["target"]
+        assert r["taken"] in {k * r["size"] for k in range(4)}
+    assert all(abs(per[s] - targets[s]) <= 60 for s in per)
+    base = docs.select(F.lit(False).alias("none"), F.col("source").alias("name"), mixing.word_count(F.col("text")).alias("size"),
+                       F.xxhash64(F.lit(42), "doc_id", "text").alias("h"))
+    spread = mixing._spread_repeats(base)
+    assert spread.count() == len(rows) and spread.groupBy("h").count().where("count > 1").count() == 0
+
+
 def test_edges(spark):
     docs = messy(spark)
     rows = mixing.mix(docs).collect()

@@ -8,8 +8,9 @@ prefix within the total budget.
 How it scales
   * Running sums need no task that holds a source: hash ranges of bounded size are summed first, their
     offsets are running sums over the few range totals, and the window runs within a range.
-  * The cut of the global order is found from the totals of the range partitions and one window over
-    the single partition that crosses the budget.
+  * Rows that repeat one document in greater number than a range takes get a hash each, by a skew-safe number.
+  * The cut of the global order is found from the totals of the range partitions; the one that crosses the
+    budget is cut into ranges again until one window over a bounded number of rows finds the place.
   * Per-source figures (one row a source) are the only thing that one task sees whole.
 """
 
@@ -20,10 +21,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.sequence import sequence_number
 from .common import WORD, landed, packed, unpacked
 
 #: rows of a hash range that one window task is made for
 PER_RANGE = 16384
+#: rows of a range partition of the cut, and partitions of one sorting of it, at most
+CUT_ROWS, CUT_PARTS = 1 << 17, 4096
 
 
 def word_count(text: Column) -> Column:
@@ -68,6 +72,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), epochs: i
     base = landed(docs.select(
         packed(docs, carry), source.isNull().alias("none"), F.coalesce(source, F.lit("")).alias("name"),
         word_count(text).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), text).alias("h")), "mix_rows")
+    base = _spread_repeats(base)
     count, budget = base.agg(F.count("*"), F.sum("size")).first()
     budget = budget or 0
     bits = max(1, math.ceil(math.log2(max(1, count / PER_RANGE))))
@@ -89,7 +94,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), epochs: i
     copies = (ranked.where("size > 0").select("cum", "h", "size", "source_size", "target",
                                               F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("e"))
               .select(finish(F.col("e")).alias("v"), "h", "e", "size"))
-    cut = _cut(copies, budget)
+    cut = _cut(copies, budget, count * epochs)
     if cut is None:
         taken = F.lit(0).cast("long")
     else:
@@ -106,22 +111,44 @@ def _until(v: Column, h: Column, e: int, cut_v: float, cut_h: int, cut_e: int) -
     return (v < F.lit(cut_v)) | ((v == F.lit(cut_v)) & tie)
 
 
-def _cut(copies: DataFrame, budget: int):
-    """Last (v, h, e) of the global order whose running size is within the budget; None if none is."""
+def _spread_repeats(base: DataFrame) -> DataFrame:
+    """base with another hash for each of the rows of a hash that more than a range's worth of them share. They
+    are numbered (skew-safe), so the hashes, though not who has which, are the same in every run."""
+    heavy = landed(base.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > PER_RANGE).select("h"), "mix_repeats")
+    if not heavy.head(1):
+        return base
+    again = sequence_number(base.join(heavy, "h", "left_semi"), ["h"], ["none", "name"], "copy")
+    again = again.withColumn("h", F.xxhash64("h", "copy")).drop("copy")
+    return landed(base.join(heavy, "h", "left_anti").select(*base.columns).union(again.select(*base.columns)), "mix_spread")
+
+
+def _cut(copies: DataFrame, budget: int, rows: int):
+    """Last (v, h, e) of the global order whose running size is within the budget; None if none is.
+
+    Range-sorted, a partition that lies wholly within the budget is told by its sum. The one that the budget ends
+    in is sorted into ranges anew, until it has at most ``CUT_ROWS`` rows for the one window that finds the place
+    (or no more than one key, which cannot be parted)."""
     key = ["v", "h", "e"]
-    ordered = landed(copies.repartitionByRange(*key).sortWithinPartitions(*key)
-                     .withColumn("part", F.spark_partition_id()), "mix_order")
-    parts = sorted(ordered.groupBy("part").agg(F.sum("size").alias("size"), F.max(F.struct(*key)).alias("last"))
-                   .collect(), key=lambda r: tuple(r["last"]))  # one row a range partition
-    run, last = 0, None
-    for r in parts:
-        if run + r["size"] <= budget:
+    run, last, frame = 0, None, copies
+    while True:
+        n = max(1, min(CUT_PARTS, -(-rows // CUT_ROWS)))
+        ordered = landed(frame.repartitionByRange(n, *key).withColumn("part", F.spark_partition_id()), "mix_order")
+        parts = sorted(ordered.groupBy("part").agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.min(F.struct(*key)).alias("first"),
+                                                   F.max(F.struct(*key)).alias("last")).collect(), key=lambda r: tuple(r["last"]))
+        hit = None
+        for r in parts:  # at most CUT_PARTS rows
+            if run + r["size"] > budget:
+                hit = r
+                break
             run, last = run + r["size"], tuple(r["last"])
-            continue
-        here = ordered.where(F.col("part") == r["part"]).withColumn("run", F.sum("size").over(Window.orderBy(*key)))
-        found = here.where(F.col("run") <= budget - run).agg(F.max(F.struct(*key)).alias("last")).first()["last"]
-        return tuple(found) if found is not None else last
-    return last
+        if hit is None:
+            return last
+        frame, rows = ordered.where(F.col("part") == hit["part"]).drop("part"), hit["n"]
+        if rows <= CUT_ROWS or hit["first"] == hit["last"]:
+            break
+    here = frame.withColumn("run", F.sum("size").over(Window.orderBy(*key)))
+    found = here.where(F.col("run") <= budget - run).agg(F.max(F.struct(*key)).alias("last")).first()["last"]
+    return tuple(found) if found is not None else last
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
