@@ -125,6 +125,28 @@ def test_method_adds_spans_that_no_pattern_finds(spark):
     assert not [s for k, v in by.items() if k != 99 for s in v if s[0] == "random"]
 
 
+def test_what_stands_beside_a_base_span_is_reported(spark):
+    rng = random.Random(6)
+    keys = [base64.b64encode(rng.randbytes(30)).decode().replace("+", "x").replace("/", "y") for _ in range(20)]
+    rows = [(i, f"id AKIA{'ABCDEFGHIJ' * 2}/{k} end") for i, k in enumerate(keys)]
+    rows += [(100 + i, " ".join(t.decode() for t in tokens_of_text(40)[i::7])) for i in range(7)]
+    by = {r["doc_id"]: r for r in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = 0
+    for i, k in enumerate(keys):
+        spans = [(s["kind"], rows[i][1][s["start"]:s["end"]]) for s in by[i]["spans"]]
+        assert spans[0] == ("access", "AKIA" + "ABCDEFGHIJ" * 2)  # the base span stays as it was
+        found += ("random", "/" + k) in spans or ("random", k) in spans
+    assert found >= 18
+    assert not [s for i in range(7) for s in by[100 + i]["spans"] if s["kind"] == "random"]
+
+
+def test_uncovered_parts():
+    spans = [(10, 30, "a"), (20, 40, "b"), (60, 61, "c")]
+    assert secrets.uncovered(0, 100, spans) == [(40, 60), (61, 100)]
+    assert secrets.uncovered(0, 10, spans) == [] and secrets.uncovered(70, 90, spans) == [(70, 90)]
+    assert secrets.uncovered(-20, 35, spans) == [(-20, 10)] and secrets.uncovered(12, 28, spans) == []
+
+
 def test_edges(spark):
     docs = messy(spark)
     rows = secrets.secrets(docs).collect()

@@ -127,14 +127,29 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(i, j, KINDS[k]) for i, k, j in sorted(found)]
 
 
+def uncovered(start: int, end: int, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """What is left of [start, end) beside the spans (sorted by start), in parts of the least length of a token."""
+    out, at = [], start
+    for i, j, _ in spans:
+        if j > at and i < end:
+            if i - at >= LENGTHS[0]:
+                out.append((at, i))
+            at = max(at, j)
+    if end - at >= LENGTHS[0]:
+        out.append((at, end))
+    return out
+
+
 def _scan(texts: pd.Series) -> pd.DataFrame:
     base, tokens, where = [], [], []
     for row, text in enumerate(texts):
         text = text or ""
-        base.append([{"kind": k, "start": i, "end": j} for i, j, k in base_spans(text)])
+        spans = base_spans(text)
+        base.append([{"kind": k, "start": i, "end": j} for i, j, k in spans])
         for m in TOKEN.finditer(text):
-            tokens.append(m.group().encode())
-            where.append((row, m.start(), m.end()))
+            for i, j in uncovered(m.start(), m.end(), spans) if spans else [m.span()]:
+                tokens.append(text[i:j].encode())
+                where.append((row, i, j))
     tried: list[list[dict]] = [[] for _ in base]
     passes, evidence = battery(tokens)
     bins = np.searchsorted(LENGTHS, [len(t) for t in tokens], side="right") - 1
@@ -162,8 +177,8 @@ def step_up(counts: dict[int, int], fdr: float = FDR) -> int:
 def secrets(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, fdr: float = FDR) -> DataFrame:
     """Every row of docs with ``spans``: array of (kind, start, end), by start, then kind as in KINDS.
 
-    Null or empty text: no spans. Kinds are found independently, so spans of several kinds may overlap; a
-    token with a base span inside is not reported again as random. Repeated rows: each is scanned, and each
+    Null or empty text: no spans. Kinds are found independently, so spans of several base kinds may overlap; of a
+    token that a base span touches, the parts beside it (16 characters or more) are tested and reported as random. Repeated rows: each is scanned, and each
     counts as tests. Empty table: no rows. Texts may be of any length; positions are code points.
     """
     ship(docs.sparkSession)
@@ -177,8 +192,7 @@ def secrets(docs: DataFrame, text_col: str = "text", carry: list[str] | None = N
     least = F.array(*[F.lit(step_up(by_length.get(b, {}), fdr)) for b in range(len(LENGTHS))])
 
     def hit(t):
-        apart = ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-        return (t["cell"] >= F.get(least, t["len_class"])) & apart
+        return t["cell"] >= F.get(least, t["len_class"])
 
     added = F.transform(F.filter("tried", hit), lambda t: F.struct(F.lit("random").alias("kind"), t["start"], t["end"]))
     order = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
