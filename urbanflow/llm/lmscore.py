@@ -15,7 +15,7 @@ the words that the corpus lacks. Classes hold about equal shares of the corpus.
 
 Training covers all documents: in each of ``ROUNDS`` every task walks its own documents from the common
 weights, on every ``ROUNDS``-th position (another set in each round, so that each position is predicted
-once), and the tasks' weights are averaged by positions seen, a slice of the weights at a time. What is gathered grows with the
+once), and the tasks' weights are averaged by positions seen, a slice of the weights of ``FAN_IN`` tasks at a time. What is gathered grows with the
 corpus (word counts of every task, weights of every task); what is broadcast is the model alone, of a
 size set by the constants.
 """
@@ -38,6 +38,8 @@ SIDE, WIDTH, HIDDEN = 2, 16, 32
 ROUNDS = 2
 MINIBATCH, RATE = 1024, 0.07
 SLICES = 32
+#: tasks whose weights are averaged in one group
+FAN_IN = 64
 SEED = 42
 #: words that a counting task holds before it sends what it has; tokens scored at a time
 HELD, BATCH = 500_000, 16_384
@@ -268,6 +270,16 @@ def walk(w, squares, ids: np.ndarray, lengths: np.ndarray, vocabulary: Vocabular
     return len(pick)
 
 
+def average(frame: pd.DataFrame) -> pd.DataFrame:
+    """One row of several of a slice: the weights' mean by positions seen, in order of the tasks."""
+    frame = frame.sort_values("task")
+    total, mean = int(frame["seen"].sum()), 0
+    for seen, raw in zip(frame["seen"], frame["weights"]):
+        mean = mean + np.frombuffer(raw, np.float32).astype(float) * (seen / total)
+    return pd.DataFrame({"slice": [int(frame["slice"].iloc[0])], "task": [int(frame["task"].iloc[0])], "seen": [total],
+                         "weights": [mean.astype(np.float32).tobytes()]})
+
+
 def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     """Weights after ROUNDS of local descent and averaging over all rows of column ``text`` (binary)."""
     sc = texts.sparkSession.sparkContext
@@ -290,15 +302,15 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
                 parts = np.array_split(_flatten(own), SLICES)
                 yield pd.DataFrame({"slice": range(SLICES), "task": task, "seen": seen, "weights": [p.tobytes() for p in parts]})
 
-        def average(frame):
-            frame = frame.sort_values("task")
-            total, mean = frame["seen"].sum(), 0
-            for seen, raw in zip(frame["seen"], frame["weights"]):
-                mean = mean + np.frombuffer(raw, np.float32).astype(float) * (seen / total)
-            return pd.DataFrame({"slice": [int(frame["slice"].iloc[0])], "weights": [mean.astype(np.float32).tobytes()]})
-
-        rows = (texts.mapInPandas(descend, "slice int, task int, seen long, weights binary")
-                .groupBy("slice").applyInPandas(average, "slice int, weights binary").collect())
+        sums = landed(texts.mapInPandas(descend, "slice int, task int, seen long, weights binary"), "lm_weights")
+        while True:  # FAN_IN tasks at a time, so that no group grows with the number of tasks
+            tasks = sums.agg(F.max("task")).first()[0]
+            sums = (sums.withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int")).groupBy("slice", "task")
+                    .applyInPandas(average, "slice int, task int, seen long, weights binary"))
+            if tasks is None or tasks < FAN_IN:
+                break
+            sums = landed(sums, "lm_weights")
+        rows = sums.collect()
         if rows:
             w = _unflatten(np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(rows, key=lambda r: r["slice"])]))
     return w
