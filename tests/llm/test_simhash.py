@@ -74,24 +74,63 @@ def test_a_dense_cluster_is_linked_without_all_pairs():
     flips = simhash.masks(2)
     centre = np.uint64(0x0123456789ABCDEF)
     fps = np.unique(centre ^ flips)[:1500]
-    parts = [simhash.unblock(b) for _, b in simhash.blocks(fps, flips, 1)]
-    node, root = simhash.meet(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), 4)
+    rows = simhash.variants(fps, flips, 40)
+    node, root = simhash.meet(rows >> np.uint64(12), fps[(rows & np.uint64(4095)).astype(int)], 4)
     assert len(node) == len(fps) - 1 and set(root.tolist()) == {int(fps.min())}
 
 
 def test_blocks_round_trip():
     fps = np.unique(np.random.default_rng(2).integers(0, 2**63, 50, dtype=np.uint64))
     flips = simhash.masks(2)
-    n = 0
-    for bucket, block in simhash.blocks(fps, flips, 7):
-        keys, values = simhash.unblock(block)
-        n += len(keys)
-        assert 0 <= bucket < 7 and set(values.tolist()) <= set(fps.tolist()) and (np.diff(keys.astype(np.int64)) >= 0).all()
-    assert n == len(fps) * 2081
+    for bits, bucket_bits in ((30, 3), (52, 9), (20, 0), (12, 12)):
+        rows = simhash.variants(fps, flips, bits)
+        assert len(rows) == len(fps) * 2081 and (np.diff(rows.astype(np.int64)) >= 0).all()
+        assert set((rows & np.uint64(4095)).tolist()) == set(range(len(fps)))
+        back, at = [], 0
+        for bucket, first, block in simhash.blocks(rows, bits, bucket_bits):
+            assert first == at and 0 <= bucket < 1 << bucket_bits
+            back.append(simhash.unblock(bucket, block, bits, bucket_bits))
+            assert (back[-1] >> np.uint64(bits - bucket_bits) == bucket).all()
+            at += len(back[-1])
+        assert np.array_equal(np.concatenate(back), rows >> np.uint64(12))
     with pytest.raises(ValueError):
         simhash.link_fingerprints(None, 3)
 
 
+def test_equal_variants_have_equal_hashes_whatever_the_chunk():
+    flips = simhash.masks(2)
+    a, b = np.uint64(77), np.uint64(77 ^ 0b1111)  # 4 bits apart: six values lie half way
+    x, y = (simhash.variants(np.array([v], np.uint64), flips, 50) >> np.uint64(12) for v in (a, b))
+    places = simhash.repeated([x, y])
+    assert np.array_equal(x[places[0]], y[places[1]]) and len(places[0]) == 6
+    assert [p.tolist() for p in simhash.repeated([np.array([1, 2, 2], np.uint64), np.array([3, 1], np.uint64)])] == [[0, 1, 2], [1]]
+
+
+@pytest.mark.parametrize("fingerprints", [51_000, 1_000_000, 14_000_000, 100_000_000])
+def test_bytes_a_variant_do_not_grow_with_the_input(fingerprints):
+    flips = simhash.masks(2)
+    bits, bucket_bits = simhash.key_bits(fingerprints, len(flips))
+    fps = np.unique(np.random.default_rng(4).integers(0, 2**64, simhash.CHUNK, dtype=np.uint64))
+    rows = simhash.variants(fps, flips, bits)
+    size = sum(len(block) for _, _, block in simhash.blocks(rows, bits, bucket_bits))
+    assert size / len(rows) <= 3.2
+    assert fingerprints * len(flips) / 2 ** bits <= 2 ** -(simhash.SPARE - 1) and fingerprints * len(flips) >> bucket_bits <= simhash.PER_BUCKET
+
+
+def test_links_over_several_chunks_and_buckets(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", 16)
+    monkeypatch.setattr(simhash, "PER_BUCKET", 5000)
+    rng = np.random.default_rng(5)
+    values = np.unique(np.concatenate((rng.integers(0, 2**64, 90, dtype=np.uint64), np.uint64(5) ^ simhash.masks(1))))
+    signed = [int(v) for v in values.view(np.int64)]
+    links = simhash.link_fingerprints(spark.createDataFrame([(v,) for v in signed], "fp long").repartition(3))
+    found = {r["node"]: r["root"] for r in links.collect()}
+    want = {}
+    for v, g in zip(signed, brute_groups([int(v) for v in values])):
+        want.setdefault(g, []).append(v)
+    assert {frozenset(x) for x in want.values() if len(x) > 1} == {frozenset(k for k, r in found.items() if r == root) for root in set(found.values())}
+
+
 def test_components_of_long_paths(spark):
     path = [(f"n{i:04d}", f"n{i + 1:04d}") for i in range(200)] + [("x", "y"), ("y", "y"), ("y", "x"), ("q", "q")]
     got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(path, "a string, b string")).collect()}

@@ -6,10 +6,12 @@ variants are shuffled, and fingerprints that meet at a variant are verified and
 
 How it scales
   * Only distinct fingerprints emit; copies of a text cost one row each.
-  * Variants travel as packed blocks: a map chunk sorts its variants by (bucket, key, emitter) and
-    ships, per bucket, the key's high part as counts and 3 bytes a variant. A bucket holds about
-    ``PER_BUCKET`` variants at any input size; their number grows instead. Keys are cut to 24 bits
-    within a bucket: equal variants always meet, others that meet are told apart by bit distance.
+  * Most variants meet no other. So a map chunk first ships a hash of each variant alone, sorted and as
+    differences: 2 to 4 bytes each, as the hash has a few bits more than it takes to number all variants.
+    A bucket of about ``PER_BUCKET`` hashes, at any input size, finds those that stand there twice and tells
+    their chunks at which places; a few in a hundred do by chance.
+  * The chunks turn these places alone into (hash, fingerprint) pairs, which meet in a second shuffle and are
+    told apart by bit distance. Equal variants have equal hashes, so no link is lost.
   * All members of a true variant are within 2r bits of each other, so a group is linked through a
     spanning forest of its bucket, never by all its pairs.
   * Components: distributed stars (components.py).
@@ -32,8 +34,8 @@ from .components import connected_components, forest
 CHUNK = 1 << 12
 #: variants a bucket is made for
 PER_BUCKET = 4_000_000
-#: a variant's key within its bucket: 12 bits as counts, 12 bits in the row
-KEY_BITS, LOW_BITS = 24, 12
+#: bits of a variant's hash beyond those that number all variants: one in 2^SPARE meets another by chance
+SPARE = 6
 #: a group of up to so many is verified pair by pair; a larger one from its first member, and pair by
 #: pair only if that fails
 SMALL = 16
@@ -77,45 +79,53 @@ def _mix(v: np.ndarray) -> np.ndarray:
     return v
 
 
-def blocks(fps: np.ndarray, flips: np.ndarray, buckets: int):
-    """(bucket, block) of the variants of up to CHUNK fingerprints."""
-    v = _mix((fps[:, None] ^ flips[None, :]).ravel())
-    row = (v >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32) << np.uint64(KEY_BITS)
-    row |= v & np.uint64((1 << KEY_BITS) - 1)
+def key_bits(fingerprints: int, flips: int) -> tuple[int, int]:
+    """(bits of a variant's hash, the first of which number the buckets)."""
+    variants = max(1, fingerprints * flips)
+    return min(52, variants.bit_length() + SPARE), (max(1, -(-variants // PER_BUCKET)) - 1).bit_length()
+
+
+def variants(fps: np.ndarray, flips: np.ndarray, bits: int) -> np.ndarray:
+    """(hash, number of the fingerprint) of all variants of up to CHUNK fingerprints, packed, in ascending order."""
+    row = _mix((fps[:, None] ^ flips[None, :]).ravel())
+    row >>= np.uint64(64 - bits)
     row <<= np.uint64(12)
     row |= np.repeat(np.arange(len(fps), dtype=np.uint64), len(flips))
-    del v
     row.sort()
-    bucket = (row >> np.uint64(KEY_BITS + 12)).astype(np.int64)
-    cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(row)]))
+    return row
+
+
+def blocks(rows: np.ndarray, bits: int, bucket_bits: int):
+    """(bucket, place of its first hash, block) of a chunk's variants: differences of the hashes, in as few bytes
+    each as the largest takes."""
+    keys = rows >> np.uint64(12)
+    bucket = (keys >> np.uint64(bits - bucket_bits)).astype(np.int64)
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(rows)]))
     for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        part = row[i:j]
-        emitter = (part & np.uint64(CHUNK - 1)).astype(np.int64)
-        there = np.zeros(len(fps), bool)
-        there[emitter] = True
-        number = np.cumsum(there) - 1
-        low = (part >> np.uint64(12)) & np.uint64((1 << LOW_BITS) - 1)
-        low = (low.astype(np.uint32) << np.uint32(12)) | number[emitter].astype(np.uint32)
-        high = (part >> np.uint64(12 + LOW_BITS)) & np.uint64((1 << KEY_BITS - LOW_BITS) - 1)
-        counts = np.bincount(high.astype(np.int64), minlength=1 << KEY_BITS - LOW_BITS).astype("<u4")
-        used = fps[there]
-        yield int(bucket[i]), b"".join((
-            np.array([len(used), len(part)], "<u4").tobytes(), used.astype("<u8").tobytes(), counts.tobytes(),
-            low.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()))
-
-
-def unblock(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(key, fingerprint) of each variant in a block."""
-    n_used, n = np.frombuffer(block, "<u4", 2)
-    used = np.frombuffer(block, "<u8", n_used, 8)
-    at = 8 + 8 * int(n_used)
-    slots = 1 << KEY_BITS - LOW_BITS
-    counts = np.frombuffer(block, "<u4", slots, at)
-    raw = np.zeros((int(n), 4), np.uint8)
-    raw[:, :3] = np.frombuffer(block, np.uint8, 3 * int(n), at + 4 * slots).reshape(-1, 3)
-    low = raw.view("<u4").ravel()
-    high = np.repeat(np.arange(slots, dtype=np.uint32), counts)
-    return (high << np.uint32(LOW_BITS)) | (low >> np.uint32(12)), used[low & np.uint32(CHUNK - 1)]
+        steps = keys[i:j].copy()
+        steps[1:] -= keys[i:j - 1]
+        steps[0] -= np.uint64(int(bucket[i]) << (bits - bucket_bits))
+        width = max(1, -(-int(steps.max()).bit_length() // 8))
+        yield int(bucket[i]), i, bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unblock(bucket: int, block: bytes, bits: int, bucket_bits: int) -> np.ndarray:
+    """Hashes of a block, ascending."""
+    width = block[0]
+    raw = np.zeros(((len(block) - 1) // width, 8), np.uint8)
+    raw[:, :width] = np.frombuffer(block, np.uint8, offset=1).reshape(-1, width)
+    return np.cumsum(raw.view("<u8").ravel(), dtype=np.uint64) + np.uint64(bucket << (bits - bucket_bits))
+
+
+def repeated(keys: list[np.ndarray]) -> list[np.ndarray]:
+    """Places, in each of several lists of hashes, of those that stand there twice or more in all."""
+    flat = np.concatenate(keys)
+    order = np.argsort(flat, kind="stable")
+    same = flat[order[1:]] == flat[order[:-1]]
+    twice = np.zeros(len(flat), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    return [np.flatnonzero(t) for t in np.split(twice, np.cumsum([len(k) for k in keys])[:-1])]
 
 
 def meet(keys: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,32 +175,74 @@ def link_fingerprints(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     spark = fps.sparkSession
     ship(spark)
     flips = masks(max_bits // 2)
-    buckets = max(1, -(-fps.count() * len(flips) // PER_BUCKET))
+    bits, bucket_bits = key_bits(fps.count(), len(flips))
+
+    def chunk(frames):
+        from pyspark import TaskContext
+
+        held, n, number = [], 0, TaskContext.get().partitionId() << 32
+
+        def out(part):
+            nonlocal number
+            number += 1
+            return pd.DataFrame({"chunk": [number], "fps": [part.tobytes()]})
 
-    def emit(frames):
-        held, n = [], 0
         for frame in frames:
-            held.append(frame["fp"].to_numpy(np.int64).view(np.uint64))
+            held.append(frame["fp"].to_numpy(np.int64))
             n += len(held[-1])
             while n >= CHUNK:
                 all_ = np.concatenate(held)
-                yield pd.DataFrame(list(blocks(all_[:CHUNK], flips, buckets)), columns=["bucket", "block"])
+                yield out(all_[:CHUNK])
                 held, n = [all_[CHUNK:]], n - CHUNK
         if n:
-            yield pd.DataFrame(list(blocks(np.concatenate(held), flips, buckets)), columns=["bucket", "block"])
+            yield out(np.concatenate(held))
+
+    def emit(frames):
+        for frame in frames:
+            for number, raw in zip(frame["chunk"], frame["fps"]):
+                rows = variants(np.frombuffer(raw, np.uint64), flips, bits)
+                found = pd.DataFrame(list(blocks(rows, bits, bucket_bits)), columns=["bucket", "first", "block"])
+                del rows
+                yield found.assign(chunk=number)
+
+    def find(frame):
+        places = repeated([unblock(int(b), raw, bits, bucket_bits) for b, raw in zip(frame["bucket"], frame["block"])])
+        some = [(c, (p + f).astype("<u4").tobytes()) for c, f, p in zip(frame["chunk"], frame["first"], places) if len(p)]
+        return pd.DataFrame(some, columns=["chunk", "places"])
+
+    def pick(mine, found):
+        if not len(mine) or not len(found):
+            return pd.DataFrame({"part": [], "pairs": []})
+        fps_ = np.frombuffer(mine["fps"].iloc[0], np.uint64)
+        rows = variants(fps_, flips, bits)[np.sort(np.frombuffer(b"".join(found["places"]), "<u4"))]
+        keys, values = rows >> np.uint64(12), fps_[(rows & np.uint64(CHUNK - 1)).astype(np.int64)]
+        top = keys >> np.uint64(max(0, bits - 32))
+        part = (top * np.uint64(parts) >> np.uint64(min(bits, 32))).astype(np.int64)  # keys ascend, and so do parts
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(part)]))
+        return pd.DataFrame({"part": part[cuts[:-1]], "pairs": [
+            np.stack((keys[i:j], values[i:j])).tobytes() for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]})
 
     def verify(frame):
-        parts = [unblock(b) for b in frame["block"]]
-        keys, values = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-        del parts
-        node, root = meet(keys, values, max_bits)
+        pairs = np.concatenate([np.frombuffer(p, np.uint64).reshape(2, -1) for p in frame["pairs"]], axis=1)
+        node, root = meet(pairs[0], pairs[1], max_bits)
         return pd.DataFrame({"a": node.view(np.int64), "b": root.view(np.int64)})
 
-    links = (fps.mapInPandas(emit, "bucket long, block binary")
-             .groupBy("bucket").applyInPandas(verify, "a long, b long"))
+    # landed: a chunk that is made anew must have the same fingerprints in the same order
+    chunks = landed(fps.mapInPandas(chunk, "chunk long, fps binary"), "simhash_chunks")
+    met = landed(chunks.repartition(_tasks(chunks)).mapInPandas(emit, "bucket long, first long, block binary, chunk long")
+                 .groupBy("bucket").applyInPandas(find, "chunk long, places binary"), "simhash_places")
+    many = met.agg(F.sum(F.octet_length("places"))).first()[0] or 0
+    parts = max(1, -(-many // (4 * PER_BUCKET)))
+    links = (chunks.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInPandas(pick, "part long, pairs binary")
+             .groupBy("part").applyInPandas(verify, "a long, b long"))
     return connected_components(links)
 
 
+def _tasks(chunks: DataFrame) -> int:
+    """Map tasks of a few chunks each, so that emission uses every core and a task stays short."""
+    return max(1, -(-chunks.count() // 2))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
                     max_bits: int = 4, carry: list[str] | None = None) -> DataFrame:
     """Every row of docs with ``fingerprint`` (16 lowercase hex digits), ``component_id`` (smallest id
@@ -212,7 +264,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                               F.monotonically_increasing_id().alias("row")), "simhash_rows")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
     nodes = landed(base.groupBy("fp").agg(first.alias("first")), "simhash_fingerprints")
-    roots = link_fingerprints(nodes.select("fp").repartition(_spread(nodes)), max_bits)
+    roots = link_fingerprints(nodes.select("fp"), max_bits)
     rooted = landed(nodes.join(roots, nodes["fp"] == roots["node"], "left")
                     .select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash_roots")
     whole = landed(rooted.groupBy("root").agg(F.min("first").alias("of")), "simhash_components")
@@ -223,11 +275,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return unpacked(out, ["fingerprint", "component_id", "component_first"])
 
 
-def _spread(nodes: DataFrame) -> int:
-    """Map tasks of a few chunks each, so that emission uses every core and a task stays short."""
-    return max(1, -(-nodes.count() // (2 * CHUNK)))
-
-
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
                 max_bits: int = 4) -> DataFrame:
     """docs with one row of each near-duplicate component (see ``near_duplicates``), its columns as given.
