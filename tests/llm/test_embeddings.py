@@ -64,6 +64,42 @@ def test_recall_on_the_given_vectors(spark):
     assert (found <= links).all() and found.sum() >= 0.9 * links.sum()
 
 
+def planted(n, dim=64, seed=3):
+    """n random vectors, and a partner of each at a cosine from 0.93 to 0.96."""
+    rng = np.random.default_rng(seed)
+    u, w = embeddings.unit(rng.standard_normal((n, dim))), rng.standard_normal((n, dim))
+    w = embeddings.unit(w - (w * u).sum(axis=1, keepdims=True) * u)
+    c = rng.uniform(0.9305, 0.96, (n, 1))
+    return u, c * u + np.sqrt(1 - c * c) * w
+
+
+def test_recall_and_pair_work_do_not_change_with_the_size(spark):
+    met = {}
+    for n in (1_000, 8_000):
+        u, v = planted(n)
+        rows = [(i, x, 1) for i, x in enumerate(np.concatenate((u, v)).tolist())]
+        got = embeddings.near_vectors(frame(spark, rows)).collect()
+        linked = {r["vec_id"] for r in got if r["n_links"]}
+        assert sum(i in linked for i in range(n)) >= 0.95 * n  # recall
+        assert all(r["n_links"] <= 1 for r in got)
+        how = embeddings.plan(0.93, 64, int(np.ceil(np.log2(2 * n * embeddings.PER_VECTOR))))
+        codes = embeddings.buckets(np.concatenate((u, v)), *how)
+        _, sizes = np.unique(codes, return_counts=True)
+        met[n] = (sizes.astype(float) * (sizes - 1)).sum() / (2 * n)
+    print("vectors met per vector", met)
+    assert met[8_000] < 2 * met[1_000] and max(met.values()) < 100  # a power of two of buckets: a factor of two
+
+
+@pytest.mark.parametrize("wanted", [4, 14, 20, 32, 40])
+def test_plans_keep_their_recall(wanted):
+    hashes, last, tables = embeddings.plan(0.93, 64, wanted)
+    assert embeddings.recall_at(0.93, 64, hashes, last, tables) >= embeddings.RECALL
+    assert abs(np.log2(last) + (hashes - 1) * 7 - wanted) < 0.6  # as many buckets as wanted
+    for dim in (1, 2, 3, 8):  # fewer where hashes would lose links
+        low = embeddings.plan(0.93, dim, wanted)
+        assert low == (1, 1, 1) or embeddings.recall_at(0.93, dim, *low) >= embeddings.RECALL
+
+
 def test_hadamard_is_orthogonal_and_buckets_are_stable():
     x = embeddings.unit(np.random.default_rng(1).standard_normal((50, 48)))
     h = embeddings.hadamard(np.pad(x, ((0, 0), (0, 16))))
@@ -71,9 +107,9 @@ def test_hadamard_is_orthogonal_and_buckets_are_stable():
     matrix = embeddings.hadamard(np.eye(8))
     assert np.allclose(matrix @ matrix.T, 8 * np.eye(8)) and set(np.unique(matrix)) == {-1.0, 1.0}
     a, b = embeddings.buckets(x), embeddings.buckets(x[::-1])[::-1]
-    assert (a == b).all() and a.shape == (50, embeddings.TABLES * embeddings.PROBES)
+    assert (a == b).all() and a.shape == (50, embeddings.TABLES[0] * embeddings.PROBES)
     for dim in (1, 2, 3):
-        assert embeddings.buckets(embeddings.unit(np.ones((2, dim)))).shape == (2, embeddings.TABLES * embeddings.PROBES)
+        assert embeddings.buckets(embeddings.unit(np.ones((2, dim)))).shape == (2, embeddings.TABLES[0] * embeddings.PROBES)
 
 
 def test_edges(spark):

@@ -1,11 +1,16 @@
 """Embedding near-dedup: cross-polytope hashing after fast Hadamard rotations.
 
 A hash rotates a vector pseudo-randomly (three rounds of sign flips and a fast Walsh-Hadamard
-transform) and takes the signed axis it lies nearest to. A table joins ``HASHES`` of these; a vector
+transform) and takes the signed axis it lies nearest to. A table joins several of these; a vector
 goes into the ``PROBES`` buckets of each table whose axes it is nearest to together (multiprobe), so
 two vectors meet if any of their probes agree. Every pair that meets is verified by its cosine in
 double precision.
 
+How many hashes a table joins, and into how many outcomes its last one is told apart, grows with the
+number of a label's vectors: there are ``PER_VECTOR`` buckets for each of them, so that a vector meets
+about as many others by chance at any size. The share of pairs at the threshold that still meet is
+measured beforehand, and hashes that would bring it below ``RECALL`` are not joined.
+
 How it scales
   * Equal vectors are one class with a count; copies never meet each other.
   * A bucket of more than ``BLOCK`` classes is cut into blocks of that size, and each pair of blocks is a
@@ -17,15 +22,23 @@ How it scales
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import landed, packed, ship, unpacked
 from .components import connected_components, forest
 
-TABLES, HASHES, PROBES = 6, 2, 4
+#: tables, as few of them as keep RECALL
+TABLES, PROBES = (6, 9, 12, 18, 24, 36), 4
+#: buckets a table has for each vector of a label (a power of two is taken), and the share of pairs right at the
+#: threshold that must meet in a bucket
+PER_VECTOR, RECALL = 4, 0.97
+#: pairs on which that share is measured
+TRIALS = 600
 BLOCK = 2048
 SEED = 42
 
@@ -47,10 +60,13 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def buckets(x: np.ndarray, tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES) -> np.ndarray:
-    """(rows, tables * probes) bucket numbers of unit vectors; a table's numbers are its own."""
+def buckets(x: np.ndarray, hashes: int = 2, last: int | None = None, tables: int = TABLES[0],
+            probes: int = PROBES) -> np.ndarray:
+    """(rows, tables * probes) bucket numbers of unit vectors; a table's numbers are its own. Of the last hash
+    ``last`` outcomes are told apart (default: all)."""
     n, dim = x.shape
     d = 1 << max(1, (dim - 1).bit_length())
+    last = 2 * d if last is None else last
     padded = np.zeros((n, d))
     padded[:, :dim] = x
     signs = np.random.default_rng([SEED, d]).choice([-1.0, 1.0], (tables, hashes, 3, d))
@@ -67,34 +83,63 @@ def buckets(x: np.ndarray, tables: int = TABLES, hashes: int = HASHES, probes: i
             near = np.take_along_axis(both, top, axis=1)
             gap = near.max(axis=1, keepdims=True) - near
             loss = (loss[:, :, None] + gap[:, None, :]).reshape(n, -1)
-            code = (code[:, :, None] * (2 * d) + top[:, None, :]).reshape(n, -1)
-        best = np.argsort(loss, axis=1, kind="stable")[:, :probes]
-        if best.shape[1] < probes:
-            best = np.pad(best, ((0, 0), (0, probes - best.shape[1])), mode="edge")
-        out[:, t * probes:(t + 1) * probes] = np.take_along_axis(code, best, axis=1) * tables + t
+            outcomes = last if s == hashes - 1 else 2 * d
+            code = (code[:, :, None] * outcomes + top[:, None, :] % outcomes).reshape(n, -1)
+            if loss.shape[1] > probes:  # what is not among the best so far cannot be among them later
+                best = np.argsort(loss, axis=1, kind="stable")[:, :probes]
+                loss, code = np.take_along_axis(loss, best, axis=1), np.take_along_axis(code, best, axis=1)
+        if code.shape[1] < probes:
+            code = np.pad(code, ((0, 0), (0, probes - code.shape[1])), mode="edge")
+        out[:, t * probes:(t + 1) * probes] = code * tables + t
     return out
 
 
+def level(rows: Column) -> Column:
+    """log2 of the buckets a table wants for a label of so many vectors."""
+    return F.ceil(F.log2(rows * F.lit(PER_VECTOR))).cast("int")
+
+
+def recall_at(threshold: float, dim: int, hashes: int, last: int, tables: int = TABLES[0]) -> float:
+    """Share of random pairs of exactly this cosine that meet in a bucket (measured, the same in every run)."""
+    rng = np.random.default_rng([SEED, dim, hashes, last])
+    u, w = unit(rng.standard_normal((TRIALS, dim))), rng.standard_normal((TRIALS, dim))
+    w -= (w * u).sum(axis=1, keepdims=True) * u
+    size = np.sqrt((w * w).sum(axis=1, keepdims=True))
+    c = min(1.0, max(-1.0, threshold))
+    v = c * u + np.sqrt(1 - c * c) * np.divide(w, size, out=np.zeros_like(w), where=size > 1e-9)
+    a, b = buckets(u, hashes, last, tables), buckets(v, hashes, last, tables)
+    return float((a[:, :, None] == b[:, None, :]).any(axis=(1, 2)).mean())
+
+
+def plan(threshold: float, dim: int, wanted: int) -> tuple[int, int, int]:
+    """(hashes, outcomes of the last, tables) of the most buckets, up to 2^wanted a table, with which RECALL is
+    kept; of as few tables as that takes. So the vectors that meet by chance grow with the tables, not with the
+    label, unless its links themselves are that many (low dimensions, low thresholds). One bucket holds every pair."""
+    outcomes = 2 << max(1, (dim - 1).bit_length())
+    for total in range(wanted, 0, -1):
+        hashes = max(1, math.ceil(total / math.log2(outcomes) - 1e-9))
+        last = min(outcomes, max(1, round(2 ** total / outcomes ** (hashes - 1))))
+        for tables in TABLES:
+            if recall_at(threshold, dim, hashes, last, tables) >= RECALL:
+                return hashes, last, tables
+            if tables > TABLES[0] and dim < 8:  # too few directions for more tables to help
+                break
+    return 1, 1, 1
+
+
 def _matrix(column, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<f8").reshape(-1, dim)
 
 
-def _emit(with_vectors: bool):
-    def emit(frames):
+def _code(plans: dict[tuple[int, int], tuple[int, int, int]]):
+    """Unit vectors and their buckets, each once."""
+    def code(frames):
         for frame in frames:
-            for dim, part in frame.groupby("dim"):
+            for (dim, wanted), part in frame.groupby(["dim", "level"]):
                 x = unit(np.stack([np.asarray(v, float) for v in part["vector"]]))
-                codes = buckets(x)
-                codes.sort(axis=1)
-                row, col = np.nonzero(np.concatenate((np.ones((len(codes), 1), bool), np.diff(codes, axis=1) != 0), axis=1))
-                out = pd.DataFrame({"label": part["label"].to_numpy()[row], "dim": int(dim), "bucket": codes[row, col]})
-                if with_vectors:
-                    raw = [v.astype("<f8").tobytes() for v in x]
-                    out["node"] = part["node"].to_numpy()[row]
-                    out["size"] = part["size"].to_numpy()[row]
-                    out["vector"] = [raw[i] for i in row]
-                yield out
-    return emit
+                found = buckets(x, *plans[int(dim), int(wanted)])
+                yield part.assign(vector=[v.astype("<f8").tobytes() for v in x], codes=[np.unique(c) for c in found])
+    return code
 
 
 def _pairs(x: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool, threshold: float):
@@ -107,7 +152,8 @@ def _pairs(x: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool, thres
         yield a[ok], b[ok]
 
 
-def _linked(x: np.ndarray, block: np.ndarray, i: int, j: int, bucket: int, size: np.ndarray, threshold: float):
+def _linked(x: np.ndarray, block: np.ndarray, i: int, j: int, bucket: int, size: np.ndarray, threshold: float,
+            how: tuple[int, int, int]):
     """Of one pair of blocks: (rows with links, their links counted here, root row of each); None if none."""
     left = np.flatnonzero(block == i)
     found = list(_pairs(x, left, left if i == j else np.flatnonzero(block == j), i == j, threshold))
@@ -115,7 +161,7 @@ def _linked(x: np.ndarray, block: np.ndarray, i: int, j: int, bucket: int, size:
     if not len(a):
         return None
     used, where = np.unique(np.concatenate((a, b)), return_inverse=True)
-    codes = buckets(x[used])
+    codes = buckets(x[used], *how)
     links = np.zeros(len(x), np.int64)
     for at in range(0, len(a), 8192):  # a pair counts only in the first bucket that both have
         pa, pb = a[at:at + 8192], b[at:at + 8192]
@@ -130,10 +176,10 @@ def _linked(x: np.ndarray, block: np.ndarray, i: int, j: int, bucket: int, size:
     return used, links[used], root[used]
 
 
-_UNIT = ["unit", "label", "dim", "bucket", "i", "j"]
+_UNIT = ["unit", "label", "dim", "level", "bucket", "i", "j"]
 
 
-def _verify(threshold: float):
+def _verify(threshold: float, plans: dict[tuple[int, int], tuple[int, int, int]]):
     """Rows arrive sorted by unit (label, bucket and pair of blocks); a unit that a batch ends in is held back."""
     def units(frame: pd.DataFrame):
         keys = [frame[c].to_numpy() for c in _UNIT]
@@ -144,12 +190,13 @@ def _verify(threshold: float):
 
     def work(frame: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
         node, size, block = frame["node"].to_numpy(), frame["size"].to_numpy(np.int64), frame["block"].to_numpy()
-        vector, (dim, bucket, i, j) = frame["vector"].to_numpy(), (frame[c].to_numpy() for c in ("dim", "bucket", "i", "j"))
+        vector = frame["vector"].to_numpy()
+        dim, wanted, bucket, i, j = (frame[c].to_numpy() for c in ("dim", "level", "bucket", "i", "j"))
         nodes, links, roots = [], [], []
         for at in np.flatnonzero(np.diff(cuts) > 1).tolist():
             lo, hi = int(cuts[at]), int(cuts[at + 1])
             got = _linked(_matrix(vector[lo:hi], int(dim[lo])), block[lo:hi], int(i[lo]), int(j[lo]), int(bucket[lo]),
-                          size[lo:hi], threshold)
+                          size[lo:hi], threshold, plans[int(dim[lo]), int(wanted[lo])])
             if got:
                 nodes.append(node[lo + got[0]])
                 links.append(got[1])
@@ -201,18 +248,23 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         F.count("*").alias("size"), F.min("id").alias("first"), F.any_value("label").alias("label"),
         F.any_value("vector").alias("vector")).withColumn("dim", F.size("vector")), "vector_classes")
 
-    crowds = (classes.select("label", "dim", "vector").mapInPandas(_emit(False), "label string, dim int, bucket long")
-              .groupBy("label", "dim", "bucket").count().where(F.col("count") > BLOCK)
-              .select("label", "dim", "bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
-    rows = (classes.select("label", "dim", "node", "size", "vector")
-            .mapInPandas(_emit(True), "label string, dim int, bucket long, node string, size long, vector binary")
-            .join(crowds, ["label", "dim", "bucket"], "left").na.fill(1, ["blocks"])
+    levels = classes.groupBy("label", "dim").agg(level(F.count("*")).alias("level"))
+    sized = classes.select("label", "dim", "node", "size", "vector").join(levels, ["label", "dim"])
+    # dimensions and powers of two: few
+    plans = {(r["dim"], r["level"]): plan(threshold, r["dim"], r["level"]) for r in levels.select("dim", "level").distinct().collect()}
+    coded = landed(sized.mapInPandas(_code(plans), "label string, dim int, node string, size long, vector binary, level int, codes array<long>"),
+                   "vector_codes")
+    each = ["label", "dim", "bucket"]
+    crowds = (coded.select("label", "dim", F.explode("codes").alias("bucket")).groupBy(*each).count().where(F.col("count") > BLOCK)
+              .select(*each, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
+    rows = (coded.select("label", "dim", "level", "node", "size", "vector", F.explode("codes").alias("bucket"))
+            .join(crowds, each, "left").na.fill(1, ["blocks"])
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks"))
     found = landed(rows.withColumn("unit", F.xxhash64("label", "dim", "bucket", "i", "j")).repartition("unit")
                    .sortWithinPartitions(*_UNIT, "node")
-                   .mapInPandas(_verify(threshold), "node string, links long, root string"), "vector_links")
+                   .mapInPandas(_verify(threshold, plans), "node string, links long, root string"), "vector_links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     marked = (classes.select("node", "size", "first").join(links, "node", "left").join(roots, "node", "left")
