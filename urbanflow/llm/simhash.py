@@ -19,7 +19,7 @@ How it scales
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,9 @@ from .components import connected_components, forest
 #: fingerprints that a map chunk turns into variants at a time (12 bits number them)
 CHUNK = 1 << 12
 #: variants a bucket is made for
-PER_BUCKET = 4_000_000
+PER_BUCKET = 2_000_000
+#: blocks of a chunk that leave a task at once
+BLOCKS = 64
 #: bits of a variant's hash beyond those that number all variants: one in 2^SPARE meets another by chance
 SPARE = 6
 #: a group of up to so many is verified pair by pair; a larger one from its first member, and pair by
@@ -87,26 +89,31 @@ def key_bits(fingerprints: int, flips: int) -> tuple[int, int]:
 
 def variants(fps: np.ndarray, flips: np.ndarray, bits: int) -> np.ndarray:
     """(hash, number of the fingerprint) of all variants of up to CHUNK fingerprints, packed, in ascending order."""
-    row = _mix((fps[:, None] ^ flips[None, :]).ravel())
-    row >>= np.uint64(64 - bits)
-    row <<= np.uint64(12)
-    row |= np.repeat(np.arange(len(fps), dtype=np.uint64), len(flips))
-    row.sort()
-    return row
+    rows = fps[:, None] ^ flips[None, :]
+    for i in range(0, len(fps), 128):  # in place, a small part at a time: a chunk is the largest thing a task holds
+        part = rows[i:i + 128]
+        _mix(part)
+        part >>= np.uint64(64 - bits)
+        part <<= np.uint64(12)
+        part |= np.arange(i, i + len(part), dtype=np.uint64)[:, None]
+    rows = rows.ravel()
+    rows.sort()
+    return rows
 
 
 def blocks(rows: np.ndarray, bits: int, bucket_bits: int):
     """(bucket, place of its first hash, block) of a chunk's variants: differences of the hashes, in as few bytes
     each as the largest takes."""
-    keys = rows >> np.uint64(12)
-    bucket = (keys >> np.uint64(bits - bucket_bits)).astype(np.int64)
-    cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(rows)]))
-    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        steps = keys[i:j].copy()
-        steps[1:] -= keys[i:j - 1]
-        steps[0] -= np.uint64(int(bucket[i]) << (bits - bucket_bits))
+    edges = np.arange(1, 1 << bucket_bits, dtype=np.uint64) << np.uint64(bits - bucket_bits + 12)
+    cuts = [0, *np.searchsorted(rows, edges).tolist(), len(rows)]
+    for bucket, (i, j) in enumerate(zip(cuts, cuts[1:])):
+        if i == j:
+            continue
+        steps = rows[i:j] >> np.uint64(12)
+        steps[1:] -= steps[:-1].copy()
+        steps[0] -= np.uint64(bucket << (bits - bucket_bits))
         width = max(1, -(-int(steps.max()).bit_length() // 8))
-        yield int(bucket[i]), i, bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+        yield bucket, i, bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def unblock(bucket: int, block: bytes, bits: int, bucket_bits: int) -> np.ndarray:
@@ -200,10 +207,9 @@ def link_fingerprints(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     def emit(frames):
         for frame in frames:
             for number, raw in zip(frame["chunk"], frame["fps"]):
-                rows = variants(np.frombuffer(raw, np.uint64), flips, bits)
-                found = pd.DataFrame(list(blocks(rows, bits, bucket_bits)), columns=["bucket", "first", "block"])
-                del rows
-                yield found.assign(chunk=number)
+                found = blocks(variants(np.frombuffer(raw, np.uint64), flips, bits), bits, bucket_bits)
+                while part := list(islice(found, BLOCKS)):
+                    yield pd.DataFrame(part, columns=["bucket", "first", "block"]).assign(chunk=number)
 
     def find(frame):
         places = repeated([unblock(int(b), raw, bits, bucket_bits) for b, raw in zip(frame["bucket"], frame["block"])])
