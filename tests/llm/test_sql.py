@@ -1,0 +1,43 @@
+"""The operators against their registered SQL, on the given tables and on rows that are hard for both."""
+
+import duckdb
+import pytest
+
+from fixtures import ROWS
+from urbanflow.llm.queries import ORACLE, QUERIES, SQL_QUERIES
+
+SF = "/root/testdata/sf0.001"
+TABLES = ("documents", "embeddings", "labels", "conversations")
+
+
+def both(spark, name, folder, suffix=""):
+    db = duckdb.connect()
+    for t in TABLES:
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet{suffix if t != 'labels' else ''}'")
+    df = {**QUERIES, **SQL_QUERIES}[name](spark, folder)
+    cur = db.execute(ORACLE[name])
+    names = [d[0] for d in cur.description]
+    assert sorted(names) == sorted(df.columns)
+    return sorted(map(repr, map(tuple, df.select(*names).collect()))), sorted(map(repr, cur.fetchall()))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_given_tables(spark, name):
+    got, want = both(spark, name, SF)
+    assert got == want and got
+
+
+@pytest.mark.parametrize("name", ["secret_counts", "shard_sizes", "mix_targets", "quality_base"])
+def test_hard_documents(spark, tmp_dir, name):
+    more = [(20, 'API_KEY = "abcdefghijkl" password: short token=ABCDEFGHIJKLM.N- secret:\n', "en", "c"),
+            (21, "AKIA" + "A" * 14 + " AKIA1 " + "0f" * 9 + "G" + "ab" * 7, None, "c"),
+            (22, " ".join(["a b c d e f g h i"] * 5) + "\n\nx\nx\n \nx", "en", "c"), (23, "# * $ % & | < >\t\x0b\x0c\r", "en", None)]
+    docs = [(*r, None) for r in [*ROWS, *more]]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(
+        f"{tmp_dir}/documents.parquet")
+    for t in ("embeddings", "conversations"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{tmp_dir}/{t}.parquet")
+    import os
+    os.symlink(f"{SF}/labels.parquet", f"{tmp_dir}/labels.parquet")
+    got, want = both(spark, name, tmp_dir, "/*.parquet")
+    assert got == want

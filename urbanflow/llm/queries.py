@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import (bpe, conversations, embeddings, langid, linededup, lmscore, mixing, packing, quality, secrets, sharding,
@@ -122,6 +122,90 @@ QUERIES = {
     "op13_bpe": op13_bpe,
 }
 
+# What SQL can confirm of operators whose whole result it cannot: the same operators, the columns that have SQL.
+
+
+def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+def shard_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each shard, largest first, and the bytes of all."""
+    sizes = op6_sharding(spark, sf_dir).groupBy("shard").agg(F.count("*").alias("n_rows"), F.max("slot").alias("last"), F.sum("size").alias("size"))
+    place = F.row_number().over(Window.orderBy(F.desc("n_rows"), "shard")) - 1  # eight rows
+    return sizes.select(place.alias("place"), "n_rows", (F.col("last") == F.col("n_rows") - 1).alias("gapless"),
+                        F.sum("size").over(Window.partitionBy()).alias("total_size"))
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source: its size and target, and whether the words taken come within a document's size of it."""
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, weights=(5.0, 2.0, 1.0), epochs=3, carry=["source"])
+    per = mixed.groupBy("source").agg(F.count("*").alias("n_docs"), F.first("source_size").alias("source_size"), F.first("target").alias("target"),
+                                      F.sum("taken").alias("taken"), F.max("size").alias("largest"))
+    return per.select("source", "n_docs", "source_size", F.round("target", 3).alias("target"),
+                      (F.abs(F.col("taken") - F.col("target")) <= 2 * F.max("largest").over(Window.partitionBy())).alias("near_target"))
+
+
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_quality(spark, sf_dir).drop("kept", "score")
+
+
+def whitening_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_whitening(spark, sf_dir).where("component = 1").select("vec_id", "n", "deviation")
+
+
+SQL_QUERIES = {
+    "secret_counts": secret_counts,
+    "shard_sizes": shard_sizes,
+    "mix_targets": mix_targets,
+    "quality_base": quality_base,
+    "whitening_deviation": whitening_deviation,
+}
+
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+SQL_ORACLE = {
+    "secret_counts": """
+SELECT doc_id,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), '(?i:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1),
+                  lambda v: length(v) >= 12)) AS n_assign,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda v: length(v) >= 18)) AS n_access,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda v: length(v) >= 16)) AS n_hex
+FROM documents""",
+    "shard_sizes": """
+WITH d AS (SELECT count(*) AS n, sum(coalesce(strlen(text), 0) + 1) AS total FROM documents)
+SELECT CAST(place AS INTEGER) AS place, n // 8 + CAST(place < n % 8 AS BIGINT) AS n_rows, true AS gapless, CAST(total AS BIGINT) AS total_size
+FROM d, range(8) r(place)""",
+    "mix_targets": f"""
+WITH s AS (SELECT source, count(*) AS n_docs, CAST(sum(len({_WORDS})) AS BIGINT) AS size FROM documents GROUP BY source),
+w AS (SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight FROM s),
+c AS (SELECT *, 3.0::DOUBLE * size / weight AS ratio, sum(size) OVER () AS budget FROM w),
+l AS (SELECT a.ratio, (max(a.budget) - coalesce(sum(b.size * 3) FILTER (WHERE b.ratio < a.ratio), 0)) / sum(b.weight) FILTER (WHERE b.ratio >= a.ratio) AS level
+      FROM c a, c b GROUP BY a.ratio),
+f AS (SELECT arg_min(level, ratio) FILTER (WHERE ratio > level) AS level FROM l)
+SELECT source, n_docs, size AS source_size,
+  round(CASE WHEN f.level IS NULL OR ratio <= f.level THEN 3.0 * size ELSE f.level * weight END, 3) AS target, true AS near_target
+FROM c, f""",
+    "quality_base": f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+w AS (SELECT row, i, array_to_string(words[i:i + 7], ' ') AS win FROM d, range(1, len(words) - 6) r(i) WHERE len(words) >= 8),
+t AS (SELECT row, win FROM w GROUP BY row, win HAVING count(*) > 1),
+p AS (SELECT w.row, count(DISTINCT i + k) AS n FROM w JOIN t ON t.row = w.row AND t.win = w.win, range(8) q(k) GROUP BY w.row),
+l AS (SELECT row, count(*) - count(DISTINCT line) AS n FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM d) x
+      WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY row)
+SELECT doc_id, len(words) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda v: length(v))), 0) AS BIGINT) AS word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(p.n, 0) AS n_repeat_words,
+  len(words) < 20 OR 100 * coalesce(p.n, 0) > 30 * len(words) AS base_failed
+FROM d LEFT JOIN p ON p.row = d.row LEFT JOIN l ON l.row = d.row""",
+    "whitening_deviation": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(64.0::DOUBLE * c::DOUBLE) AS HUGEINT) + 1000000) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+f AS (SELECT DISTINCT x FROM v),
+s AS (SELECT i, sum(x[i]) AS s, count(*) AS n FROM f, range(1, (SELECT max(len(x)) FROM f) + 1) r(i) GROUP BY i)
+SELECT vec_id, any_value(n) AS n, CAST(sum((n * x[i] - s) * (n * x[i] - s)) AS BIGINT) AS deviation FROM v, s GROUP BY vec_id""",
+}
+
 _SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
 
 OP9_SQL = f"""
@@ -138,4 +222,4 @@ GROUP BY k.row, k.doc_id
 """
 
 #: the others are tested against brute force (tests/llm)
-ORACLE: dict[str, str] = {"op9_line_dedup": OP9_SQL}
+ORACLE: dict[str, str] = {"op9_line_dedup": OP9_SQL, **SQL_ORACLE}
