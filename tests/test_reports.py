@@ -30,6 +30,24 @@ def test_mean_keeps_small_and_large_values(spark):
     assert one(spark, [0.1] * 10, exact_sum) == 1.0
 
 
+def test_sums_do_not_depend_on_the_order(spark):
+    import random
+    from decimal import Decimal
+    rng = random.Random(1)
+    values = [round(rng.uniform(-1e9, 1e9), rng.choice([0, 2, 6])) for _ in range(5000)] + [9e9 + 0.000001, -1e-6, 0.0, -0.0]
+    want = float(sum(Decimal(repr(v)) for v in values))
+    finer = [*values, 1.23456789, -7e-9, 1e15]
+    seen = set()
+    for _ in range(3):
+        rng.shuffle(values)
+        rng.shuffle(finer)
+        assert one(spark, values, exact_sum) == want
+        seen.add(one(spark, finer, exact_sum))
+    assert len(seen) == 1 and abs(seen.pop() - float(sum(Decimal(repr(v)) for v in finer))) <= 1
+    assert one(spark, [9e9] * 2000 + [-9e9] * 2000 + [0.25], exact_sum) == 0.25
+    assert math.isinf(one(spark, [float("inf"), 1.0], exact_sum)) and one(spark, [3e24] * 40, exact_sum) == pytest.approx(1.2e26)
+
+
 def test_nan_is_a_value(spark):
     assert math.isnan(one(spark, [float("nan"), 1.0], exact_mean))
     got = column_stats(spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "v double"), ["v"]).collect()[0]

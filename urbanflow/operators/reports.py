@@ -7,20 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sums of doubles depend on the order of addition. Values that a decimal of this type holds exactly (up to
-# 12 decimals) are summed as decimals, so the result is the same on every run; if a group has any other
-# value (NaN, infinite, finer or larger), that group's sum and mean are the plain double ones. NaN counts as
-# a value: its group's sum and mean are NaN. Nulls do not count.
+# Sums of doubles depend on the order of addition. Values of up to six decimals are summed as whole millionths, in
+# two halves of a long each, values of up to twelve as decimals of this type; so the result is the same on every run.
+# If a group has any other value (NaN, infinite, finer or larger), that group's sum and mean are the plain double
+# ones. NaN counts as a value: its group's sum and mean are NaN. Nulls do not count.
 EXACT_TYPE = "decimal(38,12)"
+_SCALE, _LIMIT, _LOW = 1e6, float(1 << 53), 26
 
 
 def _exact(col: Column | str) -> tuple[Column, Column, Column]:
-    """(value, exact decimal sum or null, whether the sum stands for all values)."""
+    """(value, exact sum as double or null, whether the sum stands for all values)."""
     v = (F.col(col) if isinstance(col, str) else col).cast("double")
-    d = v.try_cast(EXACT_TYPE)
-    fits = d.cast("double") == v
-    total = F.try_sum(F.when(fits, d)).cast("double")
-    return v, total, F.count(v) == F.count(F.when(fits, F.lit(1)))
+    scaled = F.rint(v * F.lit(_SCALE))
+    small = (F.abs(scaled) < F.lit(_LIMIT)) & (scaled / F.lit(_SCALE) == v)  # false for NaN
+    whole = F.when(small, scaled.try_cast("long"))
+    high = F.sum(F.shiftright(whole, _LOW)).cast("decimal(20,0)") * F.lit(1 << _LOW).cast("decimal(8,0)")
+    low = F.sum(whole.bitwiseAND(F.lit((1 << _LOW) - 1))).cast("decimal(20,0)")
+    millionths = ((high + low) * F.lit("0.000001").cast("decimal(6,6)")).cast("double")
+    fine = F.when(~small, v.try_cast(EXACT_TYPE))  # few values: decimals are costly
+    fine = F.when(fine.cast("double") == v, fine)
+    rest = F.try_sum(fine).cast("double")
+    every = (F.count(v) == F.count(whole) + F.count(fine)) & ((F.count(fine) == 0) | rest.isNotNull())
+    return v, F.coalesce(millionths + rest, millionths, rest), every
 
 
 def exact_sum(col: Column | str) -> Column:
