@@ -47,11 +47,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def q_stream_ingest(spark, sf):
     """Kafka records -> from_json -> flatten -> event time parts -> Parquet
-    partitioned year/month/day/hour via the exactly-once streaming file sink."""
+    partitioned year/month/day/hour. What there is is a backlog, so each
+    micro-batch is rebalanced on the partition columns and lands, exactly once,
+    in a directory of its own: files by hours, not by tasks times hours."""
     out, ckpt = (scratch_path(spark, "stream_ingest", p) for p in ("landing", "checkpoint"))
     parsed = parse_records(feeds.event_records(events_stream(spark, sf)), feeds.EVENT_MESSAGE,
                            required=("event_id", "event_ts"))
-    run_available_now(start_landing(parsed, out, ckpt, trigger={"availableNow": True}))
+    run_available_now(start_landing(parsed, out, ckpt, trigger={"availableNow": True}, mode="rebalanced"))
     back = sound_rows(read_partitioned(spark, out))
     return back.select("event_id", "user_id", "event_type", "value", "props", "event_ts",
                        "year", "month", "day", "hour")
