@@ -227,6 +227,39 @@ def test_live_summary_runs_with_watermark(spark, lake):
     assert spark.read.parquet(f"{lake.gold}/weather_summaries_live").count() == 0
 
 
+def test_live_fusion_of_the_landed_feeds(spark, lake, tmp_path):
+    paths, base = LakePaths(str(tmp_path / "lake")), dt.datetime(2025, 7, 2, 8, 0)
+    far = base + dt.timedelta(days=30)
+
+    def run(weather, pm):
+        for name, sent, job in (("w", weather, jobs.weather_ingest), ("p", pm, jobs.pm_ingest)):
+            src = str(tmp_path / f"_{name}")
+            spark.createDataFrame(sent, KAFKA_RECORD).write.mode("append").parquet(src)
+            for q in job(spark, FeedConfig(), paths, trigger={"availableNow": True}, source=spark.readStream.schema(KAFKA_RECORD).parquet(src)):
+                q.awaitTermination()
+        q = jobs.live_fusion(spark, paths, trigger={"availableNow": True})
+        q.awaitTermination()
+        assert q.exception() is None
+        return {(r["counter"], r["reading_id"] is not None) for r in spark.read.parquet(f"{paths.gold}/pm_weather_live").collect()}
+
+    def reading(i, when):
+        return (b"k", json.dumps(message(i, STATIONS[0], when)).encode(), "weather", 0, i, when, 0)
+
+    def measured(c, when):
+        value = {"station": STATIONS[0][0], "timestamp": (when - dt.datetime(1970, 1, 1)).total_seconds(), "pm10": 50, "pm25": 25, "counter": c}
+        return (None, json.dumps(value).encode(), "pm10-data", 0, c, when, 0)
+
+    hour = dt.timedelta(hours=1)
+    assert run([reading(0, base)], [measured(0, base + hour / 4), measured(1, base + 5 * hour)]) == {(0, True)}
+    assert run([reading(1, base + 5.4 * hour), reading(2, far)], [measured(2, base + 9 * hour), measured(3, far)]) == {(0, True), (1, True), (2, False), (3, True)}
+
+
+def test_discover_job(spark):
+    sent = [(None, v, "traffic", 0, i, dt.datetime(2025, 7, 2), 0) for i, v in enumerate([b'{"line": "A", "delay": 3}', b'{"line": 7}', b"x"])]
+    got = {(r["path"], r["kind"]): r["n"] for r in jobs.discover(spark, FeedConfig(), source=spark.createDataFrame(sent, KAFKA_RECORD)).collect()}
+    assert got == {("$", "object"): 2, ("$", "invalid"): 1, ("$.line", "string"): 1, ("$.line", "integer"): 1, ("$.delay", "integer"): 1}
+
+
 def test_report_with_empty_quarantine(spark, tmp_path):
     good = json.dumps(message(1, STATIONS[0], dt.datetime(2025, 7, 2, 9, 0))).encode()
     src = os.path.join(str(tmp_path), "_clean")

@@ -30,6 +30,7 @@ from pyspark.sql.types import StructType
 from ..config import FeedConfig, LakePaths, feed_config_from_env, lake_paths_from_env
 from ..functions.timeparts import parse_process_date, truncate_hour, utc_wall_clock, with_batch_partition_cols
 from ..operators import model as M
+from ..operators.discovery import payload_paths
 from ..operators.enrich import fill_station_attributes
 from ..sources.dims import stations
 from ..operators.offsets import offset_completeness, offset_islands
@@ -39,9 +40,10 @@ from ..session import build_session, clean_scratch, scratch_path
 from ..sinks.kafka import start_kafka_publish
 from ..sinks.parquet import read_partitioned, write_counted, write_partitioned
 from ..sources.files import CORRUPT_ROW, discover_datasets, read_delimited, read_delimited_inferred
-from ..sources.kafka import read_kafka_stream
+from ..sources.kafka import read_kafka_batch, read_kafka_stream
 from ..streaming.dedup import deduplicated
 from ..streaming.drops import load_new_files
+from ..streaming.fusion import interval_join, start_fusion
 from ..streaming.ingest import PARTS, VALID, is_valid, parse_records, sound_rows, start_landing
 from ..streaming.router import start_router
 from ..streaming.summary import start_summary, streaming_summary
@@ -98,6 +100,20 @@ def live_summary(spark: SparkSession, paths: LakePaths, *, trigger: dict | None
                          f"{paths.gold}/weather_summaries_live", checkpoint(paths, "summary"), trigger)
 
 
+def live_fusion(spark: SparkSession, paths: LakePaths, *, minutes: int = 30, trigger: dict | None = None) -> StreamingQuery:
+    """Each landed PM measurement with the weather readings of its station within so many minutes of it, or alone
+    once the 72 h watermark shows that none can come any more. The streaming side of the gold layer."""
+    def landed(table: str) -> DataFrame:
+        where = f"{paths.raw}/streaming/{table}"
+        return sound_rows(spark.readStream.schema(spark.read.parquet(where).schema).parquet(where))
+
+    pm = landed("pm").select("station", F.col("event_ts").alias("pm_ts"), "pm10", "pm25", "counter")
+    weather = landed("weather").select(F.col("station.name").alias("station"), F.col("event_ts").alias("weather_ts"), "reading_id",
+                                       F.col("temperature.actual_c").alias("temperature_c"), F.col("wind.speed_kmh").alias("wind_kmh"))
+    fused = interval_join(pm, weather, ["station"], "pm_ts", "weather_ts", f"{minutes} minutes", f"{minutes} minutes")
+    return start_fusion(fused, f"{paths.gold}/pm_weather_live", checkpoint(paths, "fusion"), trigger)
+
+
 # ---------------------------------------------------------------- batch
 
 @dataclass(frozen=True)
@@ -230,6 +246,11 @@ def offset_report(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return offset_completeness(offset_islands(landed, "kafka_topic", "kafka_partition", "kafka_offset"))
 
 
+def discover(spark: SparkSession, cfg: FeedConfig, *, source: DataFrame | None = None) -> DataFrame:
+    """Paths, kinds and counts of the payloads that the subscribed topics hold now: what a schema has to cover."""
+    return payload_paths(source if source is not None else read_kafka_batch(spark, cfg))
+
+
 def gold_weather_traffic(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """Own definition of the gold table: hourly weather per Paris
     arrondissement LEFT JOIN yearly station traffic per arrondissement.
@@ -327,8 +348,8 @@ def _report(status: DataFrame) -> None:
 
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="urbanflow")
-    ap.add_argument("job", choices=["weather-ingest", "pm-ingest", "router", "live-summary", "publish", "batch-load",
-                                    "folder-ingest", "load-new", "summary", "report", "offsets", "gold", "train-pm",
+    ap.add_argument("job", choices=["weather-ingest", "pm-ingest", "router", "live-summary", "live-fusion", "publish", "batch-load",
+                                    "folder-ingest", "load-new", "summary", "report", "offsets", "discover", "gold", "train-pm",
                                     "compact"])
     ap.add_argument("--date", default=None)
     ap.add_argument("--folder", default=None)
@@ -343,11 +364,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     a = ap.parse_intermixed_args(argv)
     spark = build_session(f"urbanflow-{a.job}")
     cfg, paths = feed_config_from_env(), lake_paths_from_env()
-    if a.job in ("weather-ingest", "pm-ingest", "router", "live-summary", "publish"):
+    if a.job in ("weather-ingest", "pm-ingest", "router", "live-summary", "live-fusion", "publish"):
         qs = {"weather-ingest": lambda: weather_ingest(spark, cfg, paths, full_schema=a.full_schema, dedup=a.dedup),
               "pm-ingest": lambda: pm_ingest(spark, cfg, paths),
               "router": lambda: [router(spark, cfg, paths)],
               "live-summary": lambda: [live_summary(spark, paths)],
+              "live-fusion": lambda: [live_fusion(spark, paths)],
               "publish": lambda: [publish(spark, cfg, paths, a.topic)]}[a.job]()
         spark.streams.awaitAnyTermination()
         return
@@ -362,6 +384,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         query.awaitTermination()
         if query.exception():
             raise query.exception()
+    elif a.job == "discover":
+        discover(spark, cfg).write.mode("overwrite").parquet(f"{paths.reports}/payload_paths")
     elif a.job == "offsets":
         offset_report(spark, paths).write.mode("overwrite").parquet(f"{paths.reports}/offsets")
     elif a.job == "summary":
