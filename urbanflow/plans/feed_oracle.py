@@ -93,6 +93,12 @@ n AS (SELECT topic, regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[*]', 'g') AS pat
 SELECT topic, path, CASE type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean'
     WHEN 'NULL' THEN 'null' WHEN 'DOUBLE' THEN 'number' WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' ELSE type END AS kind,
   count(*) AS n FROM n GROUP BY ALL""",
+    "typed_landing": f"""
+WITH f AS (SELECT *, {K} AS k, coalesce({K} NOT IN (0, 1, 2, 7, 8), true) AS whole FROM events)
+SELECT event_type AS topic, event_id AS "offset", CASE WHEN whole THEN event_id END AS event_id, CASE WHEN whole THEN event_id % 2 = 0 END AS ok,
+  CASE WHEN whole AND k <> 10 THEN value END AS value_number, CASE WHEN k = 10 THEN '"abc"' END AS value_text,
+  CASE WHEN whole AND k <> 11 THEN 'z' || user_id % 5 END AS zone, CASE WHEN k = 11 THEN '"nowhere"' END AS place_text
+FROM f""",
     "offset_gaps": """
 WITH d AS (SELECT event_type AS topic, CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 20 AS o, count(*) AS n FROM events GROUP BY ALL),
 r AS (SELECT *, o - row_number() OVER (PARTITION BY topic, "partition" ORDER BY o) AS run FROM d),

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import ntz_to_instant
-from ..operators.discovery import payload_paths
+from ..operators.discovery import payload_paths, typed_columns, typed_fields
 from ..functions.weather import round_half_up
 from ..operators.increment import add_load, read_summary
 from ..operators.lattice import column_types, kind_counts
@@ -66,6 +66,23 @@ def q_variant_discovery(spark, sf):
     return payload_paths(feeds.untyped_records(table(spark, sf, "events")))
 
 
+def q_typed_landing(spark, sf):
+    """The same topics landed with the types that their payloads turned out to have, fields of several kinds as
+    JSON text; read back, with the numbers among those texts."""
+    records = feeds.untyped_records(table(spark, sf, "events"))
+    paths = payload_paths(records).collect()  # a row a path and kind
+    landed = None
+    for topic in sorted({r["topic"] for r in paths}):
+        at = scratch_path(spark, "typed_landing")
+        typed_columns(records.where(F.col("topic") == topic), typed_fields(paths, topic), keep=["topic", "offset"]).write.parquet(at)
+        back = spark.read.parquet(at)
+        landed = back if landed is None else landed.unionByName(back, allowMissingColumns=True)
+    number = F.col("value").try_cast("double")
+    return landed.select("topic", "offset", "event_id", "ok", number.alias("value_number"),
+                         F.when(number.isNull(), F.col("value")).alias("value_text"), F.get_json_object("place", "$.zone").alias("zone"),
+                         F.when(~F.col("place").startswith("{"), F.col("place")).alias("place_text"))
+
+
 def q_offset_gaps(spark, sf):
     return offset_islands(feeds.offset_records(table(spark, sf, "events")))
 
@@ -195,6 +212,7 @@ QUERIES = {
     "stream_dedup": q_stream_dedup,
     "stream_fusion": q_stream_fusion,
     "variant_discovery": q_variant_discovery,
+    "typed_landing": q_typed_landing,
     "offset_gaps": q_offset_gaps,
     "pm_quarantine": q_pm_quarantine,
     "column_sketches": q_column_sketches,
