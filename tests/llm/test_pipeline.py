@@ -19,7 +19,20 @@ SF = "/root/testdata/sf0.001"
 
 def test_stage_list():
     assert [n for n, _ in cp.STAGES] == ["language_id", "line_dedup", "simhash_dedup", "mixing", "packing"]
-    assert cp.ORACLE_SQL is None and [n for n in QUERIES if n.startswith("op")] == list(QUERIES) and len(QUERIES) == 10
+    assert cp.ORACLE_SQL is None and [n for n in QUERIES if n.startswith("op")] == list(QUERIES) and len(QUERIES) == 13
+
+
+def test_language_stage_without_labels_and_with_several_languages(spark):
+    docs = read(spark, "documents")
+    stage = dict(cp.STAGES)["language_id"]
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert stage(spark, bare, SF).exceptAll(bare).count() == 0 and stage(spark, bare, SF).count() == docs.count()
+    parts = [r["text"] for r in docs.where("lang is not null and n_chars between 500 and 3000").dropDuplicates(["lang"]).collect()]
+    assert len(parts) >= 3
+    mixed = docs.where("doc_id >= 0").unionByName(spark.createDataFrame(
+        [(-1, " ".join(p[:500] for p in parts), None, "x", 1), (-2, "123 !!", None, "x", 1), (-3, None, "en", "x", None)], docs.schema))
+    kept = {r["doc_id"] for r in stage(spark, mixed, SF).select("doc_id").collect()}
+    assert -1 in kept and not kept & {-2, -3}
 
 
 def test_run_stage_by_stage_against_brute_force(spark):

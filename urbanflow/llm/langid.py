@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,12 +34,11 @@ LEXICON = 300
 #: words of a training chain, and the chance that a span ends after a word
 CHAIN, SWITCH = 64, 0.04
 STEPS, RATE, PENALTY = 60, 0.3, 1e-4
-#: words that a worker keeps the scores of (under one model), and words of one forward-backward batch
-CACHE, BATCH = 300_000, 400_000
+#: words that a task keeps the scores of, words of one forward-backward batch, words scored at once
+CACHE, BATCH, SCORED = 200_000, 200_000, 20_000
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
-_scores: dict = {}
 
 
 def words(text: str | None) -> list[str]:
@@ -66,7 +66,6 @@ class Model:
     def __init__(self, languages, lexicons, weights, start, trans):
         self.languages, self.lexicons = list(languages), lexicons
         self.weights, self.start, self.trans = weights, start, trans
-        self.key = zlib.crc32(np.ascontiguousarray(weights).tobytes()) ^ zlib.crc32(trans.tobytes())
 
     def emissions(self, vocabulary: list[str]) -> np.ndarray:
         """Log-weights of each word (mean over its features, times a learned scale within the weights)."""
@@ -179,23 +178,53 @@ def fit(rows: list[tuple[str, str]], seed: int = 42) -> Model | None:
     return Model(languages, lexicons, w.astype(np.float32), start, trans)
 
 
-def label(texts: list[str | None], model: Model):
+class Scores:
+    """Emissions of words under a model, kept in two generations: when the young one is half of CACHE it becomes
+    the old one, and words of the former old one that are not asked for again go."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.old, self.young = self._empty(), self._empty()
+
+    def _empty(self) -> tuple[dict[str, int], np.ndarray]:
+        return {}, np.zeros((0, len(self.model.languages)), np.float32)
+
+    def of(self, distinct: list[str]) -> np.ndarray:
+        """A row of each word."""
+        out = np.empty((len(distinct), len(self.model.languages)), np.float32)
+        for i in range(2):
+            rows, matrix = (self.young, self.old)[i]
+            at = np.fromiter((rows.get(w, -1) for w in distinct), np.int64, len(distinct))
+            if i == 0:
+                young = at >= 0
+                out[young] = matrix[at[young]]
+            else:
+                old = (at >= 0) & ~young
+                out[old] = matrix[at[old]]
+        new = np.flatnonzero(~young & ~old)
+        for part in np.split(new, list(range(SCORED, len(new), SCORED))):
+            out[part] = self.model.emissions([distinct[i] for i in part])
+        fresh = np.flatnonzero(~young)
+        if len(self.young[0]) + len(fresh) > CACHE // 2:
+            self.old, self.young = self.young, self._empty()
+        if len(fresh) <= CACHE // 2:
+            rows, matrix = self.young
+            rows.update(zip((distinct[i] for i in fresh), range(len(rows), len(rows) + len(fresh))))
+            self.young = rows, np.concatenate((matrix, out[fresh]))
+        return out
+
+
+def label(texts: list[str | None], model: Model, scores: Scores | None = None):
     """(position, language probabilities of each word) of every text. Texts come in order of length, so that
-    those of a batch run together for most of their steps; no more than a batch's words are held."""
-    if model.key not in _scores:
-        _scores.clear()
-    known = _scores.setdefault(model.key, {"rows": {}, "matrix": np.zeros((0, len(model.languages)), np.float32)})
+    those of a batch run together for most of their steps; no more than a batch's words are held. ``scores``
+    carries word scores from call to call."""
+    scores = scores or Scores(model)
 
     def batch(at: list[int], held: list[list[str]]):
-        new = sorted({w for ws in held for w in ws} - known["rows"].keys())
-        if len(known["rows"]) + len(new) > CACHE:
-            known["rows"], known["matrix"] = {}, known["matrix"][:0]
-            new = sorted({w for ws in held for w in ws})
-        known["rows"].update(zip(new, range(len(known["rows"]), len(known["rows"]) + len(new))))
-        known["matrix"] = np.concatenate((known["matrix"], model.emissions(new)))
-        rows, lengths = known["rows"], np.fromiter(map(len, held), np.int64, len(held))
-        ids = np.fromiter((rows[w] for ws in held for w in ws), np.int64, int(lengths.sum()))
-        gamma = forward_backward(known["matrix"][ids], lengths[lengths > 0], model.start, model.trans)
+        place: dict[str, int] = {}
+        lengths = np.fromiter(map(len, held), np.int64, len(held))
+        ids = np.fromiter((place.setdefault(w, len(place)) for ws in held for w in ws), np.int64, int(lengths.sum()))
+        gamma = forward_backward(scores.of(list(place))[ids], lengths[lengths > 0], model.start, model.trans)
         yield from zip(at, np.split(gamma, np.cumsum(lengths)[:-1]))
 
     at, held, total = [], [], 0
@@ -223,10 +252,13 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     share = small.groupBy("lang").agg(
         F.least(F.lit(1.0), F.lit(4.0 * PER_LANGUAGE) / F.count("*")).alias("share"))
     rank = Window.partitionBy("lang").orderBy("lot", "id")
-    chosen = (small.select("lang", "id", lot(5, "id").alias("lot")).join(share, "lang")
-              .where(F.col("lot") < F.col("share") * LOTS).withColumn("n", F.row_number().over(rank))
-              .where(F.col("n") <= PER_LANGUAGE).select("lang", "id").distinct())
-    sample = spans.join(F.broadcast(chosen), ["lang", "id"]).select("text", "lang", "id").collect()
+    # one row a language: a hint, so that the filter runs where the rows are read
+    drawn = (small.select("lang", "id", lot(5, "id").alias("lot")).join(F.broadcast(share), "lang")
+             .where(F.col("lot") < F.col("share") * LOTS).groupBy("lang", "id").agg(F.first("lot").alias("lot")))
+    chosen = (drawn.withColumn("n", F.row_number().over(rank)).where(F.col("n") <= PER_LANGUAGE).select("lang", "id"))
+    # an id that repeats sends one span, the least of its texts
+    sample = (spans.join(F.broadcast(chosen), ["lang", "id"]).groupBy("lang", "id").agg(F.min("text").alias("text"))
+              .select("text", "lang", "id").collect())
     return fit([(r["text"], r["lang"]) for r in sorted(sample, key=lambda r: (r["lang"], r["id"], r["text"]))])
 
 
@@ -241,15 +273,17 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", carry
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    def predict(texts: pd.Series) -> pd.DataFrame:
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        for i, gamma in (label(texts.tolist(), m) if m else ()):
-            if len(gamma):
-                share = gamma.sum(axis=0, dtype=float) / len(gamma)
-                best = int(share.argmax())
-                names[i], scores[i] = m.languages[best], min(1.0, float(share[best]))
-        return pd.DataFrame({"lang_pred": names, "score": scores})
+        kept = Scores(m) if m else None  # as long as the partition
+        for texts in batches:
+            names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            for i, gamma in (label(texts.tolist(), m, kept) if m else ()):
+                if len(gamma):
+                    share = gamma.sum(axis=0, dtype=float) / len(gamma)
+                    best = int(share.argmax())
+                    names[i], scores[i] = m.languages[best], min(1.0, float(share[best]))
+            yield pd.DataFrame({"lang_pred": names, "score": scores})
 
     done = docs.select(packed(docs, carry), F.pandas_udf(predict, "lang_pred string, score double")(
         F.col(text_col)).alias("p"))
