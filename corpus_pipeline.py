@@ -22,17 +22,15 @@ from urbanflow.llm import langid, linededup, mixing, packing, simhash  # noqa: E
 from urbanflow.llm.common import landed  # noqa: E402
 from urbanflow.llm.queries import tokenizer_path  # noqa: E402
 
-#: a document whose best language has a smaller share of its words than this is rejected
-MIN_LANGUAGE_SHARE = 0.5
-
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of one language stay: rejected are those without a letter and those whose best language
-    has under half of their words."""
+    """Documents of a known language stay, also of several in turn; rejected are those without a letter (null
+    texts among them). Without a labelled row nothing is learned, and every document stays."""
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
+    if model is None:
+        return docs
     found = langid.identify(docs.select(F.struct("*").alias("doc"), "text"), model, carry=["doc"])
-    known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SHARE)
-    return found.where(known).select("doc.*")
+    return found.where(F.col("lang_pred") != langid.UNKNOWN).select("doc.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
