@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.dirna
 from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from urbanflow.llm import linededup, mixing, packing, sharding, simhash  # noqa: E402
+from urbanflow.llm import bpe, conversations, linededup, mixing, packing, sharding, simhash, whitening  # noqa: E402
 from urbanflow.llm.queries import tokenizer_path  # noqa: E402
 from urbanflow.session import build_session, clean_scratch  # noqa: E402
 
@@ -38,9 +38,14 @@ def main():
     runs = {
         "simhash": lambda d: simhash.near_duplicates(d, carry=["doc_id"]).select("doc_id", "fingerprint", "component_id"),
         "lines": lambda d: linededup.drop_common_lines(d).select("doc_id", "text", "n_dropped"),
+        "bpe": lambda d: bpe.encode(d, tokenizer_path(), carry=["doc_id"], decoded=True).select("doc_id", F.hex("ids"), "decoded"),
         "mixing": lambda d: mixing.mix(d, carry=["doc_id"]).select("doc_id", "taken"),
     }
     out = {name: sorted(map(tuple, f(bad).collect())) == sorted(map(tuple, f(docs).collect())) for name, f in runs.items()}
+    for name, table, f in (("conversations", "conversations", conversations.repair),
+                           ("whitening", "embeddings", lambda d: whitening.whiten(d, carry=["vec_id"]).select("vec_id", "n", "deviation"))):
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").repartition(3)
+        out[name] = sorted(map(tuple, f(rows.mapInPandas(flaky, rows.schema)).collect())) == sorted(map(tuple, f(rows).collect()))
     placed = sharding.shuffle_into_shards(bad, 8).select("doc_id", "shard", "slot").collect()
     out["sharding"] = len({r["doc_id"] for r in placed}) == len({(r["shard"], r["slot"]) for r in placed}) == len(placed) == 200
     pieces = packing.pack(bad, tokenizer_path())
