@@ -109,20 +109,17 @@ def q_column_sketches(spark, sf):
     columns = [*SKETCHED, "l_tax"]
     column_sketches(li, columns, ["l_returnflag", "month"]).write.parquet(at)
     found = sketch_estimates(merged_sketches(spark.read.parquet(at)), QUANTILES)
-    numbers = [c for c in columns if dict(li.dtypes)[c] in ("bigint", "double", "int")]
     exact = li.agg(*[F.count_distinct(c).alias(c) for c in columns]).select(
         F.explode(F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c))])).alias("column_name", "n_exact"))
-    # share of the values below, and up to, each quantile that a sketch gave
-    guesses = found.where("quantiles is not null").groupBy().agg(F.map_from_entries(F.collect_list(F.struct("column_name", "quantiles"))).alias("q"))
-    values = li.crossJoin(guesses)  # one row
+    # share of the values below, and up to, each quantile that a sketch gave (a row a column)
+    guesses = {r["column_name"]: r["quantiles"] for r in found.where("quantiles is not null").collect()}
     shares = []
-    for c in numbers:
-        for i, p in enumerate(QUANTILES):
-            v = F.get(F.col("q")[c], F.lit(i))
+    for c, found_at in guesses.items():
+        for i, (p, v) in enumerate(zip(QUANTILES, found_at)):
             below, upto = (F.avg((F.col(c) < v).cast("int")), F.avg((F.col(c) <= v).cast("int")))
             shares.append(((below <= p + KLL_ERROR) & (upto >= p - KLL_ERROR)).alias(f"{c}__{i}"))
-    good = values.agg(*shares).select(F.explode(F.create_map(*[
-        x for c in numbers for x in (F.lit(c), F.forall(F.array(*[F.col(f"{c}__{i}") for i in range(len(QUANTILES))]), lambda b: b))]))
+    good = li.agg(*shares).select(F.explode(F.create_map(*[
+        x for c in guesses for x in (F.lit(c), F.forall(F.array(*[F.col(f"{c}__{i}") for i in range(len(QUANTILES))]), lambda b: b))]))
         .alias("column_name", "quantiles_within"))
     within = F.abs(F.col("n_distinct") - F.col("n_exact")) <= F.col("n_exact") * HLL_ERROR
     return found.join(exact, "column_name").join(good, "column_name", "left").select(
