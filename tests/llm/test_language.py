@@ -104,3 +104,23 @@ def test_long_documents_are_learned_from(spark, monkeypatch):
     by = {lang: [t for t, x in seen[0] if x == lang] for lang in ("long", "mixed", "unread")}
     assert len(by["long"]) == len(by["mixed"]) == 5 and by["unread"] == ["one text"]
     assert all(t in long and len(t) == 50 for t in by["long"]) and len(set(by["long"])) > 1
+
+
+def test_lottery_is_filtered_before_its_exchange_and_an_id_sends_one_span(spark):
+    rows = [(1, "the same words again and again", "en")] * 300 + [(i, f"other words {i} of this language", "en") for i in range(2, 400)]
+    rows += [(1000 + i, f"autres mots {i}", "fr") for i in range(40)] + [(None, "no id", "en"), (5000, None, "en"), (5001, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        drawn = langid.drawn_rows(docs)
+        plan = drawn._jdf.queryExecution().executedPlan().toString()
+        got = drawn.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # the shares come by broadcast, so the lottery's filter stands with the join, below the exchange of its rows
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    lottery = next(line for line in plan.split("\n") if "BroadcastHashJoin" in line and "share" in line)
+    assert "cast(lot" in lottery or "lot#" in lottery
+    assert len(got) == len({(r["lang"], r["id"]) for r in got}) == 300 + 40
+    assert all(r["id"] is not None and r["text"] and r["lang"] in ("en", "fr") for r in got)

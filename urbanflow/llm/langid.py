@@ -239,9 +239,8 @@ def label(texts: list[str | None], model: Model, scores: Scores | None = None):
         yield from batch(at, held)
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """Model from a bounded sample of labelled rows (see the module's head); null ids, texts and languages
-    are left out."""
+def drawn_rows(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """text, lang, id of the labelled documents that the fit takes: at most PER_LANGUAGE ids of each language."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"),
                            F.col(text_col).alias("text"))
     small = rows.where("lang is not null and id is not null and text is not null")
@@ -257,8 +256,14 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
              .where(F.col("lot") < F.col("share") * LOTS).groupBy("lang", "id").agg(F.first("lot").alias("lot")))
     chosen = (drawn.withColumn("n", F.row_number().over(rank)).where(F.col("n") <= PER_LANGUAGE).select("lang", "id"))
     # an id that repeats sends one span, the least of its texts
-    sample = (spans.join(F.broadcast(chosen), ["lang", "id"]).groupBy("lang", "id").agg(F.min("text").alias("text"))
-              .select("text", "lang", "id").collect())
+    return (spans.join(F.broadcast(chosen), ["lang", "id"]).groupBy("lang", "id").agg(F.min("text").alias("text"))
+            .select("text", "lang", "id"))
+
+
+def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
+    """Model from a bounded sample of labelled rows (see the module's head); null ids, texts and languages
+    are left out."""
+    sample = drawn_rows(labelled, id_col, text_col, lang_col).collect()
     return fit([(r["text"], r["lang"]) for r in sorted(sample, key=lambda r: (r["lang"], r["id"], r["text"]))])
 
 
