@@ -331,6 +331,22 @@ def test_hourly_series_has_every_hour_once(spark):
     assert [(r["hour_start"], r["n"], r["value"]) for r in got if r["g"] == "b"] == [(minutes(60), 1, 4.0)]
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata", "Europe/Paris"])
+def test_hours_do_not_depend_on_the_session_zone(spark, zone):
+    from urbanflow.sources.spine import gap_filled_hourly_counts, hourly_spine
+    at = [dt.datetime(2025, 3, 8, 23, 10), dt.datetime(2025, 3, 10, 4, 0), dt.datetime(2025, 3, 30, 1, 59), dt.datetime(2025, 3, 31, 3, 0)]  # DST
+    df = spark.createDataFrame([("a", t, 1.0) for t in at], "g string, ts timestamp_ntz, v double")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = [filled_series(hourly_series(df, ["g"], "ts", "v"), ["g"], "hour_start", "value"), hourly_spine(df, "ts"), gap_filled_hourly_counts(df, "ts")]
+        assert all(dict(g.dtypes)["hour_start"] == "timestamp_ntz" for g in got)
+        hours = [sorted(r["hour_start"] for r in g.collect()) for g in got]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    first = at[0].replace(minute=0)
+    assert hours[0] == hours[1] == hours[2] == [first + dt.timedelta(hours=i) for i in range(22 * 24 + 5)]
+
+
 def test_state_folder_is_what_the_summary_reads(spark, tmp_dir):
     df = spark.createDataFrame([(minutes(1), "a", 1.0)], "ts timestamp_ntz, g string, v double")
     add_load(df, 0, tmp_dir + "/s", tmp_dir + "/m", "ts", ["g"], "v")

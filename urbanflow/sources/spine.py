@@ -10,7 +10,7 @@ from ..functions.timeparts import truncate_hour
 
 def _hours(df: DataFrame, lo: str, hi: str, name: str) -> DataFrame:
     """Every hour of each row's [lo, hi], days first: no row ever holds more than its days or 24 hours."""
-    day = F.date_trunc("day", F.col(lo))
+    day = F.col(lo).cast("date").cast("timestamp_ntz")  # date_trunc would go through the session's zone
     days = F.explode(F.sequence(day, F.col(hi), F.expr("INTERVAL 1 DAY")))
     hours = df.withColumn("_day", days).withColumn("_h", F.explode(F.sequence(F.lit(0), F.lit(23))))
     hours = hours.withColumn(name, F.col("_day") + F.make_dt_interval(F.lit(0), F.col("_h")))
