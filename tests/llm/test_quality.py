@@ -79,6 +79,37 @@ def test_scores_and_threshold(spark):
     assert all(r["kept"] == (not r["base_failed"] and math.floor(r["score"] / quality.GRID) >= least) for r in got.values())
 
 
+def test_every_trusted_document_counts(spark):
+    # more of them than the 20,000 that were once drawn
+    rows = spark.range(21_000).select(F.col("id").alias("doc_id"), F.concat(F.array_join(
+        F.transform(F.sequence(F.lit(1), F.lit(21)), lambda j: F.pmod(F.xxhash64(F.lit(j)), F.lit(50))), " "), F.lit(" "),
+        F.pmod(F.xxhash64("id"), F.lit(900)).cast("string")).alias("text"))
+    rows = rows.unionAll(spark.createDataFrame([(-1, "not trusted"), (None, "no id")], "doc_id long, text string")).localCheckpoint()
+    ids = rows.where("doc_id >= 0").select(F.col("doc_id").cast("string").alias("id"))  # of another type
+    fitted = {r["doc_id"] for r in rows.where(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(2)) == 0).select("doc_id").collect()}
+    seen = {r["doc_id"]: r["text"] for r in rows.collect()}
+    of = {text: cells(text) for text in set(seen.values())}
+    n, t = Counter(), Counter()
+    for i, text in seen.items():
+        n.update(of[text])
+        if i is not None and i >= 0 and i in fitted:
+            t.update(of[text])
+    sum_n, sum_t, extra = sum(n.values()), sum(t.values()), quality.SMOOTHING * quality.BUCKETS
+    score = {text: sum(math.log((t[c] + quality.SMOOTHING) / (sum_t + extra)) - math.log((n[c] + quality.SMOOTHING) / (sum_n + extra))
+                       for c in of[text]) / (len(of[text]) + quality.PRIOR) for text in of}
+    got = {r["doc_id"]: r for r in quality.quality(rows, ids).collect()}
+    assert len(got) == len(seen) and all(abs(r["score"] - score[seen[i]]) < 1e-9 for i, r in got.items())
+    held = Counter(math.floor(r["score"] / quality.GRID) for i, r in got.items()
+                   if i is not None and i >= 0 and i not in fitted and not r["base_failed"])
+    upto, total = 0, sum(held.values())
+    for least in sorted(held):
+        upto += held[least]
+        if upto > quality.QUANTILE * total:
+            break
+    assert all(r["kept"] == (not r["base_failed"] and math.floor(r["score"] / quality.GRID) >= least) for r in got.values())
+    assert 0 < sum(not r["kept"] for i, r in got.items() if i is not None and i >= 0) < 200
+
+
 def test_repeated_windows(spark):
     rng = np.random.default_rng(0)
     rows = []

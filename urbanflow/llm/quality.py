@@ -4,12 +4,14 @@ Words and word pairs of a document are hashed into ``BUCKETS`` cells. Two multin
 one from trusted documents, one from every document of the corpus. A document's score is the sum of
 log(p_trusted / p_corpus) over its n-grams, divided by their number plus ``PRIOR`` (short documents say
 little, and shrink towards 0). The threshold is a low quantile of the scores of trusted documents that
-were not fitted on, so its meaning does not change with size.
-
-How it scales: corpus counts are exploded cells with map-side sums (at most BUCKETS rows a task are
-shuffled); the model is one array of BUCKETS doubles, used as a scalar subquery; every figure of a
-document comes from its own row by array functions, so texts never move and there is no skew. The
-trusted ids are at most ``TRUSTED`` (the documented bound of the fit), hence broadcast.
+were not fitted on, so its meaning does not change with size. Every trusted document counts: half of them,
+by hash of the id, in the fit, the others in the threshold.
+
+How it scales: counts are exploded cells with map-side sums (at most BUCKETS rows a task are shuffled); the
+model is one array of BUCKETS doubles, used as a scalar subquery; every figure of a document comes from its
+own row by array functions, from cells that are hashed once and landed (2 bytes each). The trusted ids grow
+with the corpus, so they are joined by a shuffle: to the scores of the half that sets the threshold, and, before
+anything is landed, to the texts of the other half. No other text moves.
 """
 
 from __future__ import annotations
@@ -17,14 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOTS, SPACE, WORD, landed, lot, packed, unpacked
+from .common import SPACE, WORD, discard, landed, landed_at, lot, packed, unpacked
 
 BUCKETS = 1 << 16
 #: pseudo-count of each cell
 SMOOTHING = 1.0
 PRIOR = 32
-#: trusted documents used, half to fit and half to set the threshold
-TRUSTED = 20_000
 #: share of clean documents that the threshold may cost
 QUANTILE = 0.002
 #: scores are compared on a grid of this step
@@ -70,20 +70,25 @@ def _hashed(text: Column) -> Column:
 
 
 def _cells(wh: Column) -> Column:
-    """Cell of every word and word pair, from the word hashes."""
+    """Cell of every word and word pair, from the word hashes; less BUCKETS / 2, which fits 2 bytes."""
     pairs = F.transform(_upto(0, F.size(wh) - 2), lambda i: F.xxhash64(F.get(wh, i), F.get(wh, i + 1)))
-    return F.transform(F.concat(wh, pairs), lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
-
-
-def log_ratios(docs: DataFrame, fit_ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row with ``model``: log(p_trusted / p_corpus) of every cell, as an array."""
-    fit = F.broadcast(fit_ids.select("id", F.lit(1).alias("trusted")))
-    rows = (docs.select(F.col(id_col).alias("id"), _hashed(F.coalesce(F.col(text_col), F.lit(""))).alias("wh"))
-            .join(fit, "id", "left"))
-    counts = (rows.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(_cells(F.col("wh"))).alias("cell"))
-              .groupBy("cell").agg(F.count("*").alias("n"), F.sum("trusted").alias("t")))
-    cells = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("cell"))
-    full = cells.join(counts, "cell", "left").na.fill(0, ["n", "t"])
+    return F.transform(F.concat(wh, pairs), lambda h: (F.pmod(h, F.lit(BUCKETS)) - BUCKETS // 2).cast("short"))
+
+
+def _fitted(id_: str = "id") -> Column:
+    """Whether the trusted document of this id is fitted on (else it sets the threshold)."""
+    return F.pmod(lot(11, id_), F.lit(2)) == 0
+
+
+def _counts(cells: DataFrame, name: str) -> DataFrame:
+    """How often each cell occurs in the arrays ``cells``."""
+    return cells.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias(name))
+
+
+def log_ratios(corpus: DataFrame, trusted: DataFrame) -> DataFrame:
+    """One row with ``model``: log(p_trusted / p_corpus) of every cell, as an array; from the counts n and t."""
+    cells = corpus.sparkSession.range(BUCKETS).select((F.col("id") - BUCKETS // 2).cast("short").alias("cell"))
+    full = cells.join(corpus, "cell", "left").join(trusted, "cell", "left").na.fill(0, ["n", "t"])
     totals = full.agg(F.collect_list(F.struct("cell", "n", "t")).alias("cells"), F.sum("n").alias("n"), F.sum("t").alias("t"))
     extra = SMOOTHING * BUCKETS
 
@@ -102,12 +107,11 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", tex
     Null id: judged like any other, never trusted. Repeated rows: each is judged, and counts in the corpus.
     No trusted document in docs: nothing is dropped but what fails the rules. Empty table: no rows.
     """
-    known = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("id")).where("id is not null").distinct()
-    known = landed(known.select("id", lot(11, "id").alias("lot")), "quality_known")
-    share = min(1.0, 2.0 * TRUSTED / max(1, known.count()))  # no task ranks more than twice what is wanted
-    known = landed(known.where(F.col("lot") < share * LOTS).orderBy("lot", "id").limit(TRUSTED)
-                   .select("id", (F.pmod("lot", F.lit(2)) == 0).alias("fit")), "quality_trusted")
-    model = landed(log_ratios(docs, known.where("fit"), id_col, text_col), "quality_model")
+    trusted = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("id")).where("id is not null")
+    known = landed(docs.select(F.col(id_col).alias("id")).distinct().join(trusted, "id", "left_semi"), "quality_known")
+    fit = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(_fitted())
+           .join(known.where(_fitted()).hint("shuffle_hash"), "id"))
+    t = landed(_counts(fit.select(_let(_hashed(F.coalesce("text", F.lit(""))), _cells).alias("cells")), "t"), "quality_trusted")
     base = docs.select(packed(docs, carry), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(f"[^{SPACE}]"))
     step = base.select(
@@ -117,16 +121,20 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", tex
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
     wh = F.col("wh")
     windows = F.transform(_upto(0, F.size(wh) - WINDOW), lambda i: F.xxhash64(*[F.get(wh, i + k) for k in range(WINDOW)]))
-    # a subquery may not stand inside a higher-order function, so its value comes as a column
-    score = F.aggregate(_cells(wh), F.lit(0.0), lambda s, c: s + F.get(F.col("model"), c))
-    rows = step.withColumn("model", model.scalar()).select(
+    step, counted = landed_at(step.select(
         "__in", "id", F.size(wh).cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
-        repeated_words(windows).cast("long").alias("n_repeat_words"), score.alias("sum"))
+        repeated_words(windows).cast("long").alias("n_repeat_words"), _cells(wh).alias("cells")), "quality_counted")
+    model = landed(log_ratios(_counts(step, "n"), t), "quality_model")
+    # a subquery may not stand inside a higher-order function, so its value comes as a column
+    score = F.aggregate("cells", F.lit(0.0), lambda s, c: s + F.get(F.col("model"), c.cast("int") + BUCKETS // 2))
+    rows = step.withColumn("model", model.scalar()).withColumn("sum", score).drop("model", "cells")
     rows = rows.withColumn("score", F.col("sum") / (F.greatest(2 * F.col("n_words") - 1, F.lit(0)) + PRIOR))
     rows = rows.withColumn("cell", F.floor(F.col("score") / GRID))
     rows = landed(rows.withColumn("base_failed", (F.col("n_words") < 20)
                                   | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))), "quality_rows")
-    held_out = rows.where("not base_failed").join(F.broadcast(known.where("not fit")), "id")
+    discard(docs.sparkSession, counted)
+    held_out = (rows.where("not base_failed").where(~_fitted()).select("id", "cell")
+                .join(known.where(~_fitted()).hint("shuffle_hash"), "id"))
     order = Window.orderBy("cell")
     low = (held_out.groupBy("cell").count()
            .withColumn("upto", F.sum("count").over(order)).withColumn("all", F.sum("count").over(Window.partitionBy()))
