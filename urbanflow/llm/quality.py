@@ -81,8 +81,9 @@ def _fitted(id_: str = "id") -> Column:
 
 
 def _counts(cells: DataFrame, name: str) -> DataFrame:
-    """How often each cell occurs in the arrays ``cells``."""
-    return cells.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias(name))
+    """How often each cell occurs in the arrays ``cells`` (a plain explode would first filter by their size, and
+    so hash words twice); a row of a null cell stands for the empty ones."""
+    return cells.select(F.explode_outer("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias(name))
 
 
 def log_ratios(corpus: DataFrame, trusted: DataFrame) -> DataFrame:
