@@ -185,3 +185,62 @@ def test_token_gradient_equals_differences():
         up[name][at] += 1e-5
         down[name][at] -= 1e-5
         assert g[name][at] == pytest.approx((loss(up) - loss(down)) / 2e-5, abs=1e-6)
+
+
+def test_words_equal_tokens():
+    import pyarrow as pa
+
+    texts = [b"a" + bytes([i]) + b"B" for i in range(256)] + [None, b"", b" \t\n\r\x0b\x0c", b" a", b"b ", "É  x Y".encode(), b"\xff \xfe"]
+    for some in (texts, texts[5:9], texts[-7:-4], []):
+        words, lengths = lm.words_of(pa.array(some, pa.binary()))
+        assert words.to_pylist() == [w for t in some for w in lm.tokens(t)]
+        assert lengths.tolist() == [len(lm.tokens(t)) for t in some]
+    assert lm.words_of(pa.array(texts, pa.binary()).slice(255, 5))[0].to_pylist() == [w for t in texts[255:260] for w in lm.tokens(t)]
+
+
+def test_a_step_by_blocks_is_the_step_of_the_gradient():
+    v = lm.Vocabulary([(b"w%d" % i, 10_000 // (i + 1)) for i in range(lm.VOCABULARY)], 200_000)
+    assert len(v.inside) < len(np.unique(v.class_of)) and any(m is not None for m in v.inside)
+    rng = np.random.default_rng(2)
+    w = {k: a.astype(np.float64) for k, a in lm.fresh_weights().items()}
+    w["words"] += rng.normal(size=w["words"].shape)
+    ids = np.sort(rng.integers(0, lm.PAD, 300))
+    x, y = rng.integers(0, lm.PAD + 1, (300, 4)), v.class_of[ids]
+    g = lm.gradients(w, x, y, ids, v)
+    emb = np.zeros_like(w["emb"])
+    np.add.at(emb, x.ravel(), g["emb"])
+    want = {k: w[k] - lm.RATE * d / np.sqrt(1e-6 + d * d) for k, d in {**g, "emb": emb}.items()}
+    for steady in (True, False):
+        own = {k: a.copy() for k, a in w.items()}
+        lm.learn(own, {k: np.full_like(a, 1e-6) for k, a in w.items()}, x, y, ids, v, steady)
+        assert all(np.allclose(own[k], want[k], rtol=0, atol=1e-9) for k in want)
+
+
+def test_great_weights_are_scored_steadily():
+    v, w = tiny()
+    assert lm.calm_steps(w, v) > 0
+    ids, lengths = v.encode([b"the", b"cat", b"zzz", b"sat"]), np.array([4])
+    w["words"] *= 0
+    w["words"] += np.random.default_rng(0).normal(size=w["words"].shape).astype(np.float32) * 300
+    w["outer"] *= 3000
+    assert lm.calm_steps(w, v) == 0
+    got = lm.log_probabilities(w, v, ids, lengths)
+    assert np.isfinite(got).all() and (got < 1e-6).all()
+    g = lm.gradients(w, lm.contexts(ids, lengths)[np.argsort(ids)], v.class_of[np.sort(ids)], np.sort(ids), v)
+    assert all(np.isfinite(d).all() for d in g.values())
+    # no step takes the logits further than calm_steps says
+    w = lm.fresh_weights()
+    steps = lm.calm_steps(w, v)
+    for name in ("words", "outer", "out_bias"):
+        w[name] += lm.RATE * (steps - 1)
+    assert lm.calm_steps(w, v) > 0
+
+
+def test_training_reads_numbers_not_texts(spark, monkeypatch):
+    read_by, real = [], lm._train
+    monkeypatch.setattr(lm, "_train", lambda codes, *a: read_by.append(codes) or real(codes, *a))
+    docs = spark.createDataFrame([(1, "a b a"), (2, None), (3, " c  ")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in lm.score(docs).collect()}
+    assert [rows[k]["n_tokens"] for k in (1, 2, 3)] == [3, 0, 1]
+    assert [c.columns for c in read_by] == [["ids"]]
+    assert sorted(len(r["ids"]) for r in read_by[0].collect()) == [0, 2, 6]

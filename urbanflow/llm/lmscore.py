@@ -23,10 +23,11 @@ size set by the constants.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,10 @@ FAN_IN = 64
 SEED = 42
 #: words that a counting task holds before it sends what it has; tokens scored at a time
 HELD, BATCH = 500_000, 16_384
+#: documents that a task lays end to end
+SLICE = 500
+#: tokens of neighbouring classes that are multiplied as one block; logits whose exponentials are taken as they are
+BLOCK, SAFE = 64, 40
 #: steps of a rare word's log-share (whole numbers, so that sums do not depend on their order)
 UNIT = 10 ** 9
 
@@ -56,6 +61,19 @@ def tokens(data: bytes | None) -> list[bytes]:
     return data.lower().split() if data else []
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The ``tokens`` of all texts (binary) end to end, and how many each has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    words, lengths = split.flatten(), pc.list_value_length(split).fill_null(0).to_numpy().astype(np.int64)
+    full = pc.binary_length(words).to_numpy() > 0  # before and after white space at the ends there are empty ones
+    if not full.all():
+        words = words.filter(pa.array(full))
+        cuts = np.concatenate(([0], np.cumsum(full)))
+        ends = np.cumsum(lengths)
+        lengths = cuts[ends] - cuts[ends - lengths]
+    return words.view(pa.binary()), lengths
+
+
 class Vocabulary:
     """Token numbers of words, class and log-share of each token."""
 
@@ -64,6 +82,7 @@ class Vocabulary:
         """Of the RARE tokens: ``rare``, their counts (default: equal shares of what the words leave of total),
         and ``rare_mean``, the mean log p(word | token) over their occurrences (default: 0)."""
         self.number = {w: i for i, (w, _) in enumerate(words)}
+        self.words = pa.array([w for w, _ in words], pa.binary())
         count = np.zeros(VOCABULARY + RARE)
         count[:len(words)] = [n for _, n in words]
         count[VOCABULARY:] = max(0, total - sum(n for _, n in words)) / RARE if rare is None else rare
@@ -73,21 +92,35 @@ class Vocabulary:
         mass = np.bincount(self.class_of, weights=count, minlength=CLASSES)
         self.log_share = np.log(count / mass[self.class_of])
         self.prior = self.log_share.astype(np.float32)
-        self.first = np.searchsorted(self.class_of, np.arange(CLASSES + 1))  # a class is a range of tokens
+        # a class is a range of tokens; neighbours of up to BLOCK tokens in all are multiplied as one block
+        first = np.searchsorted(self.class_of, np.arange(CLASSES + 1))
+        self.bounds = [0]
+        for end, after in zip(first[1:], [*first[2:], PAD + BLOCK + 1]):
+            if after - self.bounds[-1] > BLOCK and end > self.bounds[-1]:
+                self.bounds.append(int(end))
+        classes = [self.class_of[a:b] for a, b in zip(self.bounds, self.bounds[1:])]
+        self.inside = [None if c[0] == c[-1] else c[:, None] == c for c in classes]
         self.word_mean = np.zeros(VOCABULARY + RARE)
         if rare_mean is not None:
             self.word_mean[VOCABULARY:] = rare_mean
 
-    def by_class(self, ids: np.ndarray):
-        """(first place, place after the last, first token, token after the last) of each class of the ascending ids."""
-        ends = np.searchsorted(ids, self.first)
-        for c in np.flatnonzero(ends[1:] > ends[:-1]):
-            yield ends[c], ends[c + 1], self.first[c], self.first[c + 1]
+    def by_block(self, ids: np.ndarray):
+        """(first place, place after the last, first token, token after the last, tokens of the same class or None) of
+        each block of the ascending ids."""
+        ends = np.searchsorted(ids, self.bounds)
+        for k in np.flatnonzero(ends[1:] > ends[:-1]):
+            yield ends[k], ends[k + 1], self.bounds[k], self.bounds[k + 1], self.inside[k]
+
+    def encode(self, words: list[bytes] | pa.Array) -> np.ndarray:
+        return self.encoded(pa.array(words, pa.binary()))[0]
 
-    def encode(self, words: list[bytes]) -> np.ndarray:
-        get = self.number.get
-        return np.fromiter((i if (i := get(w)) is not None else VOCABULARY + zlib.crc32(w) % RARE for w in words),
-                           np.int64, len(words))
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Token numbers of the words; the places of those outside of the vocabulary, and these words."""
+        ids = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        places = np.flatnonzero(ids < 0)
+        rare = words.take(pa.array(places))
+        ids[places] = [VOCABULARY + zlib.crc32(w) % RARE for w in rare.to_numpy(zero_copy_only=False)]
+        return ids, places, rare
 
 
 def fresh_weights() -> dict[str, np.ndarray]:
@@ -96,132 +129,226 @@ def fresh_weights() -> dict[str, np.ndarray]:
     return {n: (rng.standard_normal(shape) * scale[n]).astype(np.float32) for n, shape in _SHAPES}
 
 
+def spread(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents laid end to end with SIDE times PAD before, between and after them, and each token's place there."""
+    place = np.arange(SIDE, SIDE + len(ids)) + np.repeat(SIDE * np.arange(len(lengths)), lengths)
+    laid = np.full(len(ids) + SIDE * (len(lengths) + 1), PAD, np.int64)
+    laid[place] = ids
+    return laid, place
+
+
+_NEIGHBOURS = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
+
+
 def contexts(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """(tokens, 2 * SIDE) neighbours of every token of documents laid end to end; PAD beyond their ends."""
-    n = len(ids)
-    place = np.arange(n) - np.repeat(np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
-    left = np.repeat(lengths, lengths) - place - 1
-    out = np.full((n, 2 * SIDE), PAD, np.int64)
-    for k in range(1, SIDE + 1):
-        out[k:, SIDE - k] = np.where(place[k:] >= k, ids[:-k] if n > k else ids[:0], PAD) if n > k else PAD
-        if n > k:
-            out[:-k, SIDE + k - 1] = np.where(left[:-k] >= k, ids[k:], PAD)
-    return out
+    laid, place = spread(ids, lengths)
+    return laid.take(place[:, None] + _NEIGHBOURS)
+
+
+def _hidden(w, e: np.ndarray) -> np.ndarray:
+    h = e.reshape(len(e), -1) @ w["inner"].reshape(-1, HIDDEN)
+    h += w["bias"]
+    return np.tanh(h, out=h)
+
+
+def _classes(w, h: np.ndarray, steady: bool) -> np.ndarray:
+    """Logits of the classes; steady: less their greatest."""
+    z = h @ w["outer"]
+    z += w["out_bias"]
+    if steady:
+        z -= z.max(axis=1, keepdims=True)
+    return z
 
 
 def _forward(w, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    e = w["emb"][x]
-    h = np.tanh(e.reshape(len(x), -1) @ w["inner"].reshape(-1, HIDDEN) + w["bias"])
-    z = h @ w["outer"] + w["out_bias"]
-    z -= z.max(axis=1, keepdims=True)
-    return e, h, z
+    e = w["emb"].take(x, axis=0)
+    h = _hidden(w, e)
+    return e, h, _classes(w, h, True)
 
 
-def _in_class(w, vocabulary: Vocabulary, h: np.ndarray, a: int, b: int) -> np.ndarray:
-    """Logits of the tokens a to b of a class, less their greatest."""
+def _block(w, vocabulary: Vocabulary, h: np.ndarray, own: np.ndarray, a: int, b: int, inside, steady: bool) -> np.ndarray:
+    """Logits of the tokens a to b; steady: less the greatest of the own token's class, the others' without a chance."""
     z = h @ w["words"][a:b].T
     z += vocabulary.prior[a:b]
-    z -= z.max(axis=1, keepdims=True)
+    if steady:
+        if inside is not None:
+            z[~inside[own]] = -np.inf
+        z -= z.max(axis=1, keepdims=True)
     return z
 
 
-def gradients(w, x: np.ndarray, y: np.ndarray, ids: np.ndarray | None = None,
-              vocabulary: Vocabulary | None = None) -> dict[str, np.ndarray]:
+def _weigh(z: np.ndarray, own: np.ndarray | None = None, inside=None) -> np.ndarray:
+    """exp in place, 0 outside of the own token's class; the sums."""
+    np.exp(z, out=z)
+    if inside is not None:
+        z *= inside[own]
+    return z @ np.ones(z.shape[1], z.dtype)
+
+
+def calm_steps(w, vocabulary: Vocabulary) -> int:
+    """Steps for which the exponentials of all logits are safe as they are. The hidden layer is from -1 to 1, which
+    bounds them, and a step moves no weight by more than RATE."""
+    words = np.abs(w["words"]).sum(axis=1) + np.abs(vocabulary.prior)
+    classes = np.abs(w["outer"]).sum(axis=0) + np.abs(w["out_bias"])
+    left = SAFE - max(words.max(), classes.max())
+    return int(left / (RATE * (HIDDEN + 1))) + 1 if left > 0 else 0
+
+
+def _added(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows from each first to the next, two columns at a time (as complex numbers)."""
+    pairs = rows.view(np.complex64 if rows.dtype == np.float32 else np.complex128)
+    return np.add.reduceat(pairs, first).view(rows.dtype)
+
+
+def _descend(weights: np.ndarray, squares: np.ndarray, d: np.ndarray) -> None:
+    root = d * d
+    squares += root
+    np.sqrt(squares, out=root)
+    d /= root
+    d *= RATE
+    weights -= d
+
+
+def gradients(w, x: np.ndarray, y: np.ndarray, ids: np.ndarray | None = None, vocabulary: Vocabulary | None = None,
+              steady: bool = True, squares=None) -> dict[str, np.ndarray]:
     """Of the mean loss of a minibatch; ``emb`` has one row a place of x. With the (ascending) token numbers ids,
-    whose classes are y, the loss is that of the tokens, else that of the classes."""
-    e, h, z = _forward(w, x)
-    p = np.exp(z)
-    p /= p.sum(axis=1, keepdims=True)
-    p[np.arange(len(y)), y] -= 1
-    p /= len(y)
+    whose classes are y, the loss is that of the tokens, else that of the classes. With ``squares`` the weights of the
+    tokens take their step here, block by block, and are not returned."""
+    n = len(y)
+    e = w["emb"].take(x, axis=0)
+    h = _hidden(w, e)
+    p = _classes(w, h, steady)
+    p *= (1 / (n * _weigh(p)))[:, None]
+    lines = np.arange(n)
+    p[lines, y] -= 1 / n
     back = p @ w["outer"].T
     of_tokens = {}
     if ids is not None:
-        of_tokens["words"] = np.zeros_like(w["words"])
-        for i, j, a, b in vocabulary.by_class(ids):
-            if b - a == 1:  # certain within its class
-                continue
-            q = np.exp(_in_class(w, vocabulary, h[i:j], a, b))
-            q /= q.sum(axis=1, keepdims=True)
-            q[np.arange(j - i), ids[i:j] - a] -= 1
-            q /= len(y)
-            of_tokens["words"][a:b] = q.T @ h[i:j]
+        if squares is None:
+            of_tokens["words"] = np.zeros_like(w["words"])
+        for i, j, a, b, inside in vocabulary.by_block(ids):
+            own, here = ids[i:j] - a, h[i:j]
+            q = _block(w, vocabulary, here, own, a, b, inside, steady)
+            q *= (1 / (n * _weigh(q, own, inside)))[:, None]
+            q[lines[:j - i], own] -= 1 / n
             back[i:j] += q @ w["words"][a:b]
+            if squares is None:
+                np.matmul(q.T, here, out=of_tokens["words"][a:b])
+            else:
+                _descend(w["words"][a:b], squares["words"][a:b], q.T @ here)
     back *= 1 - h * h
     return {**of_tokens, "outer": h.T @ p, "out_bias": p.sum(axis=0), "bias": back.sum(axis=0),
-            "inner": (e.reshape(len(x), -1).T @ back).reshape(w["inner"].shape),
+            "inner": (e.reshape(n, -1).T @ back).reshape(w["inner"].shape),
             "emb": (back @ w["inner"].reshape(-1, HIDDEN).T).reshape(-1, WIDTH)}
 
 
 def learn(w, squares, x: np.ndarray, y: np.ndarray, ids: np.ndarray | None = None,
-          vocabulary: Vocabulary | None = None) -> None:
+          vocabulary: Vocabulary | None = None, steady: bool = True) -> None:
     """One AdaGrad step, in place; ``squares`` are the sums of squared gradients so far."""
-    g = gradients(w, x, y, ids, vocabulary)
+    g = gradients(w, x, y, ids, vocabulary, steady, squares)
     flat = x.ravel()
     order = flat.astype(np.uint16).argsort(kind="stable")
-    rows, first = np.unique(flat[order], return_index=True)
-    emb = np.add.reduceat(g.pop("emb")[order], first)
-    squares["emb"][rows] += emb * emb
-    w["emb"][rows] -= RATE * emb / np.sqrt(squares["emb"][rows])
+    rows = flat.take(order)
+    first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+    rows, d = rows[first], _added(g.pop("emb").take(order, axis=0), first)
+    total = squares["emb"].take(rows, axis=0)
+    total += d * d
+    squares["emb"][rows] = total
+    d /= np.sqrt(total, out=total)
+    d *= RATE
+    w["emb"][rows] -= d
     for name, d in g.items():
-        squares[name] += d * d
-        d /= np.sqrt(squares[name])
-        d *= RATE
-        w[name] -= d
+        _descend(w[name], squares[name], d)
 
 
 def log_probabilities(w, vocabulary: Vocabulary, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """log p(token | both sides) of every token of documents laid end to end; a rare token, whose word the
     number does not tell, with the mean log p(word | token)."""
-    x = contexts(ids, lengths)
+    laid, place = spread(ids, lengths)
     out = np.empty(len(ids))
     position = [w["emb"] @ w["inner"][s] for s in range(2 * SIDE)]  # each token's part in the hidden layer
+    steady = not calm_steps(w, vocabulary)
     for at in range(0, len(ids), BATCH):
-        part = x[at:at + BATCH]
-        h = position[0][part[:, 0]]
+        own, here = ids[at:at + BATCH], place[at:at + BATCH]
+        order = np.argsort(own.astype(np.uint16), kind="stable")
+        own, here = own[order], here[order]
+        h = w["bias"] + position[0].take(laid.take(here + _NEIGHBOURS[0]), axis=0)
         for s in range(1, 2 * SIDE):
-            h += position[s][part[:, s]]
-        h = np.tanh(h + w["bias"])
-        z = h @ w["outer"] + w["out_bias"]
-        z -= z.max(axis=1, keepdims=True)
-        mine = vocabulary.class_of[ids[at:at + BATCH]]
-        logs = z[np.arange(len(part)), mine] - np.log(np.exp(z).sum(axis=1))
-        order = np.argsort(ids[at:at + BATCH].astype(np.uint16), kind="stable")
-        own, h, of_token = ids[at:at + BATCH][order], h[order], np.zeros(len(part))
-        for i, j, a, b in vocabulary.by_class(own):
-            if b - a > 1:
-                z = _in_class(w, vocabulary, h[i:j], a, b)
-                of_token[i:j] = z[np.arange(j - i), own[i:j] - a] - np.log(np.exp(z).sum(axis=1))
-        logs[order] += of_token
-        out[at:at + BATCH] = logs
+            h += position[s].take(laid.take(here + _NEIGHBOURS[s]), axis=0)
+        np.tanh(h, out=h)
+        z = _classes(w, h, steady)
+        logs = z[np.arange(len(own)), vocabulary.class_of[own]]
+        sums = _weigh(z)
+        for i, j, a, b, inside in vocabulary.by_block(own):
+            mine = own[i:j] - a
+            z = _block(w, vocabulary, h[i:j], mine, a, b, inside, steady)
+            logs[i:j] += z[np.arange(j - i), mine]
+            sums[i:j] *= _weigh(z, mine, inside)
+        logs -= np.log(sums)
+        out[at + order] = logs
     return out + vocabulary.word_mean[ids]
 
 
 def _join(texts, vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    return _encoded([tokens(t) for t in texts], vocabulary)
+    words, lengths = words_of(pa.array(texts, pa.binary()))
+    return vocabulary.encode(words), lengths
 
 
-def _encoded(found: list[list[bytes]], vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.fromiter(map(len, found), np.int64, len(found))
-    return vocabulary.encode([w for ws in found for w in ws]), lengths
+def _merged(parts: list[pa.Table]) -> pa.Table:
+    table = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
+    return pa.table({"word": table["word"], "n": table["n_sum"]})
 
 
 def _count(batches):
-    held: Counter = Counter()
-    for frame in batches:
-        for text in frame["text"]:
-            held.update(tokens(text))
-            if len(held) > HELD:
-                yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-                held.clear()
-    if held:
-        yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+    held, rows = [], 0
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            found = pc.value_counts(words_of(batch.column(0).slice(at, SLICE))[0])
+            held.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
+            rows += len(found)
+            if rows > 2 * HELD:
+                held = [_merged(held)]
+                rows = len(held[0])
+                if rows > HELD:
+                    yield from held[0].to_batches()
+                    held, rows = [], 0
+    if rows:
+        yield from _merged(held).to_batches()
+
+
+def coded(vocabulary_of):
+    """A UDF of texts (binary): ``n_tokens``, ``ids`` (the token numbers, 2 bytes each) and ``rare`` (the words outside of
+    the vocabulary)."""
+    def of(texts: pa.Array) -> pa.Array:
+        vocabulary, parts = vocabulary_of.value, []
+        for at in range(0, len(texts), SLICE):
+            words, lengths = words_of(texts.slice(at, SLICE))
+            ids, places, rare = vocabulary.encoded(words)
+            cuts = np.concatenate(([0], np.cumsum(lengths)))
+            ids = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer((2 * cuts).astype(np.int32)),
+                                                                    pa.py_buffer(ids.astype("<u2"))])
+            rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(places, cuts).astype(np.int32)), rare)
+            parts.append(pa.StructArray.from_arrays([pa.array(lengths), ids, rare], list(_CODED)))
+        return pa.concat_arrays(parts) if parts else pa.array([], _ARROW)
+
+    return F.arrow_udf(of, ", ".join(f"{name} {kind}" for name, kind in _CODED.items()))
+
+
+_CODED = {"n_tokens": "long", "ids": "binary", "rare": "array<binary>"}
+_ARROW = pa.struct([("n_tokens", pa.int64()), ("ids", pa.binary()), ("rare", pa.list_(pa.binary()))])
+
+
+def _laid(ids) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and lengths of the documents of coded ids, end to end."""
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+    return np.frombuffer(b"".join(ids), "<u2").astype(np.int64), lengths
 
 
 def _vocabulary_and_rare(texts: DataFrame) -> tuple[Vocabulary, DataFrame]:
     """The vocabulary and (word, share) of every other word: what its log p(word | token) is beyond the token's
     mean, in units of 1 / UNIT."""
-    counts = landed(texts.mapInPandas(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm_words")
+    counts = landed(texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm_words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     # landed first: a collected limit would send every task's share of it to the driver
     top = landed(counts.where(F.col("n") >= MIN_SHARE * total).orderBy(F.desc("n"), "word").limit(VOCABULARY), "lm_top")
@@ -262,11 +389,16 @@ def walk(w, squares, ids: np.ndarray, lengths: np.ndarray, vocabulary: Vocabular
     """Learn from the round's positions of documents laid end to end, in disorder; their number."""
     pick = np.arange(round_, len(ids), ROUNDS)
     rng.shuffle(pick)
-    x = contexts(ids, lengths)
+    laid, place = spread(ids, lengths)
+    calm = 0
     for i in range(0, len(pick), MINIBATCH):
+        calm = calm - 1 if calm > 1 else calm_steps(w, vocabulary)
         at = pick[i:i + MINIBATCH]
-        at = at[np.argsort(ids[at].astype(np.uint16), kind="stable")]
-        learn(w, squares, x[at], vocabulary.class_of[ids[at]], ids[at], vocabulary)
+        own = ids[at]
+        order = own.astype(np.uint16).argsort(kind="stable")
+        at, own = at[order], own[order]
+        learn(w, squares, laid.take(place[at][:, None] + _NEIGHBOURS), vocabulary.class_of[own], own, vocabulary,
+              not calm)
     return len(pick)
 
 
@@ -282,8 +414,13 @@ def average(frame: pd.DataFrame) -> pd.DataFrame:
 
 def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     """Weights after ROUNDS of local descent and averaging over all rows of column ``text`` (binary)."""
-    sc = texts.sparkSession.sparkContext
-    shared_vocabulary = sc.broadcast(vocabulary)
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+    return _train(texts.select(coded(shared)("text").alias("c")).select("c.ids"), shared)
+
+
+def _train(codes: DataFrame, shared_vocabulary) -> dict[str, np.ndarray]:
+    """``train`` on the column ``ids`` of ``coded`` texts."""
+    sc = codes.sparkSession.sparkContext
     w = fresh_weights()
     for round_ in range(ROUNDS):
         shared = sc.broadcast(_flatten(w))
@@ -294,15 +431,15 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
             own, seen, task = _unflatten(shared.value), 0, TaskContext.get().partitionId()
             squares = {name: np.full_like(a, 1e-6) for name, a in own.items()}
             for frame in frames:
-                for at in range(0, len(frame), 500):
-                    ids, lengths = _join(frame["text"][at:at + 500], shared_vocabulary.value)
+                for at in range(0, len(frame), SLICE):
+                    ids, lengths = _laid(frame["ids"][at:at + SLICE])
                     rng = np.random.default_rng([SEED, round_, task, at])
                     seen += walk(own, squares, ids, lengths, shared_vocabulary.value, round_, rng)
             if seen:
                 parts = np.array_split(_flatten(own), SLICES)
                 yield pd.DataFrame({"slice": range(SLICES), "task": task, "seen": seen, "weights": [p.tobytes() for p in parts]})
 
-        sums = landed(texts.mapInPandas(descend, "slice int, task int, seen long, weights binary"), "lm_weights")
+        sums = landed(codes.mapInPandas(descend, "slice int, task int, seen long, weights binary"), "lm_weights")
         while True:  # FAN_IN tasks at a time, so that no group grows with the number of tasks
             tasks = sums.agg(F.max("task")).first()[0]
             sums = (sums.withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int")).groupBy("slice", "task")
@@ -327,28 +464,24 @@ def score(docs: DataFrame, text_col: str = "text", carry: list[str] | None = Non
     ship(docs.sparkSession)
     texts = docs.select(F.col(text_col).cast("binary").alias("text"))
     vocabulary, rare = _vocabulary_and_rare(texts)
-    shared = sc.broadcast((vocabulary, train(texts, vocabulary)))
-
-    def scored(column: pd.Series) -> pd.DataFrame:
-        v, w = shared.value
-        sizes, sums, others = [], [], []
-        for at in range(0, len(column), 500):
-            found = [tokens(t) for t in column.iloc[at:at + 500]]
-            ids, lengths = _encoded(found, v)
-            logs = log_probabilities(w, v, ids, lengths)
-            ends = np.cumsum(np.concatenate(([0.0], logs)))
+    shared_vocabulary = sc.broadcast(vocabulary)
+    codes = landed(docs.select(packed(docs, carry), coded(shared_vocabulary)(F.col(text_col).cast("binary")).alias("c")).select(
+        "__in", F.monotonically_increasing_id().alias("row"), "c.n_tokens", "c.ids", "c.rare"), "lm_coded")
+    shared = sc.broadcast(_train(codes.select("ids"), shared_vocabulary))
+
+    def scored(column: pd.Series) -> pd.Series:
+        sums = []
+        for at in range(0, len(column), SLICE):
+            ids, lengths = _laid(column.iloc[at:at + SLICE])
+            ends = np.cumsum(np.concatenate(([0.0], log_probabilities(shared.value, shared_vocabulary.value, ids, lengths))))
             cuts = np.concatenate(([0], np.cumsum(lengths)))
-            sizes.append(lengths)
             sums.append(ends[cuts[1:]] - ends[cuts[:-1]])
-            others += [[x for x in ws if x not in v.number] for ws in found]
-        return pd.DataFrame({"n_tokens": np.concatenate(sizes), "log_prob": np.concatenate(sums), "rare": others})
+        return pd.Series(np.concatenate(sums) if sums else np.zeros(0))
 
-    done = landed(docs.select(packed(docs, carry), F.pandas_udf(scored, "n_tokens long, log_prob double, rare array<binary>")(
-        F.col(text_col).cast("binary")).alias("s")).select(
-        "__in", F.monotonically_increasing_id().alias("row"), "s.n_tokens", "s.log_prob", "s.rare"), "lm_scored")
-    shares = (done.select("row", F.explode("rare").alias("word")).join(rare, "word")
+    done = codes.select("__in", "row", "n_tokens", F.pandas_udf(scored, "double")("ids").alias("log_prob"))
+    shares = (codes.select("row", F.explode("rare").alias("word")).join(rare, "word")
               .groupBy("row").agg(F.sum("share").alias("share")))
     log_prob = F.col("log_prob") + F.coalesce(F.col("share"), F.lit(0)) / F.lit(float(UNIT))
-    done = done.drop("rare").join(shares, "row", "left").withColumn("log_prob", log_prob)
+    done = done.join(shares, "row", "left").withColumn("log_prob", log_prob)
     return unpacked(done.select("__in", "n_tokens", "log_prob", (F.col("log_prob") / F.nullif(F.col("n_tokens"), F.lit(0)))
                                 .alias("mean_log_prob")), ["n_tokens", "log_prob", "mean_log_prob"])
