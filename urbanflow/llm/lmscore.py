@@ -13,6 +13,9 @@ is one of ``RARE`` tokens by hash to the network, and log p(word | token) comes
 token's exact count, joined from the table of all words (it is never held whole). A token keeps one count for
 the words that the corpus lacks. Classes hold about equal shares of the corpus.
 
+Words are split once to count and once to number them; the numbers are landed, and training and scoring read
+them alone.
+
 Training covers all documents: in each of ``ROUNDS`` every task walks its own documents from the common
 weights, on every ``ROUNDS``-th position (another set in each round, so that each position is predicted
 once), and the tasks' weights are averaged by positions seen, a slice of the weights of ``FAN_IN`` tasks at a time. What is gathered grows with the
@@ -296,11 +299,12 @@ def _join(texts, vocabulary) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merged(parts: list[pa.Table]) -> pa.Table:
-    table = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
+    table = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
     return pa.table({"word": table["word"], "n": table["n_sum"]})
 
 
 def _count(batches):
+    """(word, n) of the batches' texts; a word comes again when more than HELD of them had to be sent."""
     held, rows = [], 0
     for batch in batches:
         for at in range(0, len(batch), SLICE):
@@ -317,6 +321,10 @@ def _count(batches):
         yield from _merged(held).to_batches()
 
 
+_CODED = {"n_tokens": "long", "ids": "binary", "rare": "array<binary>"}
+_ARROW = pa.struct([("n_tokens", pa.int64()), ("ids", pa.binary()), ("rare", pa.list_(pa.binary()))])
+
+
 def coded(vocabulary_of):
     """A UDF of texts (binary): ``n_tokens``, ``ids`` (the token numbers, 2 bytes each) and ``rare`` (the words outside of
     the vocabulary)."""
@@ -335,10 +343,6 @@ def coded(vocabulary_of):
     return F.arrow_udf(of, ", ".join(f"{name} {kind}" for name, kind in _CODED.items()))
 
 
-_CODED = {"n_tokens": "long", "ids": "binary", "rare": "array<binary>"}
-_ARROW = pa.struct([("n_tokens", pa.int64()), ("ids", pa.binary()), ("rare", pa.list_(pa.binary()))])
-
-
 def _laid(ids) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and lengths of the documents of coded ids, end to end."""
     lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
